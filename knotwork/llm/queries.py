@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import media, mixing, sharding, tokens
+from knotwork.llm import language, media, mixing, sharding, tokens
 from knotwork.sources.tables import table
 
 
@@ -26,6 +26,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.pack(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(table(spark, sf_dir, "documents"))
 
@@ -34,7 +38,7 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens}
+QUERIES = {"op2_mixing": op2_mixing, "op3_language": op3_language, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens}
 ORACLE: dict[str, str] = {
     "op2_mixing": r"""
 WITH d AS (
