@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import language, media, mixing, sharding, tokens
+from knotwork.llm import language, media, mixing, quality, sharding, tokens
 from knotwork.sources.tables import table
 
 
@@ -16,6 +16,10 @@ def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     first = F.try_element_at("takes.position", F.lit(1))
@@ -38,7 +42,7 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op3_language": op3_language, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens}
+QUERIES = {"op1_quality": op1_quality, "op2_mixing": op2_mixing, "op3_language": op3_language, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens}
 ORACLE: dict[str, str] = {
     "op2_mixing": r"""
 WITH d AS (

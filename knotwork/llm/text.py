@@ -64,11 +64,11 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0]
 
 
-def _hash_piece(data: np.ndarray, starts_text: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_piece(data: np.ndarray, starts_text: np.ndarray, lower: bool, prefixes: tuple[int, ...]) -> tuple[np.ndarray, ...]:
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), none, none
+        return np.zeros((1 + len(prefixes), 0), np.uint64), none, none
     inside = ~SPACE[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1] | starts_text[1:]
@@ -79,13 +79,17 @@ def _hash_piece(data: np.ndarray, starts_text: np.ndarray, lower: bool) -> tuple
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
     np.cumsum((_BYTES[LOWER] if lower else _BYTES)[data] * up[:n], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)), start, end
+    base, back = sums[start], down[start]
+    hashes = [mix((sums[e] - base) * back + (e - start).astype(np.uint64) + np.uint64(k << 40)) for k, e in enumerate([end, *(np.minimum(end, start + p) for p in prefixes)])]
+    return np.stack(hashes), start, end
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, piece: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(64-bit hash of each word, its start, its end, for each text the index of its first word and one past the last of all).
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, prefixes: tuple[int, ...] = (), piece: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(64-bit hashes, starts, ends, for each text the index of its first word and one past the last of all).
 
-    Words are runs of bytes other than white space. Long texts are hashed in pieces that end at white space, so that memory follows ``piece``."""
+    Words are runs of bytes other than white space. The hashes are an array by word; with ``prefixes``, a row for the words
+    and one for their first p bytes each. Long texts are hashed in pieces that end at white space, so that memory follows
+    ``piece``."""
     parts, at, n = [], 0, len(data)
     begins = np.zeros(n, bool)
     begins[offsets[:-1][offsets[:-1] < n]] = True
@@ -97,8 +101,11 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, piece: int
                 to = at + int(gap[-1]) + 1
                 break
             to = min(n, to + piece)
-        h, s, e = _hash_piece(data[at:to], begins[at:to], lower)
+        h, s, e = _hash_piece(data[at:to], begins[at:to], lower, prefixes)
         parts.append((h, s + at, e + at))
         at = to
-    h, s, e = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    return h, s, e, np.searchsorted(s, offsets)
+    if not parts:
+        parts = [_hash_piece(data, begins, lower, prefixes)]
+    h = np.concatenate([x[0] for x in parts], axis=1)
+    s, e = (np.concatenate([x[i] for x in parts]) for i in (1, 2))
+    return h if prefixes else h[0], s, e, np.searchsorted(s, offsets)
