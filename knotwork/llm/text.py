@@ -13,6 +13,9 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: A-Z to a-z, every other byte to itself.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: ASCII letters and digits, and every byte of other characters.
+LETTER = np.zeros(256, bool)
+LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 BLOCK = 1 << 21
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -64,7 +67,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0]
 
 
-def _hash_piece(data: np.ndarray, starts_text: np.ndarray, lower: bool, prefixes: tuple[int, ...]) -> tuple[np.ndarray, ...]:
+def _hash_piece(data: np.ndarray, starts_text: np.ndarray, lower: bool, prefixes: tuple[int, ...], core: bool) -> tuple[np.ndarray, ...]:
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
@@ -75,6 +78,9 @@ def _hash_piece(data: np.ndarray, starts_text: np.ndarray, lower: bool, prefixes
     last = inside.copy()
     last[:-1] &= ~inside[1:] | starts_text[1:]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    if core and len(end):
+        letter = np.maximum.accumulate(np.where(LETTER[data], np.arange(n), -1))
+        end = np.where(letter[end - 1] >= start, letter[end - 1] + 1, end)
     up, down = _power(n + 1)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
@@ -84,11 +90,11 @@ def _hash_piece(data: np.ndarray, starts_text: np.ndarray, lower: bool, prefixes
     return np.stack(hashes), start, end
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, prefixes: tuple[int, ...] = (), piece: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, prefixes: tuple[int, ...] = (), core: bool = False, piece: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(64-bit hashes, starts, ends, for each text the index of its first word and one past the last of all).
 
     Words are runs of bytes other than white space. The hashes are an array by word; with ``prefixes``, a row for the words
-    and one for their first p bytes each. Long texts are hashed in pieces that end at white space, so that memory follows
+    and one for their first p bytes each; with ``core``, a word ends with its last letter or digit, if it has one. Long texts are hashed in pieces that end at white space, so that memory follows
     ``piece``."""
     parts, at, n = [], 0, len(data)
     begins = np.zeros(n, bool)
@@ -101,11 +107,11 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, prefixes: t
                 to = at + int(gap[-1]) + 1
                 break
             to = min(n, to + piece)
-        h, s, e = _hash_piece(data[at:to], begins[at:to], lower, prefixes)
+        h, s, e = _hash_piece(data[at:to], begins[at:to], lower, prefixes, core)
         parts.append((h, s + at, e + at))
         at = to
     if not parts:
-        parts = [_hash_piece(data, begins, lower, prefixes)]
+        parts = [_hash_piece(data, begins, lower, prefixes, core)]
     h = np.concatenate([x[0] for x in parts], axis=1)
     s, e = (np.concatenate([x[i] for x in parts]) for i in (1, 2))
     return h if prefixes else h[0], s, e, np.searchsorted(s, offsets)
