@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import jaccard, language, media, mixing, quality, sharding, tokens, toxicity
+from knotwork.llm import decontamination, jaccard, language, media, mixing, quality, sharding, tokens, toxicity
 from knotwork.sources.tables import table
 
 
@@ -34,6 +34,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.pack(table(spark, sf_dir, "documents"), shards=16)
 
@@ -50,7 +54,7 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_mixing": op2_mixing, "op3_language": op3_language, "op5_jaccard": op5_jaccard, "op6_toxicity": op6_toxicity, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens}
+QUERIES = {"op1_quality": op1_quality, "op2_mixing": op2_mixing, "op3_language": op3_language, "op5_jaccard": op5_jaccard, "op6_toxicity": op6_toxicity, "op7_decontamination": op7_decontamination, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens}
 ORACLE: dict[str, str] = {
     "op2_mixing": r"""
 WITH d AS (
