@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import decontamination, jaccard, language, media, mixing, quality, sharding, tokens, toxicity
+from knotwork.llm import decontamination, jaccard, language, maxent, media, mixing, quality, sharding, tokens, toxicity
 from knotwork.sources.tables import table
 
 
@@ -26,6 +26,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round(first, 9).alias("first_position")).orderBy("first_position", "doc_id")
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_mixing": op2_mixing, "op3_language": op3_language, "op5_jaccard": op5_jaccard, "op6_toxicity": op6_toxicity, "op7_decontamination": op7_decontamination, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens}
+QUERIES = {"op1_quality": op1_quality, "op2_mixing": op2_mixing, "op3_language": op3_language, "op4_lm": op4_lm, "op5_jaccard": op5_jaccard, "op6_toxicity": op6_toxicity, "op7_decontamination": op7_decontamination, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens}
 ORACLE: dict[str, str] = {
     "op2_mixing": r"""
 WITH d AS (
