@@ -1,22 +1,21 @@
 """Documents joined by the Jaccard similarity of their word n-grams (operator 5).
 
-Documents of equal n-gram sets are one set from the start. Two sets of a similarity of at least ``THRESHOLD`` percent share
-a token within the first ``n - ceil(t n) + 1`` of each in any order common to all; the order here puts frequent n-grams
-last. Sets that share such a token and might be near enough in size fall into a block, a component of those shares, so
-every link lies within a block, whose sets meet once.
+Documents of equal n-gram sets are one set from the start. Two sets x, y of a similarity of at least t differ in at most
+``(1 - t) / (1 + t) * (|x| + |y|)`` n-grams. Cut the hash range into one segment more than that and they agree on one
+segment whole, so links lie within blocks: components of sets that share a segment of their class of size or the next. No
+statistics are needed for that, and sharing a common line or a few frequent n-grams makes no block.
 
 Within a block, T-occurrence search finds the links: an inverted list for each n-gram, and for each set the search of
 those sets that occur in at least T of its lists. As in DivideSkip, the longest lists are set aside; the short ones are
-merged in a heap that skips ahead, or by one sort where they are many, and what they leave is probed for the long ones by
-binary search. Sets already in one component need no search of their own.
+merged in a heap that skips ahead, or by one sort where they are long, and what they leave is probed for the long ones by
+binary search. Sets already in one component are not probed.
 
 A block too large for a task is dealt in parts, each two of which meet in a task; no set is left out."""
 
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
-from collections import defaultdict
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +27,8 @@ from knotwork.plans.components import components
 from knotwork.plans.lineage import cut
 
 N, THRESHOLD = 3, 90
-#: An n-gram this frequent among the texts that a task reads is a candidate for the frequent ones, of which so many are kept. They only set the order.
-LOCAL, FREQUENT = 4, 1 << 17
 #: N-grams that a task holds of a block. A larger block is dealt in parts of half as many.
-HELD = 4_000_000
+HELD = 2_000_000
 #: Entries of short lists from which on they are merged by one sort.
 SORTED = 64
 
@@ -54,69 +51,74 @@ def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int = N):
             yield tx.mix(short.sum(keepdims=True)).view(np.int64) if b > a else np.zeros(0, np.int64)
 
 
-def _frequent(n: int):
-    def count(batches):
-        found: dict[int, int] = {}
-        kept: list[np.ndarray] = []
-        size = 0
+def _identity(g: np.ndarray) -> tuple[int, int]:
+    m = g.view(np.uint64)
+    return (int(tx.mix(m * _ODD[1]).sum().view(np.int64)), int(tx.mix(m ^ _ODD[2]).sum().view(np.int64))) if len(g) else (0, 0)
 
-        def fold():
-            nonlocal kept, size
-            values, counts = np.unique(np.concatenate(kept), return_counts=True) if kept else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            often = counts >= LOCAL
-            for v, c in zip(values[often].tolist(), counts[often].tolist()):
-                found[v] = found.get(v, 0) + c
-            kept, size = [], 0
 
+def _identities(n: int):
+    def read(batches):
         for batch in batches:
-            for _, _, data, offsets in tx.groups(batch.column("text")):
-                for g in gram_sets(data, offsets, n):
-                    kept.append(g)
-                    size += len(g)
-                if size > 4_000_000:
-                    fold()
-        fold()
-        best = heapq.nlargest(FREQUENT, found.items(), key=lambda x: (x[1], x[0]))
-        yield pa.record_batch({"gram": pa.array([x[0] for x in best], pa.int64()), "n": pa.array([x[1] for x in best], pa.int64())})
+            found = [(len(g), *_identity(g)) for _, _, data, offsets in tx.groups(batch.column("text")) for g in gram_sets(data, offsets, n)]
+            size, a, b = (pa.array([x[k] for x in found], pa.int64()) for k in range(3))
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "tk": batch.column("tk"), "size": size, "a": a, "b": b})
+
+    return read
 
-    return count
 
+def size_classes(threshold: int, most: int) -> list[int]:
+    """Least sizes of the classes; similar sets are in one class or in two that follow each other."""
+    bounds = [1]
+    while bounds[-1] <= most:
+        bounds.append(max(bounds[-1] + 1, -(-bounds[-1] * 100 // threshold)))
+    return bounds
 
-def frequent_grams(docs: DataFrame, n: int = N) -> tuple[np.ndarray, np.ndarray]:
-    """(n-grams, counts) of about the most frequent n-grams, at most ``FREQUENT`` of them, sorted. All texts are counted; a task passes on what is frequent in it."""
-    counts = docs.select("text").mapInArrow(_frequent(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    got = counts.orderBy(F.desc("n"), "gram").limit(FREQUENT).toArrow().sort_by("gram")
-    return got["gram"].to_numpy(), got["n"].to_numpy()
 
+def segment_keys(g: np.ndarray, bounds: list[int], threshold: int = THRESHOLD) -> np.ndarray:
+    """The keys of a sorted set: its segments under its own class and the next. Similar sets share one."""
+    m = g.view(np.uint64)
+    order = np.argsort(m, kind="stable")
+    m = m[order]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tx.mix(m ^ _ODD[3]))])
+    own = bisect_right(bounds, len(g)) - 1
+    out = []
+    for c in (own, own + 1):
+        # the larger of two sets in this class and the one before has at most this many n-grams
+        largest = max(bounds[c] + 1, -(-bounds[c] * 100 // threshold)) - 1
+        k = (100 - threshold) * 2 * largest // (100 + threshold) + 1
+        cuts = np.concatenate([[0], np.searchsorted(m, np.arange(1, k, dtype=np.uint64) * np.uint64((1 << 64) // k)), [len(m)]]) if k > 1 else np.array([0, len(m)])
+        part = sums[cuts[1:]] - sums[cuts[:-1]] + np.diff(cuts).astype(np.uint64)
+        out.append(tx.mix(part + tx.mix(np.array([c], np.uint64)) + np.arange(k, dtype=np.uint64) * _ODD[0]))
+    return np.concatenate(out).view(np.int64)
 
-def prefix_length(size: int, threshold: int = THRESHOLD) -> int:
-    return size + (-size * threshold) // 100 + 1 if size else 0
 
+def _shares(n: int, threshold: int):
+    """Rows (key, a, head): a set a under a key, and two sets that a task found under one key. A task passes on one set for each key."""
 
-def _signatures(n: int, threshold: int, shared):
     def read(batches):
-        grams, counts = shared.value
-        maybe = np.zeros(1 << 20, bool)
-        maybe[grams & ((1 << 20) - 1)] = True
+        keys, owners, bounds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [1]
         for batch in batches:
-            size, a, b, rare, often = [], [], [], [], []
             for _, _, data, offsets in tx.groups(batch.column("text")):
                 for g in gram_sets(data, offsets, n):
-                    size.append(len(g))
-                    m = g.view(np.uint64)
-                    a.append(int(tx.mix(m * _ODD[1]).sum().view(np.int64)) if len(g) else 0)
-                    b.append(int(tx.mix(m ^ _ODD[2]).sum().view(np.int64)) if len(g) else 0)
-                    p = prefix_length(len(g), threshold)
-                    at = np.flatnonzero(maybe[g & ((1 << 20) - 1)])
-                    where = np.searchsorted(grams, g[at])
-                    hit = where < len(grams)
-                    hit[hit] = grams[where[hit]] == g[at[hit]]
-                    at, where = at[hit], where[hit]
-                    r = np.delete(g, at)
-                    rare.append(r[:p])
-                    often.append(g[at][np.lexsort((g[at], counts[where]))[: max(0, p - len(r))]])
-            lists = lambda x: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(y) for y in x])]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *x]), pa.int64()))
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "tk": batch.column("tk"), "size": pa.array(size, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "rare": lists(rare), "often": lists(often)})
+                    if len(g):
+                        if len(g) * 2 >= bounds[-1]:
+                            bounds = size_classes(threshold, len(g) * 4)
+                        k = segment_keys(g, bounds, threshold)
+                        keys.append(k)
+                        owners.append(np.full(len(k), _identity(g)[0]))
+        keys, owners = np.concatenate(keys), np.concatenate(owners)
+        order = np.lexsort((owners, keys))
+        keys, owners = keys[order], owners[order]
+        new = np.diff(keys, prepend=keys[:1] - 1) != 0 if len(keys) else np.zeros(0, bool)
+        head = owners[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))] if len(keys) else owners
+        pairs = np.unique(np.stack([owners, head], axis=1)[owners != head], axis=0) if len(keys) else np.zeros((0, 2), np.int64)
+        keys, owners = keys[new], owners[new]
+        step = 100_000
+        for i in range(0, len(keys), step):
+            yield pa.record_batch({"key": pa.array(keys[i : i + step]), "a": pa.array(owners[i : i + step]), "head": pa.nulls(len(keys[i : i + step]), pa.int64())})
+        for i in range(0, len(pairs), step):
+            p = pairs[i : i + step]
+            yield pa.record_batch({"key": pa.array(tx.mix(p[:, 0].copy().view(np.uint64)).view(np.int64)), "a": pa.array(p[:, 0].copy()), "head": pa.array(p[:, 1].copy())})
 
     return read
 
@@ -126,8 +128,15 @@ class Block:
 
     def __init__(self, sets: list[np.ndarray], parts: list[int], cross: bool, threshold: int = THRESHOLD):
         self.sets, self.parts, self.cross, self.threshold = sets, parts, cross, threshold
-        self.lists: dict[int, list[int]] = defaultdict(list)
         self.root = list(range(len(sets)))
+        # the inverted lists: members[first[t]:first[t + 1]] has the sets with n-gram t, in ascending order
+        size = np.array([len(x) for x in sets])
+        values, gram = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), size)
+        order = np.argsort(gram, kind="stable")
+        self.members = owner[order]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(gram, minlength=len(values)))])
+        self.grams = np.split(gram, np.cumsum(size)[:-1])
 
     def find(self, i: int) -> int:
         while self.root[i] != i:
@@ -135,11 +144,9 @@ class Block:
             i = self.root[i]
         return i
 
-    def candidates(self, short: list[list[int]], need: int) -> list[int]:
-        """The members of at least ``need`` of the sorted lists."""
-        if sum(map(len, short)) > SORTED or need < 1:
-            members, times = np.unique(np.concatenate([np.array(x, np.int64) for x in short]), return_counts=True) if short else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            return members[times >= need].tolist()
+    @staticmethod
+    def merged(short: list[list[int]], need: int) -> list[int]:
+        """The members of at least ``need`` of the sorted lists, by a heap of their heads that skips ahead."""
         heads = [(x[0], k, 0) for k, x in enumerate(short) if x]
         heapq.heapify(heads)
         out = []
@@ -147,52 +154,54 @@ class Block:
             member, popped = heads[0][0], []
             while heads and heads[0][0] == member:
                 popped.append(heapq.heappop(heads))
+            ahead = member + 1
             if len(popped) >= need:
                 out.append(member)
-                ahead = member + 1
-            else:  # the lists popped so far cannot complete any member before the next head of need - len(popped) others
+            else:  # no member before the head that follows need - 1 popped lists can be in need of them
                 while heads and len(popped) < need - 1:
                     popped.append(heapq.heappop(heads))
                 if not heads:
                     break
-                ahead = max(member + 1, heads[0][0])
+                ahead = max(ahead, heads[0][0])
             for _, k, at in popped:
                 at = bisect_left(short[k], ahead, at)
                 if at < len(short[k]):
                     heapq.heappush(heads, (short[k][at], k, at))
         return out
 
+    def candidates(self, gram: np.ndarray, below: int, need: int) -> list[int]:
+        """The sets before ``below`` in at least ``need`` of the lists of ``gram``."""
+        lists = [self.members[self.first[t] : self.first[t + 1]] for t in gram]
+        if sum(map(len, lists)) <= SORTED:
+            return self.merged([[y for y in x.tolist() if y < below] for x in lists], need)
+        members, times = np.unique(np.concatenate(lists), return_counts=True)
+        return members[(times >= need) & (members < below)].tolist()
+
     def link(self) -> list[int]:
         """The least set in the component of each set."""
         t = self.threshold
-        for x in range(len(self.sets)):
-            own = self.sets[x]
-            grams = own.tolist()
-            at_least = -(-len(own) * t // 100)
-            ordered = sorted((g for g in grams if g in self.lists), key=lambda g: len(self.lists[g]))
-            absent = len(grams) - len(ordered)
-            # at_least - 1 lists are set aside: a set in none of the others is in too few
-            aside = at_least - 1
-            short = [self.lists[g] for g in ordered[: max(0, len(grams) - aside - absent)]]
-            if short:
-                rest = np.sort(np.array(ordered[len(short) :], np.int64))
-                for y in self.candidates(short, 1):
-                    if self.cross and self.parts[x] == self.parts[y] or self.find(x) == self.find(y):
-                        continue
-                    other = self.sets[y]
-                    if len(other) * 100 < t * len(own):
-                        continue
-                    need = -(-t * (len(own) + len(other)) // (100 + t))
-                    both = sum(1 for s in short if (k := bisect_left(s, y)) < len(s) and s[k] == y)
-                    if both + len(rest) >= need:
-                        k = np.searchsorted(other, rest)
-                        k[k == len(other)] = 0
-                        both += int((other[k] == rest).sum())
-                        if both * 100 >= t * (len(own) + len(other) - both):
-                            i, j = sorted((self.find(x), self.find(y)))
-                            self.root[j] = i
-            for g in grams:
-                self.lists[g].append(x)
+        length = np.diff(self.first)
+        for x, gram in enumerate(self.grams):
+            n = len(gram)
+            gram = gram[np.argsort(length[gram], kind="stable")]
+            at_least = -(-n * t // 100)
+            # a similar set, not the larger, is in at_least of the lists: with all but one of these set aside, in one of the short lists
+            short, rest = gram[: n - at_least + 1], np.sort(gram[n - at_least + 1 :])
+            shared = short[length[short] > 1]
+            if not len(shared):
+                continue
+            for y in self.candidates(shared, x, 1):
+                m = len(self.grams[y])
+                if m * 100 < t * n or self.cross and self.parts[x] == self.parts[y] or self.find(x) == self.find(y):
+                    continue
+                other = self.grams[y]
+                both = 0
+                for probe in (shared, rest):  # is y in the list of each of these: is each of these in y
+                    at = np.minimum(np.searchsorted(other, probe), m - 1)
+                    both += int((other[at] == probe).sum())
+                if both * 100 >= t * (n + m - both):
+                    i, j = sorted((self.find(x), self.find(y)))
+                    self.root[j] = i
         return [self.find(i) for i in range(len(self.sets))]
 
 
@@ -205,6 +214,7 @@ def _search(threshold: int):
         raw = table["grams"]
         sets = [np.frombuffer(raw[int(i)].as_buffer(), np.int64) for i in order]
         roots = Block(sets, part, key[1].as_py() != key[2].as_py(), threshold).link()
+        # rows repeated in full bring a set twice; its copies are one component
         linked = [i for i, r in enumerate(roots) if r != i]
         pick = lambda x, ids: pa.array([x[i] for i in ids], pa.int64())
         heads = [roots[i] for i in linked]
@@ -230,29 +240,18 @@ def _text_key() -> Column:
 def set_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(rows, classes): doc_id, tk, size, a, b of each row, where tk is a hash of the text and (a, b) the identity of its set;
     and a, b, root_a, root_b, first_id of each set that is not empty, where first_id is its least doc_id."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(frequent_grams(docs, n))
-    read = docs.select("doc_id", _text_key().alias("tk"), "text").mapInArrow(_signatures(n, threshold, shared), "doc_id long, tk long, size long, a long, b long, rare array<long>, often array<long>")
+    read = docs.select("doc_id", _text_key().alias("tk"), "text").mapInArrow(_identities(n), "doc_id long, tk long, size long, a long, b long")
     rows = cut(read)
     own = F.struct("tk", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"))
-    sets = cut(rows.where("size > 0").groupBy("a", "b").agg(F.max("size").alias("size"), F.min("doc_id").alias("first_id"), F.min(own).alias("own"), F.first("rare").alias("rare"), F.first("often").alias("often")))
-    # rare n-grams: in order of size, each set with the first of the run within which sizes are near enough
-    rare = sets.select("a", "size", F.explode("rare").alias("gram"))
-    by_size = Window.partitionBy("gram").orderBy("size", "a")
-    far = F.lag("size").over(by_size).isNull() | (F.lag("size").over(by_size) * 100 < F.col("size") * threshold)
-    shares = rare.withColumn("head", F.when(far, F.col("a"))).withColumn("head", F.last("head", ignorenulls=True).over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
-    shares = shares.where("head <> a").select(F.col("a").alias("u"), F.col("head").alias("v")).distinct()
-    # frequent ones: a bounded number of (n-gram, class of size), met at the least set of the class and linked to the next class
-    step = float(np.log(100 / threshold))
-    often = sets.select("a", F.floor(F.log("size") / step).alias("c"), F.explode("often").alias("gram"))
-    heads = often.groupBy("gram", "c").agg(F.min("a").alias("head"))
-    within = often.join(heads, ["gram", "c"]).where("head <> a").select(F.col("a").alias("u"), F.col("head").alias("v"))
-    across = heads.alias("x").join(heads.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.c") + 1 == F.col("y.c"))).select(F.col("x.head").alias("u"), F.col("y.head").alias("v"))
-    blocks = components(shares.unionByName(within.unionByName(across).distinct()))
+    sets = rows.where("size > 0").groupBy("a", "b").agg(F.max("size").alias("size"), F.min("doc_id").alias("first_id"), F.min(own).alias("own"))
+    shares = docs.select("text").mapInArrow(_shares(n, threshold), "key long, a long, head long")
+    met = Window.partitionBy("key").orderBy(F.desc_nulls_first("head"), "a").rowsBetween(Window.unboundedPreceding, 0)
+    shares = shares.withColumn("head", F.coalesce("head", F.first("a").over(met))).where("head <> a").select(F.col("a").alias("u"), F.col("head").alias("v")).distinct()
+    blocks = components(shares)
     members = sets.select("a", "b", "size", "own").join(blocks.withColumnRenamed("node", "a").withColumnRenamed("root", "block"), "a")
     weights = members.groupBy("block").agg(F.sum("size").alias("weight"))
     members = members.join(weights, "block").select("block", "a", "b", "size", "own.tk", "own.did", F.when(F.col("weight") > HELD, F.ceil(F.col("weight") / (HELD // 2))).otherwise(1).cast("int").alias("parts"))
-    texts = docs.select(_text_key().alias("tk"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), "text").join(members, ["tk", "did"]).dropDuplicates(["a", "b"])
+    texts = docs.select(_text_key().alias("tk"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), "text").join(members, ["tk", "did"])
     part = F.pmod("b", "parts").cast("int")
     grams = texts.select("block", "a", "b", "size", part.alias("part"), "parts", "text").mapInArrow(_grams_of(n), "block long, a long, b long, size long, part int, parts int, grams binary")
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.struct(F.least("part", i).alias("i"), F.greatest("part", i).alias("j")))
