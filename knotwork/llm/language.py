@@ -30,6 +30,8 @@ ORDER = 3
 EVIDENCE = 64
 STEP = 1 << 19
 UNKNOWN = "und"
+#: A text that costs more bits a byte in every language is in none of them: bytes never seen in training cost as much, while keys and numbers among words cost less.
+FOREIGN = 12.0
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
@@ -204,6 +206,6 @@ def identify(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
 
 
 def identified_documents(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
-    """The rows of ``docs`` in one of the learned languages: a text that is ``und``, or that its best language codes in more than 8 bits a byte, goes."""
+    """The rows of ``docs`` in one of the learned languages: a text that is ``und``, or that its best language codes in more than ``FOREIGN`` bits a byte, goes."""
     p = predictions(F.col("text"), docs.sparkSession, train(docs, folds, fold))
-    return docs.where((p["lang_pred"] != UNKNOWN) & (p["bits_per_byte"] <= 8))
+    return docs.where((p["lang_pred"] != UNKNOWN) & (p["bits_per_byte"] <= FOREIGN))
