@@ -15,7 +15,7 @@ from knotwork.sources.tables import table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, null ones, and those no learned language codes in 8 bits a byte."""
+    """Drops texts without a letter, null ones, and those no learned language codes in 12 bits a byte."""
     return language.identified_documents(docs)
 
 
