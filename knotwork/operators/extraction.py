@@ -43,13 +43,13 @@ def json_array(text: Column, require_objects: bool = False) -> Column:
     return F.coalesce(F.try_element_at(good, F.lit(1)), F.when(F.try_parse_json(bare).isNotNull(), bare))
 
 
-def parse_triples(chunks: DataFrame, require_objects: bool = False) -> DataFrame:
+def parse_triples(chunks: DataFrame, require_objects: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Triples of (source, section, url, timestamp, payload): a row for each object of the payload, with ``pos``, ``status`` and the triple's columns.
 
     ``status`` is null for a triple and tells what is amiss otherwise. Missing types are Service, a missing relation is
-    ``uses``, missing evidence repeats the triple; a relation may be written with spaces and capitals."""
+    ``uses``, missing evidence repeats the triple; a relation may be written with spaces and capitals. Columns in ``keep`` stay."""
     found = chunks.withColumn("__json", json_array(F.col("payload"), require_objects))
-    rows = found.select("source", "section", "url", "timestamp", F.posexplode(F.from_json("__json", _SCHEMA)).alias("pos", "t"))
+    rows = found.select(*(keep or []), "source", "section", "url", "timestamp", F.posexplode(F.from_json("__json", _SCHEMA)).alias("pos", "t"))
     text = {f: strip(F.coalesce(F.col(f"t.{f}"), F.lit(""))) for f in ("subject", "object", "evidence")}
     types = [*ENTITY_TYPES, *PLAIN_ENTITY_TYPES]
     raw = F.coalesce("t.relation", F.lit("uses"))
@@ -64,7 +64,7 @@ def parse_triples(chunks: DataFrame, require_objects: bool = False) -> DataFrame
     )
     evidence = F.when(text["evidence"] == "", F.concat_ws(" ", text["subject"], relation, text["object"])).otherwise(text["evidence"])
     return rows.select(
-        "pos", status.alias("status"), text["subject"].alias("subject"), subject_type.alias("subject_type"), relation.alias("relation"), text["object"].alias("object"), object_type.alias("object_type"),
+        *(keep or []), "pos", status.alias("status"), text["subject"].alias("subject"), subject_type.alias("subject_type"), relation.alias("relation"), text["object"].alias("object"), object_type.alias("object_type"),
         evidence.alias("evidence"), F.coalesce(F.col("t.inferred") == "true", F.lit(False)).alias("inferred"), "source", "section", "url", "timestamp", F.lit(1.0).alias("confidence"),
     )
 

@@ -166,7 +166,7 @@ def write_graph(nodes: DataFrame, edges: DataFrame, folder: str) -> None:
 
 
 def read_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{folder}/nodes").select("node_id", "label", "name", "props"), spark.read.parquet(f"{folder}/edges").select("src_id", "dst_id", "rel_type", "evidence")
+    return spark.read.schema(NODES).parquet(f"{folder}/nodes").select("node_id", "label", "name", "props"), spark.read.schema(EDGES).parquet(f"{folder}/edges").select("src_id", "dst_id", "rel_type", "evidence")
 
 
 def clear_all(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
