@@ -282,6 +282,6 @@ def distinct_documents(docs: DataFrame, n: int = N, threshold: int = THRESHOLD)
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk")
     first = rows.where("size > 0").groupBy("a", "b").agg(F.min(key).alias("first")).join(classes, ["a", "b"]).groupBy("root_a", "root_b").agg(F.min("first").alias("first"))
     kept = first.select("first.tk", "first.doc_id").unionByName(rows.where("size = 0").select("tk", "doc_id").distinct())
-    kept = kept.select(F.col("tk").alias("__tk"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__did"))
-    marked = docs.withColumns({"__tk": _text_key(), "__did": F.coalesce("doc_id", F.lit(-(1 << 63)))})
-    return marked.join(kept, ["__tk", "__did"], "left_semi").dropDuplicates(["__tk", "__did"]).drop("__tk", "__did")
+    did = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did")
+    whole = docs.select(_text_key().alias("tk"), did, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return whole.join(kept.select("tk", did), ["tk", "did"], "left_semi").dropDuplicates(["tk", "did"]).select("row.*")
