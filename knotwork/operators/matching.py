@@ -96,3 +96,8 @@ def trails(nodes: DataFrame, edges: DataFrame, rel_types: list[str], start: Colu
         found = frontier.select("start_id", "end_id", F.lit(depth).alias("depth"), "path")
         out = found if out is None else out.unionByName(found)
     return out if out is not None else nodes.where("false").select(F.col("node_id").alias("start_id"), F.col("node_id").alias("end_id"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("path"))
+
+
+def sql(nodes: DataFrame, edges: DataFrame, text: str, **values) -> DataFrame:
+    """What SQL over ``{nodes}`` and ``{edges}`` gives; ``:name`` in it stands for the value of that name, which is never read as SQL."""
+    return nodes.sparkSession.sql(text, args=values, nodes=nodes, edges=edges)

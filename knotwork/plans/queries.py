@@ -628,3 +628,40 @@ def document_graph(spark: SparkSession, d: str) -> DataFrame:
     nodes, edges = graph.document_graph(docs, sections, none, relations, mentions, refs)
     left = nodes.groupBy(F.col("label").alias("what")).agg(F.count("*").alias("n")).select(F.lit("node").alias("kind"), "what", "n")
     return left.unionByName(edges.groupBy(F.col("rel_type").alias("what")).agg(F.count("*").alias("n")).select(F.lit("edge").alias("kind"), "what", "n"))
+
+
+@query(GRAPH + "SELECT s.label AS src_label, e.rel_type, t.label AS dst_label, count(*) AS n FROM edges e JOIN nodes s ON e.src_id = s.node_id JOIN nodes t ON e.dst_id = t.node_id WHERE s.name <> 'NATION_1' GROUP BY 1, 2, 3")
+def graph_sql(spark: SparkSession, d: str) -> DataFrame:
+    text = "SELECT s.label AS src_label, e.rel_type, t.label AS dst_label, count(*) AS n FROM {edges} e JOIN {nodes} s ON e.src_id = s.node_id JOIN {nodes} t ON e.dst_id = t.node_id WHERE s.name <> :but GROUP BY 1, 2, 3"
+    return matching.sql(trade_nodes(spark, d), trade_edges(spark, d), text, but="NATION_1")
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS source, 'User ' || user_id AS name, 'Concept' AS type, NULL::VARCHAR AS description FROM events
+UNION ALL SELECT CAST(event_id AS VARCHAR), event_type, 'Event', 'seen' FROM events""")
+def entities_from_json(spark: SparkSession, d: str) -> DataFrame:
+    made = F.concat(F.lit('["User '), F.col("user_id").cast("string"), F.lit('", {"name": " '), "event_type", F.lit('", "type": "Event", "description": "seen"}, " "]'))
+    return extraction.parse_entities(table(spark, d, "events").select(F.col("event_id").cast("string").alias("source"), made.alias("entities")))
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS source, 'User ' || user_id AS src, CASE WHEN value > 20 THEN 'did' ELSE 'RELATES_TO' END AS rel_type, event_type AS dst FROM events""")
+def relations_from_json(spark: SparkSession, d: str) -> DataFrame:
+    user = F.concat(F.lit('[["User '), F.col("user_id").cast("string"), F.lit('", '))
+    made = F.concat(user, F.when(F.col("value") > 20, '"did", "').otherwise('"'), F.col("event_type"), F.lit('"], ["alone"]]'))
+    return extraction.parse_relations(table(spark, d, "events").select(F.col("event_id").cast("string").alias("source"), made.alias("relations")))
+
+
+@query("""WITH c AS (SELECT split_part(p_name, ' ', 1) AS k, arg_min(p_name, (length(p_name), lower(p_name), p_name)) AS canonical FROM part GROUP BY 1)
+SELECT p_partkey AS seq, canonical AS subject, p_brand AS object FROM part JOIN c ON split_part(p_name, ' ', 1) = k""")
+def cluster_substitution(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    clusters = part.select(F.lit("Part").alias("entity_type"), F.split("p_name", " ")[0].alias("cluster_id"), F.col("p_name").alias("name")).distinct()
+    triples = part.select(F.col("p_partkey").alias("seq"), F.col("p_name").alias("subject"), F.lit("Part").alias("subject_type"), F.col("p_brand").alias("object"), F.lit("Brand").alias("object_type"))
+    return merging.substitute_clusters(triples, clusters, clustering.cluster_canonical(clusters)).select("seq", "subject", "object")
+
+
+@query("""WITH o AS (SELECT c_custkey AS k, c_mktsegment AS canonical FROM customer), n AS (SELECT c_custkey AS k, CASE WHEN c_acctbal > 5000 THEN 'RICH' ELSE c_mktsegment END AS canonical FROM customer)
+SELECT CAST(k AS VARCHAR) AS name, 'Customer' AS entity_type, o.canonical AS existing_canonical, n.canonical AS new_canonical FROM o JOIN n USING (k) WHERE o.canonical <> n.canonical""")
+def mapping_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    base = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("name"), F.lit("Customer").alias("entity_type"), F.col("c_mktsegment").alias("canonical"), "c_acctbal")
+    new = base.withColumn("canonical", F.when(F.col("c_acctbal") > 5000, "RICH").otherwise(F.col("canonical")))
+    return normalization.mapping_conflicts(base.drop("c_acctbal"), new.drop("c_acctbal"))
