@@ -1,11 +1,11 @@
 """A property graph as two tables.
 
 nodes: node_id, label, name, props (map of strings). edges: src_id, dst_id, rel_type, evidence. A node_id is its label, a
-colon and its key. Rows of one key are merged; ``seq`` tells which came last."""
+colon and its key. Rows of one key are merged; ``seq``, of any type that has an order, tells which came last."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from knotwork.functions.text import relation_type
@@ -31,7 +31,7 @@ def props(**columns: Column) -> Column:
 
 def node(rows: DataFrame, label: str, key: Column, name: Column, seq: Column | None = None, **columns: Column) -> DataFrame:
     """Rows as nodes with ``seq``."""
-    return rows.select(node_id(label, key).alias("node_id"), F.lit(label).alias("label"), name.alias("name"), props(**columns).alias("props"), (seq if seq is not None else F.lit(0)).cast("long").alias("seq"))
+    return rows.select(node_id(label, key).alias("node_id"), F.lit(label).alias("label"), name.alias("name"), props(**columns).alias("props"), (seq if seq is not None else F.lit(0).cast("long")).alias("seq"))
 
 
 def merge_nodes(nodes: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def merge_nodes(nodes: DataFrame) -> DataFrame:
 
 
 def edge(rows: DataFrame, src: Column, rel_type: Column | str, dst: Column, evidence: Column | None = None, seq: Column | None = None) -> DataFrame:
-    return rows.select(src.alias("src_id"), dst.alias("dst_id"), (F.lit(rel_type) if isinstance(rel_type, str) else rel_type).alias("rel_type"), (evidence if evidence is not None else F.lit(None).cast("string")).alias("evidence"), (seq if seq is not None else F.lit(0)).cast("long").alias("seq"))
+    return rows.select(src.alias("src_id"), dst.alias("dst_id"), (F.lit(rel_type) if isinstance(rel_type, str) else rel_type).alias("rel_type"), (evidence if evidence is not None else F.lit(None).cast("string")).alias("evidence"), (seq if seq is not None else F.lit(0).cast("long")).alias("seq"))
 
 
 def merge_edges(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -89,7 +89,7 @@ def document_graph(docs: DataFrame, sections: DataFrame, concepts: DataFrame, re
         node(in_category, "Category", both, F.col("category"), domain=F.col("domain")),
         node(docs, "Document", F.col("file_path"), F.col("title"), title=F.col("title"), content=F.substring("content", 1, CONTENT), full_content=F.col("content")),
         node(sections, "Section", section, F.col("heading"), F.col("section_idx"), heading=F.col("heading"), level=F.col("level"), content=F.substring("content", 1, CONTENT), start_line=F.col("start_line"), end_line=F.col("end_line")),
-        node(concepts, "Concept", F.col("name"), F.col("name"), F.dense_rank().over(Window.partitionBy("name").orderBy("file_path", "seq")), type=F.col("type"), description=F.substring("description", 1, DESCRIPTION)),
+        merge_nodes(node(concepts, "Concept", F.col("name"), F.col("name"), F.struct("file_path", "seq"), type=F.col("type"), description=F.substring("description", 1, DESCRIPTION))).withColumn("seq", F.lit(0).cast("long")),
     ]
     document = node_id("Document", "file_path")
     edges = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.functions.text import closest_ratio, cosine, strip
@@ -116,8 +116,8 @@ def normalize_relations(relations: DataFrame, paraphrases: DataFrame, keys_too:
 
 
 def first_mappings(triples: DataFrame, mapping: DataFrame) -> DataFrame:
-    """The mapping rows that triples (with ``seq``) use, once each, in the order of first use."""
+    """The mapping rows that triples (with ``seq``) use, once each, with ``first_seq`` and ``role`` (0 subject, 1 object) of their first use."""
     used = triples.select("seq", F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("subject").alias("name"), F.col("subject_type").alias("entity_type")), F.struct(F.lit(1).alias("k"), F.col("object").alias("name"), F.col("object_type").alias("entity_type")))).alias("e"))
     first = used.groupBy("e.name", "e.entity_type").agg(F.min(F.struct("seq", "e.k")).alias("at"))
     kept = first.join(mapping.where("canonical is not null"), ["name", "entity_type"])
-    return kept.select("name", "entity_type", "canonical", "confidence", "method", F.row_number().over(Window.orderBy("at")).alias("ordinal"))
+    return kept.select("name", "entity_type", "canonical", "confidence", "method", F.col("at.seq").alias("first_seq"), F.col("at.k").alias("role"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.functions import vocabulary
@@ -59,12 +59,9 @@ def import_triples(files: DataFrame, client: Client, settings: Settings = Settin
     made = chunks.withColumn("prompt", chunking.prompt((templates or Templates()).get(), F.col("text"), F.col("source"), F.col("section"), F.col("url")))
     asked = extraction.extract(made.select("source", "section", "url", "chunk_idx", F.lit(settings.run_ts).alias("timestamp"), "prompt"), client)
     parsed = extraction.parse_triples(asked, keep=["chunk_idx"])
-    # the order of processing: documents by path, chunks within them, triples within a payload
-    order = Window.partitionBy("source").orderBy("chunk_idx", "pos")
-    ahead = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
-    parsed = cut(parsed.where("status is null").drop("status"))
-    before = parsed.groupBy("source").agg(F.count("*").alias("n")).select("source", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))  # a row for each document
-    triples = cut(parsed.join(before, "source").withColumn("seq", F.col("before") + F.row_number().over(order)).drop("before", "pos", "chunk_idx"))
+    # the order of processing: documents by path, chunks within them, triples within a payload; as text, so that no row waits for others to be numbered
+    digits = lambda c: F.lpad(F.col(c).cast("string"), 10, "0")
+    triples = cut(parsed.where("status is null").withColumn("seq", F.concat_ws("\u0000", "source", digits("chunk_idx"), digits("pos"))).drop("status", "pos", "chunk_idx"))
     if settings.normalize:
         names = triples.select(F.col("subject").alias("name"), F.col("subject_type").alias("entity_type")).unionByName(triples.select("object", "object_type").toDF("name", "entity_type"))
         mapping = normalization.normalize_names(names, registry)

@@ -56,7 +56,7 @@ def test_normalized_triples(spark):
     mapping = normalization.normalize_names(names, V.registry_table(spark))
     got = normalization.normalize_triples(df, mapping).orderBy("seq").collect()
     assert [(r["subject"], r["object"], r["confidence"]) for r in got] == [("Amazon EC2", "EBS Volume", 1.0), ("Amazon EC2", "nothing", 0.0)]
-    assert [r["name"] for r in normalization.first_mappings(df, mapping).orderBy("ordinal").collect()] == ["EC2", "EBS"]
+    assert [r["name"] for r in normalization.first_mappings(df, mapping).orderBy("first_seq", "role").collect()] == ["EC2", "EBS"]
 
 
 def test_payloads(spark):
