@@ -166,7 +166,7 @@ def _loaded(key: str, shared) -> Model:
 
 def train(docs: DataFrame, folds: int = 4, fold: int = 2, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, codes, counts): the four-byte windows of the sampled texts of all folds but ``fold``."""
-    known = docs.where(~held_out(F.col("doc_id"), folds, fold) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = tx.in_small_batches(docs).where(~held_out(F.col("doc_id"), folds, fold) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = sorted((r["lang"], r["n"]) for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect())
     spark = docs.sparkSession
     if not counts:

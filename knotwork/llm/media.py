@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from knotwork.llm.text import in_small_batches
+
 WIDTH = 64
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 #: Most bytes of compressed data in one chunk.
@@ -161,12 +163,12 @@ def png_features(media: Column) -> Column:
 
 def media_table(docs: DataFrame) -> DataFrame:
     """doc_id and the image of the whole text as ``media``."""
-    return docs.select("doc_id", to_png(F.col("text")).alias("media"))
+    return in_small_batches(docs).select("doc_id", to_png(F.col("text")).alias("media"))
 
 
 def media_features(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature: a row for each row of ``docs``.
 
     Null texts are empty, a null doc_id stays null, other columns are not read, an empty table stays empty. Nothing is shuffled."""
-    kept = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), to_png(F.col("text")).alias("media"))
+    kept = in_small_batches(docs).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), to_png(F.col("text")).alias("media"))
     return kept.select("doc_id", "n_bytes", png_features(F.col("media")).alias("f")).select("doc_id", "n_bytes", "f.*")

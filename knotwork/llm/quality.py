@@ -120,7 +120,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int
 
     A null text is empty; an empty text has the sample's share of label 1. Without labels of both classes every score is
     0.5. Columns of other names are not read. An empty table gives an empty table. Only the sample is shuffled."""
-    model = fit(docs, labels, folds, fold)
+    model = fit(tx.in_small_batches(docs), labels, folds, fold)
     if model is None:
         score = F.lit(0.5)
     else:

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Bytes that part words: space and the controls from tab to carriage return.
 SPACE = np.zeros(256, bool)
@@ -22,6 +23,16 @@ _MULTIPLIER = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
+_BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
+def in_small_batches(docs: DataFrame, most: str = "8m") -> DataFrame:
+    """``docs``, after bounding the bytes of the batches that Python workers get, where the session has Spark's own bound of 64 MB. A text larger than that is a batch of its own."""
+    conf = docs.sparkSession.conf
+    if conf.get(_BATCH).rstrip("b") == str(_BATCH_DEFAULT):
+        conf.set(_BATCH, most)
+    return docs
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers whose every output bit depends on every input bit."""

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from knotwork.llm.text import in_small_batches
+
 #: Units remembered by a task. Beyond it the table begins anew, which costs time only.
 REMEMBERED = 400_000
 #: Longer units are counted each time and not remembered.
@@ -167,5 +169,5 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
 
     A null text is empty: 0 bytes and tokens. A null doc_id stays null. Other columns of ``docs`` are not read. An empty
     table gives an empty table. Nothing is shuffled."""
-    n = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), token_count(F.col("text"), model).alias("n_tokens"))
+    n = in_small_batches(docs).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), token_count(F.col("text"), model).alias("n_tokens"))
     return n.withColumn("over_limit", F.col("n_tokens") > limit)

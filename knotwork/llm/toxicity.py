@@ -127,7 +127,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int
 
     A null text is empty and scores as one without terms. Without labels of both classes every score is 0. Columns of other
     names are not read. An empty table gives an empty table. Only the sample is shuffled."""
-    machine = fit(docs, labels, folds, fold)
+    machine = fit(tx.in_small_batches(docs), labels, folds, fold)
     if machine is None:
         score = F.lit(0.0)
     else:
