@@ -10,7 +10,9 @@ those sets that occur in at least T of its lists. As in DivideSkip, the longest
 merged in a heap that skips ahead, or by one sort where they are long, and what they leave is probed for the long ones by
 binary search. Sets already in one component are not probed.
 
-A block too large for a task is dealt in parts, each two of which meet in a task; no set is left out."""
+A block too large for a task is first held against ``PIVOTS`` sets of it. Those that link with the pivot of the most links
+are one component and need no search among themselves. They are dealt in parts, the others too, and each part of the others
+meets each part in a task; no set is left out. A large group of near copies costs as many comparisons as it has members."""
 
 from __future__ import annotations
 
@@ -28,7 +30,8 @@ from knotwork.plans.lineage import cut
 
 N, THRESHOLD = 3, 90
 #: N-grams that a task holds of a block. A larger block is dealt in parts of half as many.
-HELD = 2_000_000
+HELD = 200_000
+PIVOTS = 4
 #: Entries of short lists from which on they are merged by one sort.
 SORTED = 64
 
@@ -92,11 +95,31 @@ def segment_keys(g: np.ndarray, bounds: list[int], threshold: int = THRESHOLD) -
     return np.concatenate(out).view(np.int64)
 
 
+#: Keys that a task holds before it passes them on.
+KEYS = 1_000_000
+
+
 def _shares(n: int, threshold: int):
-    """Rows (key, a, head): a set a under a key, and two sets that a task found under one key. A task passes on one set for each key."""
+    """Rows (key, a, head): a set a under a key, and two sets that a task found under one key. A task passes on one set for each key, of up to ``KEYS`` at a time."""
+
+    def told(keys: np.ndarray, owners: np.ndarray, step: int = 100_000):
+        order = np.lexsort((owners, keys))
+        keys, owners = keys[order], owners[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        head = owners[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))]
+        pairs = np.unique(np.stack([owners, head], axis=1)[owners != head], axis=0)
+        keys, owners = keys[new], owners[new]
+        for i in range(0, len(keys), step):
+            k = keys[i : i + step]
+            yield pa.record_batch({"key": pa.array(k), "a": pa.array(owners[i : i + step]), "head": pa.nulls(len(k), pa.int64())})
+        for i in range(0, len(pairs), step):
+            a, head = (np.ascontiguousarray(x) for x in pairs[i : i + step].T)
+            # keys of their own, spread like the others
+            yield pa.record_batch({"key": pa.array(tx.mix(a.view(np.uint64)).view(np.int64)), "a": pa.array(a), "head": pa.array(head)})
 
     def read(batches):
-        keys, owners, bounds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [1]
+        keys, owners, size, bounds = [], [], 0, [1]
         for batch in batches:
             for _, _, data, offsets in tx.groups(batch.column("text")):
                 for g in gram_sets(data, offsets, n):
@@ -106,19 +129,12 @@ def _shares(n: int, threshold: int):
                         k = segment_keys(g, bounds, threshold)
                         keys.append(k)
                         owners.append(np.full(len(k), _identity(g)[0]))
-        keys, owners = np.concatenate(keys), np.concatenate(owners)
-        order = np.lexsort((owners, keys))
-        keys, owners = keys[order], owners[order]
-        new = np.diff(keys, prepend=keys[:1] - 1) != 0 if len(keys) else np.zeros(0, bool)
-        head = owners[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))] if len(keys) else owners
-        pairs = np.unique(np.stack([owners, head], axis=1)[owners != head], axis=0) if len(keys) else np.zeros((0, 2), np.int64)
-        keys, owners = keys[new], owners[new]
-        step = 100_000
-        for i in range(0, len(keys), step):
-            yield pa.record_batch({"key": pa.array(keys[i : i + step]), "a": pa.array(owners[i : i + step]), "head": pa.nulls(len(keys[i : i + step]), pa.int64())})
-        for i in range(0, len(pairs), step):
-            p = pairs[i : i + step]
-            yield pa.record_batch({"key": pa.array(tx.mix(p[:, 0].copy().view(np.uint64)).view(np.int64)), "a": pa.array(p[:, 0].copy()), "head": pa.array(p[:, 1].copy())})
+                        size += len(k)
+                if size > KEYS:
+                    yield from told(np.concatenate(keys), np.concatenate(owners))
+                    keys, owners, size = [], [], 0
+        if size:
+            yield from told(np.concatenate(keys), np.concatenate(owners))
 
     return read
 
@@ -213,7 +229,7 @@ def _search(threshold: int):
         a, b, part = (table[c].to_numpy()[order].tolist() for c in ("a", "b", "part"))
         raw = table["grams"]
         sets = [np.frombuffer(raw[int(i)].as_buffer(), np.int64) for i in order]
-        roots = Block(sets, part, key[1].as_py() != key[2].as_py(), threshold).link()
+        roots = Block(sets, part, key[1].as_py() == "L" or key[2].as_py() != key[3].as_py(), threshold).link()
         # rows repeated in full bring a set twice; its copies are one component
         linked = [i for i, r in enumerate(roots) if r != i]
         pick = lambda x, ids: pa.array([x[i] for i in ids], pa.int64())
@@ -224,15 +240,75 @@ def _search(threshold: int):
 
 
 def _grams_of(n: int):
+    """The n-grams of texts in place of the texts; of rows repeated in full, which meet in a task, the first."""
+
     def read(batches):
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
+            ids = list(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
+            kept = []
+            for i, x in enumerate(ids):
+                if x not in seen:
+                    seen.add(x)
+                    kept.append(i)
+            batch = batch.take(pa.array(kept, pa.int64()))
             sets = [g.tobytes() for _, _, data, offsets in tx.groups(batch.column("text")) for g in gram_sets(data, offsets, n)]
-            kept = [c for c in batch.schema.names if c != "text"]
-            yield pa.record_batch({**{c: batch.column(c) for c in kept}, "grams": pa.array(sets, pa.binary())})
+            yield pa.record_batch({**{c: batch.column(c) for c in batch.schema.names if c != "text"}, "grams": pa.array(sets, pa.binary())})
 
     return read
 
 
+def _near_pivots(threshold: int):
+    """Appends, as bits, with which of the row's pivots a set links."""
+
+    def read(batches):
+        for batch in batches:
+            bits = []
+            for own, pivots in zip(batch.column("grams"), batch.column("pivots")):
+                g = np.frombuffer(own.as_buffer(), np.int64)
+                found = 0
+                for k, p in enumerate(pivots):
+                    other = np.frombuffer(p["grams"].as_buffer(), np.int64)
+                    at = np.minimum(np.searchsorted(other, g), len(other) - 1)
+                    both = int((other[at] == g).sum())
+                    found |= (both * 100 >= threshold * (len(g) + len(other) - both)) << k
+                bits.append(found)
+            kept = [c for c in batch.schema.names if c != "pivots"]
+            yield pa.record_batch({**{c: batch.column(c) for c in kept}, "bits": pa.array(bits, pa.int32())})
+
+    return read
+
+
+def _large_blocks(grams: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """(links with pivots, rows of the tasks in which the other pairs meet) of blocks of several parts."""
+    which = [F.min_by(F.struct("a", "b"), F.xxhash64(F.lit(k), "a", "b")).alias(f"p{k}") for k in range(PIVOTS)]
+    chosen = grams.groupBy("block").agg(*which).select("block", F.posexplode(F.array(*(f"p{k}" for k in range(PIVOTS)))).alias("k", "p")).select("block", "k", "p.a", "p.b")
+    # the rows of a block are dealt by (block, salt), and what is told of the block is there for each salt
+    salt = F.pmod("b", "parts").cast("int").alias("salt")
+    salts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt")
+    pivots = chosen.join(grams.select("block", "a", "b", "parts", "grams"), ["block", "a", "b"]).dropDuplicates(["block", "k"])
+    pivots = cut(pivots.groupBy("block").agg(F.max("parts").alias("parts"), F.array_sort(F.collect_list(F.struct("k", "a", "b", "grams"))).alias("pivots")))  # PIVOTS for each block
+    near = grams.select("*", salt).join(pivots.select("block", salts, "pivots"), ["block", "salt"])
+    tested = cut(near.mapInArrow(_near_pivots(threshold), "block long, salt int, a long, b long, size long, parts int, grams binary, bits int"))
+    linked = lambda k: F.col("bits").bitwiseAND(1 << k) > 0
+    counts = F.array(*(f"n{k}" for k in range(PIVOTS)))
+    sums = tested.groupBy("block").agg(F.max("parts").alias("parts"), *(F.count_if(linked(k)).alias(f"n{k}") for k in range(PIVOTS)), *(F.sum(F.when(~linked(k), F.col("size"))).alias(f"s{k}") for k in range(PIVOTS)))
+    best = sums.withColumn("k", (F.array_position(counts, F.array_max(counts)) - 1).cast("int")).withColumn("left", F.element_at(F.array(*(f"s{k}" for k in range(PIVOTS))), F.col("k") + 1))
+    best = best.select("block", "k", "parts", F.coalesce(F.ceil(F.col("left") / (HELD // 2)), F.lit(0)).cast("int").alias("rests"))
+    pivot = F.element_at("pivots", F.col("k") + 1)
+    best = best.join(pivots.select("block", "pivots"), "block").select("block", salts, "k", "rests", pivot["a"].alias("ra"), pivot["b"].alias("rb"))
+    told = tested.join(best, ["block", "salt"]).withColumn("linked", F.expr("shiftright(bits, k) & 1 = 1"))
+    star = told.where("linked AND NOT (a = ra AND b = rb)").select("a", "b", "ra", "rb")
+    part = F.pmod("b", F.when(F.col("linked"), F.col("parts")).otherwise(F.col("rests"))).cast("int")
+    all_of = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    with_rest = F.transform(all_of(F.col("rests")), lambda r: F.struct(F.lit("L").alias("kind"), F.col("own").alias("i"), r.alias("j"), F.lit(0).alias("part")))
+    as_rest = F.transform(all_of(F.col("parts")), lambda p: F.struct(F.lit("L").alias("kind"), p.alias("i"), F.col("own").alias("j"), F.lit(1).alias("part")))
+    among = F.transform(all_of(F.col("rests")), lambda r: F.struct(F.lit("R").alias("kind"), F.least("own", r).alias("i"), F.greatest("own", r).alias("j"), F.col("own").alias("part")))
+    tasks = F.when(F.col("linked"), with_rest).otherwise(F.concat(as_rest, among))
+    met = told.withColumn("own", part).select("block", "a", "b", "size", "grams", F.explode(tasks).alias("t")).select("block", "t.i", "t.j", "t.kind", "a", "b", "size", "t.part", "grams")
+    return star, met
+
+
 def _text_key() -> Column:
     return F.xxhash64("text")
 
@@ -240,7 +316,7 @@ def _text_key() -> Column:
 def set_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(rows, classes): doc_id, tk, size, a, b of each row, where tk is a hash of the text and (a, b) the identity of its set;
     and a, b, root_a, root_b, first_id of each set that is not empty, where first_id is its least doc_id."""
-    read = docs.select("doc_id", _text_key().alias("tk"), "text").mapInArrow(_identities(n), "doc_id long, tk long, size long, a long, b long")
+    read = tx.in_small_batches(docs).select("doc_id", _text_key().alias("tk"), "text").mapInArrow(_identities(n), "doc_id long, tk long, size long, a long, b long")
     rows = cut(read)
     own = F.struct("tk", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"))
     sets = rows.where("size > 0").groupBy("a", "b").agg(F.max("size").alias("size"), F.min("doc_id").alias("first_id"), F.min(own).alias("own"))
@@ -250,13 +326,18 @@ def set_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> t
     blocks = components(shares)
     members = sets.select("a", "b", "size", "own").join(blocks.withColumnRenamed("node", "a").withColumnRenamed("root", "block"), "a")
     weights = members.groupBy("block").agg(F.sum("size").alias("weight"))
-    members = members.join(weights, "block").select("block", "a", "b", "size", "own.tk", "own.did", F.when(F.col("weight") > HELD, F.ceil(F.col("weight") / (HELD // 2))).otherwise(1).cast("int").alias("parts"))
+    parts = F.when(F.col("weight") > HELD, F.ceil(F.col("weight") / (HELD // 2))).otherwise(1).cast("int")
+    members = members.join(weights, "block").select("block", "a", "b", "size", "own.tk", "own.did", parts.alias("parts"))
     texts = docs.select(_text_key().alias("tk"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), "text").join(members, ["tk", "did"])
-    part = F.pmod("b", "parts").cast("int")
-    grams = texts.select("block", "a", "b", "size", part.alias("part"), "parts", "text").mapInArrow(_grams_of(n), "block long, a long, b long, size long, part int, parts int, grams binary")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.struct(F.least("part", i).alias("i"), F.greatest("part", i).alias("j")))
-    met = grams.select("*", F.explode(pairs).alias("p")).select("block", "p.i", "p.j", "a", "b", "size", "part", "grams")
-    found = met.groupBy("block", "i", "j").applyInArrow(_search(threshold), "a long, b long, ra long, rb long")
+    grams = cut(texts.select("block", "a", "b", "size", "parts", "text").mapInArrow(_grams_of(n), "block long, a long, b long, size long, parts int, grams binary"))
+    small = grams.where("parts = 1").select("block", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit("S").alias("kind"), "a", "b", "size", F.lit(0).alias("part"), "grams")
+    search = lambda met: met.groupBy("block", "kind", "i", "j").applyInArrow(_search(threshold), "a long, b long, ra long, rb long")
+    large = grams.where("parts > 1")
+    if large.isEmpty():
+        found = search(small)
+    else:
+        star, met = _large_blocks(large, threshold)
+        found = search(small.unionByName(met)).unionByName(star)
     links = components(found.select(F.struct("a", "b").alias("u"), F.struct(F.col("ra").alias("a"), F.col("rb").alias("b")).alias("v")))
     links = links.select("node.a", "node.b", F.col("root.a").alias("root_a"), F.col("root.b").alias("root_b"))
     classes = sets.select("a", "b", "first_id").join(links, ["a", "b"], "left").select("a", "b", F.coalesce("root_a", "a").alias("root_a"), F.coalesce("root_b", "b").alias("root_b"), "first_id")
