@@ -279,7 +279,8 @@ def test_benchmark_passages(spark):
             body[at:at] = passage
             want.add((i, k))
         rows.append((i, " ".join(body).capitalize(), "en", "s", 1))
-    rows.append((500, None, "en", "s", 1))
+    rows += [(500, None, "en", "s", 1), (501, f"{word()} tiny item {word()}", "en", "s", 1), (502, f"tiny {word()} item", "en", "s", 1)]
+    want.add((501, 30))
     docs = spark.createDataFrame(rows, DOCS).repartition(3)
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, bench).collect()}
