@@ -204,7 +204,7 @@ _REGION = "'AFRICA'"
 
 @query(GRAPH + f""", t AS (SELECT n.node_id FROM edges e JOIN nodes n ON e.dst_id = n.node_id WHERE e.rel_type = 'CONTAINS' AND e.src_id = 'Region:' || {_REGION})
 SELECT (SELECT count(*) FROM nodes WHERE label = 'Region' AND name = {_REGION}) AS domains, (SELECT count(DISTINCT node_id) FROM t) AS categories,
-    (SELECT count(DISTINCT dst_id) FROM edges WHERE rel_type = 'CONTAINS' AND src_id IN (SELECT node_id FROM t)) AS documents, 0 AS sections""".replace("\n, t AS", ", t AS"))
+    (SELECT count(DISTINCT dst_id) FROM edges WHERE rel_type = 'CONTAINS' AND src_id IN (SELECT node_id FROM t)) AS documents, 0::BIGINT AS sections""".replace("\n, t AS", ", t AS"))
 def clear_domain_counts(spark: SparkSession, d: str) -> DataFrame:
     nodes = trade_nodes(spark, d).withColumn("label", F.when(F.col("label") == "Region", "Domain").otherwise(F.col("label")))
     return graph.clear_domain(nodes, trade_edges(spark, d), "AFRICA")[0]
@@ -269,7 +269,7 @@ g AS (SELECT *, sum(head::INT) OVER (PARTITION BY file_path ORDER BY pos) AS k F
 s AS (SELECT file_path, k - 1 AS section_idx, {_TRIM.format("max(CASE WHEN head THEN regexp_extract(line, '^#{1,6}\\s+(.+)$', 1) END)")} AS heading,
     max(CASE WHEN head THEN len(regexp_extract(line, '^(#{{1,6}})', 1)) END) AS level,
     {_TRIM.format("coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT head), '')")} AS content, min(pos) AS start_line, max(pos) AS end_line FROM g WHERE k > 0 GROUP BY file_path, k)
-SELECT file_path, section_idx, heading, level, md5(content) AS content, start_line, end_line FROM s""")
+SELECT file_path, CAST(section_idx AS INT) AS section_idx, heading, CAST(level AS INT) AS level, md5(content) AS content, CAST(start_line AS INT) AS start_line, CAST(end_line AS INT) AS end_line FROM s""")
 def sections_parse(spark: SparkSession, d: str) -> DataFrame:
     return markdown.sections(markdown_documents(spark, d)).withColumn("content", F.md5(F.col("content").cast("binary")))
 
@@ -296,7 +296,7 @@ k AS (SELECT * FROM f WHERE NOT starts_with(bare, '```') AND fence = 0 AND (bare
 clean AS (SELECT file_path, {_TRIM.format("string_agg(CASE WHEN bare = '' THEN '' ELSE line END, chr(10) ORDER BY pos)")} AS content FROM k GROUP BY file_path)"""
 
 
-@query(f"WITH {_MD}, {_CLEAN} SELECT file_path, md5(content) AS content, length(content) AS n FROM clean")
+@query(f"WITH {_MD}, {_CLEAN} SELECT file_path, md5(content) AS content, CAST(length(content) AS INT) AS n FROM clean")
 def boilerplate_clean(spark: SparkSession, d: str) -> DataFrame:
     c = markdown.clean(F.col("content"))
     return markdown_documents(spark, d).select("file_path", c.alias("content")).select("file_path", F.md5(F.col("content").cast("binary")).alias("content"), F.length("content").alias("n"))
