@@ -134,7 +134,9 @@ def clear_domain(nodes: DataFrame, edges: DataFrame, domain: str) -> tuple[DataF
 
 def graph_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """nodes, edges: one row."""
-    return nodes.agg(F.count("*").alias("nodes")).crossJoin(edges.agg(F.count("*").alias("edges")))
+    none = F.lit(None).cast("long")
+    both = nodes.agg(F.count("*").alias("nodes")).select("nodes", none.alias("edges")).unionByName(edges.agg(F.count("*").alias("edges")).select(none.alias("nodes"), "edges"))
+    return both.agg(F.max("nodes").alias("nodes"), F.max("edges").alias("edges"))
 
 
 def migrate_concepts(nodes: DataFrame, edges: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
