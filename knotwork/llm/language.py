@@ -25,6 +25,8 @@ from knotwork.llm import text as tx
 #: Expected training texts of a language.
 SAMPLE = 3000
 CONTEXTS = 1 << 16
+#: Languages learned, the most frequent ones.
+LANGUAGES = 256
 ORDER = 3
 #: Bytes of text whose evidence the confidence counts.
 EVIDENCE = 64
@@ -167,7 +169,7 @@ def _loaded(key: str, shared) -> Model:
 def train(docs: DataFrame, folds: int = 4, fold: int = 2, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, codes, counts): the four-byte windows of the sampled texts of all folds but ``fold``."""
     known = tx.in_small_batches(docs).where(~held_out(F.col("doc_id"), folds, fold) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = sorted((r["lang"], r["n"]) for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect())
+    counts = sorted((r["lang"], r["n"]) for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
     spark = docs.sparkSession
     if not counts:
         return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
