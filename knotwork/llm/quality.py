@@ -7,7 +7,6 @@ every text is compared with all of them, in blocks of exact cosine products; the
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
