@@ -57,17 +57,18 @@ def mix(docs: DataFrame, whole_rows: bool = False, share: float = SHARE, most: f
     ``whole_rows`` the input row is kept as the struct ``row``, whatever its columns are called."""
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))).cast("binary"))
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"), *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if whole_rows else []))
-    rows = rows.withColumn("part", F.substring("key", 1, 3))
+    # a name without nulls for the source, so that the join and the window deal rows by the same columns
+    named = F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("s")
+    rows = rows.select("*", named, F.substring("key", 1, 3).alias("part"))
     if not whole_rows:
         rows = cut(rows)
     parts = cut(rows.groupBy("source", "part").agg(F.sum("size").alias("words")))
     targets = source_targets(parts.groupBy("source").agg(F.sum("words").alias("source_size")), share, most)
     ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("before", F.coalesce(F.sum("words").over(ahead), F.lit(0))).alias("p")
-    parts = parts.join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))).select("p.source", "p.part", "before", "source_size", "target", "slope").alias("p")
-    joined = rows.alias("r").join(parts, F.col("r.source").eqNullSafe(F.col("p.source")) & (F.col("r.part") == F.col("p.part")))
-    joined = joined.select("r.*", "before", "source_size", "target", "slope")
-    within = Window.partitionBy("source", "part").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))).select(F.coalesce(F.concat(F.lit("="), "p.source"), F.lit("")).alias("s"), "p.part", "before", "source_size", "target", "slope")
+    joined = rows.join(parts, ["s", "part"])
+    within = Window.partitionBy("s", "part").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     out = joined.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     out = out.withColumn("goal", F.floor(F.col("target") + 0.5))
     passes = F.sequence(F.lit(0), F.lit(int(-(-most // 1))))
