@@ -10,6 +10,8 @@ from knotwork.functions.text import strip, title_case
 HEADING = r"(?d)^(#{1,6})\s+(.+)$"
 LINK = r"\[([^\]]+)\]\(([^)]+)\)"
 FENCE = "```"
+#: From a line that begins with a fence to the next such line, or to the end.
+FENCED = r"(?msdU)^[^\S\n]*```.*?(?:\n[^\S\n]*```[^\n]*(?:\n|\z)|\z)"
 #: Lines of page furniture, whatever their case.
 FURNITURE = r"(?id)^---$|^\[.*\]\(.*\)$|^Table of Contents.*|^Navigation.*"
 
@@ -67,18 +69,9 @@ def first_line(content: Column) -> Column:
 
 def clean(content: Column) -> Column:
     """Without fenced code, page furniture and outer blank lines. Inner blank lines stay, as empty ones."""
-    # a fold over the lines: whether a fence is open, and what is kept
-    begin = F.struct(F.lit(False).alias("fence"), F.array().cast("array<string>").alias("kept"))
-
-    def step(state: Column, line: Column) -> Column:
-        bare = strip(line)
-        fence = bare.startswith(FENCE)
-        blank = (bare == "") & (F.size(state["kept"]) > 0)
-        keep = ~fence & ~state["fence"] & (blank | ((bare != "") & ~bare.rlike(FURNITURE)))
-        more = F.when(keep, F.array(F.when(bare == "", "").otherwise(line))).otherwise(F.array().cast("array<string>"))
-        return F.struct(F.when(fence, ~state["fence"]).otherwise(state["fence"]).alias("fence"), F.concat(state["kept"], more).alias("kept"))
-
-    return strip(F.aggregate(F.split(content, "\n", -1), begin, step, lambda s: F.array_join(s["kept"], "\n")))
+    lines_left = F.split(F.regexp_replace(content, FENCED, ""), "\n", -1)
+    kept = F.filter(lines_left, lambda line: ~strip(line).rlike(FURNITURE))
+    return strip(F.array_join(F.transform(kept, lambda line: F.when(strip(line) == "", "").otherwise(line)), "\n"))
 
 
 def clean_lines(docs: DataFrame) -> DataFrame:

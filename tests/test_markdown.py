@@ -37,6 +37,10 @@ def test_first_line_and_clean(spark):
     got = docs(spark, text).select(markdown.first_line(F.col("content")), markdown.clean(F.col("content"))).first()
     assert got[0] == "code" and got[1] == "# H\n\n  kept \n\nlast"
     assert rows(markdown.clean_lines(docs(spark, text)), "content") == [(got[1],)]
+    more = ["```\nopen", "a\n```x\n```\n```\nin\n\t``` \nb", "``` one line ```\nstill in\n```\nout", "", "\n\n", "a\n" + "```\nc\n```\n" * 3000 + "b", "x ``` y\nz", None]
+    df = docs(spark, *more)
+    both = df.select("file_path", markdown.clean(F.col("content")).alias("a")).join(markdown.clean_lines(df), "file_path").where("NOT (coalesce(a, '') <=> content)")
+    assert both.collect() == []
 
 
 def test_section_url(spark):
