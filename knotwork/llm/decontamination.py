@@ -7,6 +7,10 @@ product of their latent vectors over the norms of the whole vectors, so that wor
 Windows near a passage are then compared word by word: the longest common subsequence must cover most of the item's
 passage, and its answer, the last words, must be there too. That finds passages with changed, lost or added words.
 
+A cosine depends on a window's other words, so places that share enough pairs of adjacent words with a passage are compared
+in the same way, whatever stands around them and however frequent the words are. A passage of which so much is there that
+it counts shares that many pairs, with any words changed or lost.
+
 The benchmark is the small side: it is read whole by each task, in blocks of ``ITEMS`` passages, behind a check of its size."""
 
 from __future__ import annotations
@@ -28,8 +32,8 @@ STEP, WIDTHS = 16, (2, 4)
 RANK = 256
 #: Share of a passage's own latent product that a window must reach.
 COSINE = 0.4
-#: Words in a larger share of documents do not count in the retrieval.
-COMMON = 0.1
+#: Words in a larger share of documents do not count in the retrieval, or as ``FLOOR`` where the benchmark has them.
+COMMON, FLOOR = 0.1, 0.1
 #: Bytes of text searched at once.
 PIECE = 1 << 19
 #: Share of a passage, and of its last words, that must come in order.
@@ -70,7 +74,9 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def passages(benchmark: DataFrame) -> DataFrame:
-    """item_id, part, words (array of 64-bit hashes): whole items of at most ``PASSAGE`` words, longer ones in equal parts."""
+    """item_id, part, words (array of 64-bit hashes): whole items of at most ``PASSAGE`` words, longer ones in equal parts.
+
+    The parts of an item that are numbered after these reach from the middle of each to the middle of the next."""
 
     def cut_up(batches):
         for batch in batches:
@@ -80,7 +86,9 @@ def passages(benchmark: DataFrame) -> DataFrame:
                 h, _, _, first = tx.words(data, offsets, core=True)
                 for i in range(b - a):
                     w = h[first[i] : first[i + 1]].view(np.int64)
-                    for k, x in enumerate(np.array_split(w, max(1, -(-len(w) // PASSAGE)))):
+                    m = max(1, -(-len(w) // PASSAGE))
+                    between = [w[len(w) * (2 * k + 1) // (2 * m) : len(w) * (2 * k + 3) // (2 * m)] for k in range(m - 1)]
+                    for k, x in enumerate([*np.array_split(w, m), *between]):
                         if len(x):
                             item.append(ids[a + i].as_py())
                             part.append(k)
@@ -161,6 +169,21 @@ def covered(item: np.ndarray, found: list[int]) -> bool:
     return len(found) >= COVER * n and sum(1 for i in found if i >= n - answer) >= ANSWER_COVER * answer
 
 
+def pairs_needed(n: int) -> int:
+    """Pairs of adjacent words asked of a place for a passage of ``n`` words.
+
+    Where ``kept`` words are left they lie in at most n - kept + 1 runs, so changed and lost words leave 2 * kept - n - 1
+    pairs. Half of these are asked, as added words part further ones. Of a short passage the first pair is looked up."""
+    if n < SHORT:
+        return 1
+    kept = int(np.ceil(COVER * n))
+    return max(1, (2 * kept - n) // 2)
+
+
+def _pairs(h: np.ndarray) -> np.ndarray:
+    return h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]
+
+
 class Searcher:
     def __init__(self, items: list[tuple[int, int, np.ndarray]], idf: np.ndarray, terms: np.ndarray, space: np.ndarray):
         self.items, self.idf = items, idf
@@ -174,6 +197,78 @@ class Searcher:
         # against COSINE times its own product, so that what the space leaves of a passage is asked of a window
         self.latent = latent / np.maximum((latent**2).sum(axis=1, keepdims=True), 1e-6)
         self.least = COSINE / max(1e-6, float(np.linalg.norm(self.latent, axis=1).max(initial=0)))
+        self.length = np.array([len(w) for _, _, w in items], np.int64)
+        self.pairs_needed = np.array([pairs_needed(n) for n in self.length], np.int64)
+        single = [w.view(np.uint64) if len(w) == 1 else w[:0].view(np.uint64) for _, _, w in items]
+        pairs = [_pairs(w.view(np.uint64)[: 2 if len(w) < SHORT else None]) for _, _, w in items]
+        self.vocabulary = np.unique(np.concatenate([w for _, _, w in items]).view(np.uint64))
+        self.coded = np.full((len(items), self.length.max()), -2, np.int32)
+        for i, (_, _, w) in enumerate(items):
+            self.coded[i, : len(w)] = self._codes(w.view(np.uint64))
+        # a row for each place compared at once, a column for each word; the last two stand for other words and for none
+        self.seen = np.zeros((max(16, min(512, (1 << 22) // len(self.vocabulary))), len(self.vocabulary) + 2), bool)
+        self.single, self.pairs = self._postings(single), self._postings(pairs)
+
+    @staticmethod
+    def _postings(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(keys in order, first posting of each key and one past the last, item, place in the item)."""
+        key = np.concatenate([np.zeros(0, np.uint64), *lists])
+        item = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in lists)])
+        order = np.argsort(key, kind="stable")
+        keys, starts = np.unique(key[order], return_index=True)
+        return keys, np.append(starts, len(key)), item[order], place[order]
+
+    @staticmethod
+    def _looked_up(postings: tuple, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index in ``key``, item, place in the item) of all postings."""
+        keys, starts, item, place = postings
+        if not len(keys) or not len(key):
+            return (np.zeros(0, np.int64),) * 3
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        where = np.flatnonzero(keys[at] == key)
+        at = at[where]
+        count = starts[at + 1] - starts[at]
+        posting = np.repeat(starts[at] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return np.repeat(where, count), item[posting], place[posting]
+
+    def sharing(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(text, word at which the passage would begin, item) where enough pairs of adjacent words are shared."""
+        at, item, place = (np.concatenate(x) for x in zip(self._looked_up(self.single, h), self._looked_up(self.pairs, _pairs(h))))
+        order = np.argsort(item * len(h) + at)
+        at, item, place = at[order], item[order], place[order]
+        need = self.pairs_needed[item]
+        last = np.arange(len(at)) + need - 1
+        there = last < len(at)
+        last[~there] = 0
+        there &= (item[last] == item) & (at[last] - at <= 2 * self.length[item])
+        at, item, place = at[there], item[there], place[there]
+        doc = np.searchsorted(first, at, "right") - 1
+        begin = at - place
+        once = np.unique((item * len(first) + doc) * (len(h) + PASSAGE) + begin + PASSAGE, return_index=True)[1]
+        doc, at, item = doc[once], begin[once], item[once]
+        keep = self._shared_words(h, first, doc, at, item) >= np.where(self.length[item] < SHORT, self.length[item], COVER * self.length[item])
+        yield from zip(doc[keep].tolist(), at[keep].tolist(), item[keep].tolist())
+
+    def _shared_words(self, h: np.ndarray, first: np.ndarray, doc: np.ndarray, at: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """How many places of each passage have their word in the text around ``at``: no fewer than in order."""
+        out = np.zeros(len(at), np.int64)
+        code, rows = self._codes(h), len(self.seen)
+        for i in range(0, len(at), rows):
+            k, begin, n = item[i : i + rows], at[i : i + rows, None], self.length[item[i : i + rows]][:, None]
+            near = begin - n + np.arange(3 * n.max())
+            there = (near < begin + 2 * n) & (near >= first[doc[i : i + rows], None]) & (near < first[doc[i : i + rows] + 1, None])
+            row, window = np.arange(len(k))[:, None], np.where(there, code[np.where(there, near, 0)], -1)
+            self.seen[row, window] = True
+            self.seen[:, -2:] = False
+            out[i : i + rows] = self.seen[row, self.coded[k][:, : n.max()]].sum(axis=1)
+            self.seen[row, window] = False
+        return out
+
+    def _codes(self, h: np.ndarray) -> np.ndarray:
+        """Numbers of the benchmark's words, -1 for others."""
+        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == h, at, -1).astype(np.int32)
 
     def near(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(text, first word of the window, item) of windows near an item's passage."""
@@ -239,17 +334,35 @@ class Searcher:
                 continue
             tried.add((doc, k, at // STEP))
             lo, hi = max(first[doc], at - len(words)), min(first[doc + 1], at + WIDTHS[-1] * STEP + len(words))
-            window = signed[lo:hi]
-            if np.isin(words, window).sum() < COVER * min(len(words), SHORT * 2):
+            common = self._compared(words, signed[lo:hi])
+            if common:
+                out[doc, item] = part, common
+        tried = set()
+        for doc, at, k in self.sharing(h, first):
+            item, part, words = self.items[k]
+            n = len(words)
+            if (doc, item) in out or (doc, k, at) in tried:
                 continue
-            if len(words) < SHORT:
-                found = list(range(len(words))) if any((window[i : i + len(words)] == words).all() for i in np.flatnonzero(window[: len(window) - len(words) + 1] == words[0])) else []
-            else:
-                found = common_subsequence(words, window)
-            if covered(words, found):
-                out[doc, item] = part, len(found)
+            tried.add((doc, k, at))
+            if at >= first[doc] and at + n <= first[doc + 1] and (signed[at : at + n] == words).all():
+                out[doc, item] = part, n
+            elif n >= SHORT:
+                common = self._compared(words, signed[max(first[doc], at - n) : min(first[doc + 1], at + 2 * n)])
+                if common:
+                    out[doc, item] = part, common
         return out
 
+    @staticmethod
+    def _compared(words: np.ndarray, window: np.ndarray) -> int:
+        """Words of a passage in a window, 0 where it is not covered."""
+        if np.isin(words, window).sum() < COVER * min(len(words), SHORT * 2):
+            return 0
+        if len(words) < SHORT:
+            found = list(range(len(words))) if any((window[i : i + len(words)] == words).all() for i in np.flatnonzero(window[: len(window) - len(words) + 1] == words[0])) else []
+        else:
+            found = common_subsequence(words, window)
+        return len(found) if covered(words, found) else 0
+
 
 def searchers(docs: DataFrame, benchmark: DataFrame) -> list:
     """Broadcast arguments of ``Searcher``, one for each round of at most about ``ROUND`` passages; none without passages."""
@@ -267,7 +380,9 @@ def searchers(docs: DataFrame, benchmark: DataFrame) -> list:
         items = list(zip(got["item_id"].to_pylist(), got["part"].to_pylist(), (np.array(x, np.int64) for x in got["words"].to_pylist())))
         if items:
             terms = np.unique(_terms(np.concatenate([w for _, _, w in items]).view(np.uint64)))
-            out.append(docs.sparkSession.sparkContext.broadcast((items, idf, terms, latent_space(own, idf, terms))))
+            weights = idf.copy()
+            weights[terms] = np.maximum(weights[terms], FLOOR)
+            out.append(docs.sparkSession.sparkContext.broadcast((items, weights, terms, latent_space(own, weights, terms))))
     return out
 
 

@@ -290,6 +290,42 @@ def test_benchmark_passages(spark):
     assert clean == {r[0] for r in rows} - {d for d, _ in got}
 
 
+def test_verbatim_passages_whatever_surrounds_them(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    rare = lambda n: " ".join(word() for _ in range(n))
+    everyday = [word() for _ in range(15)]
+    hot, five, long = rare(30), rare(5), rare(96)
+    plain = " ".join(rng.choice(everyday) for _ in range(20))
+    bodies, want = [], set()
+    for i in range(120):
+        passages = [(0, hot)] * (i % 3 == 0) + [(1, five)] * (i % 40 == 1) + [(2, plain)] * (i % 40 == 5)
+        passages += [(3, " ".join(long.split()[26:70]))] * (i % 40 == 7)  # over the seam of the item's two parts
+        passages += [(4, everyday[0] + "zz")] * (i == 11)
+        bodies.append((i, " ".join([rare(60), *(t + " " + rare(60) for _, t in passages), " ".join(f"{w} {word()}" for w in everyday)])))
+        want |= {(i, k) for k, _ in passages}
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in bodies], DOCS).repartition(3)
+    bench = spark.createDataFrame(list(enumerate([hot, five, plain, long, everyday[0] + "zz"])), "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, bench).collect()} == want
+    assert {r["doc_id"] for r in decontamination.clean_documents(docs, bench).collect()} == set(range(120)) - {d for d, _ in want}
+
+
+def test_changed_and_lost_words_leave_enough_pairs():
+    rng = np.random.default_rng(14)
+    none = np.zeros(0, np.int64)
+    for n in [*range(1, 60)]:
+        words = rng.integers(1, 1 << 62, n)
+        searcher = decontamination.Searcher([(7, 0, words)], np.ones(1 << decontamination.BITS, np.float32), np.unique(decontamination._terms(words.view(np.uint64))), np.zeros((len(np.unique(decontamination._terms(words.view(np.uint64)))), 1), np.float32))
+        for _ in range(20):
+            left = words.copy()
+            if n >= decontamination.SHORT:  # as many words out as the cover allows, outside the answer
+                out = rng.permutation(n - decontamination.ANSWER)[: n - int(np.ceil(decontamination.COVER * n))] if n >= 12 else none
+                left[out] = rng.integers(1, 1 << 62, len(out))
+                left = np.delete(left, out[: rng.integers(0, len(out) + 1)])
+            text = np.concatenate([rng.integers(1, 1 << 62, 70), left, rng.integers(1, 1 << 62, 70)])
+            assert (0, 7) in searcher.links(text.view(np.uint64), np.array([0, len(text)])), n
+
+
 def test_rounds_of_a_large_benchmark(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "ROUND", 4)
     rng = random.Random(10)
