@@ -2,11 +2,12 @@
 
 Rows of equal text form a group. Groups in descending size enter the shard with the least remaining room that still
 holds them, found in a balanced tree of remaining capacities. With a number of shards in place of a capacity, the
-capacity is the least tried at which the packing needs no more shards than that.
+capacity is the least tried at which the packing needs no more shards than that; a group larger than the mean load of
+the shards left has a shard of its own, and the others share the rest.
 
 What the driver packs is bounded by the number of shards: groups of at least a grain (the target capacity divided by
 ``GRAINS``) are items on their own, and the smaller groups are items together, by hash, of about half a grain. No group
-is ever split. Sizes of a shard then differ by about a grain.
+is ever split. Sizes of a shard then differ by about a grain, but for groups with a shard of their own.
 
 A null text counts as empty (size 1, checksum 0) and groups with the empty texts. Null and repeated doc_ids are rows
 like any other, other columns are not read, an empty table gives an empty table."""
@@ -128,12 +129,34 @@ def best_fit_decreasing(sizes: list[int], capacity: int, most: int | None = None
 
 
 def pack_into(sizes: list[int], shards: int) -> list[int]:
-    """A best-fit-decreasing packing into at most ``shards`` shards, at the least capacity tried that allows it."""
-    least = max([-(-sum(sizes) // shards), *sizes, 1])
-    over = 0
-    while (found := best_fit_decreasing(sizes, least + over, shards)) is None:
+    """A best-fit-decreasing packing into at most ``shards`` shards, at the least capacity tried that allows it.
+
+    An item above the mean load of what is left has a shard of its own, and the mean is taken anew over the rest. A shard
+    that the packing leaves empty takes half of the fullest one of several items."""
+    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+    left, alone = sum(sizes), 0
+    while alone < min(shards - 1, len(sizes)) and sizes[order[alone]] * (shards - alone) > left:
+        left -= sizes[order[alone]]
+        alone += 1
+    rest = sorted(order[alone:])
+    least, over = max([-(-left // (shards - alone)), *(sizes[i] for i in rest), 1]), 0
+    while (found := best_fit_decreasing([sizes[i] for i in rest], least + over, shards - alone)) is None:
         over = over * 3 // 2 + max(1, least >> 14)
-    return found
+    members: list[list[int]] = [[i] for i in order[:alone]] + [[] for _ in range(shards - alone)]
+    for i, s in zip(rest, found):
+        members[alone + s].append(i)
+    for empty in (m for m in members if not m):
+        full = max((m for m in members if len(m) > 1), key=lambda m: sum(sizes[i] for i in m), default=None)
+        if full is None:
+            break
+        halves, loads = (empty, []), [0, 0]
+        for i in sorted(full, key=lambda i: (-sizes[i], i)):
+            k = int(loads[1] < loads[0])
+            halves[k].append(i)
+            loads[k] += sizes[i]
+        full[:] = halves[1]
+    shard = {i: s for s, m in enumerate(members) for i in m}
+    return [shard[i] for i in range(len(sizes))]
 
 
 def pack(docs: DataFrame, shards: int | None = 16, capacity: int | None = None) -> DataFrame:

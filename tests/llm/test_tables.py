@@ -172,6 +172,29 @@ def test_shards(docs, shards):
     assert max(load.values()) <= max(largest, sum(load.values()) / shards * 1.1 + 200)
 
 
+@pytest.mark.parametrize("share", [3, 10])
+def test_a_large_group_leaves_no_shard_empty(spark, share):
+    rng = random.Random(15)
+    texts = [f"{i} " + "x" * rng.randrange(100, 200) for i in range(2000)]
+    many = sum(map(len, texts)) // (share - 1) // 100
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts + ["y" * 99] * many)], DOCS)
+    load = Counter()
+    for r in sharding.pack(df).collect():
+        load[r["shard"]] += r["size"]
+    loads = sorted(load[s] for s in range(16))
+    assert loads[-1] == 100 * many and loads[0] > 0 and loads[-2] <= 1.02 * sum(loads[:-1]) / 15
+
+
+def test_items_above_the_mean_stand_alone():
+    rng = random.Random(16)
+    assert len(set(sharding.pack_into([10] * 17, 16))) == 16
+    assert sorted(Counter(sharding.pack_into([50, 30, *[1] * 60], 5)).values()) == [1, 1, 20, 20, 20]
+    for _ in range(200):
+        sizes, shards = [rng.choice([1, 2, 3, 50, 200]) for _ in range(rng.randrange(40))], rng.randrange(1, 9)
+        placed = sharding.pack_into(sizes, shards)
+        assert len(placed) == len(sizes) and len(set(placed)) == min(shards, len(sizes)) and all(0 <= s < shards for s in placed)
+
+
 def test_shards_of_a_capacity(docs):
     rows = sharding.pack(docs, None, 20_000).collect()
     load = Counter()
