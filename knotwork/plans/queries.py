@@ -242,6 +242,13 @@ def var_length_trails(spark: SparkSession, d: str) -> DataFrame:
     return found.select("start_id", "end_id", "depth", F.array_join("path", ";").alias("path"))
 
 
+@query()
+def var_length_trails_whole(spark: SparkSession, d: str) -> DataFrame:
+    """``var_length_trails`` over all CONTAINS and IN edges, customers' too."""
+    found = matching.trails(trade_nodes(spark, d), trade_edges(spark, d), ["CONTAINS", "IN"], F.col("node_id") == "Region:ASIA", max_depth=8)
+    return found.select("start_id", "end_id", "depth", F.array_join("path", ";").alias("path"))
+
+
 # --- markdown
 
 _MD = """md AS (
@@ -400,6 +407,36 @@ def concept_relationships(spark: SparkSession, d: str) -> DataFrame:
     return concepts.concept_relations(docs, names, {"the": "THE"}).groupBy("file_path", "src", "dst").agg(F.count("*").alias("n"))
 
 
+# The same over documents of every language and of none; words of other letters end elsewhere in the SQL, so there is none.
+
+
+def all_documents(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("file_path"), F.col("text").alias("content"))
+
+
+@query()
+def service_concepts_whole(spark: SparkSession, d: str) -> DataFrame:
+    empty = word_vocabulary(spark).where("false")
+    return concepts.concepts(all_documents(spark, d), word_vocabulary(spark), empty, []).select("file_path", "name", "description")
+
+
+@query()
+def tech_concepts_whole(spark: SparkSession, d: str) -> DataFrame:
+    return concepts.term_hits(all_documents(spark, d), word_vocabulary(spark)).select("file_path", "name", "term", "ordinal")
+
+
+@query()
+def term_concepts_whole(spark: SparkSession, d: str) -> DataFrame:
+    return concepts.pattern_hits(all_documents(spark, d), ["thhe(?:re|th)?"]).groupBy("file_path", "name").agg(F.count("*").alias("n"))
+
+
+@query()
+def concept_relationships_whole(spark: SparkSession, d: str) -> DataFrame:
+    docs = all_documents(spark, d)
+    names = docs.select("file_path", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("content"), F.lit(r"(?U)\w+"), F.lit(0)))).alias("name"))
+    return concepts.concept_relations(docs, names, {"the": "THE"}).groupBy("file_path", "src", "dst").agg(F.count("*").alias("n"))
+
+
 @query("""WITH v AS (SELECT * FROM (VALUES ('the'), ('with'), ('ing')) AS v(name)), s AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS content, unnest(range(len(string_split(text, chr(10))))) AS section_idx FROM documents)
 SELECT CAST(doc_id AS VARCHAR) AS file_path, CAST(section_idx AS INT) AS section_idx, name FROM s JOIN v ON contains(lower(content), name)""")
 def section_mentions(spark: SparkSession, d: str) -> DataFrame:
