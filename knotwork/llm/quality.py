@@ -92,13 +92,13 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0):
     def count(batches):
         for batch in batches:
             for i, j, c in _pieces(batch.column("text")):
-                yield pa.record_batch({"doc_id": batch.column("doc_id").slice(i, j - i), "y": batch.column("y").slice(i, j - i), "c": pa.array([r.tobytes() for r in c.astype(np.uint16).clip(0, 65535)], pa.binary())})
+                yield pa.record_batch({"doc_id": batch.column("doc_id").slice(i, j - i), "y": batch.column("y").slice(i, j - i), "c": pa.array([r.tobytes() for r in c.astype(np.int32)], pa.binary())})
 
     got = sample.mapInArrow(count, "doc_id long, y int, c binary").toArrow().sort_by("doc_id")
     y = got["y"].to_numpy().astype(np.float32)
     if not 0 < y.sum() < len(y):
         return None
-    counts = np.stack([np.frombuffer(x, np.uint16) for x in got["c"].to_pylist()])
+    counts = np.stack([np.frombuffer(x, np.int32) for x in got["c"].to_pylist()])
     idf = np.log((1 + len(y)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 0.1
     x = weighted(counts, idf)
     space = latent_space(x)
@@ -117,8 +117,10 @@ def votes(vectors: np.ndarray, neighbours: np.ndarray, y: np.ndarray, prior: flo
 def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs``, repeated rows included.
 
-    A null text is empty; an empty text has the sample's share of label 1. Without labels of both classes every score is
-    0.5. Columns of other names are not read. An empty table gives an empty table. Only the sample is shuffled."""
+    A null text is empty; an empty text has the sample's share of label 1. A very long text is read whole; what is held of
+    it are the counts of ``TERMS`` terms. Of neighbours that are equally near any may vote. Without labels of both classes
+    every score is 0.5. Columns of other names are not read. An empty table gives an empty table. Only the sample is
+    shuffled."""
     model = fit(tx.in_small_batches(docs), labels, folds, fold)
     if model is None:
         score = F.lit(0.5)
