@@ -52,9 +52,11 @@ def mix(docs: DataFrame, whole_rows: bool = False, share: float = SHARE, most: f
     """doc_id, size, source_size, target, taken and ``takes`` (pass, words, position) for each row of ``docs``.
 
     ``taken`` sums a source to its rounded target: full passes, and in the last pass the rows up to the target, the last of
-    them in part. A null text has size 0 and is never taken. A null source is a source, after all others. Rows repeated
-    in full are ordered among themselves at will; all of them look alike. An empty table gives an empty table. With
-    ``whole_rows`` the input row is kept as the struct ``row``, whatever its columns are called."""
+    them in part; a target under half a word takes nothing. A null text has size 0 and is never taken. A null source is a
+    source, after all others, and a null doc_id is ordered by its text. A very long text is one row whose size may be more
+    than its source's target. Rows repeated in full are ordered among themselves at will; all of them look alike. An empty
+    table gives an empty table. With ``whole_rows`` the input row is kept as the struct ``row``, whatever its columns are
+    called."""
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))).cast("binary"))
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"), *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if whole_rows else []))
     # a name without nulls for the source, so that the join and the window deal rows by the same columns
@@ -73,7 +75,7 @@ def mix(docs: DataFrame, whole_rows: bool = False, share: float = SHARE, most: f
     out = out.withColumn("goal", F.floor(F.col("target") + 0.5))
     passes = F.sequence(F.lit(0), F.lit(int(-(-most // 1))))
     given = lambda p: F.greatest(F.lit(0), F.least(F.col("size"), F.col("goal") - p * F.col("source_size") - F.col("before")))
-    takes = F.transform(passes, lambda p: F.struct(p.alias("pass"), given(p).alias("words"), _position((p * F.col("source_size") + F.col("before")) / F.col("goal"), F.col("slope")).alias("position")))
+    takes = F.transform(passes, lambda p: F.struct(p.alias("pass"), given(p).alias("words"), _position(F.try_divide(p * F.col("source_size") + F.col("before"), F.col("goal")), F.col("slope")).alias("position")))
     out = out.withColumn("takes", F.when(F.col("size") > 0, F.filter(takes, lambda t: t["words"] > 0)).otherwise(F.slice(takes, 1, 0)))
     taken = F.aggregate("takes", F.lit(0).cast("long"), lambda s, t: s + t["words"])
     return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "takes", *(["row"] if whole_rows else []))

@@ -124,6 +124,14 @@ def test_mix(docs):
     assert order == sorted(order) and len(order) == sum(len(r["takes"]) for r in got)
 
 
+def test_a_source_whose_target_rounds_to_nothing(spark):
+    rows = [(k, "word" if s in "ADGI" else None, "en", s, 1) for k, s in enumerate("ABCDEFGHI")]
+    got = {r["doc_id"]: r for r in mixing.mix(spark.createDataFrame(rows, DOCS)).collect()}
+    small = [r for r in got.values() if 0 < r["target"] < 0.5]
+    assert small and all(r["taken"] == 0 and r["takes"] == [] for r in small) and sum(r["taken"] for r in got.values()) > 0
+    assert mixing.mixed_documents(spark.createDataFrame(rows, DOCS)).count() > 0
+
+
 def test_positions_invert_the_schedule(spark):
     from pyspark.sql import functions as F
 
