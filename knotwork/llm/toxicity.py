@@ -4,8 +4,10 @@ A text is the set of its words, without final punctuation, and of their first fo
 the weights of the terms present the inner products of the factors of every two of them, which tells an insult beside the
 mention of a group from either alone. The pairs cost no more than the terms: ``sum_f (sum_i v_if)**2 - sum_i v_if**2``.
 
-It is trained on a bounded sample of labelled texts by steps along adaptive gradients. Terms whose presence in the sample
-tells little of the label (chi squared under ``CHI``) have no weight, as chance would give them one. Every whole text is then scored in sparse batches."""
+It is trained on a bounded sample of labelled texts by steps along adaptive gradients. A term has a weight and factors if
+its presence in the sample tells something of the label (chi squared of at least ``CHI``), or if it is one of two words
+whose presence together tells more of it than either does alone (by at least ``PAIR``), as in labels that only the pair
+explains. Other terms would get weights by chance. Every whole text is then scored in sparse batches."""
 
 from __future__ import annotations
 
@@ -22,15 +24,18 @@ from knotwork.llm.language import held_out
 SAMPLE = {0: 4000, 1: 2000}
 BITS = 20
 CHI = 16.0
+#: How much more two words must tell together, and of how many words, the most frequent of the sample in at least ``LEAST`` texts, all pairs are tried.
+PAIR, PAIRED, LEAST = 60.0, 2048, 20
 FACTORS = 4
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 0.2, 2e-4
 PREFIXES = (4, 5, 6, 7, 8)
 THRESHOLD = 0.5
 
 
-def present(data: np.ndarray, offsets: np.ndarray, kept: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def present(data: np.ndarray, offsets: np.ndarray, kept: np.ndarray | None = None, prefixes: tuple[int, ...] = PREFIXES) -> tuple[np.ndarray, np.ndarray]:
     """(text, term) numbers of the distinct terms of each text, by text. ``kept`` maps hashes to terms; those mapped to -1 are left out."""
-    h, _, _, first = tx.words(data, offsets, prefixes=PREFIXES, core=True)
+    h, _, _, first = tx.words(data, offsets, prefixes=prefixes, core=True)
+    h = np.atleast_2d(h)
     doc = np.tile(np.repeat(np.arange(len(offsets) - 1), np.diff(first)), len(h))
     term = (h.ravel() >> np.uint64(64 - BITS)).astype(np.int64)
     if kept is not None:
@@ -88,12 +93,43 @@ class Machine:
 
 def chi_squared(label: np.ndarray, term: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The statistic of presence against label for each hashed term, from (label, term) pairs and the labels of all texts; half a text is added to each cell."""
-    n = np.bincount(term, minlength=1 << BITS) + 1.0
-    a = np.bincount(term, label, 1 << BITS) + 0.5
+    return _statistic(np.bincount(term, minlength=1 << BITS) + 1.0, np.bincount(term, label, 1 << BITS) + 0.5, y)
+
+
+def _statistic(n: np.ndarray, a: np.ndarray, y: np.ndarray) -> np.ndarray:
     p, m = (y.sum() + 1) / (len(y) + 2), len(y) + 2.0
     return (a - n * p) ** 2 / (n * p * (1 - p)) * m / np.maximum(m - n, 1)
 
 
+def telling_pairs(doc: np.ndarray, word: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The words, of (text, word) pairs, that with another word tell more of the label than either alone."""
+    df = np.bincount(word, minlength=1 << BITS)
+    words = np.argsort(-df, kind="stable")[:PAIRED]
+    words = words[df[words] >= LEAST]
+    column = np.full(1 << BITS, -1)
+    column[words] = np.arange(len(words))
+    own = column[word] >= 0
+    x = np.zeros((len(y), len(words)), np.float32)
+    x[doc[own], column[word[own]]] = 1
+    alone = _statistic(x.sum(axis=0) + 1.0, y @ x + 0.5, y)
+    found = np.zeros(len(words), bool)
+    for i in range(0, len(words), 256):  # a block of pairs at a time
+        part = x[:, i : i + 256]
+        n, a = part.T @ x, (part * y[:, None].astype(np.float32)).T @ x
+        more = _statistic(n + 1.0, a + 0.5, y) - np.maximum(alone[i : i + 256, None], alone) >= PAIR
+        more &= np.arange(i, i + part.shape[1])[:, None] != np.arange(len(words))
+        found |= more.any(axis=0)
+        found[i : i + 256] |= more.any(axis=1)
+    return words[found]
+
+
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, values) of a column of lists."""
+    lists = column.combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    return lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+
+
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> Machine | None:
     """The machine of a sample, or None without both classes."""
     sample = labelled_sample(docs, labels, "toxic", SAMPLE, folds, fold)
@@ -101,19 +137,21 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> Ma
     def read(batches):
         for batch in batches:
             for a, b, data, offsets in tx.groups(batch.column("text")):
-                doc, term = present(data, offsets)
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(b - a + 1)), pa.int32()), pa.array(term, pa.int32()))
-                yield pa.record_batch({"doc_id": batch.column("doc_id").slice(a, b - a), "y": batch.column("y").slice(a, b - a), "terms": lists})
-
-    read_rows = sample.mapInArrow(read, "doc_id long, y int, terms array<int>")
-    got = read_rows.toArrow().sort_by("doc_id")
+                both = {}
+                for name, prefixes in (("terms", PREFIXES), ("words", ())):
+                    doc, term = present(data, offsets, prefixes=prefixes)
+                    both[name] = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(b - a + 1)), pa.int32()), pa.array(term, pa.int32()))
+                yield pa.record_batch({"y": batch.column("y").slice(a, b - a), "order": batch.column("order").slice(a, b - a), **both})
+
+    keyed = sample.select("text", "y", F.xxhash64("doc_id").alias("order"))
+    got = keyed.mapInArrow(read, "y int, order long, terms array<int>, words array<int>").toArrow().sort_by("order")
     y = got["y"].to_numpy().astype(float)
     if not 0 < y.sum() < len(y):
         return None
-    lists = got["terms"].combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    first, term = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+    first, term = _lists(got["terms"])
     frequent = chi_squared(np.repeat(y, np.diff(first)), term, y) >= CHI
+    at, word = _lists(got["words"])
+    frequent[telling_pairs(np.repeat(np.arange(len(y)), np.diff(at)), word, y)] = True
     kept = np.full(1 << BITS, -1, np.int32)
     kept[frequent] = np.arange(frequent.sum())
     there = kept[term] >= 0
@@ -125,8 +163,9 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> Ma
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs``, repeated rows included.
 
-    A null text is empty and scores as one without terms. Without labels of both classes every score is 0. Columns of other
-    names are not read. An empty table gives an empty table. Only the sample is shuffled."""
+    A null text is empty and scores as one without terms. A very long text is read whole, as the set of its terms. Equal
+    texts have equal scores. Without labels of both classes every score is 0. Columns of other names are not read. An empty
+    table gives an empty table. Only the sample is shuffled."""
     machine = fit(tx.in_small_batches(docs), labels, folds, fold)
     if machine is None:
         score = F.lit(0.0)

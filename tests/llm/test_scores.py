@@ -138,6 +138,21 @@ def test_toxicity_of_pairs(spark):
     assert accuracy(got, y) > 0.95
 
 
+def test_toxicity_that_only_the_pair_tells(spark):
+    """One of two words alone makes a text toxic, both or none do not, so that neither word tells anything by itself."""
+
+    def make(rng, i):
+        words = prose(rng, "en", 40).split()
+        one, other = rng.random() < 0.5, rng.random() < 0.5
+        for there, w in ((one, "kazoo"), (other, "Blorp!")):
+            if there:
+                words.insert(rng.randrange(len(words)), w)
+        return " ".join(words), int(one != other)
+
+    docs, labels, y = labelled(spark, make, 2000)
+    assert accuracy(toxicity.score_toxicity(docs, labels).collect(), y) > 0.95
+
+
 def test_factors_against_all_pairs():
     rng = np.random.default_rng(2)
     m = toxicity.Machine(np.arange(12), 12, 0.3)
