@@ -1,28 +1,37 @@
-"""Exact token counts at every prefix (operator 9).
+"""Exact token counts at every prefix by dynamic programming (operator 9).
 
-A piece of the model begins with its white space or has none, so the segmentation of a text falls into independent
-units: a run of spaces and the characters up to the next space. The table of prefixes is a recurrence over the units,
-``count(prefix up to unit i) = count(prefix up to unit i - 1) + count(unit i)``, and it answers what a truncation or a
-budget asks; a prefix that ends inside a unit needs the library for the begun unit only, never for the text.
+The pieces of a byte-pair model are determined from the left: a prefix's last piece is the one that ends there, follows a
+prefix whose last piece it may stand beside, and there is exactly one. Two pieces may stand beside each other if merging
+their characters gives these two again, which is remembered for each pair. So ``count(prefix) = count(prefix without its
+last piece) + 1`` gives the count at every character, and the table answers what a budget or a truncation asks without
+encoding anything again.
 
-Null texts are empty and have 0 tokens. Only the unit's count is kept between texts, in a bounded table."""
+A piece of the model begins with its white space or has none, so the table of a text is that of independent units, a run
+of spaces and the characters up to the next space, each on top of the count before it. Units' tables are remembered; the
+library encodes each new unit once, and where its count differs from the table's last entry it counts that unit's prefixes.
+
+Null texts are empty and have 0 tokens. Only tables of units are kept between texts, in bounded number."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.llm.text import in_small_batches
 
-#: Units remembered by a task. Beyond it the table begins anew, which costs time only.
-REMEMBERED = 400_000
-#: Longer units are counted each time and not remembered.
-LONG_UNIT = 64
+#: Units, and pairs of pieces, remembered by a task. Beyond it the memory begins anew, which costs time only.
+REMEMBERED = 800_000
+#: Longer units are counted each time and not remembered. Up to this length every count is below 256.
+LONG_UNIT = 60
+
+_UNIT = re.compile("▁+[^▁]*")
 
 
 @lru_cache(maxsize=2)
@@ -37,89 +46,131 @@ def _library(model: str):
 
 
 class PrefixCounter:
-    """Counts of units, and the prefix table of a text."""
+    """Tables of units, and the prefix table of a text."""
 
     def __init__(self, model: str):
-        self.library = _library(model)
-        self.known: dict[str, int] = {}
+        self.library = lib = _library(model)
+        normal = (i for i in range(lib.get_piece_size()) if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i) or lib.is_unused(i)))
+        self.score = {lib.id_to_piece(i): lib.get_score(i) for i in normal}
+        self.longest = max(map(len, self.score))
+        self.beside: dict[tuple[str, str], bool] = {}
+        self.known: dict[str, bytes] = {}
+
+    def merged(self, text: str) -> list[str]:
+        """The pieces of a short text: of all neighbours that make a piece the ones of the best score are merged, the leftmost first."""
+        parts = list(text)
+        while True:
+            best, at = None, -1
+            for i in range(len(parts) - 1):
+                score = self.score.get(parts[i] + parts[i + 1])
+                if score is not None and (best is None or score > best):
+                    best, at = score, i
+            if best is None:
+                return parts
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    def _may_follow(self, last: str, piece: str) -> bool:
+        key = (last, piece)
+        if (found := self.beside.get(key)) is None:
+            if len(self.beside) >= REMEMBERED:
+                self.beside = {}
+            found = self.beside[key] = self.merged(last + piece) == ([last, piece] if last else [piece])
+        return found
+
+    def counts(self, unit: str, count: list[int] | None = None, last: list[str] | None = None) -> list[int]:
+        """Tokens of the unit's prefixes of 1, 2, ... characters; white space is written as in pieces.
+
+        ``count`` and ``last`` are tokens and last pieces of the prefixes that are known, from the empty one, and are added to."""
+        score, beside, longest = self.score, self.beside, self.longest
+        count, last = (count, last) if count else ([0], [""])
+        for k in range(len(count), len(unit) + 1):
+            for begin in range(k - longest if k > longest else 0, k):
+                piece = unit[begin:k]
+                if piece in score:
+                    tokens = 1
+                elif begin == k - 1:
+                    tokens = len(piece.encode())  # a character that is no piece is as many as its bytes
+                else:
+                    continue
+                key = (last[begin], piece)
+                if beside[key] if key in beside else self._may_follow(*key):
+                    count.append(count[begin] + tokens)
+                    last.append(piece)
+                    break
+            else:
+                raise ValueError(f"no last piece: {unit[:k]!r}")
+        return count[1:]
+
+    def _tabled(self, units: list[str]) -> list[list[int]]:
+        """The tables of units in ascending order, each from where it parts from the one before, held against the library."""
+        whole = self.library.encode([u[1:] for u in units], num_threads=1)
+        out, before, count, last = [], "", [0], [""]
+        for unit, pieces in zip(units, whole):
+            same, most = 0, min(len(unit), len(before))
+            while same < most and unit[same] == before[same]:
+                same += 1
+            del count[same + 1 :], last[same + 1 :]
+            try:
+                table = self.counts(unit, count, last)
+                before = unit
+            except ValueError:
+                table, before, count, last = [], "", [0], [""]
+            if not table or table[-1] != len(pieces):
+                table = [len(self.library.encode(unit[1:k])) if k > 1 else 1 for k in range(1, len(unit) + 1)]
+            out.append(table)
+        return out
 
     def learn(self, units: set[str]) -> None:
+        """Remembers the tables of short units."""
         if len(self.known) + len(units) > REMEMBERED:
             self.known = {}
-        new = list(units.difference(self.known))
-        self.known.update(zip(new, map(len, self.library.encode(new, num_threads=1))))
+        new = sorted(u for u in units if u not in self.known)
+        self.known.update(zip(new, map(bytes, self._tabled(new))))
 
     @staticmethod
     def units(text: str) -> list[str]:
-        """The units, each without the one space that the library puts before a text. Their lengths and the spaces between them sum to the text's length."""
-        text = text.replace("▁", " ")
-        parts = text.split(" ")
-        if "" not in parts:
-            return parts
-        out, spaces = [], 0
-        for p in parts:
-            if p:
-                out.append(" " * spaces + p)
-                spaces = 0
-            else:
-                spaces += 1
-        return [*out, " " * spaces] if spaces else out
-
-    def count(self, unit: str) -> int:
-        if unit.strip(" ") == "":
-            # a final run of k spaces is k pieces of white space; the library adds one before what it is given
-            return 1 if len(unit) == 1 else len(self.library.encode(unit[1:]))
-        if (n := self.known.get(unit)) is None:
-            n = len(self.library.encode(unit))
-            if len(unit) <= LONG_UNIT and len(self.known) < REMEMBERED:
-                self.known[unit] = n
-        return n
+        """The units of a text with white space as in pieces, after the one space that the library puts before it."""
+        whole = "▁" + text.replace(" ", "▁")
+        return ["▁" + u for u in whole[1:].split("▁")] if "▁▁" not in whole and whole[-1] != "▁" else _UNIT.findall(whole)
 
-    def table(self, text: str) -> list[int]:
-        """Tokens of the prefixes that end with each unit."""
-        return list(accumulate(map(self.count, self.units(text)))) if text else []
-
-    def total(self, text: str) -> int:
-        if not text:
-            return 0
+    def _tables(self, text: str) -> list[bytes | np.ndarray]:
         units, known = self.units(text), self.known
         try:
-            return sum([known[u] for u in units])
+            return [known[u] for u in units]
         except KeyError:
-            return sum(map(self.count, units))
-
-    def at(self, text: str, table: list[int], n_chars: int) -> int:
-        """Tokens of ``text[:n_chars]``, from the table and at most one begun unit."""
-        if n_chars <= 0 or not text:
-            return 0
-        head = text[:n_chars]
-        if n_chars >= len(text):
-            return table[-1]
-        units = self.units(head)
-        return (table[len(units) - 2] if len(units) > 1 else 0) + self.count(units[-1])
-
-    def fit(self, text: str, table: list[int], budget: int) -> int:
-        """The most characters of a prefix that has at most ``budget`` tokens and ends where a unit does."""
-        from bisect import bisect_right
-
-        k = bisect_right(table, budget)
-        if k == len(table):
-            return len(text)
-        units = self.units(text)
-        return sum(map(len, units[:k])) + max(0, k - 1)
-
-
-def _batches(model: str, column: pa.Array) -> Iterator[tuple[PrefixCounter, list[str]]]:
-    counter = _counter(model)
-    # texts in runs of about 2 MB, whose units are asked of the library together
-    run, size = [], 0
-    for text in column.to_pylist():
-        run.append(text or "")
-        size += len(run[-1])
-        if size > 2_000_000:
-            yield counter, _learned(counter, run)
-            run, size = [], 0
-    yield counter, _learned(counter, run)
+            self.learn({u for u in units if len(u) <= LONG_UNIT})
+            return [self.known[u] if len(u) <= LONG_UNIT else np.array(self._tabled([u])[0], np.int32) for u in units]
+
+    def table(self, text: str) -> list[int]:
+        """Tokens of the prefixes of 1, 2, ... characters, one entry for each."""
+        return self.entries(text).tolist()
+
+    def entries(self, text: str) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.int32)
+        tables = self._tables(text)
+        before = [0, *accumulate([int(t[-1]) for t in tables])]
+        if all(type(t) is bytes for t in tables):
+            within = np.frombuffer(b"".join(tables), np.uint8).astype(np.int32)
+        else:
+            within = np.concatenate([np.frombuffer(t, np.uint8).astype(np.int32) if type(t) is bytes else t for t in tables])
+        within += np.repeat(np.array(before[:-1], np.int32), [len(t) for t in tables])
+        return within[1:]  # the space that the library puts before a text is no prefix of it
+
+    def total(self, text: str) -> int:
+        table = self.entries(text)
+        return int(table[-1]) if len(table) else 0
+
+    @staticmethod
+    def at(text: str, table: list[int] | np.ndarray, n_chars: int) -> int:
+        """Tokens of ``text[:n_chars]``, off the table."""
+        return int(table[min(n_chars, len(table)) - 1]) if n_chars > 0 and len(table) else 0
+
+    @staticmethod
+    def fit(text: str, table: list[int] | np.ndarray, budget: int) -> int:
+        """The most characters of a prefix that has at most ``budget`` tokens, off the table."""
+        within = np.flatnonzero(np.asarray(table) <= budget)
+        return int(within[-1]) + 1 if len(within) else 0
 
 
 @lru_cache(maxsize=2)
@@ -127,47 +178,64 @@ def _counter(model: str) -> PrefixCounter:
     return PrefixCounter(model)
 
 
-def _learned(counter: PrefixCounter, run: list[str]) -> list[str]:
-    units: set[str] = set()
-    for text in run:
-        if text and "  " not in text and "▁" not in text and text[-1] != " " and text[0] != " ":
-            units.update(text.split(" "))
-    counter.learn({u for u in units if len(u) <= LONG_UNIT})
-    return run
+def _texts(counter: PrefixCounter, column: pa.Array) -> Iterator[str]:
+    """The texts, in runs of about 2 MB whose units are asked of the library together."""
+    run, size = [], 0
+
+    def learned():
+        units = {u for text in run for u in counter.units(text) if len(u) <= LONG_UNIT}
+        counter.learn(units)
+        return run
+
+    for text in column.to_pylist():
+        run.append(text or "")
+        size += len(run[-1])
+        if size > 2_000_000:
+            yield from learned()
+            run, size = [], 0
+    yield from learned()
 
 
-def token_count(text: Column, model: str) -> Column:
-    """The exact count for a whole text, the last entry of its prefix table; a null text has 0."""
+def token_counts(text: Column, model: str, limit: int) -> Column:
+    """A struct of n_tokens, the last entry of a text's prefix table, and ``fit_chars``, the characters of its longest prefix within ``limit`` tokens; a null text has 0."""
 
     def count(column: pa.Array) -> pa.Array:
-        return pa.array([c.total(t) for c, run in _batches(model, column) for t in run], pa.int64())
+        counter, n, fit = _counter(model), [], []
+        for t in _texts(counter, column):
+            table = counter.entries(t)
+            n.append(int(table[-1]) if len(table) else 0)
+            # no prefix has more tokens than bytes, so that most texts need no search
+            fit.append(len(t) if n[-1] <= limit else counter.fit(t, table, limit))
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(fit, pa.int64())], ["n_tokens", "fit_chars"])
 
-    return F.arrow_udf(count, "long")(text)
+    return F.arrow_udf(count, "n_tokens long, fit_chars long")(text)
 
 
 def prefix_counts(text: Column, model: str) -> Column:
-    """The prefix table: for each unit of the text, in order, the tokens of the prefix that ends with it."""
+    """The prefix table: for each character of the text, in order, the tokens of the prefix that ends with it."""
 
     def count(column: pa.Array) -> pa.Array:
-        return pa.array([c.table(t) for c, run in _batches(model, column) for t in run], pa.list_(pa.int32()))
+        counter = _counter(model)
+        return pa.array([counter.entries(t) for t in _texts(counter, column)], pa.list_(pa.int32()))
 
     return F.arrow_udf(count, "array<int>")(text)
 
 
-def truncation(text: Column, table: Column, budget: int, model: str) -> Column:
-    """Characters of the longest prefix of whole units within ``budget`` tokens, read off a stored prefix table."""
+def truncation(table: Column, budget: int) -> Column:
+    """Characters of the longest prefix within ``budget`` tokens, read off a stored prefix table."""
+    return F.coalesce(F.array_max(F.transform(table, lambda n, i: F.when(n <= budget, i + 1))), F.lit(0)).cast("long")
 
-    def fit(texts: pa.Array, tables: pa.Array) -> pa.Array:
-        c = _counter(model)
-        return pa.array([c.fit(t or "", p or [], budget) for t, p in zip(texts.to_pylist(), tables.to_pylist())], pa.int64())
 
-    return F.arrow_udf(fit, "long")(text, table)
+def tokens_at(table: Column, n_chars: int) -> Column:
+    """Tokens of the first ``n_chars`` characters, read off a stored prefix table."""
+    return F.when((F.size(table) == 0) | F.lit(n_chars <= 0), 0).otherwise(F.element_at(table, F.least(F.size(table), F.lit(max(1, n_chars)))))
 
 
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit): a row for each row of ``docs``, repeated rows included.
+    """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit), fit_chars: a row for each row of ``docs``, repeated rows included.
 
-    A null text is empty: 0 bytes and tokens. A null doc_id stays null. Other columns of ``docs`` are not read. An empty
-    table gives an empty table. Nothing is shuffled."""
-    n = in_small_batches(docs).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), token_count(F.col("text"), model).alias("n_tokens"))
-    return n.withColumn("over_limit", F.col("n_tokens") > limit)
+    ``fit_chars`` is the length of the longest prefix within ``limit`` tokens. A null text is empty: 0 bytes and tokens. A
+    null doc_id stays null. A very long text has a table of four bytes a character while it is counted. Other columns of
+    ``docs`` are not read. An empty table gives an empty table. Nothing is shuffled."""
+    n = in_small_batches(docs).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), token_counts(F.col("text"), model, limit).alias("t"))
+    return n.select("doc_id", "n_bytes", "t.n_tokens", (F.col("t.n_tokens") > limit).alias("over_limit"), "t.fit_chars")

@@ -285,10 +285,24 @@ def test_token_counts_and_prefixes(spark, docs):
 def test_stored_prefix_tables(spark):
     from pyspark.sql import functions as F
 
-    df = spark.createDataFrame([("one two  three",), ("",), (None,)], "text string")
-    stored = df.withColumn("prefix", tokens.prefix_counts(F.col("text"), MODEL))
-    got = stored.select("text", "prefix", tokens.truncation(F.col("text"), F.col("prefix"), 2, MODEL).alias("fit")).collect()
-    assert [r["prefix"] for r in got[1:]] == [[], []] and got[0]["prefix"] == sorted(got[0]["prefix"]) and got[0]["fit"] == len("one two")
+    library, rng = sentencepiece.SentencePieceProcessor(model_file=MODEL), random.Random(4)
+    odd = ["".join(rng.choice(["tion", "re", "ing", "A", "é", "漢", "字", "🙂", "7", "-", " ", "  ", "\n", "<s>", "▁"]) for _ in range(rng.randrange(1, 40))) for _ in range(150)]
+    texts = ["one two  three", "", None, "x" * 300, "漢字かな" * 40, prose(rng, "de", 80), " lead and trail  ", *odd]
+    stored = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("prefix", tokens.prefix_counts(F.col("text"), MODEL))
+    got = stored.select("text", "prefix", tokens.truncation(F.col("prefix"), 9).alias("fit"), tokens.tokens_at(F.col("prefix"), 5).alias("five")).collect()
+    for r in got:
+        text = r["text"] or ""
+        want = [len(library.encode(text[:k])) for k in range(len(text) + 1)]
+        assert r["prefix"] == want[1:]
+        assert r["fit"] == max(k for k, n in enumerate(want) if n <= 9) and r["five"] == want[min(5, len(text))]
+
+
+def test_prefix_counts_need_no_library():
+    counter, rng = tokens.PrefixCounter(MODEL), random.Random(5)
+    library = counter.library
+    for _ in range(2000):
+        unit = "▁" + "".join(rng.choice(["tion", "re", "ing", "the", "A", "é", "漢", "🙂", "7", "-", "q", "\n"]) for _ in range(rng.randrange(1, 9)))
+        assert counter.counts(unit) == [1, *(len(library.encode(unit[1:k])) for k in range(2, len(unit) + 1))]
 
 
 def test_benchmark_passages(spark):
