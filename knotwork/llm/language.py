@@ -7,8 +7,9 @@ and its code in the next shorter context, at last 8 bits. The language with the
 the first by code point among equals. A text is coded as if three line feeds stood before it.
 
 The counts come from a bounded sample of labelled texts, whole ones: about ``SAMPLE`` for each language, picked by a hash
-of doc_id, so that the sample does not grow with the table. The longest contexts are kept for the ``CONTEXTS`` most
-frequent of them; others are coded in shorter contexts."""
+of doc_id, so that the sample does not grow with the table. Every value of ``lang`` in the training texts is learned, and
+every context of the sample is kept. The tables have a column for each language, so memory follows the languages times the
+contexts of the sample, and time the languages times the bytes of text."""
 
 from __future__ import annotations
 
@@ -24,12 +25,7 @@ from knotwork.llm import text as tx
 
 #: Expected training texts of a language.
 SAMPLE = 3000
-CONTEXTS = 1 << 16
-#: Languages learned, the most frequent ones.
-LANGUAGES = 256
 ORDER = 3
-#: Bytes of text whose evidence the confidence counts.
-EVIDENCE = 64
 STEP = 1 << 19
 UNKNOWN = "und"
 #: A text that costs more bits a byte in every language is in none of them: bytes never seen in training cost as much, while keys and numbers among words cost less.
@@ -64,6 +60,24 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"code": pa.array(code.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
 
 
+class Slots:
+    """The numbers, from 1, of sorted (context, byte) pairs: a bit for each byte of a context, and how many pairs come before each 64 of them."""
+
+    def __init__(self, context: np.ndarray, byte: np.ndarray, contexts: int, size: int):
+        self.wide = -(-size // 64)
+        word = context * self.wide + (byte >> 6)
+        self.bits = np.zeros(contexts * self.wide, np.uint64)
+        np.bitwise_or.at(self.bits, word, np.uint64(1) << (byte & 63).astype(np.uint64))
+        self.before = np.searchsorted(word, np.arange(contexts * self.wide)).astype(np.int32)
+
+    def find(self, context: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The pair's number, or 0."""
+        word = context * self.wide + (byte >> 6)
+        bits, at = self.bits[word], (byte & 63).astype(np.uint64)
+        lower = np.bitwise_count(bits & ((np.uint64(1) << at) - np.uint64(1)))
+        return np.where((bits >> at) & np.uint64(1), self.before[word] + lower + 1, 0)
+
+
 class Model:
     """The context trees of all languages as tables. Row 0 of a table stands for what was not seen."""
 
@@ -86,21 +100,13 @@ class Model:
             for i in range(ORDER - order, ORDER):
                 context = context * size + quads[i]
             keys, inverse = np.unique(context, return_inverse=True)
-            if order == ORDER and len(keys) > CONTEXTS:
-                total = np.bincount(inverse, n, len(keys))
-                best = np.sort(np.argsort(-total, kind="stable")[:CONTEXTS])
-                kept = np.isin(inverse, best)
-                keys, inverse = np.unique(context[kept], return_inverse=True)
-                l, byte, count = lang[kept], quads[ORDER][kept], n[kept]
-            else:
-                l, byte, count = lang, quads[ORDER], n
+            byte = quads[ORDER]
             ids = np.zeros(size**order, np.int32)
             ids[keys] = np.arange(1, len(keys) + 1)
             pair, where = np.unique((inverse + 1) * size + byte, return_inverse=True)
-            slot = np.zeros((len(keys) + 1) * size, np.int32)
-            slot[pair] = np.arange(1, len(pair) + 1)
+            slots = Slots(pair // size, pair % size, len(keys) + 1, size)
             seen = np.zeros((len(pair) + 1, many))
-            np.add.at(seen, (where + 1, l), count)
+            np.add.at(seen, (where + 1, lang), n)
             total, kinds = np.zeros((len(keys) + 1, many)), np.zeros((len(keys) + 1, many))
             np.add.at(total, pair // size, seen[1:])
             np.add.at(kinds, pair // size, seen[1:] > 0)
@@ -111,16 +117,16 @@ class Model:
             shorter = lower(full % size ** max(0, order - 1), pair % size)
             cost = np.zeros((len(pair) + 1, many), np.float32)
             cost[1:] = np.where(seen[1:] > 0, own, escape[pair // size] + shorter)
-            self.levels.append((ids, slot, cost, escape))
+            self.levels.append((ids, slots, cost, escape))
             lower = lambda context, byte, order=order: self.bits(order, context, byte)
 
     def bits(self, order: int, context: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """Code lengths under each language of bytes in contexts of ``order`` symbols."""
         if order < 0:
             return np.full((len(byte), len(self.languages)), 8.0, np.float32)
-        ids, slot, cost, escape = self.levels[order]
+        ids, slots, cost, escape = self.levels[order]
         known = ids[context]
-        found = slot[known * self.size + byte]
+        found = slots.find(known, byte)
         out = cost[found]
         missing = np.flatnonzero(found == 0)
         if len(missing):
@@ -147,11 +153,10 @@ class Model:
         best, score, rate = (np.zeros(len(column), t) for t in (np.int64, float, float))
         for a, b, data, offsets in tx.groups(column):
             bits = self.code_lengths(data, offsets)
-            n = np.maximum(1, np.diff(offsets))
             best[a:b] = bits.argmin(axis=1)
             least = bits.min(axis=1)
-            score[a:b] = 1 / np.exp2((least[:, None] - bits) * np.minimum(1, EVIDENCE / n)[:, None]).sum(axis=1)
-            rate[a:b] = least / n
+            score[a:b] = 1 / np.exp2(least[:, None] - bits).sum(axis=1)
+            rate[a:b] = least / np.maximum(1, np.diff(offsets))
         return best, score, rate
 
 
@@ -169,7 +174,7 @@ def _loaded(key: str, shared) -> Model:
 def train(docs: DataFrame, folds: int = 4, fold: int = 2, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, codes, counts): the four-byte windows of the sampled texts of all folds but ``fold``."""
     known = tx.in_small_batches(docs).where(~held_out(F.col("doc_id"), folds, fold) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = sorted((r["lang"], r["n"]) for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
+    counts = sorted((r["lang"], r["n"]) for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect())  # one row for each language
     spark = docs.sparkSession
     if not counts:
         return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -200,8 +205,10 @@ def predictions(text: Column, spark, trained: tuple[list[str], np.ndarray, np.nd
 def identify(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred, score, bits_per_byte for each row of ``docs``, repeated rows included.
 
-    Learns from text and non-null lang outside the held-out fold. Null and empty texts are ``und``. Without any training
-    text all rows are ``und``. Columns of other names are not read. An empty table gives an empty table."""
+    Learns from text and non-null lang outside the held-out fold. Null and empty texts are ``und``. The score is the share
+    that the language has of all languages' probabilities of the text; of equal ones the first by code point counts. A very
+    long text is coded whole, ``STEP`` bytes at a time. Without any training text all rows are ``und``. Columns of other
+    names are not read. An empty table gives an empty table."""
     p = predictions(F.col("text"), docs.sparkSession, train(docs, folds, fold))
     out = docs.select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), p.alias("p"))
     return out.select("doc_id", "held_out", "p.*")

@@ -71,6 +71,16 @@ def test_context_trees_against_plain_recursion():
         assert np.allclose(got, want, atol=1e-3)
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(7)
+    alphabet = [chr(0x4E00 + i) for i in range(600)]
+    rows = [(3 * k + c, "".join(rng.choice(alphabet[2 * k : 2 * k + 2]) for _ in range(20)), f"l{k:03}", "s", 1) for k in range(300) for c in range(3)]
+    got = {r["doc_id"]: r for r in language.identify(spark.createDataFrame(rows, DOCS)).collect()}
+    learned = {lang for i, _, lang, _, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len(learned) > 290
+    assert all(got[i]["lang_pred"] == lang for i, _, lang, _, _ in rows if lang in learned)
+
+
 def test_language_of_held_out_texts(docs):
     known = {r["doc_id"]: r["lang"] for r in docs.where("doc_id < 280 AND length(text) > 40").collect()}
     got = [r for r in language.identify(docs).collect() if r["doc_id"] in known and r["held_out"]]
