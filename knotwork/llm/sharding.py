@@ -7,16 +7,16 @@ the shards left has a shard of its own, and the others share the rest.
 
 What the driver packs is bounded by the number of shards: groups of at least a grain (the target capacity divided by
 ``GRAINS``) are items on their own, and the smaller groups are items together, by hash, of about half a grain. No group
-is ever split. Sizes of a shard then differ by about a grain, but for groups with a shard of their own.
-
-A null text counts as empty (size 1, checksum 0) and groups with the empty texts. Null and repeated doc_ids are rows
-like any other, other columns are not read, an empty table gives an empty table."""
+is ever split. Sizes of a shard then differ by about a grain, but for groups with a shard of their own. With a capacity
+the number of shards grows with the table, and nothing is packed by the driver."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from knotwork.plans.lineage import cut
@@ -24,6 +24,8 @@ from knotwork.plans.lineage import cut
 GRAINS = 512
 #: Parts of a shard by hash, in which slots are numbered apart.
 PARTS = 2048
+#: Shards of a capacity that a task packs, and shards up to which what is told of them is broadcast.
+CELL, BROADCAST = 64, 64
 
 
 @dataclass
@@ -159,33 +161,72 @@ def pack_into(sizes: list[int], shards: int) -> list[int]:
     return [shard[i] for i in range(len(sizes))]
 
 
-def pack(docs: DataFrame, shards: int | None = 16, capacity: int | None = None) -> DataFrame:
+def _pack_cell(capacity: int):
+    """Best fit decreasing over the items of a cell, whose number is bounded."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        rows.sort(key=_descending)
+        placed = best_fit_decreasing([r["bytes"] for r in rows], capacity)
+        return pa.table({"cell": table["cell"], **{c: pa.array([r[c] for r in rows], pa.int64()) for c in ("a", "b")}, "local": pa.array(placed, pa.int32())})
+
+    return run
+
+
+def _descending(r: dict) -> tuple:
+    return -r["bytes"], r["b"] is None, r["a"], r["b"] or 0
+
+
+def pack(docs: DataFrame, shards: int | None = 16, capacity: int | None = None, order: tuple[Column, Column] | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for each row of ``docs``.
 
-    Give a number of shards, or None and a capacity in bytes, whose number of shards is then kept low. ``slot`` counts the
-    rows of a shard from 0 without gaps. The law is ``bytes``."""
+    Give a number of shards, or None and a capacity in bytes, whose number of shards is then kept low: groups are dealt by
+    hash to cells of about ``CELL`` shards, and a task packs each cell, so that a cell has at most one shard that is not full.
+    ``slot`` counts the rows of a shard from 0 without gaps, by ``order`` (a run of rows, the place in it) where it is given,
+    else by hash and doc_id. The law is ``bytes``.
+
+    A null text counts as empty (size 1, checksum 0) and groups with the empty texts; a very long text is a group of its
+    size, alone in a shard where that is above the mean or the capacity. Groups of equal size go by their hash. Null and
+    repeated doc_ids are rows like any other, other columns are not read, an empty table gives an empty table."""
     text = F.coalesce("text", F.lit(""))
-    rows = cut(docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")))
+    run, place = order or (F.pmod(F.xxhash64("doc_id", text), F.lit(PARTS)), F.struct("doc_id"))
+    rows = cut(docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), run.alias("run"), place.alias("place")))
     groups = rows.groupBy("a", "b").agg(F.sum("size").alias("bytes"))
     total = rows.agg(F.sum("size")).first()[0] or 0
-    shards_wanted = shards or max(1, -(-total // capacity))
-    grain = max(1, total // (shards_wanted * GRAINS))
-    bundles = 2 * GRAINS * shards_wanted
-    large = F.col("bytes") >= grain
-    items = (
-        groups.groupBy(F.when(large, F.col("a")).otherwise(F.pmod("a", F.lit(bundles))).alias("a"), F.when(large, F.col("b")).alias("b")).agg(F.sum("bytes").alias("bytes"))
-    ).toArrow().to_pylist()  # at most 3 * GRAINS for each shard
-    items.sort(key=lambda r: (-r["bytes"], r["b"] is None, r["a"], r["b"] or 0))
-    sizes = [r["bytes"] for r in items]
-    placed = pack_into(sizes, shards) if shards else best_fit_decreasing(sizes, capacity)
-    spark = docs.sparkSession
-    whole = spark.createDataFrame([(r["a"], r["b"], s) for r, s in zip(items, placed) if r["b"] is not None], "a long, b long, own int")
-    bundled = spark.createDataFrame([(r["a"], s) for r, s in zip(items, placed) if r["b"] is None], "bundle long, shared int")
-    dealt = rows.join(F.broadcast(whole), ["a", "b"], "left").withColumn("bundle", F.pmod("a", F.lit(bundles))).join(F.broadcast(bundled), "bundle", "left")
-    dealt = dealt.select("doc_id", "size", "text_crc32", "a", F.coalesce("own", "shared").alias("shard"), F.pmod(F.xxhash64("doc_id", "b"), F.lit(PARTS)).alias("part"))
-    before = dealt.groupBy("shard", "part").agg(F.count("*").alias("n"))
-    ahead = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = before.select("shard", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))  # at most PARTS for each shard
-    at = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "a")
-    numbered = dealt.withColumn("at", F.row_number().over(at)).join(F.broadcast(before), ["shard", "part"])
+    wanted = shards or max(1, -(-total // capacity))
+    cells = 1 if shards else -(-wanted // CELL)
+    grain = max(1, (capacity or total // wanted) // GRAINS)
+    bundles = 2 * GRAINS * min(wanted, CELL if not shards else wanted)
+    cell, bundle, large = F.pmod("b", F.lit(cells)).alias("cell"), F.pmod("a", F.lit(bundles)), F.col("bytes") >= grain
+    items = groups.groupBy(cell, F.when(large, F.col("a")).otherwise(bundle).alias("a"), F.when(large, F.col("b")).alias("b")).agg(F.sum("bytes").alias("bytes"))
+    hint = F.broadcast if wanted <= BROADCAST else lambda df: df  # at most 3 * GRAINS + PARTS rows for each shard
+    if shards:
+        found = sorted(items.toArrow().to_pylist(), key=_descending)
+        placed = docs.sparkSession.createDataFrame([(0, r["a"], r["b"], s) for r, s in zip(found, pack_into([r["bytes"] for r in found], shards))], "cell int, a long, b long, shard int")
+    else:
+        packed = cut(items.select(F.col("cell").cast("int"), "a", "b", "bytes").groupBy("cell").applyInArrow(_pack_cell(capacity), "cell int, a long, b long, local int"))
+        used = packed.groupBy("cell").agg((F.max("local") + 1).alias("n"))
+        ahead = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # one row for each cell
+        first = used.select("cell", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("first"))
+        placed = packed.join(F.broadcast(first), "cell").select("cell", "a", "b", (F.col("first") + F.col("local")).cast("int").alias("shard"))
+    whole = placed.where("b IS NOT NULL").select("a", "b", F.col("shard").alias("own"))
+    bundled = placed.where("b IS NULL").select("cell", F.col("a").alias("bundle"), F.col("shard").alias("shared"))
+    dealt = rows.join(hint(whole), ["a", "b"], "left").withColumn("cell", cell.cast("int")).withColumn("bundle", bundle).join(hint(bundled), ["cell", "bundle"], "left")
+    dealt = dealt.select("doc_id", "size", "text_crc32", "a", F.coalesce("own", "shared").alias("shard"), "run", "place")
+    before = dealt.groupBy("shard", "run").agg(F.count("*").alias("n"))
+    ahead = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    before = before.select("shard", "run", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    at = Window.partitionBy("shard", "run").orderBy("place", "text_crc32", "a")
+    numbered = dealt.withColumn("at", F.row_number().over(at)).join(before if order else hint(before), ["shard", "run"])
     return numbered.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("before") + F.col("at") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+def stored_order(docs: DataFrame) -> tuple[Column, Column] | None:
+    """The order in which a range-sorted table was written, for ``pack``, if ``docs`` is one read from files: the writing task, and the file and row."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        return None
+    name = F.col("_metadata.file_name")
+    task = F.regexp_extract(name, r"part-(\d+)", 1)
+    return F.when(task != "", task.cast("long")).otherwise(0), F.struct(name, F.col("_metadata.row_index"))
