@@ -211,6 +211,35 @@ def test_shards_of_a_capacity(docs):
     assert sum(n > 20_000 for n in load.values()) <= 1 and len(load) <= 3 + sum(load.values()) // 20_000
 
 
+def test_cells_of_a_capacity(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CELL", 8)
+    rng = random.Random(17)
+    texts = ["y" * 30_000] * 3 + [str(i) + "x" * rng.randrange(2000) for i in range(1500)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS).repartition(4)
+    rows = sharding.pack(df, None, 40_000).collect()
+    load, group, slots = Counter(), {}, defaultdict(list)
+    for r in rows:
+        load[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+        assert group.setdefault(texts[r["doc_id"]], r["shard"]) == r["shard"]
+    wanted = -(-sum(load.values()) // 40_000)
+    assert sorted(load) == list(range(len(load))) and len(load) <= wanted + -(-wanted // 8) + 2
+    assert sorted(load.values())[-1] == 3 * 30_001 and sorted(load.values())[-2] <= 40_000
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_slots_follow_the_order_of_the_files(spark, tmp_path):
+    df = spark.range(500).selectExpr("id AS doc_id", "concat('text ', hash(id)) AS text", "hash(id) AS position")
+    df.orderBy("position").drop("position").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    want = {r["doc_id"]: r["position"] for r in df.collect()}
+    slots = defaultdict(dict)
+    for r in sharding.pack(docs, 4, order=sharding.stored_order(docs)).collect():
+        slots[r["shard"]][r["slot"]] = want[r["doc_id"]]
+    assert all([s[k] for k in range(len(s))] == sorted(s.values()) for s in slots.values()) and sum(map(len, slots.values())) == 500
+    assert sharding.stored_order(df) is None
+
+
 def png(rows, kinds, width):
     """An image whose rows have the given filters, written from their definition."""
     lines, prior = b"", [0] * width
