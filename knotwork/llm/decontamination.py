@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.llm import text as tx
+from knotwork.plans.lineage import cut
 
 BITS = 18
 PASSAGE = 48
@@ -34,6 +35,8 @@ RANK = 256
 COSINE = 0.4
 #: Words in a larger share of documents do not count in the retrieval, or as ``FLOOR`` where the benchmark has them.
 COMMON, FLOOR = 0.1, 0.1
+#: The most that frequent words may give to a product with any passage, for them to be left out of windows' vectors.
+LEAN = 0.25
 #: Bytes of text searched at once.
 PIECE = 1 << 19
 #: Share of a passage, and of its last words, that must come in order.
@@ -80,8 +83,7 @@ def passages(benchmark: DataFrame) -> DataFrame:
 
     def cut_up(batches):
         for batch in batches:
-            ids = batch.column("item_id")
-            item, part, lists = [], [], []
+            at, part, lists = [], [], []
             for a, b, data, offsets in tx.groups(batch.column("text")):
                 h, _, _, first = tx.words(data, offsets, core=True)
                 for i in range(b - a):
@@ -90,12 +92,12 @@ def passages(benchmark: DataFrame) -> DataFrame:
                     between = [w[len(w) * (2 * k + 1) // (2 * m) : len(w) * (2 * k + 3) // (2 * m)] for k in range(m - 1)]
                     for k, x in enumerate([*np.array_split(w, m), *between]):
                         if len(x):
-                            item.append(ids[a + i].as_py())
+                            at.append(a + i)
                             part.append(k)
                             lists.append(x)
-            yield pa.record_batch({"item_id": pa.array(item, pa.int64()), "part": pa.array(part, pa.int32()), "words": pa.array(lists, pa.list_(pa.int64()))})
+            yield pa.record_batch({"item_id": batch.column("item_id").take(pa.array(at, pa.int64())), "part": pa.array(part, pa.int32()), "words": pa.array(lists, pa.list_(pa.int64()))})
 
-    return benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(cut_up, "item_id long, part int, words array<long>")
+    return benchmark.select("item_id", "text").mapInArrow(cut_up, f"item_id {benchmark.schema['item_id'].dataType.simpleString()}, part int, words array<long>")
 
 
 def _rows(lists: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,7 +136,7 @@ def latent_space(parts: DataFrame, idf: np.ndarray, terms: np.ndarray, rank: int
             used = np.flatnonzero(np.any(total, axis=1))
             yield pa.record_batch({"term": pa.array(used), "row": pa.array([r.tobytes() for r in total[used]], pa.binary())})
 
-        got = parts.select("words").coalesce(4).mapInArrow(product, "term long, row binary").toArrow()
+        got = parts.select("words").mapInArrow(product, "term long, row binary").toArrow()
         basis = np.zeros((len(terms), rank))
         if got.num_rows:
             np.add.at(basis, got["term"].to_numpy(), np.stack([np.frombuffer(x, np.float32) for x in got["row"].to_pylist()]))
@@ -192,11 +194,18 @@ class Searcher:
         self.where[idf == 0] = -1
         self.space = space * idf[terms][:, None]
         row, term, x = _rows([w for _, _, w in items], idf)
+        self.square = idf**2
         latent = np.zeros((len(items), space.shape[1]), np.float32)
         np.add.at(latent, row, (x[:, None] * space[np.searchsorted(terms, term)]).astype(np.float32))
         # against COSINE times its own product, so that what the space leaves of a passage is asked of a window
         self.latent = latent / np.maximum((latent**2).sum(axis=1, keepdims=True), 1e-6)
-        self.least = COSINE / max(1e-6, float(np.linalg.norm(self.latent, axis=1).max(initial=0)))
+        self.most = max(1e-6, float(np.linalg.norm(self.latent, axis=1).max(initial=0)))
+        # how much of a passage's product words of the least weight can give, for a window that has no others
+        self.frequent = np.zeros(1 << BITS, bool)
+        self.frequent[terms[idf[terms] <= FLOOR]] = True
+        # (without passages that rest on them they are left out of windows' vectors, which then need less by as much)
+        self.most_frequent = float(np.linalg.norm(space[self.frequent[terms]] @ self.latent.T, axis=0).max(initial=0))
+        self.lean = self.most_frequent <= LEAN
         self.length = np.array([len(w) for _, _, w in items], np.int64)
         self.pairs_needed = np.array([pairs_needed(n) for n in self.length], np.int64)
         single = [w.view(np.uint64) if len(w) == 1 else w[:0].view(np.uint64) for _, _, w in items]
@@ -280,23 +289,26 @@ class Searcher:
         term = _terms(h)
         doc = np.repeat(np.arange(len(count)), count)
         step = base[doc] + (np.arange(len(h)) - first[doc]) // STEP
-        square = self.idf[term] ** 2
+        square = self.square[term]
         at = self.where[term]
         inside = at >= 0
-        norm, most = np.bincount(step, square, base[-1]), np.bincount(step[inside], square[inside], base[-1])
+        frequent = self.frequent[term]
+        rare = inside & ~frequent
+        norm, most, least = np.bincount(step, square, base[-1]), np.bincount(step[rare], square[rare], base[-1]), np.bincount(step[frequent], square[frequent], base[-1])
         owner = np.repeat(np.arange(len(count)), steps)
-        # a window's latent vector is no longer than the part of it that is in the benchmark's words: only where that part
-        # is enough are vectors made
+        # a window's product with a passage is no more than its rare words' length times the passage's, and its frequent
+        # words' length times what of the passage these can give: only where that is enough are vectors made
         widths, width, needed = [], 1, np.zeros(base[-1] + WIDTHS[-1], bool)
         while width < WIDTHS[-1]:
-            norm, most = self._doubled(norm, owner, width), self._doubled(most, owner, width)
+            norm, most, least = (self._doubled(x, owner, width) for x in (norm, most, least))
             width *= 2
             if width in WIDTHS:
-                rows = np.flatnonzero(most >= self.least**2 * np.maximum(norm, 1e-9))
-                widths.append((width, rows, np.sqrt(norm[rows]).astype(np.float32)))
+                rows = np.flatnonzero((np.sqrt(most) * self.most + np.sqrt(least) * self.most_frequent >= COSINE * np.sqrt(norm)) & (norm > 0))
+                needs = COSINE * np.sqrt(norm[rows]) - (np.sqrt(least[rows]) * self.most_frequent if self.lean else 0)
+                widths.append((width, rows, needs.astype(np.float32)))
                 for k in range(width):
                     needed[rows + k] = True
-        used = np.flatnonzero(inside & needed[step])
+        used = np.flatnonzero((rare if self.lean else inside) & needed[step])
         if not len(used):
             return
         starts = np.flatnonzero(np.diff(step[used], prepend=-1))
@@ -305,14 +317,14 @@ class Searcher:
         place[made] = np.arange(len(made))
         sums = np.zeros((len(made) + 1, self.space.shape[1]), np.float32)
         sums[:-1] = np.add.reduceat(self.space[at[used]], starts, axis=0)
-        for width, rows, size in widths:
+        for width, rows, needs in widths:
             last = base[owner[rows] + 1] - 1
             vectors = np.zeros((len(rows), self.space.shape[1]), np.float32)
             for k in range(width):
                 there = rows + k <= last
                 vectors[there] += sums[place[rows[there] + k]]
             for i in range(0, len(self.items), ITEMS):
-                r, k = np.nonzero(vectors @ self.latent[i : i + ITEMS].T >= COSINE * size[:, None])
+                r, k = np.nonzero(vectors @ self.latent[i : i + ITEMS].T >= needs[:, None])
                 for x, y in zip(rows[r].tolist(), (k + i).tolist()):
                     yield int(owner[x]), int(first[owner[x]] + (x - base[owner[x]]) * STEP), y
 
@@ -364,26 +376,25 @@ class Searcher:
         return len(found) if covered(words, found) else 0
 
 
-def searchers(docs: DataFrame, benchmark: DataFrame) -> list:
-    """Broadcast arguments of ``Searcher``, one for each round of at most about ``ROUND`` passages; none without passages."""
+def rounds(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
+    """(broadcast arguments of ``Searcher``, whether it is the last round) for each round of at most about ``ROUND`` passages, made when asked for; none without passages."""
     parts = passages(benchmark)
     tx.in_small_batches(docs)
     n = parts.count()
     if not n:
-        return []
+        return
     df, total = document_frequencies(docs)
     idf = np.where(df > COMMON * total, 0, np.log((total + 1) / (df + 0.5))).clip(0).astype(np.float32)
-    rounds, out = -(-n // ROUND), []
-    for r in range(rounds):
-        own = parts.where(F.pmod(F.xxhash64("item_id", "part", "words"), F.lit(rounds)) == r) if rounds > 1 else parts
-        got = own.toArrow().sort_by([("item_id", "ascending"), ("part", "ascending")])
+    many = -(-n // ROUND)
+    for k in range(many):
+        own = parts.where(F.pmod(F.xxhash64("item_id", "part", "words"), F.lit(many)) == k) if many > 1 else parts
+        got = own.toArrow().sort_by([("item_id", "ascending"), ("part", "ascending")])  # about ROUND
         items = list(zip(got["item_id"].to_pylist(), got["part"].to_pylist(), (np.array(x, np.int64) for x in got["words"].to_pylist())))
         if items:
             terms = np.unique(_terms(np.concatenate([w for _, _, w in items]).view(np.uint64)))
             weights = idf.copy()
             weights[terms] = np.maximum(weights[terms], FLOOR)
-            out.append(docs.sparkSession.sparkContext.broadcast((items, weights, terms, latent_space(own, weights, terms))))
-    return out
+            yield docs.sparkSession.sparkContext.broadcast((items, weights, terms, latent_space(own, weights, terms), got.schema.field("item_id").type)), k == many - 1
 
 
 _latest: list = []
@@ -392,7 +403,7 @@ _latest: list = []
 def _searcher(value: tuple) -> Searcher:
     """The searcher of a broadcast value, made once in each Python worker."""
     if not _latest or _latest[0] is not value:
-        _latest[:] = [value, Searcher(*value)]
+        _latest[:] = [value, Searcher(*value[:4])]
     return _latest[1]
 
 
@@ -409,9 +420,10 @@ def _links_of(shared, column: pa.Array) -> Iterator[tuple[int, int, int, int, in
 def _found(shared):
     def search(batches):
         for batch in batches:
-            ids = batch.column("doc_id")
-            rows = [(ids[r[0]].as_py(), *r[1:]) for r in _links_of(shared, batch.column("text"))]
-            yield pa.record_batch([pa.array([x[k] for x in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=["doc_id", "item_id", "part", "common_words", "passage_words"])
+            rows = list(_links_of(shared, batch.column("text")))
+            at = pa.array([x[0] for x in rows], pa.int64())
+            kinds = ("item_id", None), ("part", pa.int32()), ("common_words", pa.int64()), ("passage_words", pa.int64())
+            yield pa.record_batch({"doc_id": batch.column("doc_id").take(at), **{name: pa.array([x[k] for x in rows], kind or shared.value[4]) for k, (name, kind) in enumerate(kinds, 1)}})
 
     return search
 
@@ -429,16 +441,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, part, common_words, passage_words: a row for each document and item of which it has a passage.
 
     Null and wordless texts have no passage, on either side; a null doc_id is reported as null. Items of equal text are
-    reported each. Rows of ``docs`` that repeat repeat their links. Other columns are not read. Without documents or items
-    the result is empty. No text is shuffled; the items' words are broadcast in rounds of ``ROUND`` passages."""
-    schema = "doc_id long, item_id long, part int, common_words long, passage_words long"
-    found = [docs.select("doc_id", "text").mapInArrow(_found(shared), schema) for shared in searchers(docs, benchmark)]
+    reported each; of an item's passages that a document has the first found. Rows of ``docs`` that repeat repeat their
+    links. A very long text is searched whole. Other columns are not read. Without documents or items the result is empty.
+    No text is shuffled; the items' words are broadcast in rounds of ``ROUND`` passages, one at a time."""
+    item = benchmark.schema["item_id"].dataType.simpleString()
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {item}, part int, common_words long, passage_words long"
+    found = []
+    for shared, last in rounds(docs, benchmark):
+        now = docs.select("doc_id", "text").mapInArrow(_found(shared), schema)
+        if not last:  # the round is done before the next one's items are sent
+            now = cut(now)
+            shared.unpersist()
+        found.append(now)
     return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], schema)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no passage of the benchmark, with all their columns; null and empty texts stay."""
+    """The rows of ``docs`` that hold no passage of the benchmark, with all their columns; null and empty texts stay.
+
+    Repeated rows stay or go together. A benchmark of several rounds writes the rows that each leaves to the shared folder."""
     clean = docs
-    for shared in searchers(docs, benchmark):
+    for shared, last in rounds(docs, benchmark):
         clean = clean.where(~_dirty(shared)("text"))
+        if not last:
+            clean = cut(clean)
+            shared.unpersist()
     return clean
