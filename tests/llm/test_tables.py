@@ -384,6 +384,53 @@ def test_verbatim_passages_whatever_surrounds_them(spark):
     assert {r["doc_id"] for r in decontamination.clean_documents(docs, bench).collect()} == set(range(120)) - {d for d, _ in want}
 
 
+@pytest.mark.parametrize("shared", [(1, 1), (5, 5), (12, 2), (40, 21)])
+def test_however_widely_a_passage_leaked(spark, shared):
+    rng, (n, leaked) = random.Random(18), shared
+    passage = prose(rng, "en", 25)
+    rows = [(str(i), prose(rng, "de", 50) + (" " + passage if i < leaked else ""), "en", "s", 1) for i in range(n)]
+    docs = spark.createDataFrame(rows, DOCS.replace("doc_id long", "doc_id string"))
+    bench = spark.createDataFrame([("q1", passage), ("q2", prose(rng, "fr", 25))], "item_id string, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, bench).collect()} == {(str(i), "q1") for i in range(leaked)}
+
+
+def hashes(text):
+    import pyarrow as pa
+
+    from knotwork.llm import text as tx
+
+    (_, _, data, offsets), = tx.groups(pa.array([text or ""]))
+    return tx.words(data, offsets, core=True)[0].view(np.int64)
+
+
+def test_the_whole_query_against_all_windows(spark):
+    from pathlib import Path
+
+    folder = Path("/root/testdata/sf0.001")
+    if not folder.is_dir():
+        pytest.skip("no test tables here")
+    from knotwork.llm.queries import op7_decontamination
+
+    docs = {r["doc_id"]: hashes(r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    parts = [(r["item_id"], np.array(r["words"], np.int64)) for r in decontamination.passages(spark.read.parquet(f"{folder}/benchmark.parquet")).collect()]
+    want, verbatim = set(), set()
+    for doc, words in docs.items():
+        for item, passage in parts:
+            n = len(passage)
+            there = np.concatenate([[0], np.cumsum(np.isin(words, passage))])
+            for at in range(0, max(1, len(words) - n), max(1, n // 2)):
+                to = min(len(words), at + 3 * n)
+                if there[to] - there[at] < decontamination.COVER * min(n, 16):  # too few words for any subsequence
+                    continue
+                window = words[at:to]
+                if any((window[i : i + n] == passage).all() for i in np.flatnonzero(window[: len(window) - n + 1] == passage[0])):
+                    verbatim.add((doc, item))
+                if n >= decontamination.SHORT and decontamination.covered(passage, decontamination.common_subsequence(passage, window)):
+                    want.add((doc, item))
+    got = {(r["doc_id"], r["item_id"]) for r in op7_decontamination(spark, str(folder)).collect()}
+    assert verbatim and verbatim <= got <= want | verbatim and len(got) >= 0.9 * len(want | verbatim)
+
+
 def test_changed_and_lost_words_leave_enough_pairs():
     rng = np.random.default_rng(14)
     none = np.zeros(0, np.int64)
