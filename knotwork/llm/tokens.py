@@ -52,7 +52,8 @@ class PrefixCounter:
         self.library = lib = _library(model)
         normal = (i for i in range(lib.get_piece_size()) if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i) or lib.is_unused(i)))
         self.score = {lib.id_to_piece(i): lib.get_score(i) for i in normal}
-        self.longest = max(map(len, self.score))
+        #: True for pieces, False for what only ends one
+        self.ends = {p[i:]: False for p in self.score for i in range(1, len(p))} | dict.fromkeys(self.score, True)
         self.beside: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
 
@@ -81,21 +82,22 @@ class PrefixCounter:
         """Tokens of the unit's prefixes of 1, 2, ... characters; white space is written as in pieces.
 
         ``count`` and ``last`` are tokens and last pieces of the prefixes that are known, from the empty one, and are added to."""
-        score, beside, longest = self.score, self.beside, self.longest
+        ends, beside = self.ends, self.beside
         count, last = (count, last) if count else ([0], [""])
         for k in range(len(count), len(unit) + 1):
-            for begin in range(k - longest if k > longest else 0, k):
-                piece = unit[begin:k]
-                if piece in score:
-                    tokens = 1
-                elif begin == k - 1:
-                    tokens = len(piece.encode())  # a character that is no piece is as many as its bytes
-                else:
-                    continue
-                key = (last[begin], piece)
+            begins, begin = [], k - 1
+            while begin >= 0 and (whole := ends.get(unit[begin:k])) is not None:
+                if whole:
+                    begins.append(begin)
+                begin -= 1
+            tokens = 1
+            if not begins or begins[0] != k - 1:  # a character that is no piece is as many as its bytes
+                begins, tokens = [k - 1], len(unit[k - 1].encode())
+            for begin in reversed(begins):
+                key = (last[begin], unit[begin:k])
                 if beside[key] if key in beside else self._may_follow(*key):
                     count.append(count[begin] + tokens)
-                    last.append(piece)
+                    last.append(key[1])
                     break
             else:
                 raise ValueError(f"no last piece: {unit[:k]!r}")
