@@ -1,28 +1,36 @@
 """Documents joined by the Jaccard similarity of their word n-grams (operator 5).
 
 Documents of equal n-gram sets are one set from the start. Two sets x, y of a similarity of at least t differ in at most
-``(1 - t) / (1 + t) * (|x| + |y|)`` n-grams. Cut the hash range into one segment more than that and they agree on one
-segment whole, so links lie within blocks: components of sets that share a segment of their class of size or the next. No
-statistics are needed for that, and sharing a common line or a few frequent n-grams makes no block.
+``(1 - t) / (1 + t) * (|x| + |y|)`` n-grams. Cut the hash range into more segments than that and they agree on some whole
+ones, so links lie within blocks: components of sets that share a segment of their class of size or the next. There are a
+few segments to spare: a set with no more tiny segments than these agrees with any similar one on another, and makes no
+keys of tiny ones. So neither empty segments nor single frequent n-grams make blocks of unrelated sets.
 
 Within a block, T-occurrence search finds the links: an inverted list for each n-gram, and for each set the search of
-those sets that occur in at least T of its lists. As in DivideSkip, the longest lists are set aside; the short ones are
-merged in a heap that skips ahead, or by one sort where they are long, and what they leave is probed for the long ones by
-binary search. Sets already in one component are not probed.
+those sets that occur in at least T of its lists, T being the overlap that any similar set has. As in DivideSkip, L of the
+longest lists are set aside; the others are merged in a heap that skips ahead to members of at least T - L of them, and
+these are probed for in the long lists by binary search until they reach the overlap that their size asks, or cannot.
 
-A block too large for a task is first held against ``PIVOTS`` sets of it. Those that link with the pivot of the most links
-are one component and need no search among themselves. They are dealt in parts, the others too, and each part of the others
-meets each part in a task; no set is left out. A large group of near copies costs as many comparisons as it has members."""
+Before that a block is held against one of its sets: those that link with it are one component and need no search among
+themselves. A block too large for a task is held against ``PIVOTS`` sets in the same way; those that link with the pivot of
+the most links are dealt in parts, the others too, and each part of the others meets each part in a task; no set is left
+out. A large group of near copies costs as many comparisons as it has members.
+
+What is returned are the components. Links are not counted: sets already in one component are not compared."""
 
 from __future__ import annotations
 
 import heapq
+import math
 from bisect import bisect_left, bisect_right
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from knotwork.llm import text as tx
 from knotwork.plans.components import components
@@ -32,8 +40,8 @@ N, THRESHOLD = 3, 90
 #: N-grams that a task holds of a block. A larger block is dealt in parts of half as many.
 HELD = 200_000
 PIVOTS = 4
-#: Entries of short lists from which on they are merged by one sort.
-SORTED = 64
+#: Weighs a probe of a long list against a merge of it, as DivideSkip does to choose how many are long.
+PROBE = 0.0085
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -77,21 +85,40 @@ def size_classes(threshold: int, most: int) -> list[int]:
     return bounds
 
 
+@lru_cache(maxsize=64)
+def _chosen(k: int, together: int) -> np.ndarray:
+    return np.array(list(combinations(range(k), together)))
+
+
 def segment_keys(g: np.ndarray, bounds: list[int], threshold: int = THRESHOLD) -> np.ndarray:
-    """The keys of a sorted set: its segments under its own class and the next. Similar sets share one."""
+    """The keys of a sorted set: its segments, or two or three of them together, under its own class and the next. Similar sets share one.
+
+    With d differences at most and d + 1 + s segments, similar sets agree on s + 1. If one of them has at most s tiny
+    segments, one of these is not tiny, and both have its key; if both have more, both have keys of tiny ones too."""
     m = g.view(np.uint64)
-    order = np.argsort(m, kind="stable")
-    m = m[order]
+    m = m[np.argsort(m, kind="stable")]
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tx.mix(m ^ _ODD[3]))])
     own = bisect_right(bounds, len(g)) - 1
     out = []
     for c in (own, own + 1):
         # the larger of two sets in this class and the one before has at most this many n-grams
         largest = max(bounds[c] + 1, -(-bounds[c] * 100 // threshold)) - 1
-        k = (100 - threshold) * 2 * largest // (100 + threshold) + 1
+        differ = (100 - threshold) * 2 * largest // (100 + threshold)
+        # where single segments would hold few n-grams, keys are of two or three of them
+        together = 3 if differ <= 5 else 2 if differ <= (100 - threshold) * 9 // 20 else 1
+        spare = 0 if not differ else together - 1 if together > 1 else 4 + max(0, 90 - threshold) // 5 + differ * (100 - threshold) // 160
+        k = differ + 1 + spare
         cuts = np.concatenate([[0], np.searchsorted(m, np.arange(1, k, dtype=np.uint64) * np.uint64((1 << 64) // k)), [len(m)]]) if k > 1 else np.array([0, len(m)])
-        part = sums[cuts[1:]] - sums[cuts[:-1]] + np.diff(cuts).astype(np.uint64)
-        out.append(tx.mix(part + tx.mix(np.array([c], np.uint64)) + np.arange(k, dtype=np.uint64) * _ODD[0]))
+        size = np.diff(cuts)
+        part = sums[cuts[1:]] - sums[cuts[:-1]] + size.astype(np.uint64)
+        keys = tx.mix(part + tx.mix(np.array([c], np.uint64)) + np.arange(k, dtype=np.uint64) * _ODD[0])
+        if differ and together > 1:
+            keys = tx.mix(keys[_chosen(k, together)] * _ODD[:together]).sum(axis=1)
+        elif differ:
+            tiny = size < (2 if len(m) >= 6 * k else 1)
+            if tiny.sum() <= spare:
+                keys = keys[~tiny]
+        out.append(keys)
     return np.concatenate(out).view(np.int64)
 
 
@@ -140,19 +167,19 @@ def _shares(n: int, threshold: int):
 
 
 class Block:
-    """T-occurrence search over the sets of a block, which come in ascending order of size."""
+    """T-occurrence search over the sets of a block. With ``cross`` only sets of different parts are searched for."""
 
     def __init__(self, sets: list[np.ndarray], parts: list[int], cross: bool, threshold: int = THRESHOLD):
-        self.sets, self.parts, self.cross, self.threshold = sets, parts, cross, threshold
+        self.parts, self.cross, self.threshold = parts, cross, threshold
         self.root = list(range(len(sets)))
         # the inverted lists: members[first[t]:first[t + 1]] has the sets with n-gram t, in ascending order
-        size = np.array([len(x) for x in sets])
-        values, gram = np.unique(np.concatenate(sets), return_inverse=True)
-        owner = np.repeat(np.arange(len(sets), dtype=np.int32), size)
-        order = np.argsort(gram, kind="stable")
-        self.members = owner[order]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(gram, minlength=len(values)))])
-        self.grams = np.split(gram, np.cumsum(size)[:-1])
+        self.size = np.array([len(x) for x in sets])
+        values, self.gram = np.unique(np.concatenate(sets), return_inverse=True)
+        self.starts = np.concatenate([[0], np.cumsum(self.size)])
+        owner = np.repeat(np.arange(len(sets)), self.size)
+        self.members = owner[np.argsort(self.gram, kind="stable")].tolist()
+        self.length = np.bincount(self.gram, minlength=len(values))
+        self.first = np.concatenate([[0], np.cumsum(self.length)])
 
     def find(self, i: int) -> int:
         while self.root[i] != i:
@@ -160,65 +187,86 @@ class Block:
             i = self.root[i]
         return i
 
+    def union(self, i: int, j: int) -> None:
+        i, j = sorted((self.find(i), self.find(j)))
+        self.root[j] = i
+
     @staticmethod
-    def merged(short: list[list[int]], need: int) -> list[int]:
-        """The members of at least ``need`` of the sorted lists, by a heap of their heads that skips ahead."""
-        heads = [(x[0], k, 0) for k, x in enumerate(short) if x]
+    def occurrences(members: list[int], spans: list[tuple[int, int]], need: int):
+        """(member, lists that have it) of members of at least ``need`` of the sorted lists ``members[lo:hi]``, by a heap of their heads that skips ahead."""
+        heads = [(members[lo], lo, hi) for lo, hi in spans if lo < hi]
         heapq.heapify(heads)
-        out = []
         while len(heads) >= need:
             member, popped = heads[0][0], []
             while heads and heads[0][0] == member:
                 popped.append(heapq.heappop(heads))
             ahead = member + 1
             if len(popped) >= need:
-                out.append(member)
+                yield member, len(popped)
             else:  # no member before the head that follows need - 1 popped lists can be in need of them
                 while heads and len(popped) < need - 1:
                     popped.append(heapq.heappop(heads))
                 if not heads:
                     break
                 ahead = max(ahead, heads[0][0])
-            for _, k, at in popped:
-                at = bisect_left(short[k], ahead, at)
-                if at < len(short[k]):
-                    heapq.heappush(heads, (short[k][at], k, at))
-        return out
-
-    def candidates(self, gram: np.ndarray, below: int, need: int) -> list[int]:
-        """The sets before ``below`` in at least ``need`` of the lists of ``gram``."""
-        lists = [self.members[self.first[t] : self.first[t + 1]] for t in gram]
-        if sum(map(len, lists)) <= SORTED:
-            return self.merged([[y for y in x.tolist() if y < below] for x in lists], need)
-        members, times = np.unique(np.concatenate(lists), return_counts=True)
-        return members[(times >= need) & (members < below)].tolist()
+            for _, lo, hi in popped:
+                lo = bisect_left(members, ahead, lo, hi)
+                if lo < hi:
+                    heapq.heappush(heads, (members[lo], lo, hi))
+
+    @classmethod
+    def merged(cls, lists: list[list[int]], need: int) -> list[int]:
+        """The members of at least ``need`` of sorted lists."""
+        ends = np.cumsum([0, *map(len, lists)]).tolist()
+        return [m for m, _ in cls.occurrences([y for x in lists for y in x], list(zip(ends, ends[1:])), need)]
+
+    def star(self) -> np.ndarray:
+        """Which sets link with the one that has most of the block's frequent n-grams; they become one component."""
+        often = np.add.reduceat(self.length[self.gram], self.starts[:-1]) / self.size
+        pivot = int(often.argmax())
+        there = np.zeros(len(self.length), bool)
+        there[self.gram[self.starts[pivot] : self.starts[pivot + 1]]] = True
+        both = np.add.reduceat(there[self.gram].astype(np.int64), self.starts[:-1])
+        linked = both * 100 >= self.threshold * (self.size + self.size[pivot] - both)
+        for i in np.flatnonzero(linked).tolist():
+            self.union(pivot, i)
+        return linked
+
+    def searches(self) -> list[int]:
+        """The sets to search for: all links are between one of them and another set."""
+        if self.cross:
+            counts = {p: self.parts.count(p) for p in set(self.parts)}
+            fewest = min(counts, key=lambda p: (counts[p], p))
+            return [i for i, p in enumerate(self.parts) if p == fewest]
+        return np.flatnonzero(~self.star()).tolist()
 
     def link(self) -> list[int]:
         """The least set in the component of each set."""
-        t = self.threshold
-        length = np.diff(self.first)
-        for x, gram in enumerate(self.grams):
-            n = len(gram)
-            gram = gram[np.argsort(length[gram], kind="stable")]
-            at_least = -(-n * t // 100)
-            # a similar set, not the larger, is in at_least of the lists: with all but one of these set aside, in one of the short lists
-            short, rest = gram[: n - at_least + 1], np.sort(gram[n - at_least + 1 :])
-            shared = short[length[short] > 1]
-            if not len(shared):
+        t, members, sizes = self.threshold, self.members, self.size.tolist()
+        for x in self.searches():
+            gram = self.gram[self.starts[x] : self.starts[x + 1]]
+            n, times = len(gram), self.length[gram]
+            least = -(-n * t // 100)  # no similar set, of whatever size, has fewer n-grams of x
+            gram = gram[times > 1]
+            if len(gram) < least:
                 continue
-            for y in self.candidates(shared, x, 1):
-                m = len(self.grams[y])
-                if m * 100 < t * n or self.cross and self.parts[x] == self.parts[y] or self.find(x) == self.find(y):
+            gram = gram[np.argsort(self.length[gram], kind="stable")]
+            long = min(least - 1, int(least / (PROBE * math.log2(int(times.max())) + 1)))
+            spans = list(zip(self.first[gram].tolist(), self.first[gram + 1].tolist()))
+            short, probed = spans[: len(spans) - long], spans[len(spans) - long :]
+            for y, found in self.occurrences(members, short, least - long):
+                m = sizes[y]
+                if m * 100 < t * n or n * 100 < t * m or self.cross and self.parts[x] == self.parts[y] or self.find(x) == self.find(y):
                     continue
-                other = self.grams[y]
-                both = 0
-                for probe in (shared, rest):  # is y in the list of each of these: is each of these in y
-                    at = np.minimum(np.searchsorted(other, probe), m - 1)
-                    both += int((other[at] == probe).sum())
-                if both * 100 >= t * (n + m - both):
-                    i, j = sorted((self.find(x), self.find(y)))
-                    self.root[j] = i
-        return [self.find(i) for i in range(len(self.sets))]
+                need = -(-t * (n + m) // (100 + t))
+                for left, (lo, hi) in zip(range(long, 0, -1), probed):
+                    if found >= need or found + left < need:
+                        break
+                    at = bisect_left(members, y, lo, hi)
+                    found += at < hi and members[at] == y
+                if found >= need:
+                    self.union(x, y)
+        return [self.find(i) for i in range(len(sizes))]
 
 
 def _search(threshold: int):
@@ -229,7 +277,8 @@ def _search(threshold: int):
         a, b, part = (table[c].to_numpy()[order].tolist() for c in ("a", "b", "part"))
         raw = table["grams"]
         sets = [np.frombuffer(raw[int(i)].as_buffer(), np.int64) for i in order]
-        roots = Block(sets, part, key[1].as_py() == "L" or key[2].as_py() != key[3].as_py(), threshold).link()
+        cross = key[1].as_py() == "L" or key[2].as_py() != key[3].as_py()
+        roots = Block(sets, part, cross, threshold).link() if not cross or len(set(part)) > 1 else list(range(len(sets)))
         # rows repeated in full bring a set twice; its copies are one component
         linked = [i for i, r in enumerate(roots) if r != i]
         pick = lambda x, ids: pa.array([x[i] for i in ids], pa.int64())
@@ -313,12 +362,19 @@ def _text_key() -> Column:
     return F.xxhash64("text")
 
 
+def _known_id(docs: DataFrame) -> Column:
+    """doc_id with a value of its own for null, so that joins find it."""
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    return F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+
+
 def set_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(rows, classes): doc_id, tk, size, a, b of each row, where tk is a hash of the text and (a, b) the identity of its set;
     and a, b, root_a, root_b, first_id of each set that is not empty, where first_id is its least doc_id."""
-    read = tx.in_small_batches(docs).select("doc_id", _text_key().alias("tk"), "text").mapInArrow(_identities(n), "doc_id long, tk long, size long, a long, b long")
+    read = tx.in_small_batches(docs).select("doc_id", _text_key().alias("tk"), "text").mapInArrow(_identities(n), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tk long, size long, a long, b long")
     rows = cut(read)
-    own = F.struct("tk", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"))
+    own = F.struct("tk", _known_id(docs).alias("did"))
     sets = rows.where("size > 0").groupBy("a", "b").agg(F.max("size").alias("size"), F.min("doc_id").alias("first_id"), F.min(own).alias("own"))
     shares = docs.select("text").mapInArrow(_shares(n, threshold), "key long, a long, head long")
     met = Window.partitionBy("key").orderBy(F.desc_nulls_first("head"), "a").rowsBetween(Window.unboundedPreceding, 0)
@@ -328,7 +384,7 @@ def set_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> t
     weights = members.groupBy("block").agg(F.sum("size").alias("weight"))
     parts = F.when(F.col("weight") > HELD, F.ceil(F.col("weight") / (HELD // 2))).otherwise(1).cast("int")
     members = members.join(weights, "block").select("block", "a", "b", "size", "own.tk", "own.did", parts.alias("parts"))
-    texts = docs.select(_text_key().alias("tk"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), "text").join(members, ["tk", "did"])
+    texts = docs.select(_text_key().alias("tk"), _known_id(docs).alias("did"), "text").join(members, ["tk", "did"])
     grams = cut(texts.select("block", "a", "b", "size", "parts", "text").mapInArrow(_grams_of(n), "block long, a long, b long, size long, parts int, grams binary"))
     small = grams.where("parts = 1").select("block", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit("S").alias("kind"), "a", "b", "size", F.lit(0).alias("part"), "grams")
     search = lambda met: met.groupBy("block", "kind", "i", "j").applyInArrow(_search(threshold), "a long, b long, ra long, rb long")
@@ -348,8 +404,9 @@ def join_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) ->
     """doc_id, n_shingles, component_id for each row of ``docs``, repeated rows included.
 
     A null or wordless text has an empty set and is linked with nothing, so its component is its own doc_id. A null doc_id
-    counts for no component's least doc_id; where no other is there the component is null. Other columns are not read. An
-    empty table gives an empty table."""
+    counts for no component's least doc_id; where no other is there the component is null. A very long text is compared
+    whole, as the set of its n-grams. Equal texts, and texts of equal sets, are always of one component. Other columns are not
+    read. An empty table gives an empty table."""
     rows, classes = set_components(docs, n, threshold)
     least = classes.groupBy("root_a", "root_b").agg(F.min("first_id").alias("component_id"))
     of_set = classes.join(least, ["root_a", "root_b"]).select("a", "b", "component_id")
@@ -363,6 +420,6 @@ def distinct_documents(docs: DataFrame, n: int = N, threshold: int = THRESHOLD)
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk")
     first = rows.where("size > 0").groupBy("a", "b").agg(F.min(key).alias("first")).join(classes, ["a", "b"]).groupBy("root_a", "root_b").agg(F.min("first").alias("first"))
     kept = first.select("first.tk", "first.doc_id").unionByName(rows.where("size = 0").select("tk", "doc_id").distinct())
-    did = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did")
+    did = _known_id(docs).alias("did")
     whole = docs.select(_text_key().alias("tk"), did, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     return whole.join(kept.select("tk", did), ["tk", "did"], "left_semi").dropDuplicates(["tk", "did"]).select("row.*")
