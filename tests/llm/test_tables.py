@@ -52,27 +52,32 @@ def near_copies(rng, n=240):
     return out
 
 
+@pytest.mark.parametrize("n,threshold", [(3, 90), (5, 80)])
 @pytest.mark.parametrize("held", [None, 300])
-def test_similar_documents_against_all_pairs(spark, held, monkeypatch):
+def test_similar_documents_against_all_pairs(spark, held, n, threshold, monkeypatch):
     if held:  # blocks dealt in parts
         monkeypatch.setattr(jaccard, "HELD", held)
     texts = near_copies(random.Random(8)) + [None, "", " ", "one", "ONE", "two words", "two  WORDS"]
     df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS).repartition(5)
-    sets = [shingles(t) for t in texts]
-    root = components_of(sets)
+    sets = [shingles(t, n) for t in texts]
+    root = components_of(sets, threshold)
     want = {i: (len(s), root[i] if s else i) for i, s in enumerate(sets)}
     assert len(set(root)) < len(texts) - 50
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join_components(df).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join_components(df, n, threshold).collect()}
     assert got == want
-    kept = sorted(r["doc_id"] for r in jaccard.distinct_documents(df).collect())
+    kept = sorted(r["doc_id"] for r in jaccard.distinct_documents(df, n, threshold).collect())
     assert kept == sorted({v[1] for v in want.values()})
 
 
 def test_similar_sets_share_a_segment():
     rng = np.random.default_rng(5)
     bounds = jaccard.size_classes(90, 2000)
+    wide = jaccard.size_classes(80, 2000)
     for n in [*range(1, 40), 99, 100, 101, 450]:
         g = np.unique(rng.integers(-(1 << 62), 1 << 62, n))
+        for drop in range(0, n // 5 + 1, max(1, n // 15)):
+            other = np.unique(np.concatenate([rng.permutation(g)[drop:], rng.integers(-(1 << 62), 1 << 62, max(0, (5 * (n - drop) - 4 * n) // 4))]))
+            assert np.intersect1d(jaccard.segment_keys(g, wide, 80), jaccard.segment_keys(other, wide, 80)).size, (n, drop)
         for drop in range(n // 9 + 2):
             for add in range(n // 9 + 2):
                 if 100 * (n - drop) < 90 * (n + add) or drop >= n:
@@ -81,6 +86,43 @@ def test_similar_sets_share_a_segment():
                 assert np.intersect1d(jaccard.segment_keys(g, bounds), jaccard.segment_keys(other, bounds)).size, (n, drop, add)
 
 
+@pytest.mark.parametrize("threshold,n,most", [(90, 8, 3), (90, 30, 3), (90, 100, 3), (90, 1000, 3), (80, 15, 80), (80, 30, 80), (80, 100, 3), (80, 1000, 3)])
+def test_unrelated_sets_share_no_segment(threshold, n, most):
+    rng, many = np.random.default_rng(19), min(20_000, 1_000_000 // n)
+    bounds = jaccard.size_classes(threshold, 4 * n)
+    keys = np.concatenate([jaccard.segment_keys(np.sort(rng.integers(-(1 << 63), (1 << 63) - 1, n)), bounds, threshold) for _ in range(many)])
+    assert np.unique(keys, return_counts=True)[1].max() <= most
+
+
+def test_links_of_a_block_against_all_pairs():
+    rng = np.random.default_rng(20)
+    for cross in (False, True):
+        for _ in range(40):
+            bases = [np.unique(rng.integers(0, 5000, rng.integers(5, 120))) for _ in range(4)]
+            sets = []
+            for _ in range(40):
+                g = bases[rng.integers(4)]
+                sets.append(np.unique(np.concatenate([rng.permutation(g)[rng.integers(0, len(g) // 8 + 1) :], rng.integers(0, 5000, rng.integers(0, len(g) // 10 + 1))])))
+            parts = rng.integers(0, 2, len(sets)).tolist()
+            got = jaccard.Block(sets, parts, cross, 80).link()
+            root = list(range(len(sets)))
+            for i in range(len(sets)):
+                for j in range(i):
+                    both = len(np.intersect1d(sets[i], sets[j]))
+                    if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and (not cross or parts[i] != parts[j]):
+                        a, b = sorted((root[i], root[j]))
+                        root = [a if x == b else x for x in root]
+            assert got == root
+
+
+def test_ids_that_are_strings(spark):
+    texts = near_copies(random.Random(21), 60)
+    df = spark.createDataFrame([(f"d{i:03}" if i else None, t) for i, t in enumerate(texts)], "doc_id string, text string")
+    root = components_of([shingles(t) for t in texts])
+    name = lambda k: min((f"d{i:03}" for i, x in enumerate(root) if x == k and i), default=None)
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard.join_components(df).collect()} == {(f"d{i:03}" if i else None, name(k)) for i, k in enumerate(root)}
+
+
 def test_heap_merge():
     rng = random.Random(6)
     for _ in range(300):
