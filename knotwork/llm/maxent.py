@@ -1,27 +1,35 @@
 """A hashed maximum-entropy language model (operator 4).
 
-Tokens are lower-cased words and an end for each text. A token has a class: a frequent word one of ``GROUPS`` groups of
-``MEMBERS`` words by frequency, the end its own, a word equal to the one before or the one before that a class of
-repetition, and any other word the class of its shape (length and last byte). The model is factored,
-``P(class | history) * P(word | class, history)``. Both factors are log-linear: the classes in hashed features of the last
-word (n-gram), the one before it (skip) and both, the words of a group in those of the last word; a history tells the
-``HISTORIES`` commonest words and shapes apart. A word of a shape has the add-one share of its corpus count in the shape.
-
-Training covers every token of the training texts through its sufficient statistics, the counts of histories with what
-follows, which Spark sums. The weights move in rounds: each broadcasts them, tasks sum the gradient and its diagonal
-curvature over their histories, and the driver adds those of all tasks, of bounded size, and makes the step.
-
-Scoring needs the corpus count of each word of each text. The most frequent words, at most ``HEAD`` of them, go to every
-task; the words beyond meet their counts in a shuffled join, so that the vocabulary may grow as it likes. A token is known
-by a 64-bit hash whose lowest bits hold its shape."""
+Tokens are lower-cased words and an end for each text. A token has a class: a frequent word one of the groups of words by
+frequency, the end its own, and any other word the class of its shape (length and last byte). The model is factored,
+``P(class | history) * P(word | class, history)``, and two more classes repeat the last word and the one before it; what
+they have of a word is added to what its own class has, so that the probabilities of all words and the end sum to 1. Both
+factors are log-linear in hashed features of the last word (n-gram), the one before it (skip) and both. A word of a shape
+has the add-one share of its corpus count in the shape, in which all words never seen are one.
+
+How many words are told apart, as outcomes and in histories, and so the classes and the statistics, grows with the
+training tokens (``Sizes``). Training covers every token of the training texts through its sufficient statistics, the
+counts of histories with what follows, which Spark sums. The weights move in rounds: each broadcasts them, tasks sum the
+gradient and its diagonal curvature over their histories, and the driver adds those of all tasks, hashed to ``2**BITS``
+rows, and makes the step.
+
+Scoring is by batches, of which only the histories that occur get a row of probabilities; a worker keeps some rows for the
+next batch. It needs the corpus count of each word of each text. The most frequent words, at most ``HEAD`` of them, go to
+every task; the words beyond meet their counts in a shuffled join, so that the vocabulary may grow as it likes. A token is
+known by a 64-bit hash whose lowest bits hold its shape."""
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from knotwork.llm import text as tx
 from knotwork.llm.language import held_out
@@ -29,19 +37,64 @@ from knotwork.plans.lineage import cut
 
 #: Most words whose counts are broadcast.
 HEAD = 1 << 18
-GROUPS, MEMBERS = 32, 32
 SHAPES = 16
-END, REPEATED, SKIPPED = GROUPS + SHAPES, GROUPS + SHAPES + 1, GROUPS + SHAPES + 2
-CLASSES = GROUPS + SHAPES + 3
-#: 0 begins a text, then the shapes, then frequent words.
-HISTORIES = 128
-BITS = 13
+#: Bytes of text scored at once.
+PIECE = 1 << 19
+#: Rows of the hashed features.
+BITS = 14
 ROUNDS, DECAY = 8, 4.0
-PARTS = 6
+#: Statistics that a task takes in a round, histories it computes at once, and rows of probabilities that a worker keeps.
+STATISTICS, STEP, KEPT = 1_000_000, 4096, 60_000
+#: Histories that the word before the last tells apart for words of a group; others are one.
+COARSE = 64
 #: The end's hash; its lowest bits are not a word's.
 END_TOKEN = np.int64(-SHAPES)
-_WORDS = GROUPS * MEMBERS
-_PAIRS = HISTORIES * HISTORIES
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Groups of as many words, and the histories: 0 begins a text, then come the shapes, then frequent words."""
+
+    groups: int
+    histories: int
+
+    @classmethod
+    def of(cls, tokens: int) -> "Sizes":
+        """The words told apart grow with the square root of the tokens, up to what is broadcast."""
+        k = min((HEAD.bit_length() - 1) // 2, max(3, int(math.log2(max(2, tokens)) / 4)))
+        return cls(1 << k, 1 << (k + 2))
+
+    @property
+    def members(self) -> int:
+        return self.groups
+
+    @property
+    def words(self) -> int:
+        return self.groups * self.members
+
+    @property
+    def end(self) -> int:
+        return self.groups + SHAPES
+
+    @property
+    def repeated(self) -> int:
+        return self.end + 1
+
+    @property
+    def skipped(self) -> int:
+        return self.end + 2
+
+    @property
+    def classes(self) -> int:
+        return self.end + 3
+
+    @property
+    def pairs(self) -> int:
+        return self.histories * self.histories
+
+    def word_context(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """The history that words of a group are told by."""
+        return np.where(two < min(COARSE, self.histories), two, COARSE) * self.histories + one
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,9 +146,10 @@ def token_counts(docs: DataFrame) -> DataFrame:
 class Vocabulary:
     """Groups and histories of the most frequent words."""
 
-    def __init__(self, head: np.ndarray, counts: np.ndarray):
+    def __init__(self, head: np.ndarray, counts: np.ndarray, sizes: Sizes):
+        self.sizes = sizes
         words = head != END_TOKEN
-        best = np.lexsort((head[words], -counts[words]))[:_WORDS]
+        best = np.lexsort((head[words], -counts[words]))[: sizes.words]
         self.words = head[words][best]
         order = np.argsort(self.words)
         self.keys, self.rank = self.words[order], order
@@ -108,188 +162,234 @@ class Vocabulary:
         return np.where(self.keys[at] == h, self.rank[at], -1)
 
     def read(self, h: np.ndarray, first: np.ndarray):
-        """(class, rank, last history, history before it) of each token, and the two histories of each text's end."""
-        n = len(h)
+        """(own class, rank, last history, history before it, equals the last word, equals the one before) of each token, and the two histories of each text's end."""
+        n, sizes = len(h), self.sizes
         rank = self.ranks(h)
         shape = (h & (SHAPES - 1)).astype(np.int64)
-        history = np.where((rank >= 0) & (rank < HISTORIES - SHAPES - 1), rank + SHAPES + 1, shape + 1)
+        history = np.where((rank >= 0) & (rank < sizes.histories - SHAPES - 1), rank + SHAPES + 1, shape + 1)
         padded = np.zeros(n + 2, np.int64)
         padded[2:] = history
         place = np.arange(n) - np.repeat(first[:-1], np.diff(first))
         one = np.where(place >= 1, padded[1 : n + 1], 0)
         two = np.where(place >= 2, padded[:n], 0)
-        kind = np.where(rank >= 0, rank // MEMBERS, GROUPS + shape)
-        same = np.zeros(n, bool)
-        same[2:] = (h[2:] == h[:-2]) & (place[2:] >= 2)
-        kind[same] = SKIPPED
-        same[:] = False
-        same[1:] = (h[1:] == h[:-1]) & (place[1:] >= 1)
-        kind[same] = REPEATED
+        kind = np.where(rank >= 0, rank // sizes.members, sizes.groups + shape)
+        last, before = np.zeros(n, bool), np.zeros(n, bool)
+        last[1:] = (h[1:] == h[:-1]) & (place[1:] >= 1)
+        before[2:] = (h[2:] == h[:-2]) & (place[2:] >= 2)
         size = np.diff(first)
         end_one = np.where(size >= 1, padded[first[1:] + 1], 0)
         end_two = np.where(size >= 2, padded[first[1:]], 0)
-        return kind, rank, one, two, end_one, end_two
+        return kind, rank, one, two, last, before, end_one, end_two
 
 
 def statistics(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(code, n): how often each class follows each two histories, and each frequent word each history."""
+    """(t, context, outcome, n): how often each class follows each two histories (t 0), and each member of a group its histories with the group (t 1)."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    sizes = vocabulary.sizes
+    wide = max(sizes.classes, sizes.members)
+
+    def fold(kept):
+        code, inverse = np.unique(np.concatenate([c for c, _ in kept]), return_inverse=True)
+        return code, np.bincount(inverse, np.concatenate([n for _, n in kept]), len(code)).astype(np.int64)
 
     def read(batches):
-        classes, words = np.zeros(_PAIRS * 64, np.int64), np.zeros(HISTORIES * _WORDS, np.int64)
+        kept, size = [], 0
         for batch in batches:
             for _, _, data, offsets in tx.groups(batch.column("text")):
                 h, first = tokens(data, offsets)
-                kind, rank, one, two, end_one, end_two = shared.value.read(h, first)
-                classes += np.bincount((two * HISTORIES + one) * 64 + kind, minlength=len(classes))
-                np.add.at(classes, (end_two * HISTORIES + end_one) * 64 + END, 1)
-                own = kind < GROUPS
-                words += np.bincount(one[own] * _WORDS + rank[own], minlength=len(words))
-        both = np.concatenate([classes, words])
-        at = np.flatnonzero(both)
-        for b in _batches(at, both[at]):
-            yield b.rename_columns(["code", "n"])
-
-    return docs.select("text").mapInArrow(read, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+                kind, rank, one, two, last, before, end_one, end_two = shared.value.read(h, first)
+                outcome = np.where(last, sizes.repeated, np.where(before, sizes.skipped, kind))
+                own = outcome < sizes.groups
+                context = sizes.word_context(two[own], one[own]) * sizes.groups + kind[own]
+                code = [(two * sizes.histories + one) * wide + outcome, (end_two * sizes.histories + end_one) * wide + sizes.end, sizes.pairs * wide + context * wide + rank[own] % sizes.members]
+                code, n = np.unique(np.concatenate(code), return_counts=True)
+                kept.append((code, n))
+                size += len(code)
+                if size > 3_000_000:
+                    kept = [fold(kept)]
+                    size = len(kept[0][0])
+                    if size > 1_500_000:
+                        yield from _batches(*kept[0])
+                        kept, size = [], 0
+        if kept:
+            yield from _batches(*fold(kept))
+
+    summed = docs.select("text").mapInArrow(read, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    context = F.floor(F.col("h") / wide)
+    word = context >= sizes.pairs
+    return summed.select(word.cast("int").alias("t"), F.when(word, context - sizes.pairs).otherwise(context).alias("context"), (F.col("h") % wide).alias("outcome"), "n")
 
 
 def _row(template: int, value: np.ndarray) -> np.ndarray:
     """The row of weights of a feature."""
-    return (tx.mix(value.astype(np.uint64) + np.uint64(template << 40)) >> np.uint64(64 - BITS)).astype(np.int64)
+    return (tx.mix(value.astype(np.uint64) + np.uint64(template << 56)) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 class Weights:
     """Log-linear weights; features of the classes and of the words in groups have rows of two tables."""
 
-    def __init__(self, class_counts: np.ndarray, word_counts: np.ndarray):
-        log = lambda x: np.log(x + 0.5)
-        self.class_bias, self.word_bias = log(class_counts), log(word_counts)
-        self.classes = np.zeros((1 << BITS, CLASSES))
-        self.words = np.zeros((1 << BITS, MEMBERS))
-
-    @staticmethod
-    def class_rows(pair: np.ndarray) -> list[np.ndarray]:
-        return [_row(1, pair % HISTORIES), _row(2, pair // HISTORIES), _row(3, pair)]
-
-    @staticmethod
-    def word_rows(history: np.ndarray, group: np.ndarray) -> np.ndarray:
-        return _row(4, history * GROUPS + group)
-
-    def class_logs(self, pair: np.ndarray) -> np.ndarray:
-        z = self.class_bias + sum(self.classes[r] for r in self.class_rows(pair))
-        z -= z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-    def word_logs(self, history: np.ndarray, group: np.ndarray) -> np.ndarray:
-        z = self.word_bias.reshape(GROUPS, MEMBERS)[group] + self.words[self.word_rows(history, group)]
+    def __init__(self, sizes: Sizes, class_counts: np.ndarray, word_counts: np.ndarray):
+        self.sizes = sizes
+        self.bias = np.log(class_counts + 0.5), np.log(word_counts + 0.5).reshape(sizes.groups, sizes.members)
+        self.tables = np.zeros((1 << BITS, sizes.classes), np.float32), np.zeros((1 << BITS, sizes.members), np.float32)
+
+    def rows(self, t: int, context: np.ndarray) -> list[np.ndarray]:
+        """The rows of the n-gram, the skip and the joint feature of contexts."""
+        group, history = (context % self.sizes.groups, context // self.sizes.groups) if t else (0 * context, context)
+        one, two = history % self.sizes.histories, history // self.sizes.histories
+        return [_row(4 * t + k, x * self.sizes.groups + group) for k, x in enumerate((one, two, history), 1)]
+
+    def logs(self, t: int, context: np.ndarray) -> np.ndarray:
+        """Log probabilities of the classes after contexts (t 0), or of the members of contexts' groups (t 1)."""
+        z = sum(self.tables[t][r].astype(float) for r in self.rows(t, context))
+        if t:
+            z += self.bias[1][context % self.sizes.groups]
+        else:
+            z += self.bias[0]
+            # nothing can be repeated before there is a word
+            z[context % self.sizes.histories == 0, self.sizes.repeated] = -np.inf
+            z[context // self.sizes.histories == 0, self.sizes.skipped] = -np.inf
         z -= z.max(axis=1, keepdims=True)
         return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
-
-def train(stats: DataFrame, rounds: int = ROUNDS) -> Weights:
-    """The weights after ``rounds`` steps. ``stats`` has a bounded number of rows, dealt by history."""
+    def gradient(self, t: int, context: np.ndarray, outcome: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, sums of the gradient and of its curvature side by side) over statistics sorted by context."""
+        width = self.tables[t].shape[1]
+        sums = np.zeros((1 << BITS, 2 * width), np.float32)
+        starts = np.flatnonzero(np.diff(context, prepend=-1))
+        for i in range(0, len(starts), STEP):
+            lo, hi = starts[i], starts[i + STEP] if i + STEP < len(starts) else len(context)
+            own, inverse = np.unique(context[lo:hi], return_inverse=True)
+            p = np.exp(self.logs(t, own))
+            both = np.zeros((len(own), 2 * width))
+            np.add.at(both, (inverse, outcome[lo:hi]), n[lo:hi])
+            total = both[:, :width].sum(axis=1, keepdims=True)
+            both[:, :width] -= total * p
+            both[:, width:] = total * p * (1 - p)
+            for rows in self.rows(t, own):
+                order = np.argsort(rows, kind="stable")
+                first = np.flatnonzero(np.diff(rows[order], prepend=-1))
+                sums[rows[order][first]] += np.add.reduceat(both[order], first, axis=0)
+        used = np.flatnonzero(np.any(sums, axis=1))
+        return used, sums[used]
+
+
+def train(stats: DataFrame, sizes: Sizes, rounds: int = ROUNDS) -> Weights:
+    """The weights after ``rounds`` steps over statistics, which are dealt by context."""
     spark = stats.sparkSession
-    split = _PAIRS * 64
-    history = F.when(F.col("code") < split, F.floor(F.col("code") / 64)).otherwise(split + F.floor((F.col("code") - split) / _WORDS))
-    stats = cut(stats.withColumn("history", history).repartition(PARTS, "history"))
-    # totals by class and by word, the start of the weights
-    key = F.when(F.col("code") < split, F.col("code") % 64).otherwise(64 + (F.col("code") - split) % _WORDS)
-    totals = stats.groupBy(key.alias("k")).agg(F.sum("n").alias("n")).toArrow()
-    start = np.zeros(64 + _WORDS)
-    start[totals["k"].to_numpy()] = totals["n"].to_numpy()
-    weights = Weights(start[:CLASSES], start[64:])
+    stats = cut(stats)
+    totals = stats.groupBy("t", F.when(F.col("t") == 1, F.col("context") % sizes.groups * sizes.members + F.col("outcome")).otherwise(F.col("outcome")).alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("rows")).toArrow()  # classes and words
+    t, k, n = (totals[c].to_numpy() for c in ("t", "k", "n"))
+    start = np.zeros(sizes.classes), np.zeros(sizes.words)
+    for table in (0, 1):
+        start[table][k[t == table]] = n[t == table]
+    weights = Weights(sizes, *start)
+    stats = cut(stats.repartition(max(6, -(-int(totals["rows"].to_numpy().sum()) // STATISTICS)), "t", "context").sortWithinPartitions("t", "context"))
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
 
         def gradient(batches, shared=shared):
-            code, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for batch in batches:
-                code.append(batch.column("code").to_numpy())
-                n.append(batch.column("n").to_numpy())
-            code, n = np.concatenate(code), np.concatenate(n).astype(float)
-            w, low = shared.value, code < split
-            out = []
-            pair, inverse = np.unique(code[low] // 64, return_inverse=True)
-            seen = np.zeros((len(pair), CLASSES))
-            np.add.at(seen, (inverse, code[low] % 64), n[low])
-            p = np.exp(w.class_logs(pair))
-            total = seen.sum(axis=1, keepdims=True)
-            for rows in w.class_rows(pair):
-                out.append((0, rows, seen - total * p, total * p * (1 - p)))
-            rest = code[~low] - split
-            at, inverse = np.unique(rest // _WORDS * GROUPS + rest % _WORDS // MEMBERS, return_inverse=True)
-            seen = np.zeros((len(at), MEMBERS))
-            np.add.at(seen, (inverse, rest % MEMBERS), n[~low])
-            p = np.exp(w.word_logs(at // GROUPS, at % GROUPS))
-            total = seen.sum(axis=1, keepdims=True)
-            out.append((1, w.word_rows(at // GROUPS, at % GROUPS), seen - total * p, total * p * (1 - p)))
-            for table in (0, 1):
-                rows = np.concatenate([x[1] for x in out if x[0] == table])
-                used, inverse = np.unique(rows, return_inverse=True)
-                g = np.concatenate([np.concatenate(x[2:], axis=1) for x in out if x[0] == table])
-                sums = np.zeros((len(used), g.shape[1]))
-                np.add.at(sums, inverse, g)
-                yield pa.record_batch({"t": pa.array(np.full(len(used), table)), "row": pa.array(used), "g": pa.array([x.tobytes() for x in sums.astype(np.float32)], pa.binary())})
-
-        got = stats.select("code", "n").mapInArrow(gradient, "t long, row long, g binary").toArrow()
-        for t, table in enumerate((weights.classes, weights.words)):
+            columns = [[batch.column(c).to_numpy() for c in ("t", "context", "outcome", "n")] for batch in batches]
+            if columns:
+                t, context, outcome, n = map(np.concatenate, zip(*columns))
+                for table in (0, 1):
+                    own = t == table
+                    rows, sums = shared.value.gradient(table, context[own], outcome[own], n[own])
+                    yield pa.record_batch({"t": pa.array(np.full(len(rows), table)), "row": pa.array(rows), "g": pa.array([x.tobytes() for x in sums], pa.binary())})
+
+        got = stats.mapInArrow(gradient, "t long, row long, g binary").toArrow()  # at most 2**BITS rows of each table from a task
+        for t, table in enumerate(weights.tables):
             own = got.filter(pc.equal(got["t"], t))
             if own.num_rows:
-                sums = np.zeros((1 << BITS, 2 * table.shape[1]))
-                np.add.at(sums, own["row"].to_numpy(), np.stack([np.frombuffer(x, np.float32) for x in own["g"].to_pylist()]))
-                slope, curve = sums[:, : table.shape[1]] - DECAY * table, sums[:, table.shape[1] :] + DECAY
-                # features of one history share the step
-                table += np.clip(slope / curve, -2, 2) / (3 if t == 0 else 1)
+                width = table.shape[1]
+                sums = np.zeros((1 << BITS, 2 * width), np.float32)
+                rows = own["row"].to_numpy()
+                for i in range(0, len(rows), STEP):
+                    np.add.at(sums, rows[i : i + STEP], np.stack([np.frombuffer(x, np.float32) for x in own["g"].slice(i, STEP).to_pylist()]))
+                slope, curve = sums[:, :width] - DECAY * table, sums[:, width:] + DECAY
+                # the three features of a history share the step
+                table += np.clip(slope / curve, -2, 2) / 3
+        shared.unpersist()
     return weights
 
 
-class Scorer:
-    """Tables of all log10 probabilities that do not depend on rare words' counts."""
+class Rows:
+    """Log10 probabilities by context, computed where they are asked for; up to ``KEPT`` are kept."""
+
+    def __init__(self, weights: Weights, t: int):
+        self.weights, self.t = weights, t
+        self.keys, self.rows = np.zeros(0, np.int64), np.zeros((0, weights.tables[t].shape[1]), np.float32)
+
+    def at(self, context: np.ndarray) -> np.ndarray:
+        """The index in ``rows`` of each context's row, as they are now."""
+        asked, inverse = np.unique(context, return_inverse=True)
+        new = asked[~np.isin(asked, self.keys, assume_unique=True)]
+        if len(new):
+            if len(self.keys) + len(new) > KEPT:
+                self.keys, self.rows, new = self.keys[:0], self.rows[:0], asked
+            made = [(self.weights.logs(self.t, new[i : i + STEP]) / np.log(10)).astype(np.float32) for i in range(0, len(new), STEP)]
+            keys = np.concatenate([self.keys, new])
+            order = np.argsort(keys)
+            self.keys, self.rows = keys[order], np.concatenate([self.rows, *made])[order]
+        return np.searchsorted(self.keys, asked)[inverse]
 
+
+class Scorer:
     def __init__(self, vocabulary: Vocabulary, weights: Weights, head: np.ndarray, counts: np.ndarray, shape_logs: np.ndarray):
         self.vocabulary = vocabulary
-        ten = np.log(10)
-        self.classes = (weights.class_logs(np.arange(_PAIRS)) / ten).astype(np.float32)
-        at = np.arange(HISTORIES * GROUPS)
-        self.members = (weights.word_logs(at // GROUPS, at % GROUPS) / ten).astype(np.float32).reshape(HISTORIES, _WORDS)
+        self.classes, self.members = Rows(weights, 0), Rows(weights, 1)
         self.head, self.logs = head, np.log10(counts + 1.0)
         self.shape_logs = shape_logs
         self.end = np.log10(counts[head == END_TOKEN] + 1.0).sum()
         self.known_end = int((head == END_TOKEN).any())
 
     def score(self, data: np.ndarray, offsets: np.ndarray):
-        """By text: tokens, known, sum of log10(c + 1) and model score as far as frequent words tell; and (text, token, times, times as a shape's word) of the others."""
+        """By text: tokens, known, sum of log10(c + 1) and model score as far as frequent words tell; and of the others, whose count c is not here, (text, token, times, times as a shape's word only) and, for those that may also repeat, (text, token, probability to repeat, probability of the shape over its words)."""
         h, first = tokens(data, offsets)
-        n = len(offsets) - 1
-        kind, rank, one, two, end_one, end_two = self.vocabulary.read(h, first)
+        n, sizes = len(offsets) - 1, self.vocabulary.sizes
+        kind, rank, one, two, last, before, end_one, end_two = self.vocabulary.read(h, first)
         doc = np.repeat(np.arange(n), np.diff(first))
         at = np.minimum(np.searchsorted(self.head, h), max(0, len(self.head) - 1))
         found = self.head[at] == h if len(self.head) else np.zeros(len(h), bool)
         log = np.where(found, self.logs[at], 0) if len(self.head) else np.zeros(len(h))
-        shaped = (kind >= GROUPS) & (kind < GROUPS + SHAPES)
-        model = self.classes[two * HISTORIES + one, kind].astype(float)
-        own = kind < GROUPS
-        model[own] += self.members[one[own], rank[own]]
-        model[shaped] += log[shaped] - self.shape_logs[kind[shaped] - GROUPS]
+        row = self.classes.at(np.concatenate([two * sizes.histories + one, end_two * sizes.histories + end_one]))
+        model = self.classes.rows[row[: len(h)], kind].astype(float)
+        again = np.where(last, 10.0 ** self.classes.rows[row[: len(h)], sizes.repeated], 0) + np.where(before, 10.0 ** self.classes.rows[row[: len(h)], sizes.skipped], 0)
+        end = self.classes.rows[row[len(h) :], sizes.end]
+        own = kind < sizes.groups
+        context = sizes.word_context(two[own], one[own]) * sizes.groups + kind[own]
+        for i in range(0, len(context), KEPT):  # no more contexts at once than rows are kept
+            j = np.flatnonzero(own)[i : i + KEPT]
+            row = self.members.at(context[i : i + KEPT])
+            model[j] += self.members.rows[row, rank[j] % sizes.members]
+        shaped = ~own
+        model[shaped] += log[shaped] - self.shape_logs[kind[shaped] - sizes.groups]
+        repeats = again > 0
+        told = repeats & (own | found)
+        model[told] = np.log10(10.0 ** model[told] + again[told])
+        apart = repeats & ~told
+        rest = doc[apart], h[apart], again[apart], 10.0 ** model[apart]
+        model[apart] = 0
         size = np.diff(first) + 1
         base = np.bincount(doc, log, n) + self.end
-        score = np.bincount(doc, model, n) + self.classes[end_two * HISTORIES + end_one, END]
+        score = np.bincount(doc, model, n) + end
         rare = np.flatnonzero(~found)
         order = np.lexsort((h[rare], doc[rare]))
-        d, t, s = doc[rare][order], h[rare][order], shaped[rare][order]
+        d, t, s = doc[rare][order], h[rare][order], (shaped & ~apart)[rare][order]
         new = np.flatnonzero((np.diff(d, prepend=-1) != 0) | (np.diff(t, prepend=0) != 0)) if len(d) else np.zeros(0, np.int64)
         if len(d) and (not len(new) or new[0] != 0):
             new = np.concatenate([[0], new])
         times = np.diff(np.append(new, len(d)))
         as_shape = np.add.reduceat(s.astype(np.int64), new) if len(new) else np.zeros(0, np.int64)
-        return size, np.bincount(doc, found, n).astype(np.int64) + self.known_end, base, score, (d[new], t[new], times, as_shape)
+        return size, np.bincount(doc, found, n).astype(np.int64) + self.known_end, base, score, (d[new], t[new], times, as_shape), rest
 
 
 def score_texts(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of ``docs``, repeated rows included.
 
-    A null text is empty: its end is its only token. A null doc_id is held out. Other columns are not read. An empty table
-    gives an empty table; without training texts every base score is 0."""
+    A null text is empty: its end is its only token. A null doc_id is held out. A very long text is scored whole. Equal texts
+    have equal scores; of words of equal count those of the least hash are told apart first. Other columns are not read. An
+    empty table gives an empty table; without training texts every base score is 0."""
     spark = docs.sparkSession
     learn = tx.in_small_batches(docs).where(~held_out(F.col("doc_id"), folds, fold))
     counts = cut(token_counts(learn))
@@ -308,8 +408,9 @@ def score_texts(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
     frequent = F.lit(False) if least is None else level >= least
     got = counts.where(frequent | (F.col("h") == int(END_TOKEN))).toArrow().sort_by("h")  # at most HEAD + 1
     head, n = got["h"].to_numpy(), got["n"].to_numpy()
-    vocabulary = Vocabulary(head, n)
-    weights = train(statistics(learn, vocabulary))
+    sizes = Sizes.of(total)
+    vocabulary = Vocabulary(head, n, sizes)
+    weights = train(statistics(learn, vocabulary), sizes)
     shape_n, shape_types = np.zeros(SHAPES), np.zeros(SHAPES)
     for r in levels:
         if r["shape"] is not None:
@@ -325,17 +426,23 @@ def score_texts(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
         scorer = Scorer(*shared.value)
         for batch in batches:
             ids, rid = batch.column("doc_id"), batch.column("rid")
-            for a, b, data, offsets in tx.groups(batch.column("text")):
-                size, known, base, score, (d, t, times, as_shape) = scorer.score(data, offsets)
-                rids = rid.slice(a, b - a)
-                none = lambda k, kind: pa.nulls(k, kind)
-                m, r = b - a, len(d)
+            for a, b, data, offsets in tx.groups(batch.column("text"), PIECE):
+                size, known, base, score, (d, t, times, as_shape), (rd, rt, again, share) = scorer.score(data, offsets)
+                rids, m = rid.slice(a, b - a), b - a
                 # a text's own row has a hash of its number for a token, so that these rows spread like the others
-                texts = [rids, pa.array(tx.mix(rids.to_numpy().astype(np.uint64)).view(np.int64) | SHAPES - 1), pa.array(np.ones(m, bool)), ids.slice(a, m), pa.array(size), pa.array(known), pa.array(base), pa.array(score), none(m, pa.int64()), none(m, pa.int64())]
-                rare = [rids.take(pa.array(d)), pa.array(t), pa.array(np.zeros(r, bool)), none(r, pa.int64()), none(r, pa.int64()), none(r, pa.int64()), none(r, pa.float64()), none(r, pa.float64()), pa.array(times.astype(np.int64)), pa.array(as_shape)]
-                yield pa.record_batch([pa.concat_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x, y.combine_chunks() if isinstance(y, pa.ChunkedArray) else y]) for x, y in zip(texts, rare)], names=[f.split()[0] for f in fields.split(", ")])
-
-    fields = "rid long, h long, own boolean, doc_id long, size long, known long, base double, model double, times long, shaped long"
+                kinds = {
+                    "own": (rids, tx.mix(rids.to_numpy().astype(np.uint64)).view(np.int64) | SHAPES - 1, {"own": np.ones(m, bool), "doc_id": ids.slice(a, m), "size": size, "known": known, "base": base, "model": score}),
+                    "rare": (rids.take(pa.array(d)), t, {"times": times.astype(np.int64), "shaped": as_shape}),
+                    "again": (rids.take(pa.array(rd)), rt, {"again": again, "share": share}),
+                }
+                for r, token, more in kinds.values():
+                    if len(r):
+                        values = {"rid": r, "h": pa.array(token), "own": np.zeros(len(r), bool), **more}
+                        yield pa.record_batch([pa.nulls(len(r), f.type) if f.name not in values else pa.array(values[f.name]) if isinstance(values[f.name], np.ndarray) else values[f.name] for f in arrow], schema=arrow)
+
+    id_type = docs.schema["doc_id"].dataType
+    fields = f"rid long, h long, own boolean, doc_id {id_type.simpleString()}, size long, known long, base double, model double, times long, shaped long, again double, share double"
+    arrow = to_arrow_schema(StructType.fromDDL(fields))
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("rid")).mapInArrow(read, fields)
     tail = counts.where(~frequent & (F.col("h") != int(END_TOKEN)))
     met = rows.join(tail, "h", "left")
@@ -343,8 +450,9 @@ def score_texts(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
     summed = met.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"), F.max("size").alias("n_tokens"), F.max("known").alias("known"), F.max("base").alias("base"), F.max("model").alias("model"),
         F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("times"))), F.lit(0)).alias("rare_known"), F.coalesce(F.sum(F.col("times") * log), F.lit(0.0)).alias("rare_log"), F.coalesce(F.sum(F.col("shaped") * log), F.lit(0.0)).alias("rare_model"),
+        F.coalesce(F.sum(F.log10(F.col("again") + F.col("share") * (F.coalesce("n", F.lit(0)) + 1))), F.lit(0.0)).alias("rare_again"),
     )
     return summed.select(
         "doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), "n_tokens", (F.col("known") + F.col("rare_known")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("rare_log") - F.col("n_tokens") * F.lit(float(np.log10(total + types + 1)))).alias("base_score"), (F.col("model") + F.col("rare_model")).alias("score"),
+        (F.col("base") + F.col("rare_log") - F.col("n_tokens") * F.lit(float(np.log10(total + types + 1)))).alias("base_score"), (F.col("model") + F.col("rare_model") + F.col("rare_again")).alias("score"),
     )
