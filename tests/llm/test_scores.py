@@ -190,15 +190,101 @@ def test_language_model(docs):
 
 
 def test_rare_words_meet_their_counts_in_a_join(docs, monkeypatch):
-    whole = sorted((str(r["doc_id"]), r["n_known"], round(r["base_score"], 6), round(r["score"], 3)) for r in maxent.score_texts(docs).collect())
-    monkeypatch.setattr(maxent, "HEAD", 40)
-    parts = sorted((str(r["doc_id"]), r["n_known"], round(r["base_score"], 6), 0) for r in maxent.score_texts(docs).collect())
-    assert [x[:3] for x in whole] == [x[:3] for x in parts]
-
-
-def test_probabilities_sum_to_one():
-    rng = np.random.default_rng(4)
-    w = maxent.Weights(rng.integers(0, 50, maxent.CLASSES), rng.integers(0, 50, maxent.GROUPS * maxent.MEMBERS))
-    w.classes, w.words = rng.normal(size=w.classes.shape), rng.normal(size=w.words.shape)
-    assert np.allclose(np.exp(w.class_logs(np.arange(0, 16384, 77))).sum(axis=1), 1)
-    assert np.allclose(np.exp(w.word_logs(np.arange(64), np.arange(64) % 32)).sum(axis=1), 1)
+    get = lambda: sorted((str(r["doc_id"]), r["n_known"], round(r["base_score"], 6), round(r["score"], 3)) for r in maxent.score_texts(docs).collect())
+    sizes = maxent.Sizes(8, 32)
+    monkeypatch.setattr(maxent.Sizes, "of", classmethod(lambda cls, n: sizes))
+    whole = get()
+    monkeypatch.setattr(maxent, "HEAD", 80)  # as many as are told apart at least
+    assert whole == get()
+
+
+def scorer(rng, k=3):
+    """A model of random weights over 200 words, with all their counts."""
+    import pyarrow as pa
+
+    words = sorted({"".join(rng.choice("abcdxyz.,") for _ in range(rng.randrange(1, 12))) for _ in range(200)})
+    (_, _, data, offsets), = tx.groups(pa.array([" ".join(words)]))
+    head = np.append(maxent.tokens(data, offsets)[0], maxent.END_TOKEN)
+    order = np.argsort(head)
+    counts = np.array([rng.randrange(1, 50) for _ in head])[order]
+    head = head[order]
+    sizes = maxent.Sizes(1 << k, 1 << (k + 2))
+    vocabulary = maxent.Vocabulary(head, counts, sizes)
+    numbers = np.random.default_rng(4)
+    weights = maxent.Weights(sizes, numbers.integers(0, 50, sizes.classes), numbers.integers(0, 50, sizes.words))
+    for table in weights.tables:
+        table += numbers.normal(size=table.shape)
+    shaped = ~np.isin(head, np.append(vocabulary.words, maxent.END_TOKEN))
+    shape = head[shaped] & (maxent.SHAPES - 1)
+    logs = np.log10(np.bincount(shape, counts[shaped] + 1, maxent.SHAPES) + 1)
+    return words, maxent.Scorer(vocabulary, weights, head, counts, logs), logs
+
+
+def scored(s, texts):
+    import pyarrow as pa
+
+    return [x for _, _, data, offsets in tx.groups(pa.array(texts)) for x in s.score(data, offsets)[3].tolist()]
+
+
+def test_probabilities_of_all_words_sum_to_one():
+    words, s, logs = scorer(random.Random(4))
+    for begin in ("", words[0], f"{words[3]} {words[3]}", f"{words[5]} {words[7]}", f"{words[9]} {words[9]} {words[11]}"):
+        whole = s.score(*_bytes(begin))
+        end = 10 ** scored(s, [begin])[0]
+        # P(begin, w) = P(begin) P(w | begin) without the end after w
+        after = [10 ** (_open(s, f"{begin} {w}".strip()) - (_open(s, begin) if begin else 0)) for w in words]
+        shapes = _shapes(s, begin, logs)
+        stop = end / 10 ** (_open(s, begin) if begin else 0)
+        assert len(whole[0]) == 1 and abs(sum(after) + shapes + stop - 1) < 1e-4, begin
+
+
+def _bytes(text):
+    import pyarrow as pa
+
+    (_, _, data, offsets), = tx.groups(pa.array([text]))
+    return data, offsets
+
+
+def _open(s, text):
+    """log10 probability of a text's words without its end."""
+    data, offsets = _bytes(text)
+    sizes = s.vocabulary.sizes
+    h, first = maxent.tokens(data, offsets)
+    *_, one, two = s.vocabulary.read(h, first)
+    score = s.score(data, offsets)[3][0]
+    row = s.classes.at(two * sizes.histories + one)
+    return score - s.classes.rows[row, sizes.end][0]
+
+
+def _shapes(s, text, logs):
+    """The probability, after a text, of the words never seen, one for each shape."""
+    sizes = s.vocabulary.sizes
+    h, first = maxent.tokens(*_bytes(text))
+    *_, one, two = s.vocabulary.read(h, first)
+    row = s.classes.at(two * sizes.histories + one)
+    return sum(10.0 ** (s.classes.rows[row, sizes.groups + k][0] - logs[k]) for k in range(maxent.SHAPES))
+
+
+def test_more_text_tells_more_words_apart():
+    sizes = [maxent.Sizes.of(10**k) for k in range(4, 14, 2)]
+    assert all(a.words < b.words and a.histories < b.histories for a, b in zip(sizes, sizes[1:]))
+    assert maxent.Sizes.of(10**15).words <= maxent.HEAD
+
+
+def test_the_gradient_against_differences():
+    rng = np.random.default_rng(6)
+    sizes = maxent.Sizes(4, 32)
+    w = maxent.Weights(sizes, rng.integers(0, 9, sizes.classes), rng.integers(0, 9, sizes.words))
+    for t, contexts in ((0, sizes.pairs), (1, (maxent.COARSE + 1) * sizes.histories * sizes.groups)):
+        context = np.sort(rng.integers(0, contexts, 60))
+        outcome, n = rng.integers(0, sizes.members, 60), rng.integers(1, 9, 60).astype(float)
+        rows, sums = w.gradient(t, context, outcome, n)
+        value = lambda: float((n * w.logs(t, context)[np.arange(60), outcome]).sum())
+        for i in rng.integers(0, len(rows), 5).tolist():
+            for k in range(2):
+                w.tables[t][rows[i], k] += 1e-2
+                up = value()
+                w.tables[t][rows[i], k] -= 2e-2
+                down = value()
+                w.tables[t][rows[i], k] += 1e-2
+                assert abs((up - down) / 2e-2 - sums[i, k]) < 0.05
