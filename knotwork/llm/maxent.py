@@ -41,7 +41,7 @@ SHAPES = 16
 #: Bytes of text scored at once.
 PIECE = 1 << 19
 #: Rows of the hashed features.
-BITS = 14
+BITS = 13
 ROUNDS, DECAY = 8, 4.0
 #: Statistics that a task takes in a round, histories it computes at once, and rows of probabilities that a worker keeps.
 STATISTICS, STEP, KEPT = 1_000_000, 4096, 60_000
