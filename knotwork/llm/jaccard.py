@@ -12,7 +12,8 @@ longest lists are set aside; the others are merged in a heap that skips ahead to
 these are probed for in the long lists by binary search until they reach the overlap that their size asks, or cannot.
 
 Before that a block is held against one of its sets: those that link with it are one component and need no search among
-themselves. A block too large for a task is held against ``PIVOTS`` sets in the same way; those that link with the pivot of
+themselves. The sets of blocks too large for a task are first put in blocks anew, by prefixes of their rarest n-grams. A
+block that is still too large is held against ``PIVOTS`` sets in the same way; those that link with the pivot of
 the most links are dealt in parts, the others too, and each part of the others meets each part in a task; no set is left
 out. A large group of near copies costs as many comparisons as it has members.
 
@@ -328,6 +329,37 @@ def _near_pivots(threshold: int):
     return read
 
 
+def _exploded(batches):
+    """(gram, a, size): a row for each n-gram of a set."""
+    for batch in batches:
+        a, size = batch.column("a").to_numpy(), batch.column("size").to_numpy()
+        for i in range(0, len(a), 256):
+            grams = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("grams").slice(i, 256)]
+            times = [len(g) for g in grams]
+            yield pa.record_batch({"gram": pa.array(np.concatenate(grams)), "a": pa.array(np.repeat(a[i : i + 256], times)), "size": pa.array(np.repeat(size[i : i + 256], times))})
+
+
+def _prefix_blocks(large: DataFrame, threshold: int) -> DataFrame:
+    """The sets of large blocks in the blocks of their rarest n-grams.
+
+    Of n-grams ordered by the sets that have them, similar sets share one among the first ``size - least overlap + 1`` of
+    each. N-grams of one set only come first and are shared with none, so sets with enough n-grams of their own, such as
+    texts that have a passage in common, are in no block."""
+    each = large.select("a", "size", "grams").mapInArrow(_exploded, "gram long, a long, size long")
+    shared = each.withColumn("df", F.count("*").over(Window.partitionBy("gram"))).where("df > 1")
+    own = Window.partitionBy("a")
+    ranked = shared.select("gram", "a", "size", F.row_number().over(own.orderBy("df", "gram")).alias("rank"), F.count("*").over(own).alias("shared"))
+    first = F.col("size") - F.ceil(F.col("size") * threshold / 100) + 1 - (F.col("size") - F.col("shared"))
+    prefix = ranked.where(F.col("rank") <= first).select("gram", "a")
+    stars = prefix.withColumn("head", F.min("a").over(Window.partitionBy("gram"))).where("head <> a").select(F.col("a").alias("u"), F.col("head").alias("v")).distinct()
+    blocks = components(stars).withColumnRenamed("node", "a").withColumnRenamed("root", "block")
+    return large.drop("block", "parts").join(blocks, "a")
+
+
+def _parts() -> Column:
+    return F.when(F.col("weight") > HELD, F.ceil(F.col("weight") / (HELD // 2))).otherwise(1).cast("int").alias("parts")
+
+
 def _large_blocks(grams: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     """(links with pivots, rows of the tasks in which the other pairs meet) of blocks of several parts."""
     which = [F.min_by(F.struct("a", "b"), F.xxhash64(F.lit(k), "a", "b")).alias(f"p{k}") for k in range(PIVOTS)]
@@ -382,10 +414,14 @@ def set_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> t
     blocks = components(shares)
     members = sets.select("a", "b", "size", "own").join(blocks.withColumnRenamed("node", "a").withColumnRenamed("root", "block"), "a")
     weights = members.groupBy("block").agg(F.sum("size").alias("weight"))
-    parts = F.when(F.col("weight") > HELD, F.ceil(F.col("weight") / (HELD // 2))).otherwise(1).cast("int")
-    members = members.join(weights, "block").select("block", "a", "b", "size", "own.tk", "own.did", parts.alias("parts"))
+    members = members.join(weights, "block").select("block", "a", "b", "size", "own.tk", "own.did", _parts())
     texts = docs.select(_text_key().alias("tk"), _known_id(docs).alias("did"), "text").join(members, ["tk", "did"])
     grams = cut(texts.select("block", "a", "b", "size", "parts", "text").mapInArrow(_grams_of(n), "block long, a long, b long, size long, parts int, grams binary"))
+    if not grams.where("parts > 1").isEmpty():
+        refined = _prefix_blocks(grams.where("parts > 1"), threshold)
+        weights = refined.groupBy("block").agg(F.sum("size").alias("weight"))
+        refined = refined.join(weights, "block").select("block", "a", "b", "size", _parts(), "grams")
+        grams = grams.where("parts = 1").unionByName(cut(refined))
     small = grams.where("parts = 1").select("block", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit("S").alias("kind"), "a", "b", "size", F.lit(0).alias("part"), "grams")
     search = lambda met: met.groupBy("block", "kind", "i", "j").applyInArrow(_search(threshold), "a long, b long, ra long, rb long")
     large = grams.where("parts > 1")
