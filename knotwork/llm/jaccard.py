@@ -41,6 +41,8 @@ N, THRESHOLD = 3, 90
 #: N-grams that a task holds of a block. A larger block is dealt in parts of half as many.
 HELD = 200_000
 PIVOTS = 4
+#: The ratio of sizes within a class, as a power of that of similar sets.
+WIDE = 2.4
 #: Weighs a probe of a long list against a merge of it, as DivideSkip does to choose how many are long.
 PROBE = 0.0085
 
@@ -79,10 +81,12 @@ def _identities(n: int):
 
 
 def size_classes(threshold: int, most: int) -> list[int]:
-    """Least sizes of the classes; similar sets are in one class or in two that follow each other."""
+    """Least sizes of the classes; similar sets are in one class or in two that follow each other.
+
+    Classes wider than the sizes of similar sets need more segments, but fewer of their sets have keys of the next class."""
     bounds = [1]
     while bounds[-1] <= most:
-        bounds.append(max(bounds[-1] + 1, -(-bounds[-1] * 100 // threshold)))
+        bounds.append(max(bounds[-1] + 1, -(-bounds[-1] * 100 // threshold), int(bounds[-1] * (100 / threshold) ** WIDE)))
     return bounds
 
 
@@ -92,7 +96,7 @@ def _chosen(k: int, together: int) -> np.ndarray:
 
 
 def segment_keys(g: np.ndarray, bounds: list[int], threshold: int = THRESHOLD) -> np.ndarray:
-    """The keys of a sorted set: its segments, or two or three of them together, under its own class and the next. Similar sets share one.
+    """The keys of a sorted set: its segments, or two or three of them together, under its own class and, if sets of that may be similar, the next. Similar sets share one.
 
     With d differences at most and d + 1 + s segments, similar sets agree on s + 1. If one of them has at most s tiny
     segments, one of these is not tiny, and both have its key; if both have more, both have keys of tiny ones too."""
@@ -101,13 +105,13 @@ def segment_keys(g: np.ndarray, bounds: list[int], threshold: int = THRESHOLD) -
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tx.mix(m ^ _ODD[3]))])
     own = bisect_right(bounds, len(g)) - 1
     out = []
-    for c in (own, own + 1):
+    for c in (own, own + 1) if len(g) * 100 >= threshold * bounds[own + 1] else (own,):
         # the larger of two sets in this class and the one before has at most this many n-grams
-        largest = max(bounds[c] + 1, -(-bounds[c] * 100 // threshold)) - 1
+        largest = bounds[c + 1] - 1
         differ = (100 - threshold) * 2 * largest // (100 + threshold)
         # where single segments would hold few n-grams, keys are of two or three of them
         together = 3 if differ <= 5 else 2 if differ <= (100 - threshold) * 9 // 20 else 1
-        spare = 0 if not differ else together - 1 if together > 1 else 4 + max(0, 90 - threshold) // 5 + differ * (100 - threshold) // 160
+        spare = 0 if not differ else together - 1 if together > 1 else 3 + max(0, 90 - threshold) // 5 + differ * (100 - threshold) ** 2 // 4000
         k = differ + 1 + spare
         cuts = np.concatenate([[0], np.searchsorted(m, np.arange(1, k, dtype=np.uint64) * np.uint64((1 << 64) // k)), [len(m)]]) if k > 1 else np.array([0, len(m)])
         size = np.diff(cuts)
@@ -152,8 +156,8 @@ def _shares(n: int, threshold: int):
             for _, _, data, offsets in tx.groups(batch.column("text")):
                 for g in gram_sets(data, offsets, n):
                     if len(g):
-                        if len(g) * 2 >= bounds[-1]:
-                            bounds = size_classes(threshold, len(g) * 4)
+                        if len(g) * 8 >= bounds[-1]:
+                            bounds = size_classes(threshold, len(g) * 16)
                         k = segment_keys(g, bounds, threshold)
                         keys.append(k)
                         owners.append(np.full(len(k), _identity(g)[0]))
@@ -330,13 +334,13 @@ def _near_pivots(threshold: int):
 
 
 def _exploded(batches):
-    """(gram, a, size): a row for each n-gram of a set."""
+    """(gram, a): a row for each n-gram of a set."""
     for batch in batches:
-        a, size = batch.column("a").to_numpy(), batch.column("size").to_numpy()
+        a = batch.column("a").to_numpy()
         for i in range(0, len(a), 256):
             grams = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("grams").slice(i, 256)]
             times = [len(g) for g in grams]
-            yield pa.record_batch({"gram": pa.array(np.concatenate(grams)), "a": pa.array(np.repeat(a[i : i + 256], times)), "size": pa.array(np.repeat(size[i : i + 256], times))})
+            yield pa.record_batch({"gram": pa.array(np.concatenate(grams)), "a": pa.array(np.repeat(a[i : i + 256], times))})
 
 
 def _prefix_blocks(large: DataFrame, threshold: int) -> DataFrame:
@@ -345,12 +349,12 @@ def _prefix_blocks(large: DataFrame, threshold: int) -> DataFrame:
     Of n-grams ordered by the sets that have them, similar sets share one among the first ``size - least overlap + 1`` of
     each. N-grams of one set only come first and are shared with none, so sets with enough n-grams of their own, such as
     texts that have a passage in common, are in no block."""
-    each = large.select("a", "size", "grams").mapInArrow(_exploded, "gram long, a long, size long")
+    each = large.select("a", "grams").mapInArrow(_exploded, "gram long, a long")
     shared = each.withColumn("df", F.count("*").over(Window.partitionBy("gram"))).where("df > 1")
     own = Window.partitionBy("a")
-    ranked = shared.select("gram", "a", "size", F.row_number().over(own.orderBy("df", "gram")).alias("rank"), F.count("*").over(own).alias("shared"))
+    ranked = shared.select("gram", "a", F.row_number().over(own.orderBy("df", "gram")).alias("rank"), F.count("*").over(own).alias("shared"))
     first = F.col("size") - F.ceil(F.col("size") * threshold / 100) + 1 - (F.col("size") - F.col("shared"))
-    prefix = ranked.where(F.col("rank") <= first).select("gram", "a")
+    prefix = ranked.join(large.select("a", "size"), "a").where(F.col("rank") <= first).select("gram", "a")
     stars = prefix.withColumn("head", F.min("a").over(Window.partitionBy("gram"))).where("head <> a").select(F.col("a").alias("u"), F.col("head").alias("v")).distinct()
     blocks = components(stars).withColumnRenamed("node", "a").withColumnRenamed("root", "block")
     return large.drop("block", "parts").join(blocks, "a")
