@@ -7,11 +7,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.functions.text import cosine
 from knotwork.plans.components import components
 
 #: Entities of a block that a task takes; the linkage needs a matrix of their distances.
 MOST = 4000
+#: Names of a type that a task compares with as many others, and the rows of a product.
+PART, ROWS = 2000, 500
 
 
 def average_linkage(vectors: np.ndarray, threshold: float) -> np.ndarray:
@@ -40,6 +41,34 @@ def average_linkage(vectors: np.ndarray, threshold: float) -> np.ndarray:
     return np.unique(of, return_inverse=True)[1]
 
 
+def similar_names(known: DataFrame, similarity: float) -> DataFrame:
+    """u, v (entity_type, name) of pairs of a type whose cosine reaches ``similarity``, as many as connect what they connect.
+
+    A type's names are dealt in parts by hash, and each two parts meet in a task as a product of two matrices."""
+    parts = known.groupBy("entity_type").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("name"), F.col("parts")).cast("int")
+    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))
+    dealt = known.join(parts, "entity_type").select("entity_type", "name", "embedding", own.alias("own"), F.explode(others).alias("p")).select("entity_type", "p.i", "p.j", "own", "name", "embedding")
+
+    def near(key, table):
+        vectors = np.array(table["embedding"].to_pylist(), float).reshape(table.num_rows, -1)
+        unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
+        root = np.arange(len(unit))
+        u, v = [], []
+        for a in range(0, len(unit), ROWS):
+            x, y = np.nonzero(unit[a : a + ROWS] @ unit.T >= similarity)
+            for i, j in zip((x + a).tolist(), y.tolist()):
+                if i < j and root[i] != root[j]:
+                    root[root == root[j]] = root[i]
+                    u.append(i)
+                    v.append(j)
+        kind, name = table["entity_type"].combine_chunks(), table["name"].combine_chunks()
+        return pa.table({"t": kind.take(pa.array(u, pa.int64())), "a": name.take(pa.array(u, pa.int64())), "b": name.take(pa.array(v, pa.int64()))})
+
+    found = dealt.groupBy("entity_type", "i", "j").applyInArrow(near, "t string, a string, b string")
+    return found.select(F.struct(F.col("t").alias("entity_type"), F.col("a").alias("name")).alias("u"), F.struct(F.col("t").alias("entity_type"), F.col("b").alias("name")).alias("v"))
+
+
 def cluster_entities(entities: DataFrame, similarity: float = 0.75, min_entities: int = 2) -> DataFrame:
     """entity_type, cluster_id, name of (entity_type, name, embedding): average-linkage clusters of a cosine distance of at most ``1 - similarity``.
 
@@ -49,9 +78,7 @@ def cluster_entities(entities: DataFrame, similarity: float = 0.75, min_entities
     known = entities.where("embedding is not null").groupBy("entity_type", "name").agg(F.first("embedding").alias("embedding"))
     many = known.groupBy("entity_type").agg(F.count("*").alias("n")).where(F.col("n") >= min_entities).select("entity_type")
     known = known.join(F.broadcast(many), "entity_type")
-    a, b = known.alias("a"), known.alias("b")
-    near = a.join(b, (F.col("a.entity_type") == F.col("b.entity_type")) & (F.col("a.name") < F.col("b.name"))).where(cosine(F.col("a.embedding"), F.col("b.embedding")) >= similarity)
-    edges = near.select(F.struct("a.entity_type", "a.name").alias("u"), F.struct("b.entity_type", "b.name").alias("v"))
+    edges = similar_names(known, similarity)
     parts = components(edges).select("node.entity_type", "node.name", F.col("root.name").alias("part"))
     dealt = known.join(parts, ["entity_type", "name"], "left").withColumn("part", F.coalesce("part", "name"))
 

@@ -132,11 +132,10 @@ def match_any_label(spark: SparkSession, d: str) -> DataFrame:
     return met.select(F.col("src_label").alias("entity_type"), F.col("src_name").alias("entity"), F.col("dst_name").alias("metric"))
 
 
-@query(GRAPH + """SELECT n.name AS a, s.name AS b, p.name AS c, b.name AS d
-FROM edges ns JOIN nodes n ON ns.src_id = n.node_id AND n.label = 'Nation' JOIN nodes s ON ns.dst_id = s.node_id AND s.label = 'Supplier'
-JOIN edges ps ON ps.dst_id = s.node_id AND ps.rel_type = 'SUPPLIED_BY'
-JOIN edges pb ON pb.src_id = ps.src_id AND pb.rel_type = 'EXAMPLE_OF' JOIN nodes p ON pb.src_id = p.node_id AND p.label = 'Part' JOIN nodes b ON pb.dst_id = b.node_id AND b.label = 'Brand'
-WHERE ns.rel_type = 'CONTAINS'""")
+@query(GRAPH + """, a AS MATERIALIZED (SELECT n.name AS a, s.name AS b, s.node_id AS k FROM edges e JOIN nodes n ON e.src_id = n.node_id AND n.label = 'Nation' JOIN nodes s ON e.dst_id = s.node_id AND s.label = 'Supplier' WHERE e.rel_type = 'CONTAINS'),
+b AS MATERIALIZED (SELECT p.name AS c, b.name AS d, p.node_id AS k FROM edges e JOIN nodes p ON e.src_id = p.node_id AND p.label = 'Part' JOIN nodes b ON e.dst_id = b.node_id AND b.label = 'Brand' WHERE e.rel_type = 'EXAMPLE_OF'),
+m AS MATERIALIZED (SELECT src_id, dst_id FROM edges WHERE rel_type = 'SUPPLIED_BY')
+SELECT a.a, a.b, b.c, b.d FROM m JOIN a ON m.dst_id = a.k JOIN b ON m.src_id = b.k""".replace("\n, a AS", ", a AS"))
 def match_three_way(spark: SparkSession, d: str) -> DataFrame:
     return matching.match_three(trade_nodes(spark, d), trade_edges(spark, d), ("Nation", "CONTAINS", "Supplier"), ("Part", "EXAMPLE_OF", "Brand"), "SUPPLIED_BY")
 
@@ -225,28 +224,22 @@ def clear_domain_survivors(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH RECURSIVE e AS (
     SELECT 'Region:' || r_name AS s, 'Nation:' || n_name AS t, 'CONTAINS' AS r FROM nation JOIN region ON n_regionkey = r_regionkey
+    UNION ALL SELECT 'Nation:' || n_name, 'Customer:' || c_name, 'CONTAINS' FROM customer JOIN nation ON c_nationkey = n_nationkey
     UNION ALL SELECT 'Nation:' || n_name, 'Supplier:' || s_name, 'CONTAINS' FROM supplier JOIN nation ON s_nationkey = n_nationkey
-    UNION ALL SELECT 'Nation:' || n_name, 'Region:' || r_name, 'IN' FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 5),
+    UNION ALL SELECT 'Nation:' || n_name, 'Region:' || r_name, 'IN' FROM nation JOIN region ON n_regionkey = r_regionkey),
 w AS (
     SELECT s AS start_id, t AS end_id, 1 AS depth, [s || '>' || r || '>' || t] AS path FROM e WHERE s = 'Region:ASIA'
     UNION ALL SELECT w.start_id, e.t, w.depth + 1, list_append(w.path, e.s || '>' || e.r || '>' || e.t) FROM w JOIN e ON w.end_id = e.s
     WHERE NOT list_contains(w.path, e.s || '>' || e.r || '>' || e.t) AND w.depth < 8)
 SELECT start_id, end_id, depth, array_to_string(path, ';') AS path FROM w""")
 def var_length_trails(spark: SparkSession, d: str) -> DataFrame:
-    nodes, edges = trade_nodes(spark, d), trade_edges(spark, d)
-    early = graph.node_id("Nation", "n_name")
-    back = table(spark, d, "nation").where("n_nationkey < 5").select(early.alias("src_id"))
-    contains = edges.where("rel_type = 'CONTAINS' AND NOT dst_id LIKE 'Customer:%'")
-    own = contains.unionByName(edges.where("rel_type = 'IN'").join(back, "src_id", "left_semi").select(edges.columns))
-    found = matching.trails(nodes, own, ["CONTAINS", "IN"], F.col("node_id") == "Region:ASIA", max_depth=8)
+    found = matching.trails(trade_nodes(spark, d), trade_edges(spark, d), ["CONTAINS", "IN"], F.col("node_id") == "Region:ASIA", max_depth=8)
     return found.select("start_id", "end_id", "depth", F.array_join("path", ";").alias("path"))
 
 
 @query()
 def var_length_trails_whole(spark: SparkSession, d: str) -> DataFrame:
-    """``var_length_trails`` over all CONTAINS and IN edges, customers' too."""
-    found = matching.trails(trade_nodes(spark, d), trade_edges(spark, d), ["CONTAINS", "IN"], F.col("node_id") == "Region:ASIA", max_depth=8)
-    return found.select("start_id", "end_id", "depth", F.array_join("path", ";").alias("path"))
+    return var_length_trails(spark, d)
 
 
 # --- markdown
@@ -342,7 +335,7 @@ def references_contains_join(spark: SparkSession, d: str) -> DataFrame:
 def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
     docs = markdown_documents(spark, d)
     titled = docs.select("file_path", markdown.title(F.col("content"), F.col("file_path")).alias("title"), "content")
-    return chunking.chunk_documents(titled, 200, 600, "https://kb.example").drop("text")
+    return chunking.chunk_documents(titled, 200, 600, "https://kb.example").withColumn("text", F.md5(F.col("text").cast("binary")))
 
 
 @query("""SELECT doc_id, md5('---SOURCE: ' || source || '---' || chr(10) || 'Section: ' || lang || ' > ' || source || chr(10) || CASE WHEN n_chars % 2 = 0 THEN 'URL: http://h/' || doc_id || chr(10) ELSE '' END
@@ -361,7 +354,7 @@ def prompt_build(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.md5(made.cast("binary")).alias("prompt"), token_estimate(F.col("text")).alias("tokens"))
 
 
-# --- concepts: vocabularies of words that the English documents have
+# --- concepts: vocabularies of words that the documents have; letters of all languages are in words
 
 _WORDS = [("the", "The"), ("with", "With"), ("whou", "Whou"), ("that", "That"), ("that", "This"), ("ndea", "Ndea"), ("nothere", "Nothere")]
 _VOCABULARY = "v AS (SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{t}', {k})" for k, (n, t) in enumerate(_WORDS)) + ") AS v(name, term, ordinal))"
@@ -371,70 +364,69 @@ def word_vocabulary(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("service", n, t, k) for k, (n, t) in enumerate(_WORDS)], "category string, name string, term string, ordinal int")
 
 
-def english(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where("lang = 'en'").select(F.col("doc_id").cast("string").alias("file_path"), F.col("text").alias("content"))
+def all_documents(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("file_path"), F.col("text").alias("content"))
+
+
+_W = r"\p{L}\p{M}\p{Nd}\p{Pc}"
+_HAS = rf"regexp_matches(text, '(?i)(?:^|[^{_W}])' || term || '(?:$|[^{_W}])')"
 
 
 _CONTEXT = r"trim(regexp_replace(substr(text, greatest(strpos(lower(text), lower(term)) - 120, 1), strpos(lower(text), lower(term)) + length(term) + 120 - greatest(strpos(lower(text), lower(term)) - 120, 1)), '\s+', ' ', 'g'))"
 
 
 @query(f"""WITH {_VOCABULARY}, h AS (
-    SELECT doc_id, name, ordinal, {_CONTEXT} AS description FROM documents JOIN v ON regexp_matches(text, '(?i)\\b' || term || '\\b') WHERE lang = 'en')
+    SELECT doc_id, name, ordinal, {_CONTEXT} AS description FROM documents JOIN v ON {_HAS})
 SELECT CAST(doc_id AS VARCHAR) AS file_path, name, arg_min(description, ordinal) AS description FROM h GROUP BY 1, 2""")
 def service_concepts(spark: SparkSession, d: str) -> DataFrame:
     empty = word_vocabulary(spark).where("false")
-    return concepts.concepts(english(spark, d), word_vocabulary(spark), empty, []).select("file_path", "name", "description")
+    return concepts.concepts(all_documents(spark, d), word_vocabulary(spark), empty, []).select("file_path", "name", "description")
 
 
-@query(f"""WITH {_VOCABULARY} SELECT CAST(doc_id AS VARCHAR) AS file_path, name, term, ordinal FROM documents JOIN v ON regexp_matches(text, '(?i)\\b' || term || '\\b') WHERE lang = 'en'""")
+@query(f"""WITH {_VOCABULARY} SELECT CAST(doc_id AS VARCHAR) AS file_path, name, term, ordinal FROM documents JOIN v ON {_HAS}""")
 def tech_concepts(spark: SparkSession, d: str) -> DataFrame:
-    return concepts.term_hits(english(spark, d), word_vocabulary(spark)).select("file_path", "name", "term", "ordinal")
+    return concepts.term_hits(all_documents(spark, d), word_vocabulary(spark)).select("file_path", "name", "term", "ordinal")
 
 
-@query("""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)thhe(?:re|th)?')) AS name FROM documents WHERE lang = 'en')
+@query("""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)thhe(?:re|th)?')) AS name FROM documents)
 SELECT CAST(doc_id AS VARCHAR) AS file_path, name, count(*) AS n FROM m GROUP BY 1, 2""")
 def term_concepts(spark: SparkSession, d: str) -> DataFrame:
-    return concepts.pattern_hits(english(spark, d), ["thhe(?:re|th)?"]).groupBy("file_path", "name").agg(F.count("*").alias("n"))
+    return concepts.pattern_hits(all_documents(spark, d), ["thhe(?:re|th)?"]).groupBy("file_path", "name").agg(F.count("*").alias("n"))
 
 
-@query(r"""WITH r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\w\s]+')) AS run FROM documents WHERE lang = 'en'),
-p AS (SELECT doc_id, lower(trim(regexp_extract(run, '(?is)^(.*\w)\s+the\s+(.*\w)\s*$', 1), ' ' || chr(10))) AS a, lower(trim(regexp_extract(run, '(?is)^(.*\w)\s+the\s+(.*\w)\s*$', 2), ' ' || chr(10))) AS b FROM r
-    WHERE regexp_matches(run, '(?is)^(.*\w)\s+the\s+(.*\w)\s*$'))
-SELECT CAST(doc_id AS VARCHAR) AS file_path, a AS src, b AS dst, count(*) AS n FROM p WHERE a <> b AND length(a) < 12 AND length(b) < 12 AND regexp_matches(a, '^\w+$') AND regexp_matches(b, '^\w+$') GROUP BY 1, 2, 3""")
-def concept_relationships(spark: SparkSession, d: str) -> DataFrame:
-    docs = english(spark, d)
-    names = docs.select("file_path", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("content"), F.lit(r"\w+"), F.lit(0)))).alias("name")).where(F.length("name") < 12)
-    return concepts.concept_relations(docs, names, {"the": "THE"}).groupBy("file_path", "src", "dst").agg(F.count("*").alias("n"))
+_PARTED = rf"(?is)^\s*([{_W}]+)\s+the\s+([{_W}]+)\s*$"
 
 
-# The same over documents of every language and of none; words of other letters end elsewhere in the SQL, so there is none.
+@query(rf"""WITH r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[{_W}\s]+')) AS run FROM documents),
+p AS (SELECT doc_id, lower(regexp_extract(run, '{_PARTED}', 1)) AS a, lower(regexp_extract(run, '{_PARTED}', 2)) AS b FROM r WHERE regexp_matches(run, '{_PARTED}'))
+SELECT CAST(doc_id AS VARCHAR) AS file_path, a AS src, b AS dst, count(*) AS n FROM p WHERE a <> b GROUP BY 1, 2, 3""")
+def concept_relationships(spark: SparkSession, d: str) -> DataFrame:
+    docs = all_documents(spark, d)
+    names = docs.select("file_path", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("content"), F.lit(r"(?U)\w+"), F.lit(0)))).alias("name"))
+    return concepts.concept_relations(docs, names, {"the": "THE"}).groupBy("file_path", "src", "dst").agg(F.count("*").alias("n"))
 
 
-def all_documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("file_path"), F.col("text").alias("content"))
+# Names of earlier queries; they are the same.
 
 
 @query()
 def service_concepts_whole(spark: SparkSession, d: str) -> DataFrame:
-    empty = word_vocabulary(spark).where("false")
-    return concepts.concepts(all_documents(spark, d), word_vocabulary(spark), empty, []).select("file_path", "name", "description")
+    return service_concepts(spark, d)
 
 
 @query()
 def tech_concepts_whole(spark: SparkSession, d: str) -> DataFrame:
-    return concepts.term_hits(all_documents(spark, d), word_vocabulary(spark)).select("file_path", "name", "term", "ordinal")
+    return tech_concepts(spark, d)
 
 
 @query()
 def term_concepts_whole(spark: SparkSession, d: str) -> DataFrame:
-    return concepts.pattern_hits(all_documents(spark, d), ["thhe(?:re|th)?"]).groupBy("file_path", "name").agg(F.count("*").alias("n"))
+    return term_concepts(spark, d)
 
 
 @query()
 def concept_relationships_whole(spark: SparkSession, d: str) -> DataFrame:
-    docs = all_documents(spark, d)
-    names = docs.select("file_path", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("content"), F.lit(r"(?U)\w+"), F.lit(0)))).alias("name"))
-    return concepts.concept_relations(docs, names, {"the": "THE"}).groupBy("file_path", "src", "dst").agg(F.count("*").alias("n"))
+    return concept_relationships(spark, d)
 
 
 @query("""WITH v AS (SELECT * FROM (VALUES ('the'), ('with'), ('ing')) AS v(name)), s AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS content, unnest(range(len(string_split(text, chr(10))))) AS section_idx FROM documents)
@@ -473,6 +465,11 @@ _CHECKED = """x AS (SELECT *, CASE WHEN trim(subject) = '' OR trim(object) = ''
     WHEN len(list_filter(string_split(evidence, ' '), lambda w: w <> '')) < 3 AND NOT inferred THEN 'evidence' END AS error_type FROM t)"""
 
 
+@query(f"WITH {_LINE_TRIPLES} SELECT seq, subject, subject_type, relation, object, object_type, evidence, inferred, source, timestamp FROM t")
+def triples_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    return extraction.from_json(extraction.to_json(line_triples(spark, d))).select("seq", "subject", "subject_type", "relation", "object", "object_type", "evidence", "inferred", "source", "timestamp")
+
+
 @query(f"WITH {_LINE_TRIPLES}, {_CHECKED} SELECT seq, subject, relation, object, error_type FROM x")
 def validate_triples(spark: SparkSession, d: str) -> DataFrame:
     return validation.validate(line_triples(spark, d), vocabulary.rule_table(spark)).select("seq", "subject", "relation", "object", "error_type")
