@@ -369,7 +369,7 @@ def all_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 _W = r"\p{L}\p{M}\p{Nd}\p{Pc}"
-_HAS = rf"regexp_matches(text, '(?i)(?:^|[^{_W}])' || term || '(?:$|[^{_W}])')"
+_HAS = "CASE ordinal " + " ".join(rf"WHEN {k} THEN regexp_matches(text, '(?i)(?:^|[^{_W}]){t}(?:$|[^{_W}])')" for k, (_, t) in enumerate(_WORDS)) + " END"
 
 
 _CONTEXT = r"trim(regexp_replace(substr(text, greatest(strpos(lower(text), lower(term)) - 120, 1), strpos(lower(text), lower(term)) + length(term) + 120 - greatest(strpos(lower(text), lower(term)) - 120, 1)), '\s+', ' ', 'g'))"
