@@ -357,7 +357,11 @@ def _prefix_blocks(large: DataFrame, threshold: int) -> DataFrame:
     prefix = ranked.join(large.select("a", "size"), "a").where(F.col("rank") <= first).select("gram", "a")
     stars = prefix.withColumn("head", F.min("a").over(Window.partitionBy("gram"))).where("head <> a").select(F.col("a").alias("u"), F.col("head").alias("v")).distinct()
     blocks = components(stars).withColumnRenamed("node", "a").withColumnRenamed("root", "block")
-    return large.drop("block", "parts").join(blocks, "a")
+    # blocks are weighed on slim rows, so that n-grams are dealt once
+    members = large.select("a", "b", "size").join(blocks, "a")
+    weights = members.groupBy("block").agg(F.sum("size").alias("weight"))
+    members = members.join(weights, "block").select("block", "a", "b", "size", _parts())
+    return members.join(large.select("a", "b", "grams"), ["a", "b"]).select("block", "a", "b", "size", "parts", "grams")
 
 
 def _parts() -> Column:
@@ -422,10 +426,7 @@ def set_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> t
     texts = docs.select(_text_key().alias("tk"), _known_id(docs).alias("did"), "text").join(members, ["tk", "did"])
     grams = cut(texts.select("block", "a", "b", "size", "parts", "text").mapInArrow(_grams_of(n), "block long, a long, b long, size long, parts int, grams binary"))
     if not grams.where("parts > 1").isEmpty():
-        refined = _prefix_blocks(grams.where("parts > 1"), threshold)
-        weights = refined.groupBy("block").agg(F.sum("size").alias("weight"))
-        refined = refined.join(weights, "block").select("block", "a", "b", "size", _parts(), "grams")
-        grams = grams.where("parts = 1").unionByName(cut(refined))
+        grams = grams.where("parts = 1").unionByName(cut(_prefix_blocks(grams.where("parts > 1"), threshold)))
     small = grams.where("parts = 1").select("block", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit("S").alias("kind"), "a", "b", "size", F.lit(0).alias("part"), "grams")
     search = lambda met: met.groupBy("block", "kind", "i", "j").applyInArrow(_search(threshold), "a long, b long, ra long, rb long")
     large = grams.where("parts > 1")
