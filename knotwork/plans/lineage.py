@@ -22,7 +22,23 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Frees a query's shuffle files once it has ended.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the shared folder, so that a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once and written to the shared folder, so that a lost executor costs no recomputation.
+
+    Its shuffle files are not needed after that and are freed at once; Spark would keep them until the driver's garbage is
+    collected. The session's setting is as before afterwards."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a plan made under the setting
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)
