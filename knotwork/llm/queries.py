@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import decontamination, jaccard, language, maxent, media, mixing, quality, rules, sharding, sql, tokens, toxicity
+from knotwork.llm import decontamination, jaccard, language, maxent, media, mixing, quality, rules, runs, sharding, sql, tokens, toxicity
 from knotwork.sources.tables import table
 
 
@@ -62,7 +62,11 @@ def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_mixing": op2_mixing, "op3_language": op3_language, "op4_lm": op4_lm, "op5_jaccard": op5_jaccard, "op6_toxicity": op6_toxicity, "op7_decontamination": op7_decontamination, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens, "op11_rules": op11_rules}
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(runs.text_runs(table(spark, sf_dir, "documents"), seed="crc32(CAST(CAST(doc_id AS STRING) AS BINARY))"))
+
+
+QUERIES = {"op1_quality": op1_quality, "op2_mixing": op2_mixing, "op3_language": op3_language, "op4_lm": op4_lm, "op5_jaccard": op5_jaccard, "op6_toxicity": op6_toxicity, "op7_decontamination": op7_decontamination, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens, "op11_rules": op11_rules, "op12_runs": op12_runs}
 ORACLE: dict[str, str] = {
     "op11_rules": sql.op11_rules(),
     "op2_mixing": r"""
