@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import decontamination, jaccard, language, maxent, media, mixing, quality, rules, runs, sharding, sql, tokens, toxicity
+from knotwork.llm import codes, decontamination, jaccard, language, maxent, media, mixing, quality, rules, runs, sharding, sql, tokens, toxicity
 from knotwork.sources.tables import table
 
 
@@ -66,9 +66,14 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(runs.text_runs(table(spark, sf_dir, "documents"), seed="crc32(CAST(CAST(doc_id AS STRING) AS BINARY))"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_mixing": op2_mixing, "op3_language": op3_language, "op4_lm": op4_lm, "op5_jaccard": op5_jaccard, "op6_toxicity": op6_toxicity, "op7_decontamination": op7_decontamination, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens, "op11_rules": op11_rules, "op12_runs": op12_runs}
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {"op1_quality": op1_quality, "op2_mixing": op2_mixing, "op3_language": op3_language, "op4_lm": op4_lm, "op5_jaccard": op5_jaccard, "op6_toxicity": op6_toxicity, "op7_decontamination": op7_decontamination, "op10_sharding": op10_sharding, "op8_media": op8_media, "op9_tokens": op9_tokens, "op11_rules": op11_rules, "op12_runs": op12_runs, "op13_codes": op13_codes}
 ORACLE: dict[str, str] = {
     "op11_rules": sql.op11_rules(),
+    "op13_codes": sql.op13_codes(),
     "op2_mixing": r"""
 WITH d AS (
     SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from knotwork.llm import rules
+from knotwork.llm import codes, rules
 
 
 def op11_rules() -> str:
@@ -53,3 +53,31 @@ b AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND level > coalesce(picked, -1) AS kept, stratum, CAST(level AS INTEGER) AS level
 FROM g LEFT JOIN b USING (stratum)"""
+
+
+def op13_codes() -> str:
+    """Every distance in integers: rows by component, joined with every entry of a part."""
+    step = """
+d{k} AS (SELECT rid, part, e, sum((x - c) * (x - c)) AS d FROM p JOIN b{k} USING (part, i) GROUP BY rid, part, e),
+a{k} AS (SELECT rid, part, min(d * 65536 + e) % 65536 AS e, min(d) AS d FROM d{k} GROUP BY rid, part),"""
+    move = """
+b{n} AS (
+    SELECT part, e, i, coalesce(CAST(floor(s / n) AS BIGINT), c) AS c
+    FROM b{k} LEFT JOIN (SELECT part, e, i, sum(x)::DOUBLE AS s, count(*) AS n FROM a{k} JOIN p USING (rid, part) GROUP BY part, e, i) USING (part, e, i)),"""
+    rounds = "".join(step.format(k=k) + (move.format(k=k, n=k + 1) if k < codes.ROUNDS else "") for k in range(codes.ROUNDS + 1))
+    last = codes.ROUNDS
+    return f"""
+WITH v AS (
+    SELECT row_number() OVER () AS rid, vec_id, label, embedding AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS (
+    SELECT rid, vec_id, len(v) // {codes.PARTS} AS width, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS i FROM v),
+p AS (
+    SELECT rid, vec_id, i // width AS part, i % width AS i, CAST(floor({codes.SCALE}::DOUBLE * x) AS BIGINT) AS x FROM u),
+b0 AS (
+    SELECT part, row_number() OVER (PARTITION BY part, i ORDER BY vec_id) - 1 AS e, i, x AS c FROM p QUALIFY e < {codes.ENTRIES}),{rounds}
+r AS (
+    SELECT rid, string_agg(format('{{:02x}}', CAST(e AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{last} GROUP BY rid)
+SELECT vec_id, label, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, e, i)) FROM b{last}) AS codebooks_sha256
+FROM v JOIN r USING (rid)"""

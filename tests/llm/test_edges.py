@@ -3,7 +3,7 @@
 import public_tokenizers
 import pytest
 
-from knotwork.llm import decontamination, jaccard, language, maxent, media, mixing, quality, sharding, tokens, toxicity
+from knotwork.llm import decontamination, jaccard, language, maxent, media, mixing, quality, rules, runs, sharding, tokens, toxicity
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BENCHMARK = "item_id long, text string"
@@ -26,10 +26,12 @@ def operators(spark, labels):
         "media": lambda d: media.media_features(d),
         "tokens": lambda d: tokens.count_tokens(d, MODEL),
         "sharding": lambda d: sharding.pack(d),
+        "rules": lambda d: rules.apply_rules(d, labels),
+        "runs": lambda d: runs.run_digests(runs.text_runs(d)),
     }
 
 
-WHOLE = ["quality", "mixing", "language", "lm", "jaccard", "toxicity", "media", "tokens", "sharding"]
+WHOLE = ["quality", "mixing", "language", "lm", "jaccard", "toxicity", "media", "tokens", "sharding", "rules", "runs"]
 FILTERS = ["mixed", "identified", "distinct", "clean"]
 
 
