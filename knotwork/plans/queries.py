@@ -633,6 +633,12 @@ def cluster_entities(spark: SparkSession, d: str) -> DataFrame:
     return clustering.cluster_entities(e, 0.75)
 
 
+@query()
+def density_clusters(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "embeddings").select(F.col("label").cast("string").alias("entity_type"), F.col("vec_id").cast("string").alias("name"), "embedding")
+    return clustering.density_clusters(e)
+
+
 @query(f"""WITH {_REGISTRY}, c AS (SELECT DISTINCT name FROM (SELECT unnest(['AWS ' || variant, variant, canonical]) AS name FROM reg UNION ALL SELECT p_name FROM part)),
 b AS (SELECT name, regexp_replace(regexp_replace(lower(trim(name)), '^(aws|amazon)\\s+', ''), '\\s+(service|aws|amazon)$', '') AS bare FROM c),
 k AS (SELECT name, 0 AS rank, bare AS variant FROM b UNION ALL SELECT name, k, trim(left(bare, length(bare) - length(s))) FROM b, (VALUES {", ".join(f"({k}, '{s}')" for k, s in enumerate(vocabulary.SERVICE_SUFFIXES, 1))}) AS x(k, s) WHERE ends_with(bare, s)),
