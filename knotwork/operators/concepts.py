@@ -4,34 +4,66 @@ Input texts are (file_path, content); vocabularies are (category, name, term, or
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from knotwork.functions.text import context, mentions, occurrences, quoted, strip
+from knotwork.functions.text import context, occurrences, quoted, strip
 
-#: Terms of a vocabulary that is broadcast; a vocabulary is a parameter, so its size is checked.
-MOST_TERMS = 10_000
+#: Rows of a vocabulary that are sought in one pass over the texts. A larger one takes a pass for each so many.
+TERMS = 200_000
+_HITS = "file_path string, category string, name string, term string, ordinal int, description string"
+_machines: dict[str, tuple] = {}
 
 
 def term_hits(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """file_path, category, name, term, ordinal, description: each term that a text has as a whole word, whatever its case.
 
-    One pattern of all terms passes over a text first; only texts that it finds meet the single terms."""
-    terms = [r["term"] for r in vocabulary.select("term").distinct().limit(MOST_TERMS + 1).collect()]
-    if len(terms) > MOST_TERMS:
-        raise ValueError(f"a vocabulary of over {MOST_TERMS} terms")
-    if not terms:
-        return docs.sparkSession.createDataFrame([], "file_path string, category string, name string, term string, ordinal int, description string")
-    some = r"(?iuU)\b(?:" + "|".join(map(quoted, sorted(terms))) + r")\b"
-    near = docs.select("file_path", "content").where(F.col("content").rlike(some))
-    hits = near.join(F.broadcast(vocabulary), mentions(F.col("content"), F.col("term")))
-    return hits.select("file_path", "category", "name", "term", "ordinal", context(F.col("content"), F.col("term")).alias("description"))
+    A machine of all terms passes over a text once, whatever their number; it is sent to the tasks, ``TERMS`` rows of the
+    vocabulary at a time. Null and empty terms are in no text. Nothing is shuffled."""
+    spark, rows = docs.sparkSession, []
+    out = spark.createDataFrame([], _HITS)
+    texts = docs.select("file_path", "content").where("content is not null")
+    for row in vocabulary.where("term <> ''").select("category", "name", "term", F.col("ordinal").cast("int")).toLocalIterator():
+        rows.append(tuple(row))
+        if len(rows) == TERMS:
+            out, rows = out.unionByName(_sought(texts, rows)), []
+    return out.unionByName(_sought(texts, rows)) if rows else out
+
+
+def _sought(texts: DataFrame, rows: list[tuple]) -> DataFrame:
+    sent, key = texts.sparkSession.sparkContext.broadcast(rows), uuid.uuid4().hex
+    kind = texts.schema["file_path"].dataType.simpleString()
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from knotwork.functions.automaton import Terms, around
+
+        if key not in _machines:  # a worker keeps the machine for its next task
+            _machines.clear()
+            _machines[key] = (Terms([r[2] for r in sent.value]), sent.value)
+        machine, known = _machines[key]
+        for batch in batches:
+            at, found, texts_around = [], [], []
+            for i, text in enumerate(batch.column("content").to_pylist()):
+                for k, place, length in machine.find(text):
+                    at.append(i)
+                    found.append(known[k])
+                    texts_around.append(around(text, place, length))
+            columns = list(zip(*found)) if found else [[], [], [], []]
+            kinds = [pa.string(), pa.string(), pa.string(), pa.int32()]
+            named = {n: pa.array(c, t) for n, c, t in zip(["category", "name", "term", "ordinal"], columns, kinds)}
+            yield pa.record_batch({"file_path": batch.column("file_path").take(pa.array(at, pa.int64())), **named, "description": pa.array(texts_around, pa.string())})
+
+    return texts.mapInArrow(search, _HITS.replace("file_path string", f"file_path {kind}"))
 
 
 def pattern_hits(docs: DataFrame, patterns: list[str], category: str = "concept") -> DataFrame:
     """file_path, category, name, term, ordinal, description: every match of the patterns, named as it is written."""
     if not patterns:
-        return docs.sparkSession.createDataFrame([], "file_path string, category string, name string, term string, ordinal int, description string")
+        return docs.sparkSession.createDataFrame([], _HITS)
     found = F.array(*(F.struct(F.lit(k).alias("ordinal"), occurrences(F.col("content"), F.lit(p)).alias("names")) for k, p in enumerate(patterns)))
     each = docs.select("file_path", "content", F.explode(found).alias("f")).select("file_path", "content", "f.ordinal", F.posexplode("f.names").alias("pos", "name"))
     return each.select("file_path", F.lit(category).alias("category"), "name", F.col("name").alias("term"), (F.col("ordinal") * 1_000_000 + F.col("pos")).cast("int").alias("ordinal"), context(F.col("content"), F.col("name")).alias("description"))

@@ -14,6 +14,8 @@ NODES = "node_id string, label string, name string, props map<string, string>"
 EDGES = "src_id string, dst_id string, rel_type string, evidence string"
 #: Characters of a text that a node keeps, and of a description.
 CONTENT, DESCRIPTION = 1000, 500
+#: Characters of a stretch in the index that references are looked up in.
+GRAM = 4
 
 
 def node_id(label: Column | str, key: Column | str) -> Column:
@@ -67,13 +69,38 @@ def triple_graph(triples: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, merge_edges(edges)
 
 
+def _grams(text: Column, length: Column | int) -> Column:
+    """The distinct stretches of ``length`` characters of a text; none in a shorter one."""
+    length = F.lit(length) if isinstance(length, int) else length
+    last = F.length(text) - length
+    return F.when(last >= 0, F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.substring(text, i + 1, length)))).otherwise(F.array().cast("array<string>"))
+
+
+def containing(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, ref: rows of ``texts`` (key, text) that have a text of ``wanted`` (ref) in them, once each.
+
+    An inverted index of stretches of ``GRAM`` characters: each wanted text is looked up by that of its stretches which the
+    fewest texts have, and only what is found is compared. A wanted text that is shorter than a stretch is one itself, so
+    stretches of its length are in the index too. Texts and wanted ones should be distinct."""
+    wanted = wanted.select("ref").where("ref <> ''").distinct()
+    size = F.least(F.length("ref"), F.lit(GRAM))
+    own = wanted.select("ref", F.explode(_grams(F.col("ref"), size)).alias("gram"))
+    sizes = [r[0] for r in own.select(F.length("gram").alias("n")).distinct().collect()]  # GRAM at most
+    if not sizes:
+        return texts.select("key").crossJoin(wanted).where("false")
+    index = texts.where("text is not null").select("key", "text", F.explode(F.flatten(F.array(*(_grams(F.col("text"), n) for n in sizes)))).alias("gram"))
+    counts = index.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = own.join(counts, "gram", "left").groupBy("ref").agg(F.min_by(F.struct("gram", "n"), F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("r")).where("r.n is not null").select("ref", "r.gram")
+    return index.join(rarest, "gram").where(F.col("text").contains(F.col("ref"))).select("key", "ref").distinct()
+
+
 def reference_edges(docs: DataFrame, refs: DataFrame, forward: bool = True) -> DataFrame:
     """src, dst: documents whose path or title has a reference's text in it. With ``forward`` off only those before it by path, itself included.
 
-    The join is on containment. References repeat, so they are made distinct first, and the documents' two short columns are what every reference meets."""
-    wanted = refs.select("ref").distinct().where("ref <> ''")
-    met = wanted.join(docs.select(F.col("file_path").alias("dst"), "title"), F.col("dst").contains(F.col("ref")) | F.col("title").contains(F.col("ref")))
-    out = refs.select(F.col("file_path").alias("src"), "ref").join(met.select("ref", "dst"), "ref").select("src", "dst").distinct()
+    References are made distinct and looked up in an index of the paths and titles; the result is joined with them again."""
+    named = docs.select(F.col("file_path").alias("key"), F.explode(F.array("file_path", "title")).alias("text"))
+    met = containing(named, refs)
+    out = refs.select(F.col("file_path").alias("src"), "ref").join(met.select("ref", F.col("key").alias("dst")), "ref").select("src", "dst").distinct()
     return out if forward else out.where("dst <= src")
 
 

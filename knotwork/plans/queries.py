@@ -237,11 +237,6 @@ def var_length_trails(spark: SparkSession, d: str) -> DataFrame:
     return found.select("start_id", "end_id", "depth", F.array_join("path", ";").alias("path"))
 
 
-@query()
-def var_length_trails_whole(spark: SparkSession, d: str) -> DataFrame:
-    return var_length_trails(spark, d)
-
-
 # --- markdown
 
 _MD = """md AS (
@@ -406,27 +401,32 @@ def concept_relationships(spark: SparkSession, d: str) -> DataFrame:
     return concepts.concept_relations(docs, names, {"the": "THE"}).groupBy("file_path", "src", "dst").agg(F.count("*").alias("n"))
 
 
-# Names of earlier queries; they are the same.
+# The real vocabularies, in texts of line items' parts that name some of them: apart, in other cases, and inside words.
 
+_KNOWN = {"service": [(n, t) for n, ts in vocabulary.SERVICE_TERMS.items() for t in [*ts, n]], "technology": [(n, t) for t, n in vocabulary.TECHNOLOGY_TERMS.items()]}
+_NAMED = [t for rows in _KNOWN.values() for _, t in rows] + vocabulary.ARCHITECTURE_TERMS
+_TERM = "list_extract([" + ", ".join(f"'{t}'" for t in _NAMED) + "], CAST({} % " + str(len(_NAMED)) + " AS INT) + 1)"
+_KNOWN_TEXT = f"""d AS (SELECT CAST(p_partkey AS VARCHAR) AS file_path, p_name || '. Uses ' || {_TERM.format("p_partkey")} || ', x' || {_TERM.format("(p_partkey * 7 + 3)")} || 'y and ' || lower({_TERM.format("(p_partkey * 13 + 5)")}) || chr(10) || 'behind ' || upper({_TERM.format("(p_partkey * p_size)")}) || '/' || p_brand AS text FROM part)"""
+_KNOWN_HAS = "CASE step * 1000 + ordinal " + " ".join(rf"WHEN {step * 1000 + k} THEN regexp_matches(text, '(?i)(?:^|[^{_W}]){t}(?:$|[^{_W}])')" for step, rows in enumerate(_KNOWN.values()) for k, (_, t) in enumerate(rows)) + " END"
+_ROWS = ", ".join(f"({step}, '{kind}', '{n}', '{t}', {k})" for step, (kind, rows) in enumerate(_KNOWN.items()) for k, (n, t) in enumerate(rows))
 
-@query()
-def service_concepts_whole(spark: SparkSession, d: str) -> DataFrame:
-    return service_concepts(spark, d)
 
+def known_texts(spark: SparkSession, d: str) -> DataFrame:
+    def term(at: F.Column) -> F.Column:
+        return F.element_at(F.array(*map(F.lit, _NAMED)), (at % len(_NAMED)).cast("int") + 1)
 
-@query()
-def tech_concepts_whole(spark: SparkSession, d: str) -> DataFrame:
-    return tech_concepts(spark, d)
+    k = F.col("p_partkey")
+    text = F.concat("p_name", F.lit(". Uses "), term(k), F.lit(", x"), term(k * 7 + 3), F.lit("y and "), F.lower(term(k * 13 + 5)), F.lit("\nbehind "), F.upper(term(k * F.col("p_size"))), F.lit("/"), "p_brand")
+    return table(spark, d, "part").select(k.cast("string").alias("file_path"), text.alias("content"))
 
 
-@query()
-def term_concepts_whole(spark: SparkSession, d: str) -> DataFrame:
-    return term_concepts(spark, d)
-
-
-@query()
-def concept_relationships_whole(spark: SparkSession, d: str) -> DataFrame:
-    return concept_relationships(spark, d)
+@query(rf"""WITH {_KNOWN_TEXT}, v AS (SELECT * FROM (VALUES {_ROWS}) AS v(step, type, name, term, ordinal)),
+h AS (SELECT file_path, text, step, type, name, term, ordinal FROM d JOIN v ON {_KNOWN_HAS}
+    {" ".join(f"UNION ALL SELECT file_path, text, 2, 'concept', name, name, {k} * 1000000 + pos FROM (SELECT file_path, text, unnest(regexp_extract_all(text, '(?i){t}')) AS name, unnest(range(len(regexp_extract_all(text, '(?i){t}')))) AS pos FROM d)" for k, t in enumerate(vocabulary.ARCHITECTURE_TERMS))}),
+f AS (SELECT *, {_CONTEXT} AS description FROM h QUALIFY row_number() OVER (PARTITION BY file_path, lower(name) ORDER BY step, ordinal) = 1)
+SELECT file_path, CAST(row_number() OVER (PARTITION BY file_path ORDER BY step, ordinal) AS INT) AS seq, name, type, description, lower(name) AS canonical FROM f""")
+def known_concepts(spark: SparkSession, d: str) -> DataFrame:
+    return concepts.concepts(known_texts(spark, d), vocabulary.service_vocabulary(spark), vocabulary.technology_vocabulary(spark), vocabulary.ARCHITECTURE_TERMS)
 
 
 @query("""WITH v AS (SELECT * FROM (VALUES ('the'), ('with'), ('ing')) AS v(name)), s AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS content, unnest(range(len(string_split(text, chr(10))))) AS section_idx FROM documents)

@@ -58,7 +58,7 @@ def test_label_filters_reach_the_scan(spark, tmp_path):
 
 
 def test_no_cartesian_product(spark):
-    for name in ("validate_triples", "merge_triples", "normalize_rule", "match_three_way", "diff_status"):
+    for name in ("validate_triples", "merge_triples", "normalize_rule", "match_three_way", "diff_status", "references_contains_join", "known_concepts"):
         p = plan(Q.QUERIES[name](spark, DATA))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 
@@ -82,12 +82,12 @@ def test_whole_queries_against_brute_force(spark, tmp_path):
     docs = [(str(i), t or "") for i, (_, t) in enumerate(texts)]
     rows = lambda name, *cols: Counter(tuple(r) for r in Q.QUERIES[name](spark, d).select(*cols).collect())
     hits = {(i, n, t, k) for i, text in docs for k, (n, t) in enumerate(Q._WORDS) if re.search(rf"(?i)\b{t}\b", text)}
-    assert rows("tech_concepts_whole", "file_path", "name", "term", "ordinal") == Counter(hits)
-    assert rows("service_concepts_whole", "file_path", "name", "description") == Counter((i, n, " ".join(dict(docs)[i].split())) for i, n in {(i, n.lower()) for i, n, _, _ in hits})
+    assert rows("tech_concepts", "file_path", "name", "term", "ordinal") == Counter(hits)
+    assert rows("service_concepts", "file_path", "name", "description") == Counter((i, n, " ".join(dict(docs)[i].split())) for i, n in {(i, n.lower()) for i, n, _, _ in hits})
     terms = Counter((i, m) for i, text in docs for m in re.findall("(?i)thhe(?:re|th)?", text))
-    assert rows("term_concepts_whole", "file_path", "name", "n") == Counter((i, m, n) for (i, m), n in terms.items())
+    assert rows("term_concepts", "file_path", "name", "n") == Counter((i, m, n) for (i, m), n in terms.items())
     pairs = Counter((i, *map(str.lower, m.groups())) for i, text in docs for run in re.findall(r"[\w\s]+", text) if (m := re.fullmatch(r"(?i)\s*(\w+)\s+the\s+(\w+)\s*", run)) and m[1].lower() != m[2].lower())
-    assert len(pairs) == 4 and rows("concept_relationships_whole", "file_path", "src", "dst", "n") == Counter((*p, n) for p, n in pairs.items())
+    assert len(pairs) == 4 and rows("concept_relationships", "file_path", "src", "dst", "n") == Counter((*p, n) for p, n in pairs.items())
     out = {"ASIA": [("CONTAINS", x) for x in "ABC"], "AFRICA": [("CONTAINS", "D")], "D": [("IN", "AFRICA")], "A": [("IN", "ASIA"), ("CONTAINS", "c0")]}
     out |= {"B": [("IN", "ASIA"), ("CONTAINS", "c1"), ("CONTAINS", "c2"), ("CONTAINS", "s1")], "C": [("IN", "ASIA"), ("CONTAINS", "c3"), ("CONTAINS", "s2")]}
     kind = lambda x: "Region" if x in ("ASIA", "AFRICA") else {"c": "Customer", "s": "Supplier"}.get(x[0], "Nation")
@@ -95,4 +95,4 @@ def test_whole_queries_against_brute_force(spark, tmp_path):
     for _ in range(8):
         frontier = [(y, (*path, e)) for x, path in frontier for r, y in out.get(x, []) if (e := f"{kind(x)}:{x}>{r}>{kind(y)}:{y}") not in path]
         want.update((f"{kind(x)}:{x}", len(path), ";".join(path)) for x, path in frontier)
-    assert rows("var_length_trails_whole", "end_id", "depth", "path") == want
+    assert rows("var_length_trails", "end_id", "depth", "path") == want
