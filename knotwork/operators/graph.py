@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from knotwork.functions.text import relation_type
+from knotwork.operators import segments
 
 NODES = "node_id string, label string, name string, props map<string, string>"
 EDGES = "src_id string, dst_id string, rel_type string, evidence string"
@@ -55,6 +56,22 @@ def merge_edges(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     return merged.select("src_id", "dst_id", "rel_type", F.when(F.col("given") > 0, evidence).alias("evidence"))
 
 
+def evidence_segments(edges: DataFrame, size: int = segments.SIZE) -> DataFrame:
+    """src_id, dst_id, rel_type, segment, n, items: the evidence of edges in ordered segments, for edges with more of it than a row should hold.
+
+    An edge without any evidence has none; where there is some, what is null is empty, as in ``merge_edges``."""
+    key = ["src_id", "dst_id", "rel_type"]
+    given = edges.groupBy(*key).agg(F.count("evidence").alias("given")).where("given > 0").drop("given")
+    told = edges.join(given, key, "left_semi")
+    return segments.segments(told, key, [F.col("seq"), F.col("evidence")], F.coalesce("evidence", F.lit("")), size)
+
+
+def assembled_evidence(held: DataFrame) -> DataFrame:
+    """src_id, dst_id, rel_type, evidence, joined by bars, of ``evidence_segments``."""
+    whole = segments.assembled(held, ["src_id", "dst_id", "rel_type"])
+    return whole.select("src_id", "dst_id", "rel_type", F.array_join("items", " | ").alias("evidence"))
+
+
 def path_parts(path: Column) -> tuple[Column, Column]:
     """(domain, category): the first two folders of a path below the root, null where it has fewer."""
     parts = F.split(F.regexp_replace(path, r"^(\./|/)+", ""), "/+")

@@ -81,21 +81,28 @@ def structure(nodes: DataFrame, edges: DataFrame, title: str) -> DataFrame:
     return met.select(F.col("dst_props")["heading"].alias("heading"), F.col("dst_props")["level"].cast("int").alias("level"), F.col("dst_props")["start_line"].cast("int").alias("start_line")).orderBy("start_line")
 
 
-def trails(nodes: DataFrame, edges: DataFrame, rel_types: list[str], start: Column, max_depth: int = 10) -> DataFrame:
-    """start_id, end_id, depth, path (edges as "src>type>dst"): all trails of up to ``max_depth`` edges of the types, none twice, from the nodes that satisfy ``start``.
+def trails(nodes: DataFrame, edges: DataFrame, rel_types: list[str], start: Column, max_depth: int | None = None, limit: int | None = None) -> DataFrame:
+    """start_id, end_id, depth, path (edges as "src>type>dst"): all trails over edges of the types, none twice, from the nodes that satisfy ``start``.
 
-    Each step joins the frontier with the edges and is cut in the shared folder; it ends when a frontier is empty."""
+    Each step joins the frontier with the edges and is cut in the shared folder. Without a ``max_depth`` the steps go on until
+    no trail can be made longer, which ends, since none takes an edge twice. With a ``limit`` they end as soon as that many
+    trails are found; given are the shortest, of these the first by path."""
     own = edges.where(F.col("rel_type").isin(rel_types)).select("src_id", F.col("dst_id").alias("next_id"), F.concat_ws(">", "src_id", "rel_type", "dst_id").alias("edge")).distinct()
     frontier = nodes.where(start).select(F.col("node_id").alias("start_id"), F.col("node_id").alias("end_id"), F.array().cast("array<string>").alias("path"))
-    out = None
-    for depth in range(1, max_depth + 1):
+    out = frontier.where("false").select("start_id", "end_id", F.lit(0).alias("depth"), "path")
+    if max_depth != 1:
+        own = cut(own)
+    depth = found = 0
+    while depth != max_depth and (limit is None or found < limit):
+        depth += 1
         step = frontier.join(own, frontier["end_id"] == own["src_id"]).where(~F.array_contains("path", F.col("edge")))
         frontier = cut(step.select("start_id", F.col("next_id").alias("end_id"), F.array_append("path", F.col("edge")).alias("path")))
-        if frontier.isEmpty():
+        more = frontier.count()
+        if not more:
             break
-        found = frontier.select("start_id", "end_id", F.lit(depth).alias("depth"), "path")
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else nodes.where("false").select(F.col("node_id").alias("start_id"), F.col("node_id").alias("end_id"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("path"))
+        found += more
+        out = out.unionByName(frontier.select("start_id", "end_id", F.lit(depth).alias("depth"), "path"))
+    return out if limit is None else out.orderBy("depth", "path").limit(limit)
 
 
 def sql(nodes: DataFrame, edges: DataFrame, text: str, **values) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.functions.text import fingerprint
+from knotwork.operators import segments
 from knotwork.operators.normalization import small
 
 _OWN = ["subject", "subject_type", "relation", "object", "object_type"]
@@ -39,6 +40,23 @@ def merge_triples(triples: DataFrame, run_ts: str | None = None) -> DataFrame:
     return merged.select("fingerprint", "first.*", F.transform("evidence_sources", lambda e: e.dropFields("seq")).alias("evidence_sources"), "inferred_count", "total_count", "first_seen", "last_seen")
 
 
+def merge_summary(triples: DataFrame, run_ts: str | None = None) -> DataFrame:
+    """What ``merge_triples`` gives but for the evidence: a row of bounded size for each fingerprint, combined before the shuffle."""
+    told = with_fingerprint(triples).withColumn("at", F.coalesce("timestamp", F.lit(run_ts)))
+    merged = told.groupBy("fingerprint").agg(
+        F.min_by(F.struct(*_OWN), "seq").alias("first"), F.count_if(F.coalesce("inferred", F.lit(False))).alias("inferred_count"),
+        F.count("*").alias("total_count"), F.min_by("at", "seq").alias("first_seen"), F.max_by("at", "seq").alias("last_seen"),
+    )
+    return merged.select("fingerprint", "first.*", "inferred_count", "total_count", "first_seen", "last_seen")
+
+
+def evidence_segments(triples: DataFrame, run_ts: str | None = None, size: int = segments.SIZE) -> DataFrame:
+    """fingerprint, segment, n, items: the evidence of ``merge_triples`` in ordered segments, for fingerprints with more of it than a row should hold."""
+    told = with_fingerprint(triples).withColumn("at", F.coalesce("timestamp", F.lit(run_ts)))
+    evidence = F.struct(F.coalesce("source", F.lit("unknown")).alias("source"), "section", F.coalesce("confidence", F.lit(1.0)).alias("score"), F.col("at").alias("timestamp"), "url", "evidence")
+    return segments.segments(told, ["fingerprint"], [F.col("seq")], evidence, size)
+
+
 def merge_conflicts(merged: DataFrame) -> DataFrame:
     """Merged triples with both inferred and explicit evidence, as ``mixed_inference``."""
     return merged.where("inferred_count > 0 and total_count > inferred_count").select("fingerprint", "subject", "relation", "object", F.lit("mixed_inference").alias("conflict"), "inferred_count", (F.col("total_count") - F.col("inferred_count")).alias("explicit_count"))

@@ -1,15 +1,22 @@
 """A stored table of triples, and what a batch changes in it.
 
 The store has a row for each fingerprint: fingerprint, the first spelling and types, evidence_sources (evidence, source,
-section, timestamp, url), first_seen, last_seen, update_count. On disk it is Parquet by the first digit of the fingerprint;
-a batch rewrites the parts that it touches, into a new version of the folder."""
+section, timestamp, url), first_seen, last_seen, update_count.
+
+On disk it is a folder of versions ``v1``, ``v2``, …. A version has ``data``, Parquet by bucket (the first two digits of the
+fingerprint), only of the buckets that its batch touched, and ``manifest``, a small table that tells for each bucket which
+version has it last. The manifest is written at the end, and a version without one is as if it were not there; so a batch
+that breaks off leaves the store as it was, and every version stays readable."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from knotwork.operators.merging import with_fingerprint
+from knotwork.plans.lineage import cut
 
 _OWN = ["subject", "subject_type", "relation", "object", "object_type"]
 
@@ -29,7 +36,11 @@ def empty_store(spark: SparkSession) -> DataFrame:
 
 def upsert(store: DataFrame, triples: DataFrame, run_ts: str | None = None) -> DataFrame:
     """The store after a batch: known triples get its evidence at the end, others are added."""
-    new = new_entries(triples, run_ts)
+    return added(store, new_entries(triples, run_ts))
+
+
+def added(store: DataFrame, new: DataFrame) -> DataFrame:
+    """One store after another: of entries of both, the first's spelling and beginning, the evidence of both in order."""
     s, n = store.alias("s"), new.alias("n")
     met = s.join(n, "fingerprint", "full_outer")
     none = F.array().cast(new.schema["evidence_sources"].dataType)
@@ -74,11 +85,79 @@ def store_stats(store: DataFrame) -> DataFrame:
     return store.agg(F.count("*").alias("total_triples"), F.coalesce(F.sum("update_count"), F.lit(0)).alias("total_evidence"), F.coalesce(F.avg("update_count"), F.lit(0.0)).alias("avg_evidence"))
 
 
-def write(store: DataFrame, folder: str) -> None:
-    """One file group for each first digit, so that readers of a fingerprint read a sixteenth."""
-    bucket = F.substring("fingerprint", 1, 1)
-    store.withColumn("bucket", bucket).repartition("bucket", F.pmod(F.hash("fingerprint"), F.lit(8))).write.mode("overwrite").partitionBy("bucket").parquet(folder)
+_BUCKET = "substring(fingerprint, 1, 2)"
+_MANIFEST = "kind string, name string, value string"
+
+
+def _write_buckets(entries: DataFrame, folder: str) -> None:
+    dealt = entries.withColumn("bucket", F.expr(_BUCKET)).repartition("bucket", F.pmod(F.hash("fingerprint"), F.lit(8)))
+    dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/data")
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(folder).drop("bucket")
+def _write_manifest(spark: SparkSession, rows: list[tuple[str, str, str]], folder: str) -> None:
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest")
+
+
+def _manifest(spark: SparkSession, folder: str) -> tuple[dict[str, str], dict[str, int]]:
+    """(bucket to the version that has it, writer to the number of its last batch) of a version; at most 256 buckets."""
+    rows = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest").collect()
+    return {r["name"]: r["value"] for r in rows if r["kind"] == "bucket"}, {r["name"]: int(r["value"]) for r in rows if r["kind"] == "writer"}
+
+
+def _load(spark: SparkSession, root: str, buckets: dict[str, str]) -> DataFrame:
+    if not buckets:
+        return empty_store(spark)
+    return spark.read.schema(empty_store(spark).schema).parquet(*(f"{root}/{version}/data/bucket={b}" for b, version in sorted(buckets.items())))
+
+
+def write(store: DataFrame, folder: str) -> None:
+    """The whole store as one version at ``folder``."""
+    spark = store.sparkSession
+    _write_buckets(store, folder)
+    name = folder.rstrip("/").rpartition("/")[2]
+    found = [r[0] for r in store.select(F.expr(_BUCKET).alias("b")).distinct().collect()]  # 256 at most
+    _write_manifest(spark, [("bucket", b, name) for b in found], folder)
+
+
+def read(spark: SparkSession, folder: str, fingerprint: str | None = None) -> DataFrame:
+    """The store as of the version at ``folder``; with a fingerprint, only the bucket that has it is read."""
+    buckets, _ = _manifest(spark, folder)
+    if fingerprint is not None:
+        buckets = {b: v for b, v in buckets.items() if fingerprint.startswith(b)}
+    return _load(spark, folder.rstrip("/").rpartition("/")[0], buckets)
+
+
+def newest(spark: SparkSession, root: str) -> int:
+    """The number of the last whole version under ``root``; 0 without one. Spark's own file system is asked, so ``root`` may lie anywhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v*/manifest/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    names = [re.search(r"/v(\d+)/manifest/_SUCCESS$", s.getPath().toString()) for s in found or []]
+    return max((int(m[1]) for m in names if m), default=0)
+
+
+def current(spark: SparkSession, root: str, fingerprint: str | None = None) -> DataFrame:
+    """The store as of the last whole version under ``root``; empty without one."""
+    n = newest(spark, root)
+    return read(spark, f"{root}/v{n}", fingerprint) if n else empty_store(spark)
+
+
+def commit(triples: DataFrame, root: str, run_ts: str | None = None, writer: str = "", number: int | None = None) -> int:
+    """Brings the store under ``root`` up to date with a batch; the number of the version that has it.
+
+    Only the buckets of the batch's fingerprints are read and written. A batch may have a ``number`` of its ``writer``, which
+    numbers its batches upwards: one that is already in the store is passed over, so its evidence counts once. One writer at a time."""
+    spark = triples.sparkSession
+    n = newest(spark, root)
+    buckets, writers = _manifest(spark, f"{root}/v{n}") if n else ({}, {})
+    if number is not None and writers.get(writer, -1) >= number:
+        return n
+    new = cut(new_entries(triples, run_ts))
+    touched = {r[0] for r in new.select(F.expr(_BUCKET).alias("b")).distinct().collect()}
+    folder = f"{root}/v{n + 1}"
+    if touched:
+        _write_buckets(added(_load(spark, root, {b: v for b, v in buckets.items() if b in touched}), new), folder)
+    if number is not None:
+        writers[writer] = number
+    kept = {**buckets, **dict.fromkeys(touched, f"v{n + 1}")}
+    _write_manifest(spark, [*(("bucket", b, v) for b, v in kept.items()), *(("writer", w, str(k)) for w, k in writers.items())], folder)
+    return n + 1

@@ -109,15 +109,25 @@ def graph_edges_merge(spark: SparkSession, d: str) -> DataFrame:
     return graph.merge_edges(edges, parts.unionByName(suppliers)).select("src_id", "dst_id", "rel_type")
 
 
-@query("""SELECT 'Supplier:' || l_suppkey AS src_id, 'Flag:' || l_returnflag AS dst_id, 'USES' AS rel_type,
+_EVIDENCE = """SELECT 'Supplier:' || l_suppkey AS src_id, 'Flag:' || l_returnflag AS dst_id, 'USES' AS rel_type,
     string_agg(CASE WHEN l_tax > 0 THEN l_linestatus || l_linenumber ELSE '' END, ' | ' ORDER BY l_orderkey * 100 + l_linenumber, CASE WHEN l_tax > 0 THEN l_linestatus || l_linenumber END NULLS FIRST) AS evidence
-FROM lineitem GROUP BY l_suppkey, l_returnflag""")
+FROM lineitem GROUP BY l_suppkey, l_returnflag"""
+
+
+@query(_EVIDENCE)
 def edge_evidence_append(spark: SparkSession, d: str) -> DataFrame:
     evidence = F.when(F.col("l_tax") > 0, F.concat("l_linestatus", F.col("l_linenumber").cast("string")))
     edges = graph.edge(table(spark, d, "lineitem"), graph.node_id("Supplier", F.col("l_suppkey").cast("string")), "USES", graph.node_id("Flag", "l_returnflag"), evidence, F.col("l_orderkey") * 100 + F.col("l_linenumber"))
     return graph.merge_edges(edges)
 
 
+@query(_EVIDENCE)
+def edge_evidence_segments(spark: SparkSession, d: str) -> DataFrame:
+    evidence = F.when(F.col("l_tax") > 0, F.concat("l_linestatus", F.col("l_linenumber").cast("string")))
+    edges = graph.edge(table(spark, d, "lineitem"), graph.node_id("Supplier", F.col("l_suppkey").cast("string")), "USES", graph.node_id("Flag", "l_returnflag"), evidence, F.col("l_orderkey") * 100 + F.col("l_linenumber"))
+    return graph.assembled_evidence(graph.evidence_segments(edges, 50))
+
+
 @query(GRAPH + """SELECT s.name AS service, p.name AS component, count(*) AS n FROM edges e JOIN nodes s ON e.src_id = s.node_id JOIN nodes p ON e.dst_id = p.node_id
 WHERE e.rel_type = 'USES' AND s.label = 'Supplier' AND p.label = 'Part' AND p.name = 'red widget' GROUP BY 1, 2""")
 def match_one_hop(spark: SparkSession, d: str) -> DataFrame:
@@ -237,6 +247,33 @@ def var_length_trails(spark: SparkSession, d: str) -> DataFrame:
     return found.select("start_id", "end_id", "depth", F.array_join("path", ";").alias("path"))
 
 
+_TRAILS = """WITH RECURSIVE e AS (
+    SELECT 'Region:' || r_name AS s, 'Nation:' || n_name AS t, 'CONTAINS' AS r FROM nation JOIN region ON n_regionkey = r_regionkey
+    UNION ALL SELECT 'Nation:' || n_name, 'Supplier:' || s_name, 'CONTAINS' FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    UNION ALL SELECT 'Nation:' || n_name, 'Region:' || r_name, 'IN' FROM nation JOIN region ON n_regionkey = r_regionkey),
+w AS (
+    SELECT s AS start_id, t AS end_id, 1 AS depth, [s || '>' || r || '>' || t] AS path FROM e WHERE s LIKE 'Region:A%'
+    UNION ALL SELECT w.start_id, e.t, w.depth + 1, list_append(w.path, e.s || '>' || e.r || '>' || e.t) FROM w JOIN e ON w.end_id = e.s
+    WHERE NOT list_contains(w.path, e.s || '>' || e.r || '>' || e.t))
+SELECT start_id, end_id, depth, array_to_string(path, ';') AS path FROM w"""
+
+
+def _supply_trails(spark: SparkSession, d: str, limit: int | None = None) -> DataFrame:
+    edges = trade_edges(spark, d).where("dst_id NOT LIKE 'Customer:%'")
+    found = matching.trails(trade_nodes(spark, d), edges, ["CONTAINS", "IN"], F.col("node_id").like("Region:A%"), limit=limit)
+    return found.select("start_id", "end_id", "depth", F.array_join("path", ";").alias("path"))
+
+
+@query(_TRAILS)
+def unbounded_trails(spark: SparkSession, d: str) -> DataFrame:
+    return _supply_trails(spark, d)
+
+
+@query(_TRAILS + " ORDER BY depth, w.path LIMIT 50")
+def limited_trails(spark: SparkSession, d: str) -> DataFrame:
+    return _supply_trails(spark, d, 50)
+
+
 # --- markdown
 
 _MD = """md AS (
@@ -480,9 +517,19 @@ def validation_summary(spark: SparkSession, d: str) -> DataFrame:
     return validation.validation_summary(validation.validate(line_triples(spark, d), vocabulary.rule_table(spark)))
 
 
-@query("SELECT s AS subject_type, r AS relation, o AS object_type FROM (VALUES " + ", ".join(f"('{s}', '{r}', '{o}')" for r, (ss, oo) in vocabulary.RULES.items() for s in ss for o in oo) + ") AS v(s, r, o)")
+_RULES = "rules AS (SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{r}', '{o}')" for r, (ss, oo) in vocabulary.RULES.items() for s in ss for o in oo) + ") AS v(subject_type, relation, object_type))"
+
+
+@query(f"""WITH {_LINE_TRIPLES}, {_RULES}, u AS (SELECT subject_type, relation, object_type, count(*) AS n FROM t GROUP BY 1, 2, 3)
+SELECT u.subject_type, u.relation, u.object_type, n, r.relation IS NOT NULL AS allowed,
+    (SELECT string_agg(DISTINCT object_type, ',' ORDER BY object_type) FROM rules x WHERE x.relation = u.relation AND x.subject_type = u.subject_type) AS objects
+FROM u LEFT JOIN rules r ON r.subject_type = u.subject_type AND r.relation = u.relation AND r.object_type = u.object_type""")
 def allowed_types(spark: SparkSession, d: str) -> DataFrame:
-    return vocabulary.rule_table(spark)
+    rules = vocabulary.rule_table(spark)
+    used = line_triples(spark, d).groupBy("subject_type", "relation", "object_type").agg(F.count("*").alias("n"))
+    objects = rules.groupBy("subject_type", "relation").agg(F.array_join(F.array_sort(F.collect_set("object_type")), ",").alias("objects"))
+    met = used.join(rules.withColumn("allowed", F.lit(True)), ["subject_type", "relation", "object_type"], "left").join(objects, ["subject_type", "relation"], "left")
+    return met.select("subject_type", "relation", "object_type", "n", F.coalesce("allowed", F.lit(False)).alias("allowed"), "objects")
 
 
 _FP = "md5(lower(subject) || '|' || lower(relation) || '|' || lower(object))"
@@ -496,6 +543,15 @@ def merge_triples(spark: SparkSession, d: str) -> DataFrame:
     return merged.withColumn("sources", F.array_join("evidence_sources.source", ";")).drop("evidence_sources")
 
 
+@query(f"WITH {_LINE_TRIPLES}, {_MERGED} SELECT * FROM m")
+def merge_triples_segments(spark: SparkSession, d: str) -> DataFrame:
+    from knotwork.operators import segments
+
+    triples = line_triples(spark, d)
+    evidence = segments.assembled(merging.evidence_segments(triples, size=50), ["fingerprint"])
+    return merging.merge_summary(triples).join(evidence.select("fingerprint", F.array_join("items.source", ";").alias("sources")), "fingerprint")
+
+
 @query(f"WITH {_LINE_TRIPLES}, {_MERGED} SELECT fingerprint, subject, relation, object, 'mixed_inference' AS conflict, inferred_count, total_count - inferred_count AS explicit_count FROM m WHERE inferred_count > 0 AND total_count > inferred_count")
 def merge_conflicts(spark: SparkSession, d: str) -> DataFrame:
     return merging.merge_conflicts(merging.merge_triples(line_triples(spark, d)))
@@ -613,12 +669,17 @@ def nearest_canonical(spark: SparkSession, d: str) -> DataFrame:
 _PARAPHRASES = "p AS (SELECT * FROM (VALUES " + ", ".join(f"('{w.replace(' ', '_')}', '{r}')" for r, ws in vocabulary.PARAPHRASES.items() for w in ws) + ") AS v(k, r))"
 
 
-@query(f"""WITH {_PARAPHRASES}, a AS (SELECT DISTINCT unnest([k, upper(replace(k, '_', ' ')), k || '  '  ]) AS relation FROM p)
-SELECT relation, r AS canonical FROM a JOIN p ON regexp_replace(lower(trim(relation)), '[_\\s]+', '_', 'g') = k""")
+_ASKED_RELATION = "list_extract([" + ", ".join(f"'{w}'" for ws in vocabulary.PARAPHRASES.values() for w in ws) + "], CAST(event_id % " + str(sum(map(len, vocabulary.PARAPHRASES.values()))) + " AS INT) + 1)"
+
+
+@query(f"""WITH {_PARAPHRASES}, a AS (
+    SELECT DISTINCT CASE user_id % 4 WHEN 0 THEN {_ASKED_RELATION} WHEN 1 THEN upper(replace({_ASKED_RELATION}, '_', ' ')) WHEN 2 THEN '  ' || replace({_ASKED_RELATION}, ' ', '_') || ' ' ELSE event_type || 'zzzzzzzzzzzzzz' END AS relation FROM events)
+SELECT relation, r AS canonical FROM a LEFT JOIN p ON regexp_replace(lower(trim(relation)), '[_\\s]+', '_', 'g') = k""")
 def relation_normalize(spark: SparkSession, d: str) -> DataFrame:
-    k = F.replace("paraphrase", F.lit(" "), F.lit("_"))
-    asked = vocabulary.paraphrase_table(spark).select(F.explode(F.array(k, F.upper(F.replace(k, F.lit("_"), F.lit(" "))), F.concat(k, F.lit("  ")))).alias("relation"))
-    return normalization.normalize_relations(asked, vocabulary.paraphrase_table(spark))
+    words = [w for ws in vocabulary.PARAPHRASES.values() for w in ws]
+    w = F.element_at(F.array(*map(F.lit, words)), (F.col("event_id") % len(words)).cast("int") + 1)
+    form = F.when(F.col("user_id") % 4 == 0, w).when(F.col("user_id") % 4 == 1, F.upper(F.replace(w, F.lit("_"), F.lit(" ")))).when(F.col("user_id") % 4 == 2, F.concat(F.lit("  "), F.replace(w, F.lit(" "), F.lit("_")), F.lit(" "))).otherwise(F.concat("event_type", F.lit("z" * 14)))
+    return normalization.normalize_relations(table(spark, d, "events").select(form.alias("relation")), vocabulary.paraphrase_table(spark))
 
 
 @query()
@@ -670,6 +731,19 @@ def document_graph(spark: SparkSession, d: str) -> DataFrame:
     return left.unionByName(edges.groupBy(F.col("rel_type").alias("what")).agg(F.count("*").alias("n")).select(F.lit("edge").alias("kind"), "what", "n"))
 
 
+@query(f"""WITH {_MD}, l AS (SELECT file_path, string_split(content, chr(10)) AS ls FROM md WHERE regexp_matches(content, '^# src1 ')),
+x AS (SELECT file_path, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM l),
+h AS (SELECT *, {_TRIM.format("regexp_extract(line, '^#{1,6}\\s+(.+)$', 1)")} AS heading, len(regexp_extract(line, '^(#{{1,6}})', 1)) AS level FROM x WHERE regexp_matches(line, '^#{{1,6}}\\s+.+$')),
+f AS (SELECT file_path, heading, arg_max(level, pos) AS level, max(pos) AS start_line FROM h GROUP BY file_path, heading)
+SELECT heading, CAST(level AS INT) AS level, CAST(start_line AS INT) AS start_line FROM f JOIN md USING (file_path) WHERE {_TRIM.format("regexp_extract(content, '(?m)^#\\s+(.+)$', 1)")} = 'src1 en'""")
+def document_structure(spark: SparkSession, d: str) -> DataFrame:
+    docs = markdown.documents(markdown_documents(spark, d))
+    sections = markdown.sections(docs)
+    none = {"concepts": "file_path string, seq int, name string, type string, description string, canonical string", "relations": "file_path string, src string, rel_type string, dst string, seq int", "mentions": "file_path string, section_idx int, heading string, name string", "refs": "file_path string, pos int, ref string"}
+    nodes, edges = graph.document_graph(docs, sections, **{k: spark.createDataFrame([], v) for k, v in none.items()})
+    return matching.structure(nodes, edges, "src1 en")
+
+
 @query(GRAPH + "SELECT s.label AS src_label, e.rel_type, t.label AS dst_label, count(*) AS n FROM edges e JOIN nodes s ON e.src_id = s.node_id JOIN nodes t ON e.dst_id = t.node_id WHERE s.name <> 'NATION_1' GROUP BY 1, 2, 3")
 def graph_sql(spark: SparkSession, d: str) -> DataFrame:
     text = "SELECT s.label AS src_label, e.rel_type, t.label AS dst_label, count(*) AS n FROM {edges} e JOIN {nodes} s ON e.src_id = s.node_id JOIN {nodes} t ON e.dst_id = t.node_id WHERE s.name <> :but GROUP BY 1, 2, 3"
