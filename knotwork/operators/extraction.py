@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.functions.text import strip
 from knotwork.functions.vocabulary import ENTITY_TYPES, PLAIN_ENTITY_TYPES, PLAIN_RELATIONS, RELATIONS
+from knotwork.operators import asking
 
 #: Names under which a payload may lie, the first that is there counts.
 PAYLOAD_FIELDS = ["text", "response", "output", "result", "data", "content"]
@@ -17,16 +15,19 @@ PAYLOAD_FIELDS = ["text", "response", "output", "result", "data", "content"]
 _SCHEMA = "array<struct<subject string, subject_type string, relation string, object string, object_type string, evidence string, inferred string, source string>>"
 
 
-def extract(chunks: DataFrame, client: Callable[[], Callable[[list[str]], list[str]]], prompt: str = "prompt") -> DataFrame:
-    """``chunks`` with ``payload``, what a model says to the column ``prompt``. ``client`` is called once for each task and answers lists of prompts."""
-    kept = chunks.schema
+def extract(chunks: DataFrame, client: asking.Client, prompt: str = "prompt", cache: str | None = None, tries: int = asking.TRIES, wait: float = asking.WAIT) -> DataFrame:
+    """``chunks`` with ``payload``, what a model says to the column ``prompt``, and ``failure``, why it says nothing.
+
+    ``client`` is called once for each task and answers lists of prompts; it is asked again where it fails. With a ``cache``,
+    a folder, a prompt that was answered once is not asked again."""
+    if cache is None:
+        return asking.ask_rows(chunks, client, prompt, tries=tries, wait=wait)
+    return asking.ask_once(chunks, client, prompt, cache, tries=tries, wait=wait)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ask = client()
-        for batch in batches:
-            yield batch.append_column("payload", pa.array(ask(batch.column(prompt).to_pylist()), pa.string()))
 
-    return chunks.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in kept)}, payload string")
+def failures(asked: DataFrame) -> DataFrame:
+    """The rows that a model did not answer, with their reasons, to be asked again."""
+    return asked.where("failure is not null").drop("payload")
 
 
 def payload(*candidates: Column) -> Column:

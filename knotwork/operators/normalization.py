@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.functions.text import closest_ratio, cosine, strip
+from knotwork.functions.text import closest_ratio, strip
 from knotwork.functions.vocabulary import NAME_PREFIX, NAME_SUFFIX, PLAIN_RELATIONS, RELATIONS, SERVICE_SUFFIXES
+from knotwork.operators.asking import Client, ask_once, ask_rows
+from knotwork.plans.lineage import cut
 
 #: Rows of a table that goes to every task. A larger one is joined by a shuffle.
 SMALL = 200_000
@@ -61,15 +63,31 @@ def normalize_names(names: DataFrame, registry: DataFrame, try_raw_first: bool =
     return out.select("name", "entity_type", "canonical", F.when(F.col("canonical").isNotNull(), 1.0).otherwise(0.0).alias("confidence"), F.when(F.col("canonical").isNotNull(), "exact").otherwise("none").alias("method"))
 
 
-def nearest_canonical(names: DataFrame, canonical: DataFrame, threshold: float = 0.75) -> DataFrame:
+def nearest_canonical(names: DataFrame, canonical: DataFrame, threshold: float = 0.75, report: dict | None = None) -> DataFrame:
     """name, entity_type, canonical, confidence of ``names`` (name, entity_type, embedding): the entity of the same type, in
     ``canonical`` (name, entity_type, embedding), of the greatest cosine similarity, if that reaches ``threshold``; the first name among equals.
 
-    The join is on the type, so a name meets the canonical entities of its type only; these are few and broadcast when small."""
-    right = small(canonical.select(F.col("name").alias("canonical"), "entity_type", F.col("embedding").alias("other")))
-    met = names.select("name", "entity_type", "embedding").join(right, "entity_type").withColumn("confidence", cosine(F.col("embedding"), F.col("other")))
-    best = met.where(F.col("confidence") >= threshold).groupBy("name", "entity_type").agg(F.max(F.struct("confidence", F.transform(F.split("canonical", ""), lambda c: -F.ascii(c)).alias("order"), "canonical")).alias("b"))
-    return best.select("name", "entity_type", F.col("b.canonical").alias("canonical"), F.col("b.confidence").alias("confidence"))
+    The search is exact; many canonical entities lie in cells, of which a name meets those that may hold the nearest."""
+    from knotwork.operators.nearest import nearest
+
+    return nearest(names, canonical, threshold, report)
+
+
+def embed(names: DataFrame, client: Client, cache: str | None = None) -> DataFrame:
+    """name, entity_type, embedding of distinct ``names`` (name, entity_type), by a client from lists of names to lists of vectors.
+
+    The client is called once in each task. With a ``cache``, a folder, a name that has its vector is not asked for again. Names that fail have none."""
+    distinct = names.select("name", "entity_type").where("name is not null").distinct()
+    asked = ask_rows(distinct, client, "name", "embedding", "array<double>") if cache is None else ask_once(distinct, client, "name", cache, "embedding", "array<double>")
+    return asked.where("embedding is not null").select("name", "entity_type", "embedding")
+
+
+def normalize_semantic(names: DataFrame, registry: DataFrame, client: Client, threshold: float = 0.75, cache: str | None = None) -> DataFrame:
+    """As ``normalize_names``, and names that no rule knows by the nearest entity of their type, with its similarity and the method "semantic"."""
+    ruled = cut(normalize_names(names, registry))
+    known = embed(registry, client, cache)
+    left = embed(ruled.where("method = 'none'"), client, cache)
+    return with_semantic(ruled, nearest_canonical(left, known, threshold))
 
 
 def with_semantic(rules: DataFrame, nearest: DataFrame) -> DataFrame:

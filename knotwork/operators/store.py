@@ -10,13 +10,12 @@ that breaks off leaves the store as it was, and every version stays readable."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from knotwork.operators.merging import with_fingerprint
 from knotwork.plans.lineage import cut
+from knotwork.sources import versions
 
 _OWN = ["subject", "subject_type", "relation", "object", "object_type"]
 
@@ -128,11 +127,8 @@ def read(spark: SparkSession, folder: str, fingerprint: str | None = None) -> Da
 
 
 def newest(spark: SparkSession, root: str) -> int:
-    """The number of the last whole version under ``root``; 0 without one. Spark's own file system is asked, so ``root`` may lie anywhere."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v*/manifest/_SUCCESS")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    names = [re.search(r"/v(\d+)/manifest/_SUCCESS$", s.getPath().toString()) for s in found or []]
-    return max((int(m[1]) for m in names if m), default=0)
+    """The number of the last whole version under ``root``; 0 without one."""
+    return versions.newest(spark, root, "manifest")
 
 
 def current(spark: SparkSession, root: str, fingerprint: str | None = None) -> DataFrame:
