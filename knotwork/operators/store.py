@@ -10,7 +10,7 @@ that breaks off leaves the store as it was, and every version stays readable."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from knotwork.operators.merging import with_fingerprint
@@ -56,10 +56,15 @@ def diff(store: DataFrame, triples: DataFrame) -> DataFrame:
     return met.select(*triples.columns, "fingerprint", F.when(F.col("__known").isNull(), "new").otherwise("updated").alias("status"), first.alias("first"))
 
 
+def diff_metrics() -> dict[str, Column]:
+    """The aggregates of ``diff_stats``, by name."""
+    new, old = F.col("status") == "new", F.col("status") == "updated"
+    return {"new_triples": F.count_if(new), "added": F.count_if(new & F.col("first")), "updated": F.count_if(old), "unchanged": F.count_if(old), "conflicts": F.count_if(F.lit(False))}
+
+
 def diff_stats(diffed: DataFrame) -> DataFrame:
     """new_triples, added (fingerprints among them), updated, unchanged (the same number), conflicts (none): one row."""
-    new, old = F.col("status") == "new", F.col("status") == "updated"
-    return diffed.agg(F.count_if(new).alias("new_triples"), F.count_if(new & F.col("first")).alias("added"), F.count_if(old).alias("updated"), F.count_if(old).alias("unchanged"), F.lit(0).cast("long").alias("conflicts"))
+    return diffed.agg(*(m.alias(k) for k, m in diff_metrics().items()))
 
 
 def diff_report(diffed: DataFrame, shown: int = 10) -> str:
