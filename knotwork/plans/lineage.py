@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+T = TypeVar("T")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one only where it is unset in local mode."""
     sc = spark.sparkContext
@@ -27,17 +32,12 @@ def shared_dir(spark: SparkSession) -> str:
 FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the shared folder, so that a lost executor costs no recomputation.
-
-    Its shuffle files are not needed after that and are freed at once; Spark would keep them until the driver's garbage is
-    collected. The session's setting is as before afterwards."""
-    spark = df.sparkSession
-    shared_dir(spark)
+def freed(run: Callable[[], T], spark: SparkSession) -> T:
+    """What ``run`` gives, with its shuffle files freed at its end. The plan must be made within ``run``; the session's setting is as before afterwards."""
     before = spark.conf.get(FREED, None)
     spark.conf.set(FREED, "true")
     try:
-        return df.select("*").checkpoint(eager=True)  # a plan made under the setting
+        return run()
     finally:
         if before is None:
             spark.conf.unset(FREED)
@@ -45,6 +45,15 @@ def cut(df: DataFrame) -> DataFrame:
             spark.conf.set(FREED, before)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and written to the shared folder, so that a lost executor costs no recomputation.
+
+    Its shuffle files are not needed after that and are freed at once; Spark would keep them until the driver's garbage is
+    collected."""
+    shared_dir(df.sparkSession)
+    return freed(lambda: df.select("*").checkpoint(eager=True), df.sparkSession)  # a plan made under the setting
+
+
 def counted(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
     """``df`` cut, and what was counted while it was written: ``rows``, and an aggregate for each of ``metrics``. No job of its own counts."""
     seen = Observation()
