@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from knotwork.functions.text import relation_type
 from knotwork.operators import segments
+from knotwork.sources import versions
 
 NODES = "node_id string, label string, name string, props map<string, string>"
 EDGES = "src_id string, dst_id string, rel_type string, evidence string"
@@ -205,14 +206,28 @@ def migrate_concepts(nodes: DataFrame, edges: DataFrame, registry: DataFrame) ->
     return moved, merge_nodes(kept.unionByName(changed)), merge_edges(rest.withColumn("seq", F.lit(0).cast("long")))
 
 
-def write_graph(nodes: DataFrame, edges: DataFrame, folder: str) -> None:
-    """Parquet by label and by type of relation, which filters on these then skip."""
-    nodes.write.mode("overwrite").partitionBy("label").parquet(f"{folder}/nodes")
-    edges.write.mode("overwrite").partitionBy("rel_type").parquet(f"{folder}/edges")
+def write_graph(nodes: DataFrame, edges: DataFrame, folder: str) -> int:
+    """A new version of the graph in ``folder``, and its number: Parquet by label and by type of relation, which filters on these then skip.
+
+    Nodes come first and edges last; a version whose edges were not written to their end is as if it were not there, so a
+    graph is never half old and half new. The tables may come from the version before, which stays until the next one; those
+    before it are removed."""
+    spark = nodes.sparkSession
+    n = versions.newest(spark, folder, "edges") + 1
+    nodes.write.mode("overwrite").partitionBy("label").parquet(f"{folder}/v{n}/nodes")
+    edges.write.mode("overwrite").partitionBy("rel_type").parquet(f"{folder}/v{n}/edges")
+    if n > 2:
+        versions.drop_version(spark, folder, n - 2)
+    return n
 
 
 def read_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.schema(NODES).parquet(f"{folder}/nodes").select("node_id", "label", "name", "props"), spark.read.schema(EDGES).parquet(f"{folder}/edges").select("src_id", "dst_id", "rel_type", "evidence")
+    """(nodes, edges) of the newest whole version in ``folder``; both empty without one. The folder may lie anywhere that Spark reads."""
+    n = versions.newest(spark, folder, "edges")
+    if not n:
+        return clear_all(spark)
+    nodes, edges = spark.read.schema(NODES).parquet(f"{folder}/v{n}/nodes"), spark.read.schema(EDGES).parquet(f"{folder}/v{n}/edges")
+    return nodes.select("node_id", "label", "name", "props"), edges.select("src_id", "dst_id", "rel_type", "evidence")
 
 
 def clear_all(spark: SparkSession) -> tuple[DataFrame, DataFrame]:

@@ -7,12 +7,14 @@ import os
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from knotwork.functions import vocabulary
 from knotwork.operators import graph
 from knotwork.plans.imports import import_documents
-from knotwork.plans.settings import Settings
+from knotwork.plans.settings import Settings, env_file
 from knotwork.sources.markdown_files import read_markdown
+from knotwork.sources.versions import exists
 
 #: Folders looked for where none is named.
 FOLDERS = ["./knowledge", "./domain_1"]
@@ -42,18 +44,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName("knotwork").getOrCreate()
     if args.command == "import":
         folder = args.folder or default_folder()
-        if not os.path.isdir(folder) and "://" not in folder:
+        if not exists(spark, folder):
             print(f"no folder {folder}", file=sys.stderr)
             return 1
-        got = import_documents(read_markdown(spark, folder), Settings.from_env())
+        got = import_documents(read_markdown(spark, folder), Settings.from_env(environ={**env_file(), **os.environ}))
         nodes, edges = got.nodes, got.edges
-        if not args.clear and os.path.isdir(f"{args.graph}/nodes"):
+        if not args.clear:
             old_nodes, old_edges = graph.read_graph(spark, args.graph)
-            from pyspark.sql import functions as F
-
             nodes = graph.merge_nodes(old_nodes.withColumn("seq", F.lit(0).cast("long")).unionByName(nodes.withColumn("seq", F.lit(1).cast("long"))))
             edges = graph.merge_edges(old_edges.unionByName(edges).dropDuplicates(["src_id", "dst_id", "rel_type"]).withColumn("seq", F.lit(0).cast("long")))
-        save(nodes, edges, args.graph)
+        graph.write_graph(nodes, edges, args.graph)
         print(", ".join(f"{k} {n}" for k, n in got.stats.items()))
         return 0
     nodes, edges = graph.read_graph(spark, args.graph)
@@ -66,7 +66,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             print(graph.graph_counts(nodes, edges).first().asDict())
             nodes, edges = graph.clear_all(spark)
-        save(nodes, edges, args.graph)
+        graph.write_graph(nodes, edges, args.graph)
         return 0
     moved, nodes, edges = graph.migrate_concepts(nodes, edges, vocabulary.registry_table(spark))
     print(f"{moved.count()} concepts")
@@ -74,17 +74,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for r in moved.orderBy("name").limit(10).collect():
             print(f"{r['name']} -> {r['entity_type']} {r['canonical']}")
     else:
-        save(nodes, edges, args.graph)
+        graph.write_graph(nodes, edges, args.graph)
     return 0
 
 
-def save(nodes, edges, folder: str) -> None:
-    """Written beside the old graph and put in its place, since the new one is read from it."""
-    graph.write_graph(nodes, edges, f"{folder}/new")
-    spark = nodes.sparkSession
-    nodes, edges = graph.read_graph(spark, f"{folder}/new")
-    graph.write_graph(nodes, edges, folder)
-
-
 if __name__ == "__main__":
     sys.exit(main())

@@ -3,7 +3,7 @@ import json
 from knotwork.operators import graph, matching
 from knotwork.plans import cli
 from knotwork.plans.imports import import_documents, import_triples
-from knotwork.plans.settings import Settings, Templates
+from knotwork.plans.settings import Settings, Templates, env_file
 from knotwork.sources.markdown_files import read_markdown
 from knotwork.streaming import upserts
 from pyspark.sql import functions as F
@@ -103,6 +103,12 @@ def test_settings():
     assert (s.min_tokens, s.strict, s.similarity, s.max_tokens) == (5, True, 0.5, 3000) and s.to_dict()["strict"] is True
 
 
+def test_settings_of_a_file(tmp_path):
+    (tmp_path / "e").write_text("# comment\n\nKNOTWORK_MIN_TOKENS=7\nexport KNOTWORK_URL_BASE='http://h/#a'\nKNOTWORK_RUN_TS = t1 # now\nnothing\n")
+    got = Settings.from_env(environ=env_file(str(tmp_path / "e")))
+    assert (got.min_tokens, got.url_base, got.run_ts) == (7, "http://h/#a", "t1") and env_file(str(tmp_path / "no")) == {}
+
+
 def test_command_line(spark, tmp_path, capsys):
     g = str(tmp_path / "graph")
     assert cli.main(["--graph", g, "import", folder(tmp_path)], spark) == 0
@@ -115,6 +121,29 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["--graph", g, "import", str(tmp_path / "nowhere")], spark) == 1
 
 
+def test_a_graph_is_never_half_written(spark, tmp_path):
+    g = f"file://{tmp_path}/graph"
+    assert [t.count() for t in graph.read_graph(spark, g)] == [0, 0]
+    nodes = spark.createDataFrame([("n:a", "n", "a", {}), ("n:b", "n", "b", {})], graph.NODES)
+    edges = spark.createDataFrame([("n:a", "n:b", "T", None)], graph.EDGES)
+    assert graph.write_graph(nodes, edges, g) == 1
+    nodes.where("name = 'a'").write.partitionBy("label").parquet(f"{g}/v2/nodes")  # a run that ended here
+    assert [t.count() for t in graph.read_graph(spark, g)] == [2, 1]
+    for n in (2, 3, 4):  # from what is read
+        old_nodes, old_edges = graph.read_graph(spark, g)
+        assert graph.write_graph(old_nodes.where("name = 'a'"), old_edges, g) == n
+    assert [t.count() for t in graph.read_graph(spark, g)] == [1, 1]
+    assert sorted(p.name for p in (tmp_path / "graph").iterdir()) == ["v3", "v4"]
+
+
+def test_an_import_runs_no_job_that_only_counts(spark, tmp_path):
+    files = spark.createDataFrame([(f"d/{i}.md", f"# T{i}\nEC2 uses S3 and more\n## P\ntext") for i in range(6)], "file_path string, content string")
+    client = lambda: lambda prompts: ['{"entities": ["X"], "relations": [["X", "Y"]]}' for _ in prompts]
+    got = import_documents(files, client=client, answers=str(tmp_path / "answers"))
+    assert got.stats == {k: got.tables[k].count() for k in got.stats}
+    assert (got.stats["documents"], got.stats["entities"], got.stats["failures"]) == (6, 6, 0)
+
+
 def test_stream_of_triples(spark, tmp_path):
     rows = [(i, "a", "Service", "uses", "b" if i % 2 else "c", "Component", f"e{i}", False, None, 1.0, None, None, "2024-01-01") for i in range(4)]
     for k in range(2):
