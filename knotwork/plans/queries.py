@@ -363,11 +363,41 @@ def references_contains_join(spark: SparkSession, d: str) -> DataFrame:
     return graph.reference_edges(pages.select(F.col("url").alias("file_path"), F.lit("").alias("title")), refs)
 
 
-@query()
+_LEAST, _MOST = 200, 600
+_TOKENS = "length(" + _TRIM.format("{}") + ") // 4"
+_FLUSH = "w.n > 0 AND " + _TOKENS.format("w.held") + f" >= {_LEAST}"
+_OVER = "w.n > 0 AND " + _TOKENS.format("w.held || chr(10) || l.line") + f" > {_MOST}"
+_PATH = "array_to_string(list_transform({}, lambda h: h.name), ' > ')"
+
+
+# a fold over lines as recursion: a step takes the next line of every document; what a step gives out is in ``out``
+@query(f"""WITH RECURSIVE {_MD}, {_CLEAN},
+titles AS (SELECT file_path, CASE WHEN regexp_matches(content, '(?m)^#\\s+(.+)$') THEN {_TRIM.format("regexp_extract(content, '(?m)^#\\s+(.+)$', 1)")} ELSE 'Doc ' || regexp_extract(file_path, 'doc_(\\d+)', 1) END AS title FROM md),
+s AS (SELECT md.file_path, titles.title, string_split(coalesce(clean.content, ''), chr(10)) AS ls FROM md JOIN titles USING (file_path) LEFT JOIN clean USING (file_path)),
+ll AS (SELECT file_path, title, len(ls) AS lines, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM s),
+rows_of AS (SELECT *, regexp_matches(line, '^#{{1,6}}\\s+.+$') AS head, len(regexp_extract(line, '^(#{{1,6}})', 1)) AS level, {_TRIM.format("regexp_extract(line, '^#{1,6}\\s+(.+)$', 1)")} AS name FROM ll),
+w AS (
+    SELECT file_path, title, len(ls) AS lines, CAST(0 AS BIGINT) AS i, CAST([] AS STRUCT(level BIGINT, name VARCHAR)[]) AS headings, '' AS held, 0 AS n, CAST(0 AS BIGINT) AS start, 0 AS given, title AS section,
+        CAST(NULL AS STRUCT(body VARCHAR, section VARCHAR, path VARCHAR, level BIGINT, start BIGINT, stop BIGINT)) AS out FROM s
+    UNION ALL
+    SELECT w.file_path, w.title, w.lines, w.i + 1, CASE WHEN l.head THEN x.headings ELSE w.headings END,
+        CASE WHEN w.n = 0 THEN l.line WHEN l.head THEN CASE WHEN {_FLUSH} THEN l.line ELSE w.held || chr(10) || l.line END
+            WHEN {_OVER} THEN CASE WHEN {_FLUSH} THEN l.line ELSE w.held END ELSE w.held || chr(10) || l.line END,
+        1, CASE WHEN (l.head OR {_OVER}) AND {_FLUSH} THEN w.i ELSE w.start END, CASE WHEN (l.head OR {_OVER}) AND {_FLUSH} THEN w.given + 1 ELSE w.given END, CASE WHEN l.head THEN l.name ELSE w.section END,
+        CASE WHEN l.head AND {_FLUSH} THEN {{'body': {_TRIM.format("w.held")}, 'section': l.name, 'path': {_PATH.format("x.headings")}, 'level': CAST(l.level AS BIGINT), 'start': w.start, 'stop': w.i - 1}}
+            WHEN NOT l.head AND {_OVER} AND {_FLUSH} THEN {{'body': {_TRIM.format("w.held")}, 'section': w.section, 'path': {_PATH.format("w.headings")}, 'level': CAST(NULL AS BIGINT), 'start': w.start, 'stop': w.i - 1}} END
+    FROM w JOIN rows_of l ON l.file_path = w.file_path AND l.i = w.i, LATERAL (SELECT list_append(list_filter(w.headings, lambda h: h.level < l.level), {{'level': CAST(l.level AS BIGINT), 'name': l.name}}) AS headings) x),
+c AS (
+    SELECT file_path, title, given - 1 AS chunk_idx, out.body AS body, out.section AS section, out.path AS path, out.level AS level, out.start AS start_line, out.stop AS end_line FROM w WHERE out IS NOT NULL
+    UNION ALL SELECT file_path, title, given, {_TRIM.format("held")}, section, {_PATH.format("headings")}, NULL, start, lines - 1 FROM w WHERE i = lines AND n > 0 AND ({_TOKENS.format("held")} >= {_LEAST} OR given = 0))
+SELECT file_path AS source, CAST(chunk_idx AS INT) AS chunk_idx, md5(body) AS text, section, path AS heading_path, CAST(level AS INT) AS level,
+    'https://kb.example/' || regexp_extract(file_path, '([^/]+)\\.md$', 1) || '#' || replace(replace(lower(path), ' > ', '#'), ' ', '-') AS url,
+    title, CAST(start_line AS INT) AS start_line, CAST(end_line AS INT) AS end_line, CAST(length(body) // 4 AS INT) AS token_count FROM c""")
 def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
     docs = markdown_documents(spark, d)
     titled = docs.select("file_path", markdown.title(F.col("content"), F.col("file_path")).alias("title"), "content")
-    return chunking.chunk_documents(titled, 200, 600, "https://kb.example").withColumn("text", F.md5(F.col("text").cast("binary")))
+    made = chunking.chunk_documents(titled, _LEAST, _MOST, "https://kb.example")
+    return made.withColumns({"text": F.md5(F.col("text").cast("binary")), "heading_path": F.array_join("heading_path", " > ")})
 
 
 @query("""SELECT doc_id, md5('---SOURCE: ' || source || '---' || chr(10) || 'Section: ' || lang || ' > ' || source || chr(10) || CASE WHEN n_chars % 2 = 0 THEN 'URL: http://h/' || doc_id || chr(10) ELSE '' END
