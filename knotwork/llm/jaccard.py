@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import uuid
 from bisect import bisect_left, bisect_right
 from functools import lru_cache
 from itertools import combinations
@@ -35,12 +36,14 @@ from pyspark.sql.types import IntegralType
 
 from knotwork.llm import text as tx
 from knotwork.plans.components import components
-from knotwork.plans.lineage import cut
+from knotwork.plans.lineage import cut, freed, shared_dir
 
 N, THRESHOLD = 3, 90
 #: N-grams that a task holds of a block. A larger block is dealt in parts of half as many.
 HELD = 200_000
 PIVOTS = 4
+#: Slices of the n-grams of large blocks that are dealt one after the other.
+SLICES = 4
 #: The ratio of sizes within a class, as a power of that of similar sets.
 WIDE = 2.4
 #: Weighs a probe of a long list against a merge of it, as DivideSkip does to choose how many are long.
@@ -333,14 +336,19 @@ def _near_pivots(threshold: int):
     return read
 
 
-def _exploded(batches):
-    """(gram, a): a row for each n-gram of a set."""
-    for batch in batches:
-        a = batch.column("a").to_numpy()
-        for i in range(0, len(a), 256):
-            grams = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("grams").slice(i, 256)]
-            times = [len(g) for g in grams]
-            yield pa.record_batch({"gram": pa.array(np.concatenate(grams)), "a": pa.array(np.repeat(a[i : i + 256], times))})
+def _exploded(part: int):
+    """(gram, a): a row for each n-gram of a set whose hash falls in a part of the range."""
+
+    def read(batches):
+        for batch in batches:
+            a = batch.column("a").to_numpy()
+            for i in range(0, len(a), 256):
+                grams = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("grams").slice(i, 256)]
+                grams = [g[g % SLICES == part] for g in grams]
+                times = [len(g) for g in grams]
+                yield pa.record_batch({"gram": pa.array(np.concatenate(grams)), "a": pa.array(np.repeat(a[i : i + 256], times))})
+
+    return read
 
 
 def _prefix_blocks(large: DataFrame, threshold: int) -> DataFrame:
@@ -348,9 +356,13 @@ def _prefix_blocks(large: DataFrame, threshold: int) -> DataFrame:
 
     Of n-grams ordered by the sets that have them, similar sets share one among the first ``size - least overlap + 1`` of
     each. N-grams of one set only come first and are shared with none, so sets with enough n-grams of their own, such as
-    texts that have a passage in common, are in no block."""
-    each = large.select("a", "grams").mapInArrow(_exploded, "gram long, a long")
-    shared = each.withColumn("df", F.count("*").over(Window.partitionBy("gram"))).where("df > 1")
+    texts that have a passage in common, are in no block. The n-grams are dealt a slice of their hashes at a time, and only
+    those of several sets are kept, so the shuffle's files never hold all of them."""
+    folder = f"{shared_dir(large.sparkSession)}/grams-{uuid.uuid4().hex}"
+    for k in range(SLICES):
+        each = large.select("a", "grams").mapInArrow(_exploded(k), "gram long, a long")
+        freed(lambda df=each: df.withColumn("df", F.count("*").over(Window.partitionBy("gram"))).where("df > 1").write.parquet(f"{folder}/{k}"), large.sparkSession)
+    shared = large.sparkSession.read.schema("gram long, a long, df long").parquet(*(f"{folder}/{k}" for k in range(SLICES)))
     own = Window.partitionBy("a")
     ranked = shared.select("gram", "a", F.row_number().over(own.orderBy("df", "gram")).alias("rank"), F.count("*").over(own).alias("shared"))
     first = F.col("size") - F.ceil(F.col("size") * threshold / 100) + 1 - (F.col("size") - F.col("shared"))
