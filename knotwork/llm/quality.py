@@ -94,7 +94,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0):
             for i, j, c in _pieces(batch.column("text")):
                 yield pa.record_batch({"doc_id": batch.column("doc_id").slice(i, j - i), "y": batch.column("y").slice(i, j - i), "c": pa.array([r.tobytes() for r in c.astype(np.int32)], pa.binary())})
 
-    got = sample.mapInArrow(count, "doc_id long, y int, c binary").toArrow().sort_by("doc_id")
+    got = sample.mapInArrow(count, f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, y int, c binary").toArrow().sort_by("doc_id")
     y = got["y"].to_numpy().astype(np.float32)
     if not 0 < y.sum() < len(y):
         return None
