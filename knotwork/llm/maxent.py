@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -274,6 +275,38 @@ class Weights:
         return used, sums[used]
 
 
+def summed(parts: DataFrame) -> DataFrame:
+    """t, row, g of ``parts`` (t, row, part, g): one row for each t and row, the sum of its float32 arrays in the order of ``part``.
+
+    Rows are dealt by (t, row) and pass through in order, so a task holds one sum at a time, and the sum is the same however
+    the parts came."""
+
+    def add(batches):
+        at, total = None, None
+        for batch in batches:
+            keys = list(zip(batch.column("t").to_pylist(), batch.column("row").to_pylist()))
+            done = []
+            for key, g in zip(keys, batch.column("g")):
+                x = np.frombuffer(g.as_buffer(), np.float32)
+                if key == at:
+                    total = total + x
+                    continue
+                if at is not None:
+                    done.append((*at, total.tobytes()))
+                at, total = key, x.copy()
+            yield _records(done)
+        if at is not None:
+            yield _records([(*at, total.tobytes())])
+
+    dealt = parts.repartition("t", "row").sortWithinPartitions("t", "row", "part")
+    return dealt.select("t", "row", "g").mapInArrow(add, "t long, row long, g binary")
+
+
+def _records(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    t, row, g = zip(*rows) if rows else ((), (), ())
+    return pa.record_batch({"t": pa.array(t, pa.int64()), "row": pa.array(row, pa.int64()), "g": pa.array(g, pa.binary())})
+
+
 def train(stats: DataFrame, sizes: Sizes, rounds: int = ROUNDS) -> Weights:
     """The weights after ``rounds`` steps over statistics, which are dealt by context."""
     spark = stats.sparkSession
@@ -295,9 +328,10 @@ def train(stats: DataFrame, sizes: Sizes, rounds: int = ROUNDS) -> Weights:
                 for table in (0, 1):
                     own = t == table
                     rows, sums = shared.value.gradient(table, context[own], outcome[own], n[own])
-                    yield pa.record_batch({"t": pa.array(np.full(len(rows), table)), "row": pa.array(rows), "g": pa.array([x.tobytes() for x in sums], pa.binary())})
+                    part = np.full(len(rows), TaskContext.get().partitionId())
+                    yield pa.record_batch({"t": pa.array(np.full(len(rows), table)), "row": pa.array(rows), "part": pa.array(part), "g": pa.array([x.tobytes() for x in sums], pa.binary())})
 
-        got = stats.mapInArrow(gradient, "t long, row long, g binary").toArrow()  # at most 2**BITS rows of each table from a task
+        got = summed(tx.in_small_batches(stats).mapInArrow(gradient, "t long, row long, part long, g binary")).toArrow().sort_by([("t", "ascending"), ("row", "ascending")])  # 2**BITS rows of each table at most, whatever the tasks
         for t, table in enumerate(weights.tables):
             own = got.filter(pc.equal(got["t"], t))
             if own.num_rows:

@@ -288,3 +288,28 @@ def test_the_gradient_against_differences():
                 down = value()
                 w.tables[t][rows[i], k] += 1e-2
                 assert abs((up - down) / 2e-2 - sums[i, k]) < 0.05
+
+
+def test_quality_of_ids_of_any_type(spark, docs, labels):
+    from pyspark.sql import functions as F
+
+    text = lambda d: d.withColumn("doc_id", F.col("doc_id").cast("string"))
+    plain = {str(r["doc_id"]): r["score"] for r in quality.score_quality(docs, labels).collect()}
+    named = {str(r["doc_id"]): r["score"] for r in quality.score_quality(text(docs), text(labels)).collect()}
+    assert plain.keys() == named.keys() and all(abs(plain[k] - named[k]) < 0.02 for k in plain)
+
+
+def test_gradients_are_summed_before_the_driver(spark):
+    """As many rows as there are keys, however many tasks send sums, and the same sums each time."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    sent = [(t, row, part, rng.normal(size=6).astype(np.float32)) for part in range(40) for t in (0, 1) for row in range(25) if (row + part) % 3]
+    want = {}
+    for t, row, part, g in sorted(sent, key=lambda x: x[2]):
+        want[t, row] = want[t, row] + g if (t, row) in want else g
+    parts = spark.createDataFrame([(t, row, part, g.tobytes()) for t, row, part, g in sent], "t long, row long, part long, g binary").repartition(7)
+    got = maxent.summed(parts).collect()
+    assert len(got) == 50 == len(want)
+    assert all(bytes(r["g"]) == want[r["t"], r["row"]].tobytes() for r in got)
+    assert maxent.summed(parts.where("false")).count() == 0
