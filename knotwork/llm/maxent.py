@@ -317,7 +317,7 @@ def train(stats: DataFrame, sizes: Sizes, rounds: int = ROUNDS) -> Weights:
     for table in (0, 1):
         start[table][k[t == table]] = n[t == table]
     weights = Weights(sizes, *start)
-    stats = cut(stats.repartition(max(6, -(-int(totals["rows"].to_numpy().sum()) // STATISTICS)), "t", "context").sortWithinPartitions("t", "context"))
+    stats = cut(stats.repartition(max(2, -(-int(totals["rows"].to_numpy().sum()) // STATISTICS)), "t", "context").sortWithinPartitions("t", "context"))
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
 
