@@ -15,8 +15,8 @@ The benchmark is the small side: it is read whole by each task, in blocks of ``I
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,10 @@ COMMON, FLOOR = 0.1, 0.1
 LEAN = 0.25
 #: Bytes of text searched at once.
 PIECE = 1 << 19
+#: Words of a longer text searched at once, and those around them that a passage may reach into. Both are whole steps.
+WORDS, MARGIN = 1 << 16, 160
+#: First bits of the benchmark's pairs that are looked up before the pairs; entries of an array while pairs are counted.
+FIRST_BITS, SPREAD = 20, 1 << 22
 #: Share of a passage, and of its last words, that must come in order.
 COVER, ANSWER_COVER, ANSWER = 0.7, 0.5, 6
 #: Passages shorter than this are matched only word for word.
@@ -186,6 +190,12 @@ def _pairs(h: np.ndarray) -> np.ndarray:
     return h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]
 
 
+def _spread(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(each number from a beginning to before its end, index of the range) of many ranges."""
+    count = end - begin
+    return np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum()), np.repeat(np.arange(len(count)), count)
+
+
 class Searcher:
     def __init__(self, items: list[tuple[int, int, np.ndarray]], idf: np.ndarray, terms: np.ndarray, space: np.ndarray):
         self.items, self.idf = items, idf
@@ -207,6 +217,7 @@ class Searcher:
         self.most_frequent = float(np.linalg.norm(space[self.frequent[terms]] @ self.latent.T, axis=0).max(initial=0))
         self.lean = self.most_frequent <= LEAN
         self.length = np.array([len(w) for _, _, w in items], np.int64)
+        self.words_needed = np.where(self.length < SHORT, self.length, COVER * self.length)
         self.pairs_needed = np.array([pairs_needed(n) for n in self.length], np.int64)
         single = [w.view(np.uint64) if len(w) == 1 else w[:0].view(np.uint64) for _, _, w in items]
         pairs = [_pairs(w.view(np.uint64)[: 2 if len(w) < SHORT else None]) for _, _, w in items]
@@ -216,53 +227,110 @@ class Searcher:
             self.coded[i, : len(w)] = self._codes(w.view(np.uint64))
         # a row for each place compared at once, a column for each word; the last two stand for other words and for none
         self.seen = np.zeros((max(16, min(512, (1 << 22) // len(self.vocabulary))), len(self.vocabulary) + 2), bool)
+        self.present = np.zeros(len(self.vocabulary) + 2, bool)
         self.single, self.pairs = self._postings(single), self._postings(pairs)
+        self.width = 2 * int(self.length.max()) + 1
 
     @staticmethod
-    def _postings(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(keys in order, first posting of each key and one past the last, item, place in the item)."""
+    def _postings(lists: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """(keys in order, whether a key has these first ``FIRST_BITS``, first row of each key and one past the last, item of each row, first posting of each row and one past the last, place in the item of each posting): a row for each key and item."""
         key = np.concatenate([np.zeros(0, np.uint64), *lists])
         item = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
         place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in lists)])
         order = np.argsort(key, kind="stable")
-        keys, starts = np.unique(key[order], return_index=True)
-        return keys, np.append(starts, len(key)), item[order], place[order]
+        keys, number = np.unique(key[order], return_inverse=True)
+        begins = np.zeros(1 << FIRST_BITS, bool)
+        begins[keys >> np.uint64(64 - FIRST_BITS)] = True
+        code, posting = np.unique(number * len(lists) + item[order], return_index=True)
+        return keys, begins, np.searchsorted(code, np.arange(len(keys) + 1) * len(lists)), code % len(lists), np.append(posting, len(key)), place[order]
 
     @staticmethod
-    def _looked_up(postings: tuple, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(index in ``key``, item, place in the item) of all postings."""
-        keys, starts, item, place = postings
+    def _looked_up(postings: tuple, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index in ``key``, number of the key) of those that some item has."""
+        keys, begins = postings[:2]
         if not len(keys) or not len(key):
-            return (np.zeros(0, np.int64),) * 3
-        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        where = np.flatnonzero(keys[at] == key)
-        at = at[where]
-        count = starts[at + 1] - starts[at]
-        posting = np.repeat(starts[at] - np.cumsum(count) + count, count) + np.arange(count.sum())
-        return np.repeat(where, count), item[posting], place[posting]
-
-    def sharing(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(text, word at which the passage would begin, item) where enough pairs of adjacent words are shared."""
-        at, item, place = (np.concatenate(x) for x in zip(self._looked_up(self.single, h), self._looked_up(self.pairs, _pairs(h))))
-        order = np.argsort(item * len(h) + at)
-        at, item, place = at[order], item[order], place[order]
-        need = self.pairs_needed[item]
-        last = np.arange(len(at)) + need - 1
-        there = last < len(at)
-        last[~there] = 0
-        there &= (item[last] == item) & (at[last] - at <= 2 * self.length[item])
-        at, item, place = at[there], item[there], place[there]
+            return (np.zeros(0, np.int64),) * 2
+        where = np.flatnonzero(begins[key >> np.uint64(64 - FIRST_BITS)])
+        at = np.minimum(np.searchsorted(keys, key[where]), len(keys) - 1)
+        there = keys[at] == key[where]
+        return where[there], at[there]
+
+    def sharing(self, h: np.ndarray, first: np.ndarray, codes: Callable[[], np.ndarray] | None = None) -> Iterator[tuple[int, int, int]]:
+        """(text, word at which the passage would begin, item) where enough pairs of adjacent words are shared.
+
+        Of a pair that is repeated, in the text or in a passage, no more can belong to a common subsequence than either has.
+        So the pairs of a stretch of text are counted once each, with their numbers, and only the passages that these suffice
+        for are looked for in the stretch and the next."""
+        at, key = self._looked_up(self.single, h)
         doc = np.searchsorted(first, at, "right") - 1
-        begin = at - place
-        once = np.unique((item * len(first) + doc) * (len(h) + PASSAGE) + begin + PASSAGE, return_index=True)[1]
-        doc, at, item = doc[once], begin[once], item[once]
-        keep = self._shared_words(h, first, doc, at, item) >= np.where(self.length[item] < SHORT, self.length[item], COVER * self.length[item])
-        yield from zip(doc[keep].tolist(), at[keep].tolist(), item[keep].tolist())
-
-    def _shared_words(self, h: np.ndarray, first: np.ndarray, doc: np.ndarray, at: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """How many places of each passage have their word in the text around ``at``: no fewer than in order."""
-        out = np.zeros(len(at), np.int64)
-        code, rows = self._codes(h), len(self.seen)
+        once = np.unique(doc * (len(self.single[0]) + 1) + key, return_index=True)[1]  # the first in each text will do
+        row, owner = _spread(self.single[2][key[once]], self.single[2][key[once] + 1])
+        yield from zip(doc[once][owner].tolist(), at[once][owner].tolist(), self.single[3][row].tolist())
+        where, key = self._looked_up(self.pairs, _pairs(h))
+        codes = codes or cache(lambda: self._codes(h))
+        for at, item, place in self._in_stretches(where, key):
+            need = self.pairs_needed[item]
+            last = np.arange(len(at)) + need - 1
+            there = last < len(at)
+            last[~there] = 0
+            there &= (item[last] == item) & (at[last] - at <= 2 * self.length[item])
+            at, item, place = at[there], item[there], place[there]
+            if not len(at):
+                continue
+            doc = np.searchsorted(first, at, "right") - 1
+            begin = at - place
+            once = np.unique((item * len(first) + doc) * (len(h) + PASSAGE) + begin + PASSAGE, return_index=True)[1]
+            doc, at, item = doc[once], begin[once], item[once]
+            keep = self._shared_words(codes(), first, doc, at, item) >= self.words_needed[item]
+            yield from zip(doc[keep].tolist(), at[keep].tolist(), item[keep].tolist())
+
+    def _in_stretches(self, where: np.ndarray, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(word, item, place in the item), by item and word, of the pairs at ``where`` in stretches of which two in a row share as many pairs with the item as it needs.
+
+        A batch has about ``SPREAD`` entries at most; batches overlap by a stretch."""
+        keys, _, rows, items, posting, places = self.pairs
+        if not len(where):
+            return
+        block = where // self.width
+        code, times = np.unique(block * len(keys) + key, return_counts=True)
+        of, number = code // len(keys), code % len(keys)
+        size = rows[number + 1] - rows[number]
+        total, b = np.cumsum(size), int(block[0])
+        row_code = np.repeat(np.arange(len(keys)), np.diff(rows)) * len(self.items) + items
+        while True:
+            i = int(np.searchsorted(of, b))
+            j = int(np.searchsorted(total, (total[i] - size[i] if i < len(of) else 0) + SPREAD, "right"))
+            to = max(b + 1, min(int(of[min(j, len(of)) - 1]), b + SPREAD // len(self.items)))  # the last stretch of the batch
+            j = int(np.searchsorted(of, to, "right"))
+            row, owner = _spread(rows[number[i:j]], rows[number[i:j] + 1])
+            shared = np.minimum(times[i:j][owner], np.diff(posting)[row])
+            shared = np.bincount(items[row] * (to - b + 1) + of[i:j][owner] - b, shared, len(self.items) * (to - b + 1)).reshape(len(self.items), -1)
+            enough = shared[:, :-1] + shared[:, 1:] >= self.pairs_needed[:, None]
+            alive = np.zeros(shared.shape, bool)
+            alive[:, :-1] |= enough
+            alive[:, 1:] |= enough
+            item, stretch = np.nonzero(alive & (shared > 0))
+            stretch += b
+            lo, hi = np.searchsorted(block, stretch), np.searchsorted(block, stretch, "right")
+            ends = np.cumsum(hi - lo)
+            k = 0
+            while k < len(item):
+                upto = max(k + 2, int(np.searchsorted(ends, ends[k] + SPREAD // 16, "right")))
+                hit, owner = _spread(lo[k:upto], hi[k:upto])
+                want = key[hit] * len(self.items) + item[k:upto][owner]
+                row = np.minimum(np.searchsorted(row_code, want), len(row_code) - 1)
+                there = row_code[row] == want
+                hit, row = hit[there], row[there]
+                at, owner = _spread(posting[row], posting[row + 1])
+                yield where[hit][owner], items[row][owner], places[at]
+                k = upto if upto >= len(item) else upto - 1
+            if to >= int(block[-1]):
+                return
+            b = to
+
+    def _shared_words(self, code: np.ndarray, first: np.ndarray, doc: np.ndarray, at: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """How many places of each passage have their word in the text around ``at``, given its words' codes: no fewer than in order."""
+        out, rows = np.zeros(len(at), np.int64), len(self.seen)
         for i in range(0, len(at), rows):
             k, begin, n = item[i : i + rows], at[i : i + rows, None], self.length[item[i : i + rows]][:, None]
             near = begin - n + np.arange(3 * n.max())
@@ -279,8 +347,23 @@ class Searcher:
         at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == h, at, -1).astype(np.int32)
 
-    def near(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(text, first word of the window, item) of windows near an item's passage."""
+    def _with_words(self, window: np.ndarray, items: np.ndarray, barren: set) -> list[int]:
+        """Those of ``items`` of whose passages enough places have their word in a window of codes; ``barren`` collects what had none."""
+        seen = hash(window.tobytes()), hash(items.tobytes())  # a text that repeats itself has the same window again
+        if seen in barren:
+            return []
+        self.present[window] = True
+        self.present[-2:] = False
+        there = self.present[self.coded[items]].sum(axis=1)
+        self.present[window] = False
+        items = items[there >= self.words_needed[items]].tolist()
+        if not items:
+            barren.add(seen)
+        return items
+
+    def near(self, h: np.ndarray, first: np.ndarray, codes: Callable[[], np.ndarray] | None = None) -> Iterator[tuple[int, int, int]]:
+        """(text, first word of the window, item) of windows near an item's passage, with enough of its words in and around them."""
+        codes, barren, reach = codes or cache(lambda: self._codes(h)), set(), int(self.length.max())
         count = np.diff(first)
         steps = -(-count // STEP)
         base = np.concatenate([[0], np.cumsum(steps)])
@@ -325,8 +408,13 @@ class Searcher:
                 vectors[there] += sums[place[rows[there] + k]]
             for i in range(0, len(self.items), ITEMS):
                 r, k = np.nonzero(vectors @ self.latent[i : i + ITEMS].T >= needs[:, None])
-                for x, y in zip(rows[r].tolist(), (k + i).tolist()):
-                    yield int(owner[x]), int(first[owner[x]] + (x - base[owner[x]]) * STEP), y
+                bounds = np.flatnonzero(np.diff(r, prepend=-1, append=len(rows)))
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                    x = rows[r[a]]
+                    doc, items = int(owner[x]), k[a:b] + i
+                    at = int(first[doc] + (x - base[doc]) * STEP)
+                    for y in self._with_words(codes()[max(first[doc], at - reach) : min(first[doc + 1], at + WIDTHS[-1] * STEP + reach)], items, barren):
+                        yield doc, at, y
 
     @staticmethod
     def _doubled(values: np.ndarray, owner: np.ndarray, width: int) -> np.ndarray:
@@ -337,37 +425,62 @@ class Searcher:
         return out
 
     def links(self, h: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
-        """(text, item) to (item's passage part, words in common) where a passage is covered."""
-        tried, out = set(), {}
+        """(text, item) to (item's passage part, words in common) where a passage is covered.
+
+        A text of over ``WORDS`` words, which comes alone, is searched in pieces with ``MARGIN`` words more on either side."""
+        out: dict[tuple[int, int], tuple[int, int]] = {}
+        if len(first) > 2 or len(h) <= WORDS:
+            self._add_links(out, h, first, 0, len(h))
+            return out
+        for lo in range(0, len(h), WORDS):
+            at, to = max(0, lo - MARGIN), min(len(h), lo + WORDS + MARGIN)
+            # what begins before the first word, or in the last piece, belongs to these
+            self._add_links(out, h[at:to], np.array([0, to - at]), lo - at if lo else -MARGIN, min(lo + WORDS, len(h)) - at)
+        return out
+
+    def _add_links(self, out: dict[tuple[int, int], tuple[int, int]], h: np.ndarray, first: np.ndarray, lo: int, hi: int) -> None:
+        """Adds the links of windows and passages that begin from word ``lo`` to before ``hi``."""
+        tried, failed = set(), set()
         signed = h.view(np.int64)
-        for doc, at, k in self.near(h, first):
+
+        def compared(k: int, words: np.ndarray, window: np.ndarray) -> int:
+            seen = k, hash(window.tobytes())  # a text that repeats itself has the same window again
+            if seen in failed:
+                return 0
+            common = self._compared(words, window)
+            if not common:
+                failed.add(seen)
+            return common
+
+        codes = cache(lambda: self._codes(h))
+        for doc, at, k in self.near(h, first, codes):
             item, part, words = self.items[k]
-            if (doc, item) in out or (doc, k, at // STEP) in tried:
+            if not lo <= at < hi or (doc, item) in out or (doc, k, at // STEP) in tried:
                 continue
             tried.add((doc, k, at // STEP))
-            lo, hi = max(first[doc], at - len(words)), min(first[doc + 1], at + WIDTHS[-1] * STEP + len(words))
-            common = self._compared(words, signed[lo:hi])
+            common = compared(k, words, signed[max(first[doc], at - len(words)) : min(first[doc + 1], at + WIDTHS[-1] * STEP + len(words))])
             if common:
                 out[doc, item] = part, common
         tried = set()
-        for doc, at, k in self.sharing(h, first):
+        for doc, at, k in self.sharing(h, first, codes):
             item, part, words = self.items[k]
             n = len(words)
-            if (doc, item) in out or (doc, k, at) in tried:
+            if not lo <= at < hi and len(first) == 2 or (doc, item) in out or (doc, k, at) in tried:
                 continue
             tried.add((doc, k, at))
             if at >= first[doc] and at + n <= first[doc + 1] and (signed[at : at + n] == words).all():
                 out[doc, item] = part, n
             elif n >= SHORT:
-                common = self._compared(words, signed[max(first[doc], at - n) : min(first[doc + 1], at + 2 * n)])
+                common = compared(k, words, signed[max(first[doc], at - n) : min(first[doc + 1], at + 2 * n)])
                 if common:
                     out[doc, item] = part, common
-        return out
 
     @staticmethod
     def _compared(words: np.ndarray, window: np.ndarray) -> int:
         """Words of a passage in a window, 0 where it is not covered."""
-        if np.isin(words, window).sum() < COVER * min(len(words), SHORT * 2):
+        own, times = np.unique(words, return_counts=True)
+        around = np.sort(window)
+        if np.minimum(times, np.searchsorted(around, own, "right") - np.searchsorted(around, own)).sum() < COVER * len(words):  # no fewer than in order
             return 0
         if len(words) < SHORT:
             found = list(range(len(words))) if any((window[i : i + len(words)] == words).all() for i in np.flatnonzero(window[: len(window) - len(words) + 1] == words[0])) else []

@@ -64,6 +64,16 @@ def test_filters_keep_all_columns(spark, docs, clashing, labels, name):
     assert sorted(map(str, got.select(docs.columns).collect())) == sorted(map(str, op(docs).collect()))
 
 
+def test_links_with_the_benchmark_whatever_the_columns(spark, docs, clashing, labels):
+    op = operators(spark, labels)["contaminated"]
+    planted = " ".join(f"planted{i}" for i in range(30))
+    bench = spark.createDataFrame([(1, planted), (2, planted), (3, None), (4, "")], "item_id long, text string")
+    assert sorted(map(numbered, op(docs).collect())) == sorted(map(numbered, op(clashing).collect()))
+    texts = [(5, planted), (5, planted), (6, "word " * 200_000 + planted), (None, planted), (7, None), (8, ""), (9, "word " * 100)]
+    got = decontamination.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), bench).collect()
+    assert sorted((str(r["doc_id"]), r["item_id"], r["common_words"]) for r in got) == sorted((str(d), i, 30) for d in (5, 5, 6, None) for i in (1, 2))
+
+
 def test_without_labels_or_training_texts(spark, docs, labels):
     none = labels.where("false")
     assert {r["score"] for r in quality.score_quality(docs, none).select("score").distinct().collect()} == {0.5}

@@ -489,6 +489,60 @@ def test_changed_and_lost_words_leave_enough_pairs():
             assert (0, 7) in searcher.links(text.view(np.uint64), np.array([0, len(text)])), n
 
 
+def searcher_of(items, rank=1):
+    terms = np.unique(decontamination._terms(np.concatenate([w for _, _, w in items]).view(np.uint64)))
+    return decontamination.Searcher(items, np.ones(1 << decontamination.BITS, np.float32), terms, np.zeros((len(terms), rank), np.float32))
+
+
+def test_pairs_of_few_words_are_counted_with_their_repeats():
+    rng = np.random.default_rng(15)
+    few = rng.integers(1, 1 << 62, 5)
+    for n in range(8, 49):
+        words, other = few[rng.integers(0, 5, n)], few[rng.integers(0, 5, n)]
+        searcher = searcher_of([(7, 0, words), (8, 0, other)])
+        for _ in range(5):
+            out = rng.permutation(n - decontamination.ANSWER)[: n - int(np.ceil(decontamination.COVER * n))] if n >= 12 else np.zeros(0, np.int64)
+            left = words.copy()
+            left[out] = rng.integers(1, 1 << 62, len(out))
+            left = np.delete(left, out[: rng.integers(0, len(out) + 1)])
+            text = np.concatenate([few[rng.integers(0, 5, rng.integers(0, 300))], left, few[rng.integers(0, 5, rng.integers(0, 300))]])
+            assert (0, 7) in searcher.links(text.view(np.uint64), np.array([0, len(text)])), n
+
+
+def test_small_batches_and_pieces_change_nothing(monkeypatch):
+    rng = np.random.default_rng(16)
+    words = rng.integers(1, 1 << 62, 300)
+    share = 1 / np.arange(1, 301)
+    items = [(i, 0, rng.choice(words, int(n), p=share / share.sum())) for i, n in enumerate(rng.integers(1, 49, 60))]
+    text = rng.choice(words, 4_000, p=share / share.sum())
+    for i in range(30):
+        at = rng.integers(0, len(text) - 60)
+        text[at : at + len(items[i][2])] = items[i][2]
+    text[:len(items[31][2])], text[len(text) - len(items[32][2]) :] = items[31][2], items[32][2]
+    h, first = text.view(np.uint64), np.array([0, len(text)])
+    want = set(searcher_of(items).links(h, first))
+    assert {(0, 31), (0, 32)} <= want and len(want) > 25
+    monkeypatch.setattr(decontamination, "SPREAD", 256)
+    assert set(searcher_of(items).links(h, first)) == want
+    monkeypatch.setattr(decontamination, "WORDS", 160)
+    assert set(searcher_of(items).links(h, first)) == want
+    halves = np.array([0, 1_000, 1_000, 2_500, len(text)])
+    got = searcher_of(items).links(h, halves)
+    assert {(d, i) for d, i in got} == {(d, i) for d in range(4) for _, i in searcher_of(items).links(h[halves[d] : halves[d + 1]], np.array([0, halves[d + 1] - halves[d]]))}
+
+
+def test_repeats_of_frequent_words_are_passed_over():
+    rng = np.random.default_rng(17)
+    words, share = rng.integers(1, 1 << 62, 20_000), 1 / np.arange(1, 20_001)
+    items = [(i, 0, rng.choice(words, 48, p=share / share.sum())) for i in range(2_000)]
+    searcher = searcher_of(items)
+    tried = []
+    searcher._shared_words = lambda code, first, doc, at, item: tried.append(len(at)) or np.zeros(len(at), np.int64)
+    for text in (np.repeat(words[:1], 100_000), np.tile(words[:3], 30_000)):
+        assert not searcher.links(text.view(np.uint64), np.array([0, len(text)]))
+    assert sum(tried) < 1_000  # each place met each passage with the pair before: some 10 million
+
+
 def test_rounds_of_a_large_benchmark(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "ROUND", 4)
     rng = random.Random(10)
