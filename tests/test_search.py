@@ -72,3 +72,13 @@ def test_references(spark, forward):
     refs = spark.createDataFrame([("d/b.md", "Alpha"), ("d/b.md", "a.md"), ("d/a.md", "b.md"), ("d/a.md", "")], "file_path string, ref string")
     want = {("d/b.md", "d/a.md"), ("d/b.md", "d/c.md"), ("d/a.md", "d/b.md"), ("d/a.md", "d/c.md")}
     assert {tuple(r) for r in graph.reference_edges(docs, refs, forward).collect()} == {(s, t) for s, t in want if forward or t <= s}
+
+
+def test_pairs_of_a_frequent_reference_are_made_once_and_not_shuffled(spark):
+    docs = spark.createDataFrame([(f"{'de' if i % 2 else 'en'}/x/{i}", "t") for i in range(400)], "file_path string, title string")
+    refs = spark.createDataFrame([(f"s{i % 300}", r) for i in range(600) for r in ("de/", "/x/", f"/{i}")], "file_path string, ref string")
+    out = graph.reference_edges(docs, refs)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in p  # a pair that two references make was dealt to tasks by its texts, to be made distinct
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(set(got)) == 300 * 400
