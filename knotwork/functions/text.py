@@ -53,9 +53,18 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(text, r"(?U)\s+"), lambda w: w != ""))
 
 
+def said(subject: Column, relation: Column, obj: Column) -> Column:
+    """A triple's lower-cased parts, with a bar between them."""
+    return F.concat_ws("|", F.lower(subject), F.lower(relation), F.lower(obj))
+
+
+def digest(text: Column) -> Column:
+    return F.md5(text.cast("binary"))
+
+
 def fingerprint(subject: Column, relation: Column, obj: Column) -> Column:
-    """The md5 of a triple's lower-cased parts, with a bar between them."""
-    return F.md5(F.concat_ws("|", F.lower(subject), F.lower(relation), F.lower(obj)).cast("binary"))
+    """The md5 of what a triple says."""
+    return digest(said(subject, relation, obj))
 
 
 def relation_type(name: Column) -> Column:

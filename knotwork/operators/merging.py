@@ -4,14 +4,18 @@ Triples come with ``seq``, the order of processing; first and last mean that ord
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.functions.text import fingerprint
+from knotwork.functions.text import digest, fingerprint, said
 from knotwork.operators import segments
 from knotwork.operators.normalization import small
 
 _OWN = ["subject", "subject_type", "relation", "object", "object_type"]
+#: What is kept of each piece of evidence.
+FIELDS = ("source", "section", "score", "timestamp", "url", "evidence")
 
 
 def with_fingerprint(triples: DataFrame) -> DataFrame:
@@ -27,34 +31,45 @@ def substitute_clusters(triples: DataFrame, clusters: DataFrame, canonical: Data
     return out.select(*(F.coalesce(f"__{c}", c).alias(c) if c in ("subject", "object") else F.col(c) for c in triples.columns))
 
 
-def merge_triples(triples: DataFrame, run_ts: str | None = None) -> DataFrame:
+def _told(triples: DataFrame, run_ts: str | None) -> DataFrame:
+    """Triples with ``said``, by which they are dealt: unlike a digest it packs well beside the names that it is made of."""
+    return triples.withColumns({"said": said(F.col("subject"), F.col("relation"), F.col("object")), "at": F.coalesce("timestamp", F.lit(run_ts)), "inferred": F.coalesce("inferred", F.lit(False))})
+
+
+def _evidence(fields: Sequence[str]) -> list[Column]:
+    known = {"source": F.coalesce("source", F.lit("unknown")), "section": F.col("section"), "score": F.coalesce("confidence", F.lit(1.0)), "timestamp": F.col("at"), "url": F.col("url"), "evidence": F.col("evidence")}
+    return [known[f].alias(f) for f in fields]
+
+
+def _sums() -> list[Column]:
+    """The first row's spelling and both timestamps as two structs with ``seq``, and the counts."""
+    return [F.min(F.struct("seq", *_OWN, "at")).alias("first"), F.max(F.struct("seq", "at")).alias("last"), F.count_if("inferred").alias("inferred_count"), F.count("*").alias("total_count")]
+
+
+_SUMMED = ["inferred_count", "total_count", "first.at as first_seen", "last.at as last_seen"]
+
+
+def merge_triples(triples: DataFrame, run_ts: str | None = None, fields: Sequence[str] = FIELDS) -> DataFrame:
     """fingerprint, the first row's spelling and types, evidence_sources in order, inferred_count, total_count, first_seen, last_seen.
 
-    A null source is ``unknown``; a null timestamp is ``run_ts``. Sums are combined before the shuffle."""
-    told = with_fingerprint(triples).withColumn("at", F.coalesce("timestamp", F.lit(run_ts)))
-    evidence = F.struct("seq", F.coalesce("source", F.lit("unknown")).alias("source"), "section", F.coalesce("confidence", F.lit(1.0)).alias("score"), F.col("at").alias("timestamp"), "url", "evidence")
-    merged = told.groupBy("fingerprint").agg(
-        F.min_by(F.struct(*_OWN), "seq").alias("first"), F.array_sort(F.collect_list(evidence)).alias("evidence_sources"), F.count_if(F.coalesce("inferred", F.lit(False))).alias("inferred_count"),
-        F.count("*").alias("total_count"), F.min_by("at", "seq").alias("first_seen"), F.max_by("at", "seq").alias("last_seen"),
-    )
-    return merged.select("fingerprint", "first.*", F.transform("evidence_sources", lambda e: e.dropFields("seq")).alias("evidence_sources"), "inferred_count", "total_count", "first_seen", "last_seen")
+    A null source is ``unknown``; a null timestamp is ``run_ts``. ``fields`` are those of the evidence that are wanted. Rows are
+    dealt as they are and merged where they arrive: all evidence has to be there in any case, and what a task would have
+    combined before is mostly a row of its own, in a wider form."""
+    told = _told(triples, run_ts).select("said", "seq", *_OWN, "at", "inferred", F.struct("seq", *_evidence(fields)).alias("e"))
+    merged = told.repartition("said").groupBy("said").agg(*_sums(), F.array_sort(F.collect_list("e")).alias("all"))
+    return merged.select(digest(F.col("said")).alias("fingerprint"), *(f"first.{c}" for c in _OWN), F.transform("all", lambda e: e.dropFields("seq")).alias("evidence_sources"), *map(F.expr, _SUMMED))
 
 
 def merge_summary(triples: DataFrame, run_ts: str | None = None) -> DataFrame:
     """What ``merge_triples`` gives but for the evidence: a row of bounded size for each fingerprint, combined before the shuffle."""
-    told = with_fingerprint(triples).withColumn("at", F.coalesce("timestamp", F.lit(run_ts)))
-    merged = told.groupBy("fingerprint").agg(
-        F.min_by(F.struct(*_OWN), "seq").alias("first"), F.count_if(F.coalesce("inferred", F.lit(False))).alias("inferred_count"),
-        F.count("*").alias("total_count"), F.min_by("at", "seq").alias("first_seen"), F.max_by("at", "seq").alias("last_seen"),
-    )
-    return merged.select("fingerprint", "first.*", "inferred_count", "total_count", "first_seen", "last_seen")
+    merged = _told(triples, run_ts).groupBy(digest(F.col("said")).alias("fingerprint")).agg(*_sums())
+    return merged.select("fingerprint", *(f"first.{c}" for c in _OWN), *map(F.expr, _SUMMED))
 
 
-def evidence_segments(triples: DataFrame, run_ts: str | None = None, size: int = segments.SIZE) -> DataFrame:
+def evidence_segments(triples: DataFrame, run_ts: str | None = None, size: int = segments.SIZE, fields: Sequence[str] = FIELDS) -> DataFrame:
     """fingerprint, segment, n, items: the evidence of ``merge_triples`` in ordered segments, for fingerprints with more of it than a row should hold."""
-    told = with_fingerprint(triples).withColumn("at", F.coalesce("timestamp", F.lit(run_ts)))
-    evidence = F.struct(F.coalesce("source", F.lit("unknown")).alias("source"), "section", F.coalesce("confidence", F.lit(1.0)).alias("score"), F.col("at").alias("timestamp"), "url", "evidence")
-    return segments.segments(told, ["fingerprint"], [F.col("seq")], evidence, size)
+    held = segments.segments(_told(triples, run_ts), ["said"], [F.col("seq")], F.struct(*_evidence(fields)), size)
+    return held.select(digest(F.col("said")).alias("fingerprint"), "segment", "n", "items")
 
 
 def merge_conflicts(merged: DataFrame) -> DataFrame:

@@ -569,7 +569,7 @@ _MERGED = f"""m AS (SELECT {_FP} AS fingerprint, arg_min(subject, seq) AS subjec
 
 @query(f"WITH {_LINE_TRIPLES}, {_MERGED} SELECT * FROM m")
 def merge_triples(spark: SparkSession, d: str) -> DataFrame:
-    merged = merging.merge_triples(line_triples(spark, d))
+    merged = merging.merge_triples(line_triples(spark, d), fields=["source"])
     return merged.withColumn("sources", F.array_join("evidence_sources.source", ";")).drop("evidence_sources")
 
 
@@ -578,18 +578,18 @@ def merge_triples_segments(spark: SparkSession, d: str) -> DataFrame:
     from knotwork.operators import segments
 
     triples = line_triples(spark, d)
-    evidence = segments.assembled(merging.evidence_segments(triples, size=50), ["fingerprint"])
+    evidence = segments.assembled(merging.evidence_segments(triples, size=50, fields=["source"]), ["fingerprint"])
     return merging.merge_summary(triples).join(evidence.select("fingerprint", F.array_join("items.source", ";").alias("sources")), "fingerprint")
 
 
 @query(f"WITH {_LINE_TRIPLES}, {_MERGED} SELECT fingerprint, subject, relation, object, 'mixed_inference' AS conflict, inferred_count, total_count - inferred_count AS explicit_count FROM m WHERE inferred_count > 0 AND total_count > inferred_count")
 def merge_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    return merging.merge_conflicts(merging.merge_triples(line_triples(spark, d)))
+    return merging.merge_conflicts(merging.merge_summary(line_triples(spark, d)))
 
 
 @query(f"WITH {_LINE_TRIPLES}, {_MERGED} SELECT count(*) AS total_triples, CAST(sum(total_count) AS BIGINT) AS total_evidence, round(avg(total_count), 6) AS avg_evidence, count(*) FILTER (inferred_count > 0 AND total_count > inferred_count) AS conflicts FROM m")
 def merge_stats(spark: SparkSession, d: str) -> DataFrame:
-    return merging.merge_stats(merging.merge_triples(line_triples(spark, d))).withColumn("avg_evidence", F.round("avg_evidence", 6))
+    return merging.merge_stats(merging.merge_summary(line_triples(spark, d))).withColumn("avg_evidence", F.round("avg_evidence", 6))
 
 
 _ORDER_TRIPLES = "o AS (SELECT o_orderkey AS seq, 'Customer ' || o_custkey AS subject, 'depends_on' AS relation, o_orderpriority AS object, o_orderdate < TIMESTAMP '1998-01-01' AS old, strftime(o_orderdate, '%Y-%m-%d') AS ts, o_orderstatus AS evidence FROM orders)"

@@ -110,6 +110,14 @@ def test_merging(spark):
     assert merging.merge_stats(merged.where("false")).first()["avg_evidence"] == 0
 
 
+def test_merging_deals_rows_as_they_are(spark):
+    df = triples(spark, ("a", "Service", "uses", "b", "Component", "e1", False, None, 1.0, None, "long url"), ("A", "Service", "uses", "b", "Component", "e2", False, "x"), (None, "Service", "uses", "b", "Component"))
+    merged = merging.merge_triples(df, fields=["source"])
+    below = merged._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(")
+    assert len(below) == 2 and "Aggregate" not in below[1] and "url" not in below[1].split("Scan")[0]
+    assert sorted(([e.asDict() for e in r["evidence_sources"]] for r in merged.collect()), key=len) == [[{"source": "unknown"}], [{"source": "unknown"}, {"source": "x"}]]
+
+
 def test_store_and_diff(spark, tmp_path):
     df = triples(spark, ("a", "Service", "uses", "b", "Component", "one"), ("A", "Service", "uses", "B", "Component", "two"), ("c", "Service", "uses", "d", "Component", "three"))
     empty = store.empty_store(spark)
