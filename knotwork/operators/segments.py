@@ -1,14 +1,15 @@
 """Lists that may be longer than a row should be, in ordered segments.
 
-What belongs to a key lies in rows (key, segment) of a bounded number of values. Rows are dealt by ranges of key and order, so
-those of one key may lie in many tasks; a segment never crosses from one to the next. A key's list is put together only
-where it is asked for."""
+What belongs to a key lies in rows (key, segment) of a bounded number of values. A key with no more of them than a segment
+holds is one segment, and dealt as such. The rows of others are dealt by ranges of key and order, so those of one key may lie
+in many tasks; a segment never crosses from one to the next. A key's list is put together only where it is asked for."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from knotwork.operators.normalization import small
 from knotwork.plans.lineage import cut
 
 #: Values of a segment.
@@ -18,14 +19,17 @@ SIZE = 10_000
 def segments(rows: DataFrame, key: list[str], order: list[Column], value: Column, size: int = SIZE) -> DataFrame:
     """The key columns, segment, n and ``items`` of ``rows``: all values of each key, in the order of ``order`` and ``segment``.
 
-    ``segment`` tells the order of a key's segments, and has gaps. Values that are equal in ``order`` go by themselves. The
-    numbered rows are written once, for a row's number is that of the ranges of one run."""
-    keyed = rows.select(*key, F.struct(*order).alias("__order"), value.alias("__value"))
-    by = [*key, "__order", F.to_json(F.struct("__value"))]
-    placed = keyed.repartitionByRange(*by).sortWithinPartitions(*by).select(*key, "__value", F.monotonically_increasing_id().alias("__at"))
-    numbered = cut(placed.withColumn("segment", F.floor(F.col("__at") / size)))
-    held = numbered.groupBy(*key, "segment").agg(F.array_sort(F.collect_list(F.struct("__at", F.col("__value").alias("item")))).alias("all"))
-    return held.select(*key, "segment", F.size("all").cast("long").alias("n"), F.transform("all", lambda x: x["item"]).alias("items"))
+    ``segment`` tells the order of a key's segments, and has gaps. Values that are equal in ``order`` go by themselves. A row's
+    number is that of the ranges of one run: cut the result before two runs over it have to agree on ``segment``."""
+    keyed = rows.select(*key, F.struct(*order).alias("__order"), value.alias("__value"), F.xxhash64(*key).alias("__hash"))
+    crowded = small(cut(keyed.groupBy("__hash").agg(F.count("*").alias("n")).where(F.col("n") > size).select("__hash")))
+    few = keyed.join(crowded, "__hash", "left_anti").select(*key, F.struct("__order", "__value").alias("x")).repartition(*key)
+    whole = few.groupBy(*key).agg(F.array_sort(F.collect_list("x")).alias("all")).withColumn("segment", F.lit(0).cast("long"))
+    by = [*key, "__order", "__value"]
+    placed = keyed.join(crowded, "__hash", "left_semi").repartitionByRange(*by).sortWithinPartitions(*by).select(*key, "__value", F.monotonically_increasing_id().alias("__at"))
+    held = placed.groupBy(*key, F.floor(F.col("__at") / size).alias("segment")).agg(F.array_sort(F.collect_list(F.struct("__at", "__value"))).alias("all"))
+    each = lambda df: df.select(*key, "segment", F.size("all").cast("long").alias("n"), F.transform("all", lambda x: x["__value"]).alias("items"))
+    return each(whole).unionByName(each(held))
 
 
 def assembled(held: DataFrame, key: list[str]) -> DataFrame:

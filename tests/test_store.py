@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from knotwork.functions.text import fingerprint
 from knotwork.operators import graph, matching, merging, segments, store
+from knotwork.plans.lineage import shared_dir
 from knotwork.streaming import upserts
 
 
@@ -100,6 +101,23 @@ def test_evidence_as_it_is_when_collected(spark, size):
     assert sorted(map(str, met.select(merged.columns).collect())) == sorted(map(str, merged.collect()))
 
 
+def test_segments_of_short_lists_are_not_written_before(spark):
+    def held():
+        sc = spark.sparkContext
+        at = sc._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+        return at.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+    rows = spark.range(20_000).select((F.col("id") % 5_000).alias("k"), F.col("id").alias("seq"), F.repeat(F.md5(F.col("id").cast("string")), 4).alias("v"))
+    before = held()
+    got = segments.segments(rows, ["k"], [F.col("seq")], F.col("v"), 10)
+    assert held() - before < 200_000  # the rows were written in full, 2.5 MB
+    assert {(r["k"], r["n"], len(r["items"])) for r in got.collect()} == {(k, 4, 4) for k in range(5_000)}
+    mixed = rows.where("k < 50").unionByName(rows.select(F.lit(None).cast("long").alias("k"), "seq", "v"))
+    lists = {r["k"]: (r["n"], [x for part in sorted((s["segment"], s["items"]) for s in r["all"]) for x in part[1]]) for r in segments.segments(mixed, ["k"], [F.col("seq")], F.col("v"), 10).groupBy("k").agg(F.sum("n").alias("n"), F.collect_list(F.struct("segment", "items")).alias("all")).collect()}
+    want = [r["v"] for r in rows.orderBy("seq").collect()]
+    assert len(lists) == 51 and lists[None] == (20_000, want) and all(lists[k] == (4, want[k::5_000]) for k in range(50))
+
+
 def test_trails_without_a_bound_and_with_a_limit(spark):
     edges = spark.createDataFrame([("n:a", "n:b", "T", None), ("n:b", "n:a", "T", None), ("n:b", "n:c", "T", None), ("n:c", "n:c", "T", None), ("n:c", "n:d", "U", None)], graph.EDGES)
     nodes = spark.createDataFrame([(f"n:{x}", "n", x, {}) for x in "abcd"], graph.NODES)
