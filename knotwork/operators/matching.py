@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from knotwork.operators.normalization import SMALL, small
 from knotwork.plans.lineage import cut
 
 
@@ -71,8 +72,22 @@ def scan(nodes: DataFrame, label: str, limit: int = 1000) -> DataFrame:
 
 
 def edge_scan(nodes: DataFrame, edges: DataFrame, limit: int = 1000) -> DataFrame:
-    met = match(nodes, edges).select("src_label", "src_name", "rel_type", "dst_label", "dst_name")
-    return met.orderBy("src_label", "src_name", "rel_type", "dst_label", "dst_name").limit(limit)
+    """src_label, src_name, rel_type, dst_label, dst_name of the first ``limit`` edges in this order.
+
+    Edges come in the order of their sources. So those of the first few nodes are looked up, then of ten times as many, until
+    there are enough of them; the last try takes all nodes."""
+    order = ["src_label", "src_name", "rel_type", "dst_label", "dst_name"]
+    take = 4 * limit
+    while True:
+        last = nodes.select("label", "name").orderBy("label", "name").limit(take).agg(F.count("*").alias("n"), F.max(F.struct("label", "name")).alias("x")).select("n", "x.*").first()
+        if last["n"] < take or take > 10 * SMALL:
+            return match(nodes, edges).select(*order).orderBy(*order).limit(limit)
+        near = nodes.where(F.struct("label", "name") <= F.struct(F.lit(last["label"]).cast("string"), F.lit(last["name"]).cast("string")))
+        out = small(cut(edges.join(small(_ends(near, None, None, "src").drop("src_props")), "src_id")))
+        found = cut(out.join(_ends(nodes, None, None, "dst").drop("dst_props"), "dst_id").select(*order).orderBy(*order).limit(limit))
+        if found.count() == limit:
+            return found.orderBy(*order)
+        take *= 10
 
 
 def structure(nodes: DataFrame, edges: DataFrame, title: str) -> DataFrame:

@@ -157,3 +157,15 @@ def test_stream_of_triples(spark, tmp_path):
     store.write(last, str(tmp_path / "copy"))
     upserts.upsert_batches(str(tmp_path / "store"))(spark.read.schema(upserts.TRIPLE).parquet(str(tmp_path / "in")).where("seq >= 2"), 1)
     assert {r["object"]: r["update_count"] for r in store.read(spark, str(tmp_path / "store" / "v2")).collect()} == {"b": 2, "c": 2}
+
+
+def test_scans_look_up_edges_of_the_first_nodes_only(spark):
+    ids = [f"{label}:{i:03d}" for label in ("A", "B") for i in range(150)] + ["C:x", "C:y"]
+    nodes = spark.createDataFrame([(x, x[0], x[2:] if x != "C:y" else None, {}) for x in ids], graph.NODES)
+    edges = spark.createDataFrame([(f"B:{i:03d}", f"A:{j:03d}", "T", None) for i in range(100, 150) for j in range(i % 7)] + [("A:000", "gone", "T", None), ("gone", "A:001", "T", None), ("C:x", "C:y", "U", None), ("C:y", "C:x", "U", None)], graph.EDGES)
+    known = {r["node_id"]: (r["label"], r["name"]) for r in nodes.collect()}
+    want = sorted(((*known[s], t, *known[d]) for s, d, t, _ in map(tuple, edges.collect()) if s in known and d in known), key=lambda r: [(x is not None, x or "") for x in r])
+    for limit in (3, 40, 70, 1000):
+        assert [tuple(r) for r in matching.edge_scan(nodes, edges, limit).collect()] == want[:limit]
+    p = matching.edge_scan(nodes, edges, 70)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in p  # all edges met all nodes twice
