@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from knotwork.functions import vocabulary
 from knotwork.operators import chunking, clustering, concepts, extraction, graph, markdown, matching, merging, normalization, store, validation
+from knotwork.plans.lineage import dealt, in_small_tasks
 from knotwork.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -484,7 +485,8 @@ def known_texts(spark: SparkSession, d: str) -> DataFrame:
 
     k = F.col("p_partkey")
     text = F.concat("p_name", F.lit(". Uses "), term(k), F.lit(", x"), term(k * 7 + 3), F.lit("y and "), F.lower(term(k * 13 + 5)), F.lit("\nbehind "), F.upper(term(k * F.col("p_size"))), F.lit("/"), "p_brand")
-    return table(spark, d, "part").select(k.cast("string").alias("file_path"), text.alias("content"))
+    parts = dealt(table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size"), "p_partkey", rows=50_000)
+    return parts.select(k.cast("string").alias("file_path"), text.alias("content"))
 
 
 @query(rf"""WITH {_KNOWN_TEXT}, v AS (SELECT * FROM (VALUES {_ROWS}) AS v(step, type, name, term, ordinal)),
@@ -493,6 +495,7 @@ h AS (SELECT file_path, text, step, type, name, term, ordinal FROM d JOIN v ON {
 f AS (SELECT *, {_CONTEXT} AS description FROM h QUALIFY row_number() OVER (PARTITION BY file_path, lower(name) ORDER BY step, ordinal) = 1)
 SELECT file_path, CAST(row_number() OVER (PARTITION BY file_path ORDER BY step, ordinal) AS INT) AS seq, name, type, description, lower(name) AS canonical FROM f""")
 def known_concepts(spark: SparkSession, d: str) -> DataFrame:
+    in_small_tasks(spark)
     return concepts.concepts(known_texts(spark, d), vocabulary.service_vocabulary(spark), vocabulary.technology_vocabulary(spark), vocabulary.ARCHITECTURE_TERMS)
 
 
