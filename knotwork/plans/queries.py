@@ -55,7 +55,7 @@ def trade_edges(spark: SparkSession, d: str) -> DataFrame:
     nation = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     customer = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     supplier = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    supply = t("lineitem").select("l_suppkey", "l_partkey").distinct().join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    supply = dealt(t("lineitem").select("l_suppkey", "l_partkey"), "l_suppkey", "l_partkey").distinct().join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     part = F.col("l_partkey").cast("string")
     return graph._union(
         [
