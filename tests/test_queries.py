@@ -96,3 +96,26 @@ def test_whole_queries_against_brute_force(spark, tmp_path):
         frontier = [(y, (*path, e)) for x, path in frontier for r, y in out.get(x, []) if (e := f"{kind(x)}:{x}>{r}>{kind(y)}:{y}") not in path]
         want.update((f"{kind(x)}:{x}", len(path), ";".join(path)) for x, path in frontier)
     assert rows("var_length_trails", "end_id", "depth", "path") == want
+
+
+def test_tasks_follow_the_rows(spark):
+    from knotwork.plans.lineage import dealt
+
+    assert [dealt(spark.range(n), "id", rows=3).rdd.getNumPartitions() for n in (0, 3, 10)] == [1, 1, 4]
+    for name in ("known_concepts", "top_degree", "graph_sql"):  # these dealt all rows to a number of tasks that stays as tables grow
+        assert "REPARTITION_BY_NUM" in plan(Q.QUERIES[name](spark, DATA)), name
+
+
+def test_tasks_take_in_little_at_once(spark):
+    from knotwork.plans.lineage import SMALLER
+
+    docs = spark.createDataFrame([(str(i), f"the {i}") for i in range(1200)], "file_path string, content string").coalesce(1)
+    batch = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for before, after in ((None, "8m"), ("1m", "1m")):
+        for name in SMALLER:
+            spark.conf.unset(name)
+        if before:
+            spark.conf.set(batch, before)
+        hits = Q.concepts.term_hits(docs, Q.word_vocabulary(spark))
+        assert spark.conf.get(batch) == after
+        assert {(r["file_path"], r["description"]) for r in hits.collect()} == {(str(i), f"the {i}") for i in range(1200)}
