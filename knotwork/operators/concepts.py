@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from knotwork.functions.text import context, occurrences, quoted, strip
+from knotwork.plans.lineage import in_small_tasks
 
 #: Rows of a vocabulary that are sought in one pass over the texts. A larger one takes a pass for each so many.
 TERMS = 200_000
+#: Texts that a task has as Python strings at once.
+TEXTS = 500
 _HITS = "file_path string, category string, name string, term string, ordinal int, description string"
 _machines: dict[str, tuple] = {}
 
@@ -35,6 +38,7 @@ def term_hits(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def _sought(texts: DataFrame, rows: list[tuple]) -> DataFrame:
+    in_small_tasks(texts.sparkSession)
     sent, key = texts.sparkSession.sparkContext.broadcast(rows), uuid.uuid4().hex
     kind = texts.schema["file_path"].dataType.simpleString()
 
@@ -45,7 +49,7 @@ def _sought(texts: DataFrame, rows: list[tuple]) -> DataFrame:
             _machines.clear()
             _machines[key] = (Terms([r[2] for r in sent.value]), sent.value)
         machine, known = _machines[key]
-        for batch in batches:
+        for batch in (b.slice(k, TEXTS) for b in batches for k in range(0, b.num_rows, TEXTS)):
             at, found, texts_around = [], [], []
             for i, text in enumerate(batch.column("content").to_pylist()):
                 for k, place, length in machine.find(text):
