@@ -1,6 +1,7 @@
 """The machine of terms against single patterns, the index of references against every pair."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,3 +83,31 @@ def test_pairs_of_a_frequent_reference_are_made_once_and_not_shuffled(spark):
     assert "Aggregate" not in p  # a pair that two references make was dealt to tasks by its texts, to be made distinct
     got = [tuple(r) for r in out.collect()]
     assert len(got) == len(set(got)) == 300 * 400
+
+
+def test_references_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def told(ref):
+        read.add(1)
+        return ref
+
+    docs = spark.createDataFrame([(f"d/{i}.md", "t") for i in range(30)], "file_path string, title string")
+    refs = spark.createDataFrame([(f"s{i}", f"/{i % 40}.md") for i in range(200)], "file_path string, ref string").withColumn("ref", F.udf(told)("ref"))
+    assert graph.reference_edges(docs, refs).count() == 150
+    assert read.value == 200  # 1200 times before; the text of a page is read as often
+
+
+def test_sources_and_blocks_are_dealt_before_they_are_copied(spark, monkeypatch):
+    for name, n in (("SLICE", 7), ("BLOCK", 5), ("PAIRS", 100), ("ROWS", 40)):
+        monkeypatch.setattr(graph, name, n)
+    docs = spark.createDataFrame([(f"{'de' if i % 3 else 'en'}/x/{i}", "t") for i in range(60)] + [(None, "/x/ and en/")], "file_path string, title string")
+    refs = spark.createDataFrame([(f"s{i}" if i else None, r) for i in range(50) for r in (("/x/",) if i % 2 else ("de/", "en/"))], "file_path string, ref string")
+    out = graph.reference_edges(docs, refs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(([^)]*), (\d+)\), REPARTITION_BY_NUM", plan)
+    # a copy of a source for each block, or of a block for each slice, was made where few rows lay: by one task of a large table
+    assert {(re.sub(r"#\d+L?", "", keys), n) for keys, n in dealt if "i#" not in keys} == {("src", "16"), ("class, j", "16")}
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(set(got)) == 50 * 61
+    assert {d for _, d in got} == {r[0] for r in docs.collect()} and {s for s, _ in got} == {None} | {f"s{i}" for i in range(1, 50)}
