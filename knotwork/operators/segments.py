merge_triples_segments: evidence and summary are dealt once, by a digest that is made where rows arrive

Symptom: merge_triples_segments shuffled 708 MB for 49 MB of line items (3.6 million). Each row carried a digest of 32 characters that does not pack, lists of evidence were dealt a second time to be put together, and the summary sorted all rows in the map tasks to combine keys that a task seldom has twice.
Evidence: event log by stage, 6 local cores, tables repeated 6 times: summary 377 MB written, lists dealt again 161, evidence 130, count of rows by key 40. The largest task memory, 235 MB, was the sort before the summary's shuffle.
Fix: keys with more rows than a segment holds are found once and given to both operators. Rows of other keys go as they are, dealt by the digest as an expression, and get it after the shuffle, so the lists and the join need no further one. Crowded keys are still combined before the shuffle and still go by ranges, and only their segments are dealt again. Nothing new is broadcast.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 1858 -> 1530 s, shuffle 7.38 -> 3.91 GB, spill 0.00 -> 0.00 GB, read 1.46 -> 1.46 GB, longest task 43 -> 21 s, most memory of a task 772 -> 302 MB; at 6 GB of input CPU 9032 -> 7951 s, shuffle 45.82 -> 24.31 GB, spill 13.40 -> 0.00 GB, read 10.91 -> 10.91 GB, longest task 71 -> 42 s, most memory of a task 1174 -> 537 MB; with hot keys, at 1 GB of input CPU 2145 -> 1823 s, shuffle 6.60 -> 3.76 GB, spill 0.00 -> 0.00 GB, read 2.44 -> 3.03 GB, longest task 58 -> 29 s, most memory of a task 772 -> 386 MB.

@@ -6,36 +6,65 @@ in many tasks; a segment never crosses from one to the next. A key's list is put
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.operators.normalization import small
-from knotwork.plans.lineage import cut
+from knotwork.plans.lineage import counted
 
 #: Values of a segment.
 SIZE = 10_000
 
 
+def crowded(rows: DataFrame, key: list[str], size: int = SIZE) -> list[DataFrame]:
+    """The hashes of keys with more than ``size`` rows, as a table in a list; an empty list without any."""
+    hashes = rows.select(F.xxhash64(*key).alias("__hash")).groupBy("__hash").agg(F.count("*").alias("n"))
+    many, seen = counted(hashes.where(F.col("n") > size).select("__hash"))
+    return [small(many)] if seen["rows"] else []
+
+
+def divided(rows: DataFrame, key: list[str], crowds: list[DataFrame]) -> list[DataFrame]:
+    """Rows of other keys than the ``crowded`` ones and, if there are such, theirs."""
+    keyed = rows.withColumn("__hash", F.xxhash64(*key))
+    return [reduce(lambda df, c: df.join(c, "__hash", "left_anti"), crowds, keyed), *(keyed.join(c, "__hash", "left_semi") for c in crowds)]
+
+
+def union(some: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, some)
+
+
 def segments(rows: DataFrame, key: list[str], order: list[Column], value: Column, size: int = SIZE) -> DataFrame:
     """The key columns, segment, n and ``items`` of ``rows``: all values of each key, in the order of ``order`` and ``segment``.
 
     ``segment`` tells the order of a key's segments, and has gaps. Values that are equal in ``order`` go by themselves. A row's
     number is that of the ranges of one run: cut the result before two runs over it have to agree on ``segment``."""
-    keyed = rows.select(*key, F.struct(*order).alias("__order"), value.alias("__value"), F.xxhash64(*key).alias("__hash"))
-    crowded = small(cut(keyed.groupBy("__hash").agg(F.count("*").alias("n")).where(F.col("n") > size).select("__hash")))
-    few = keyed.join(crowded, "__hash", "left_anti").select(*key, F.struct("__order", "__value").alias("x")).repartition(*key)
-    whole = few.groupBy(*key).agg(F.array_sort(F.collect_list("x")).alias("all")).withColumn("segment", F.lit(0).cast("long"))
+    crowds = crowded(rows, key, size)
+    return union(parts(divided(rows, key, crowds), {k: F.col(k) for k in key}, order, value, size))
+
+
+def parts(rows: list[DataFrame], key: dict[str, Column], order: list[Column], value: Column, size: int) -> list[DataFrame]:
+    """``segments`` of ``divided`` rows, apart: keys that are one segment, dealt by their key, and the segments of crowded ones.
+
+    The key columns are made of what is dealt, so the rows need not carry what is longer than that."""
+    few, *many = [df.withColumns({"__order": F.struct(*order), "__value": value}) for df in rows]
+    named = [c.alias(k) for k, c in key.items()]
+    short = few.repartition(*key.values()).select(*named, F.struct("__order", "__value").alias("x"))
+    whole = short.groupBy(*key).agg(F.array_sort(F.collect_list("x")).alias("all")).withColumn("segment", F.lit(0).cast("long"))
     by = [*key, "__order", "__value"]
-    placed = keyed.join(crowded, "__hash", "left_semi").repartitionByRange(*by).sortWithinPartitions(*by).select(*key, "__value", F.monotonically_increasing_id().alias("__at"))
-    held = placed.groupBy(*key, F.floor(F.col("__at") / size).alias("segment")).agg(F.array_sort(F.collect_list(F.struct("__at", "__value"))).alias("all"))
-    each = lambda df: df.select(*key, "segment", F.size("all").cast("long").alias("n"), F.transform("all", lambda x: x["__value"]).alias("items"))
-    return each(whole).unionByName(each(held))
+    placed = [df.select(*named, "__order", "__value").repartitionByRange(*by).sortWithinPartitions(*by).select(*key, "__value", F.monotonically_increasing_id().alias("__at")) for df in many]
+    held = [df.groupBy(*key, F.floor(F.col("__at") / size).alias("segment")).agg(F.array_sort(F.collect_list(F.struct("__at", "__value"))).alias("all")) for df in placed]
+    return [df.select(*key, "segment", F.size("all").cast("long").alias("n"), F.transform("all", lambda x: x["__value"]).alias("items")) for df in [whole, *held]]
+
 
+def assembled(held: DataFrame | list[DataFrame], key: list[str]) -> DataFrame:
+    """The key columns, n and ``items`` of each key as one list. Only for keys whose lists a row can hold: filter first.
 
-def assembled(held: DataFrame, key: list[str]) -> DataFrame:
-    """The key columns, n and ``items`` of each key as one list. Only for keys whose lists a row can hold: filter first."""
-    whole = held.groupBy(*key).agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("segment", "items"))).alias("all"))
-    return whole.select(*key, "n", F.flatten(F.transform("all", lambda x: x["items"])).alias("items"))
+    Of ``parts``, only the segments of crowded keys are dealt again, so that all rows are dealt by their key in the end."""
+    whole, long = (held[:1], held[1:]) if isinstance(held, list) else ([], [held])
+    put = [df.groupBy(*key).agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("segment", "items"))).alias("all")) for df in long]
+    return union([*(df.select(*key, "n", "items") for df in whole), *(df.select(*key, "n", F.flatten(F.transform("all", lambda x: x["items"])).alias("items")) for df in put)])
 
 
 def lengths(held: DataFrame, key: list[str]) -> DataFrame:

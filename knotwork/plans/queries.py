@@ -582,8 +582,9 @@ def merge_triples_segments(spark: SparkSession, d: str) -> DataFrame:
     from knotwork.operators import segments
 
     triples = line_triples(spark, d)
-    evidence = segments.assembled(merging.evidence_segments(triples, size=50, fields=["source"]), ["fingerprint"])
-    return merging.merge_summary(triples).join(evidence.select("fingerprint", F.array_join("items.source", ";").alias("sources")), "fingerprint")
+    crowds = merging.crowded(triples, 50)
+    evidence = segments.assembled(merging.evidence_segments(triples, size=50, fields=["source"], crowds=crowds), ["fingerprint"])
+    return merging.merge_summary(triples, crowds=crowds).join(evidence.select("fingerprint", F.array_join("items.source", ";").alias("sources")), "fingerprint")
 
 
 @query(f"WITH {_LINE_TRIPLES}, {_MERGED} SELECT fingerprint, subject, relation, object, 'mixed_inference' AS conflict, inferred_count, total_count - inferred_count AS explicit_count FROM m WHERE inferred_count > 0 AND total_count > inferred_count")

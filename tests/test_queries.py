@@ -98,6 +98,10 @@ def test_whole_queries_against_brute_force(spark, tmp_path):
     assert rows("var_length_trails", "end_id", "depth", "path") == want
 
 
+def test_lists_of_evidence_are_dealt_once(spark):
+    assert plan(Q.QUERIES["merge_triples_segments"](spark, DATA)).count("Exchange hashpartitioning") == 2  # rows for the summary, evidence; lists and digests were dealt again
+
+
 def test_tasks_follow_the_rows(spark):
     from knotwork.plans.lineage import dealt
 
