@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from knotwork.functions.text import context, occurrences, quoted, strip
-from knotwork.plans.lineage import in_small_tasks
+from knotwork.plans.lineage import cut, in_small_tasks
 
 #: Rows of a vocabulary that are sought in one pass over the texts. A larger one takes a pass for each so many.
 TERMS = 200_000
@@ -90,14 +90,21 @@ def concept_relations(docs: DataFrame, found: DataFrame, verbs: dict[str, str])
     """file_path, src, rel_type, dst, seq: runs of words of which a verb's last occurrence parts two names of ``found`` (file_path, name).
 
     A text is cut into runs of letters, digits, underscores and white space, each of which a verb can part once; so the
-    work follows the length of the text. Names compare without case and differ; repeats stay."""
+    work follows the length of the text. Names compare without case and differ; repeats stay.
+
+    Far more names are found than a verb parts. So what it parts is written once, and only names with the hash of a part are
+    kept: these are looked up in a table of hashes as they come, and neither sorted nor merged before."""
     runs = docs.select("file_path", F.posexplode(F.regexp_extract_all("content", F.lit(r"(?U)[\w\s]+"), F.lit(0))).alias("pos", "run"))
     each = None
     for k, (verb, rel_type) in enumerate(verbs.items()):
         pattern = rf"(?isuU)^(.*\w)\s+{quoted(verb)}\s+(\w.*)$"
         part = runs.where(F.col("run").rlike(pattern)).select("file_path", "pos", F.lit(k).alias("k"), F.lit(rel_type).alias("rel_type"), F.lower(strip(F.regexp_extract("run", pattern, 1))).alias("a"), F.lower(strip(F.regexp_extract("run", pattern, 2))).alias("b"))
         each = part if each is None else each.unionByName(part)
-    names = found.groupBy("file_path", F.lower("name").alias("low")).agg(F.max_by("name", "seq").alias("name") if "seq" in found.columns else F.max("name").alias("name"))
+    each = cut(each)
+    key = lambda name: F.xxhash64(F.col("file_path").cast("string"), name)
+    parts = each.select(F.explode(F.array(key(F.col("a")), key(F.col("b")))).alias("part")).distinct()
+    asked = found.join(parts.hint("shuffle_hash"), key(F.lower("name")) == F.col("part"), "left_semi")
+    names = asked.groupBy("file_path", F.lower("name").alias("low")).agg(F.max_by("name", "seq").alias("name") if "seq" in found.columns else F.max("name").alias("name"))
     a = names.select("file_path", F.col("low").alias("a"), F.col("name").alias("src"))
     b = names.select("file_path", F.col("low").alias("b"), F.col("name").alias("dst"))
     met = each.join(a, ["file_path", "a"]).join(b, ["file_path", "b"]).where("src <> dst")

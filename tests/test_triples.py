@@ -29,6 +29,18 @@ def test_concept_relations(spark):
     assert {(r["src"], r["rel_type"], r["dst"]) for r in got.collect()} == {("Alpha", "USES", "Beta"), ("Beta", "PEERS_WITH", "GAMMA")}
 
 
+def test_relations_merge_only_names_that_a_verb_parts(spark):
+    texts = [("d", "Alpha uses Beta. ALPHA uses  beta"), ("d", "x. Alpha uses Beta"), ("d", "Alpha uses Beta gamma"), (None, "Alpha uses Beta"), ("e", None), ("f", ""), ("g", "Alpha uses Beta"), ("h", "uses")]
+    found = [("d", "Alpha", 1), ("d", "ALPHA", 2), ("d", "Beta", 1), ("d", "Beta", 1), ("d", "beta", None), ("d", None, 3), (None, "Alpha", 1), (None, "Beta", 1), ("g", "Alpha", 1), ("e", "Beta", 1)]
+    docs = spark.createDataFrame(texts, "file_path string, content string")
+    names = spark.createDataFrame([*found, *(("d", f"n{i}", i) for i in range(1000))], "file_path string, name string, seq int")
+    for df, src, dst in ((names.drop("seq"), "Alpha", "beta"), (names, "ALPHA", "Beta")):
+        got = concepts.concept_relations(docs, df, V.CONCEPT_VERBS)
+        assert sorted(map(tuple, got.collect())) == [("d", src, "USES", dst, k) for k in (1, 2, 3)]
+        plan = got._jdf.queryExecution().toString()
+        assert "ShuffledHashJoin" in plan and "LeftSemi" in plan  # all names were sorted and merged before
+
+
 def test_registry(spark):
     asked = [("Amazon EC2", "Service"), ("S3 bucket", "Service"), ("VPC Endpoint", "Component"), ("VPC Endpoint", "Service"), ("AWS Direct Connect", "Service"), ("Simple Storage Service", "Service"), (" ", "Service"), (None, "Role")]
     names = spark.createDataFrame(asked, "name string, entity_type string")
