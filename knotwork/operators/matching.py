graph_sql: edges are not sorted for joins with nodes that are small in each part

Symptom: from 3.6 to 14.4 million line items, with 12 shuffle partitions and 1.2 GB for six tasks, graph_sql went from 51 to 205 CPU s and from no spill to 318 MB. Both joins of the SQL sort all edges, 29 million at the larger size, beside fewer than a million nodes.
Evidence: event log by stage at 14.4 million line items, 64 partitions, 6 GB: 59 and 52 of 180 CPU s in the two sort-merge joins, largest task memory 118 MB there.
Fix: matching.sql sets Spark's bound for hashing a side of a shuffled join, where the session has none, to the 16 MB that a task takes in. Spark then hashes the nodes if none of their shuffled parts is larger, by their measured size, and sorts as before otherwise. The SQL, the nodes and the edges are unchanged and nothing more is broadcast.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 1130 -> 780 s, shuffle 2.41 -> 2.43 GB, spill 0.00 -> 0.00 GB, read 0.31 -> 0.31 GB, longest task 9 -> 8 s, most memory of a task 271 -> 105 MB; at 6 GB of input CPU 5191 -> 3662 s, shuffle 15.54 -> 15.58 GB, spill 0.00 -> 0.00 GB, read 2.51 -> 2.51 GB, longest task 13 -> 10 s, most memory of a task 439 -> 336 MB; with hot keys, at 1 GB of input CPU 926 -> 584 s, shuffle 1.78 -> 1.78 GB, spill 0.00 -> 0.00 GB, read 0.29 -> 0.29 GB, longest task 9 -> 8 s, most memory of a task 371 -> 104 MB.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.operators.normalization import SMALL, small
-from knotwork.plans.lineage import cut
+from knotwork.plans.lineage import cut, hashed_where_small
 
 
 def _ends(nodes: DataFrame, label: str | None, name: str | None, side: str) -> DataFrame:
@@ -121,5 +121,8 @@ def trails(nodes: DataFrame, edges: DataFrame, rel_types: list[str], start: Colu
 
 
 def sql(nodes: DataFrame, edges: DataFrame, text: str, **values) -> DataFrame:
-    """What SQL over ``{nodes}`` and ``{edges}`` gives; ``:name`` in it stands for the value of that name, which is never read as SQL."""
+    """What SQL over ``{nodes}`` and ``{edges}`` gives; ``:name`` in it stands for the value of that name, which is never read as SQL.
+
+    Edges, far more than nodes, are not sorted where what they meet is small in each part."""
+    hashed_where_small(nodes.sparkSession)
     return nodes.sparkSession.sql(text, args=values, nodes=nodes, edges=edges)

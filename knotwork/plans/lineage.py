@@ -79,3 +79,14 @@ def in_small_tasks(spark: SparkSession) -> None:
     for name, (own, less) in SMALLER.items():
         if spark.conf.get(name).rstrip("b") == str(own):
             spark.conf.set(name, less)
+
+
+#: Spark's bound for a side of a shuffled join that is hashed in place of sorting both sides; 0, as Spark has it, is never.
+HASHED = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+
+
+def hashed_where_small(spark: SparkSession) -> None:
+    """Joins hash a side of which no shuffled part is larger than a task of ``in_small_tasks`` takes in, rather than sort both. Larger sides are sorted as before. A session's own bound stays."""
+    in_small_tasks(spark)
+    if spark.conf.get(HASHED).rstrip("b") == "0":
+        spark.conf.set(HASHED, SMALLER["spark.sql.adaptive.advisoryPartitionSizeInBytes"][1])

@@ -169,3 +169,28 @@ def test_scans_look_up_edges_of_the_first_nodes_only(spark):
         assert [tuple(r) for r in matching.edge_scan(nodes, edges, limit).collect()] == want[:limit]
     p = matching.edge_scan(nodes, edges, 70)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in p  # all edges met all nodes twice
+
+
+def test_sql_sorts_only_beside_large_sides(spark):
+    from knotwork.plans.lineage import HASHED, SMALLER
+
+    ends = [("a", "A", "x"), ("b", "B", None), ("c", "C", "no"), ("d", "D", "y"), ("d", "D", "y"), (None, "N", "z")]
+    links = [("a", "b"), ("a", "b"), ("a", "d"), ("d", "a"), ("b", "a"), ("c", "a"), (None, "a"), ("a", None), ("a", "gone"), *(("a", "c") for _ in range(500))]
+    nodes = spark.createDataFrame([(i, label, name, {}) for i, label, name in ends], graph.NODES)
+    edges = spark.createDataFrame([(s, t, "T", None) for s, t in links], graph.EDGES)
+    text = "SELECT s.label AS a, t.label AS b, count(*) AS n FROM {edges} e JOIN {nodes} s ON e.src_id = s.node_id JOIN {nodes} t ON e.dst_id = t.node_id WHERE s.name <> :but GROUP BY 1, 2"
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    try:
+        spark.conf.set(broadcast, "-1")
+        for own, join in ((None, "ShuffledHashJoin"), ("1b", "SortMergeJoin")):  # by default both sides of each join were sorted
+            spark.conf.unset(HASHED)
+            if own:
+                spark.conf.set(HASHED, own)
+            got = matching.sql(nodes, edges, text, but="no")
+            assert sorted(map(tuple, got.collect())) == [("A", "B", 2), ("A", "C", 500), ("A", "D", 2), ("D", "A", 2)]
+            final = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert final.count(join) == 2 and final.count("Sort [") == (4 if own else 0)
+            assert own is None or spark.conf.get(HASHED) == own
+    finally:
+        for name in (broadcast, HASHED, *SMALLER):
+            spark.conf.unset(name)
