merge_triples_segments: the summary is still combined before the shuffle where things are said more than twice on average

Symptom: the change before sent rows of the summary as they are unless one thing is said over 50 times. With 3.6 million line items that say 121 200 things, some 30 times each, merge_triples_segments shuffled 274 MB where it had shuffled 228 at first, and took 93 CPU s in place of 76.
Evidence: event log by stage, 6 local cores: 160 MB of single rows in the summary's shuffle against 64 MB of combined ones.
Fix: the count that finds crowded keys also tells how many rows and keys the others are. With more than two rows a key all are combined before the shuffle as at first; a single row takes about half the room of a combined one, so with fewer they go as they are.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 1858 -> 1530 s, shuffle 7.38 -> 3.91 GB, spill 0.00 -> 0.00 GB, read 1.46 -> 1.46 GB, longest task 43 -> 21 s, most memory of a task 772 -> 302 MB; at 6 GB of input CPU 9032 -> 7951 s, shuffle 45.82 -> 24.31 GB, spill 13.40 -> 0.00 GB, read 10.91 -> 10.91 GB, longest task 71 -> 42 s, most memory of a task 1174 -> 537 MB; with hot keys, at 1 GB of input CPU 2145 -> 1823 s, shuffle 6.60 -> 3.76 GB, spill 0.00 -> 0.00 GB, read 2.44 -> 3.03 GB, longest task 58 -> 29 s, most memory of a task 772 -> 386 MB.

@@ -60,26 +60,26 @@ def merge_triples(triples: DataFrame, run_ts: str | None = None, fields: Sequenc
     return merged.select(digest(F.col("said")).alias("fingerprint"), *(f"first.{c}" for c in _OWN), F.transform("all", lambda e: e.dropFields("seq")).alias("evidence_sources"), *map(F.expr, _SUMMED))
 
 
-def crowded(triples: DataFrame, size: int) -> list[DataFrame]:
+def crowded(triples: DataFrame, size: int) -> segments.Crowds:
     """What more than ``size`` triples say, for ``merge_summary`` and ``evidence_segments``."""
     return segments.crowded(_told(triples, None), ["said"], size)
 
 
-def merge_summary(triples: DataFrame, run_ts: str | None = None, crowds: list[DataFrame] | None = None) -> DataFrame:
+def merge_summary(triples: DataFrame, run_ts: str | None = None, crowds: segments.Crowds | None = None) -> DataFrame:
     """What ``merge_triples`` gives but for the evidence: a row of bounded size for each fingerprint, combined before the shuffle.
 
-    With ``crowds`` (``crowded``) only crowded triples are: of others a task seldom has two, so they go as they are, without
-    being sorted first, and the fingerprint is made of them where they arrive."""
-    told = _told(triples, run_ts)
-    few, *many = [told] if crowds is None else segments.divided(told, ["said"], crowds)
-    if crowds is not None:
+    With ``crowds`` (``crowded``) only crowded triples are, if others come at most twice on average: these go as they are, in
+    half the room of a combined row and without being sorted first, and the fingerprint is made of them where they arrive."""
+    parts = [told := _told(triples, run_ts)]
+    if crowds is not None and crowds.rows <= 2 * crowds.keys:
         text = said(F.col("subject"), F.col("relation"), F.col("object"))
-        few = few.drop("said").repartition(digest(text)).withColumn("said", text)
-    merged = segments.union([df.groupBy(digest(F.col("said")).alias("fingerprint")).agg(*_sums()) for df in [few, *many]])
+        few, *many = segments.divided(told, ["said"], crowds)
+        parts = [few.drop("said").repartition(digest(text)).withColumn("said", text), *many]
+    merged = segments.union([df.groupBy(digest(F.col("said")).alias("fingerprint")).agg(*_sums()) for df in parts])
     return merged.select("fingerprint", *(f"first.{c}" for c in _OWN), *map(F.expr, _SUMMED))
 
 
-def evidence_segments(triples: DataFrame, run_ts: str | None = None, size: int = segments.SIZE, fields: Sequence[str] = FIELDS, crowds: list[DataFrame] | None = None) -> DataFrame | list[DataFrame]:
+def evidence_segments(triples: DataFrame, run_ts: str | None = None, size: int = segments.SIZE, fields: Sequence[str] = FIELDS, crowds: segments.Crowds | None = None) -> DataFrame | list[DataFrame]:
     """fingerprint, segment, n, items: the evidence of ``merge_triples`` in ordered segments, for fingerprints with more of it than a row should hold.
 
     With ``crowds`` (``crowded`` of the same size) they are apart, as ``segments.parts`` gives them, for ``segments.assembled``."""

@@ -7,28 +7,39 @@ in many tasks; a segment never crosses from one to the next. A key's list is put
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from knotwork.operators.normalization import small
-from knotwork.plans.lineage import counted
+from knotwork.plans.lineage import cut
 
 #: Values of a segment.
 SIZE = 10_000
 
 
-def crowded(rows: DataFrame, key: list[str], size: int = SIZE) -> list[DataFrame]:
-    """The hashes of keys with more than ``size`` rows, as a table in a list; an empty list without any."""
-    hashes = rows.select(F.xxhash64(*key).alias("__hash")).groupBy("__hash").agg(F.count("*").alias("n"))
-    many, seen = counted(hashes.where(F.col("n") > size).select("__hash"))
-    return [small(many)] if seen["rows"] else []
+class Crowds(NamedTuple):
+    """The hashes of crowded keys, as a table in a list that is empty without any, and how many rows and keys the others are."""
 
+    hashes: list[DataFrame]
+    rows: int
+    keys: int
 
-def divided(rows: DataFrame, key: list[str], crowds: list[DataFrame]) -> list[DataFrame]:
+
+def crowded(rows: DataFrame, key: list[str], size: int = SIZE) -> Crowds:
+    """Which keys have more than ``size`` rows."""
+    few, seen = F.col("n") <= size, Observation()
+    counts = rows.select(F.xxhash64(*key).alias("__hash")).groupBy("__hash").agg(F.count("*").alias("n"))
+    counts = counts.observe(seen, F.sum(F.when(few, F.col("n"))).alias("rows"), F.count_if(few).alias("keys"), F.count_if(~few).alias("many"))
+    many = cut(counts.where(~few).select("__hash"))
+    return Crowds([small(many)] if seen.get["many"] else [], seen.get["rows"] or 0, seen.get["keys"] or 0)
+
+
+def divided(rows: DataFrame, key: list[str], crowds: Crowds) -> list[DataFrame]:
     """Rows of other keys than the ``crowded`` ones and, if there are such, theirs."""
     keyed = rows.withColumn("__hash", F.xxhash64(*key))
-    return [reduce(lambda df, c: df.join(c, "__hash", "left_anti"), crowds, keyed), *(keyed.join(c, "__hash", "left_semi") for c in crowds)]
+    return [reduce(lambda df, c: df.join(c, "__hash", "left_anti"), crowds.hashes, keyed), *(keyed.join(c, "__hash", "left_semi") for c in crowds.hashes)]
 
 
 def union(some: list[DataFrame]) -> DataFrame:

@@ -103,14 +103,14 @@ def test_evidence_as_it_is_when_collected(spark, size):
 
 def test_summary_and_evidence_meet_where_they_are_dealt(spark):
     rows = [(i, f"S{i % 40}", "b") for i in range(100)] + [(i, "HOT" if i % 2 else "hot", "b") for i in range(100, 160)] + [(5, "S5", "b"), (7, None, "b"), (7, None, "b"), (8, "x", None), (9, None, None), (3, "X", None)]
-    t = triples(spark, rows)
-    merged = merging.merge_triples(t)
-    want = sorted(map(str, merged.collect()))
-    for size, n in ((2, 1), (100, 0)):  # some are crowded, none is
+    for rows, size, n, sorts in ((rows, 2, 1, False), (rows, 100, 0, True), (rows[:40], 100, 0, False)):  # some are crowded, none is, each is alone
+        t = triples(spark, rows)
+        merged = merging.merge_triples(t)
+        want = sorted(map(str, merged.collect()))
         crowds = merging.crowded(t, size)
         lists = segments.assembled(merging.evidence_segments(t, size=size, crowds=crowds), ["fingerprint"]).select("fingerprint", F.col("items").alias("evidence_sources"))
         met = merging.merge_summary(t, crowds=crowds).join(lists.hint("merge"), "fingerprint").select(merged.columns)
-        assert len(crowds) == n and sorted(map(str, met.collect())) == want
+        assert len(crowds.hashes) == n and (crowds.rows > 2 * crowds.keys) == sorts and sorted(map(str, met.collect())) == want
         shuffles = met._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning")
         assert shuffles == 2 + 3 * n  # rows and evidence as they are; sums of crowded triples, their segments, and these again
 
